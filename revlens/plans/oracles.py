@@ -91,8 +91,69 @@ FROM labelled
 """)
 
 
+RECENCY_FILTER = with_reviews("""
+SELECT doc_id, target, page_no, date FROM reviews WHERE date >= DATE '2024-01-24'
+""")
+
+RECENCY_TAKEWHILE = with_reviews("""
+, flagged AS (
+  SELECT doc_id, target, page_no, date,
+         max(CASE WHEN date < DATE '2024-01-24' THEN 1 ELSE 0 END)
+           OVER (PARTITION BY target ORDER BY page_no, pos
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped
+  FROM reviews
+)
+SELECT doc_id, target, page_no, date FROM flagged WHERE stopped = 0
+""")
+
+MULTI_SOURCE_UNION_DEDUPE = with_reviews("""
+SELECT DISTINCT * FROM (
+  SELECT target, date, rating, title, body, image, badge FROM reviews WHERE doc_id % 3 <> 0
+  UNION ALL
+  SELECT target, date, rating, title, body, image, badge FROM reviews WHERE doc_id % 3 <> 1
+  UNION ALL
+  SELECT target, date, rating, title, body, image, NULL AS badge FROM reviews WHERE doc_id % 3 = 2
+) u
+""")
+
+SIZE_LOOKUP = with_reviews("""
+, s2m AS (
+  SELECT CAST(p_size AS VARCHAR) || ' BTU' AS size,
+         'BR' || CAST(p_size AS VARCHAR) || '-' || CAST(min(p_partkey) AS VARCHAR) AS model_no,
+         arg_min(p_name, p_partkey) AS model_description
+  FROM part GROUP BY p_size
+),
+r AS (SELECT doc_id, target, replace('Size: ' || size, 'Size: ', '') AS size FROM reviews)
+SELECT r.doc_id, r.target, r.size,
+       CASE WHEN ascii(right(r.target, 1)) % 2 = 0 THEN 'M-' || upper(r.target)
+            ELSE coalesce(s.model_no, r.size) END AS model_no,
+       CASE WHEN ascii(right(r.target, 1)) % 2 = 0 THEN 'ACME ' || upper(r.target)
+            ELSE coalesce(s.model_description, r.size) END AS model_description
+FROM r LEFT JOIN s2m s ON r.size = s.size
+""")
+
+STRICT_LOOKUP = with_reviews("""
+, m2d AS (SELECT p_type AS model_no, arg_min(p_name, p_partkey) AS model_description FROM part GROUP BY p_type),
+r AS (
+  SELECT doc_id, target,
+         CAST(ascii(right(target, 1)) + 1000 AS VARCHAR) AS product_id,
+         CASE ascii(right(target, 1)) % 7
+              WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'LARGE' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'PROMO'
+              WHEN 4 THEN 'SMALL' WHEN 5 THEN 'STANDARD' ELSE 'XL' END AS model_no
+  FROM reviews
+)
+SELECT r.doc_id, r.target, r.product_id, r.model_no, m.model_description
+FROM r JOIN m2d m ON r.model_no = m.model_no
+""")
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "review_base": REVIEW_BASE,
         "rule_labels": RULE_LABELS,
+        "recency_filter": RECENCY_FILTER,
+        "recency_takewhile": RECENCY_TAKEWHILE,
+        "multi_source_union_dedupe": MULTI_SOURCE_UNION_DEDUPE,
+        "size_lookup": SIZE_LOOKUP,
+        "strict_lookup": STRICT_LOOKUP,
     }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions import fields
-from revlens.operators import rules
+from revlens.operators import lookups, recency, rules, sets
 from revlens.sources import testbed
 from revlens.sources.tables import table
 
@@ -41,8 +41,87 @@ def rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "target", "rating", *tags, "category")
 
 
+RECENCY_DAYS = 6      # with as_of 2024-01-30 the limit day is 2024-01-24
+
+
+def _earliest():
+    return fields.earliest_date(RECENCY_DAYS, testbed.AS_OF)
+
+
+def recency_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusive recency filter."""
+    r = _reviews(spark, sf_dir)
+    return recency.recency_filter(r, _earliest()).select("doc_id", "target", "page_no", "date")
+
+
+def recency_takewhile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the first too-old review (in page order) ends its target."""
+    r = _reviews(spark, sf_dir)
+    return recency.take_while_recent(r, _earliest()).select("doc_id", "target", "page_no", "date")
+
+
+def multi_source_union_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three frames with different column orders (one lacking a
+    column) unioned by name, then a full-row dedupe."""
+    r = _reviews(spark, sf_dir)
+    cols = ["target", "date", "rating", "title", "body", "image", "badge"]
+    a = r.filter(F.col("doc_id") % 3 != 0).select(*cols)
+    b = r.filter(F.col("doc_id") % 3 != 1).select(*reversed(cols))
+    c = r.filter(F.col("doc_id") % 3 == 2).select(*cols[:-1])
+    return sets.dedupe_rows(sets.union_by_name([a, b, c]))
+
+
+def _size2model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    g = part.groupBy("p_size").agg(F.min("p_partkey").alias("k"),
+                                   F.min_by("p_name", "p_partkey").alias("model_description"))
+    return g.select(F.concat(F.col("p_size").cast("string"), F.lit(" BTU")).alias("size"),
+                    F.concat(F.lit("BR"), F.col("p_size").cast("string"), F.lit("-"),
+                             F.col("k").cast("string")).alias("model_no"),
+                    "model_description")
+
+
+def size_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6/J1/J3: 'Size: X' -> (model, description) with fallback; targets with
+    an explicit model override the size lookup on every row."""
+    r = _reviews(spark, sf_dir)
+    r = r.select("doc_id", "target",
+                 fields.strip_size_label(F.concat(F.lit("Size: "), F.col("size"))).alias("size"))
+    out = lookups.size_to_model(r, _size2model(spark, sf_dir), "size")
+    explicit = (r.select("target").distinct()
+                .filter(F.ascii(F.expr("right(target, 1)")) % 2 == 0)
+                .select("target", F.concat(F.lit("M-"), F.upper("target")).alias("model_no"),
+                        F.concat(F.lit("ACME "), F.upper("target")).alias("model_description")))
+    out = lookups.override_model(out, explicit)
+    return out.select("doc_id", "target", "size", "model_no", "model_description")
+
+
+STRICT_MODELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "XL"]
+
+
+def strict_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product id from the URL; model -> description is strict, so a
+    target whose model has no description yields nothing."""
+    r = _reviews(spark, sf_dir)
+    url = F.concat(F.lit("https://www.lowes.com/pd/ac-"), F.col("target"), F.lit("/"),
+                   (F.ascii(F.expr("right(target, 1)")) + 1000).cast("string"))
+    models = F.array(*[F.lit(m) for m in STRICT_MODELS])
+    model = F.element_at(models, (F.ascii(F.expr("right(target, 1)")) % len(STRICT_MODELS) + 1).cast("int"))
+    r = r.select("doc_id", "target", fields.last_path_segment(url).alias("product_id"), model.alias("model_no"))
+    part = table(spark, sf_dir, "part")
+    model2desc = part.groupBy(F.col("p_type").alias("model_no")).agg(
+        F.min_by("p_name", "p_partkey").alias("model_description"))
+    out = lookups.strict_description(r, model2desc)
+    return out.select("doc_id", "target", "product_id", "model_no", "model_description")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "review_base": review_base,
         "rule_labels": rule_labels,
+        "recency_filter": recency_filter,
+        "recency_takewhile": recency_takewhile,
+        "multi_source_union_dedupe": multi_source_union_dedupe,
+        "size_lookup": size_lookup,
+        "strict_lookup": strict_lookup,
     }
