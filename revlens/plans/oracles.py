@@ -147,6 +147,176 @@ FROM r JOIN m2d m ON r.model_no = m.model_no
 """)
 
 
+# ---------------------------------------------------------------------------
+# Text, TF-IDF and Naive Bayes chain (no stemming), re-derived in SQL.
+# ---------------------------------------------------------------------------
+STOP_LIST = "[" + ", ".join(_sql_str(w) for w in params.EFFECTIVE_STOPWORDS) + "]"
+ML_TAGS = testbed.TEST_ML_TAGS
+ML_CANDIDATES = ["license", "low quality", "contact", "decimal", "toxic", "gap", "number"]
+
+
+def composed_sql(title: str, body: str) -> str:
+    t, b = f"coalesce({title}, '')", f"coalesce({body}, '')"
+    return (f"CASE WHEN ends_with({t}, '...') AND contains({b}, left({t}, greatest(length({t}) - 3, 0))) "
+            f"THEN {b} ELSE {t} || ' ' || {b} END")
+
+
+def tokens_sql(title: str, body: str) -> str:
+    x = f"regexp_replace(lower({composed_sql(title, body)}), '[^A-Za-z]', ' ', 'g')"
+    for word, parts in params.TOKENIZER_SPLITS:
+        x = f"regexp_replace({x}, '\\b{word}\\b', '{parts}', 'g')"
+    toks = f"list_filter(string_split({x}, ' '), lambda t: t <> '')"
+    return f"list_filter({toks}, lambda t: NOT list_contains({STOP_LIST}, t))"
+
+
+def ngrams_sql(tokens: str) -> str:
+    v = f"list_filter({tokens}, lambda t: length(t) >= {params.MIN_TOKEN_LEN})"
+    return (f"list_concat({v}, list_transform(range(1, len({v})), "
+            f"lambda i: {v}[i] || ' ' || {v}[i + 1]))")
+
+
+CHAIN_CTES = f"""
+, rv AS (
+  SELECT doc_id, target, date, rating, title, body, image,
+         {tokens_sql('title', 'body')} AS toks
+  FROM reviews
+),
+rvn AS (SELECT *, {ngrams_sql('toks')} AS ngrams FROM rv),
+lab AS (
+  SELECT doc_id,
+         CASE WHEN quality = 0 AND toxic = 1 THEN 'low quality / toxic'
+              WHEN quality = 0 THEN 'low quality'
+              WHEN toxic = 1 THEN 'toxic' ELSE '' END AS category
+  FROM labels
+),
+train AS (
+  SELECT l.doc_id, list_distinct(regexp_split_to_array(lower(trim(l.category)), '\\s+/\\s+')) AS tags, r.ngrams
+  FROM lab l JOIN rvn r ON l.doc_id = r.doc_id
+  WHERE lower(trim(l.category)) <> ''
+),
+n_train AS (SELECT count(*) AS n FROM train),
+train_terms AS (SELECT doc_id, unnest(ngrams) AS term FROM train),
+stats AS (
+  SELECT term, CAST(count(*) AS BIGINT) AS total_count, CAST(count(DISTINCT doc_id) AS BIGINT) AS doc_freq
+  FROM train_terms GROUP BY term
+),
+vocab AS (SELECT * FROM stats ORDER BY total_count DESC, term ASC LIMIT {params.MAX_FEATURES}),
+idf AS (SELECT term, doc_freq, ln((1 + n) / (1 + doc_freq)) + 1 AS idf FROM vocab, n_train),
+v_size AS (SELECT count(*) AS v FROM vocab),
+doc_tf AS (
+  SELECT d.doc_id, d.term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(ngrams) AS term FROM rvn) d JOIN vocab v ON d.term = v.term
+  GROUP BY d.doc_id, d.term
+),
+raw_w AS (SELECT t.doc_id, t.term, t.tf * i.idf AS raw FROM doc_tf t JOIN idf i ON t.term = i.term),
+norms AS (SELECT doc_id, sqrt(sum(raw * raw)) AS nrm FROM raw_w GROUP BY doc_id),
+tfidf AS (SELECT w.doc_id, w.term, w.raw / n.nrm AS weight FROM raw_w w JOIN norms n ON w.doc_id = n.doc_id),
+train_tf AS (
+  SELECT d.doc_id, d.term, count(*) AS tf
+  FROM train_terms d JOIN vocab v ON d.term = v.term GROUP BY d.doc_id, d.term
+),
+train_raw AS (SELECT t.doc_id, t.term, t.tf * i.idf AS raw FROM train_tf t JOIN idf i ON t.term = i.term),
+train_norm AS (SELECT doc_id, sqrt(sum(raw * raw)) AS nrm FROM train_raw GROUP BY doc_id),
+train_w AS (SELECT w.doc_id, w.term, w.raw / n.nrm AS weight FROM train_raw w JOIN train_norm n ON w.doc_id = n.doc_id),
+tag_list AS (SELECT unnest([{', '.join(_sql_str(t) for t in ML_TAGS)}]) AS tag),
+labelled AS (
+  SELECT t.doc_id, g.tag, CAST(list_contains(t.tags, g.tag) AS INTEGER) AS cls FROM train t, tag_list g
+),
+class_n AS (SELECT tag, cls, count(*) AS n_c FROM labelled GROUP BY tag, cls),
+term_sums AS (
+  SELECT l.tag, l.cls, w.term, sum(w.weight) AS s
+  FROM labelled l JOIN train_w w ON l.doc_id = w.doc_id GROUP BY l.tag, l.cls, w.term
+),
+class_tot AS (SELECT tag, cls, sum(s) AS total FROM term_sums GROUP BY tag, cls),
+model AS (
+  SELECT c.tag, c.cls, v.term,
+         ln((coalesce(s.s, 0) + {params.NB_ALPHA}) / (coalesce(ct.total, 0) + {params.NB_ALPHA} * vs.v)) AS log_prob,
+         ln(c.n_c / n.n) AS log_prior
+  FROM class_n c CROSS JOIN vocab v CROSS JOIN v_size vs CROSS JOIN n_train n
+  LEFT JOIN term_sums s ON s.tag = c.tag AND s.cls = c.cls AND s.term = v.term
+  LEFT JOIN class_tot ct ON ct.tag = c.tag AND ct.cls = c.cls
+),
+priors AS (SELECT DISTINCT tag, cls, log_prior FROM model),
+dots AS (
+  SELECT w.doc_id, m.tag, m.cls, sum(w.weight * m.log_prob) AS dot
+  FROM tfidf w JOIN model m ON w.term = m.term GROUP BY w.doc_id, m.tag, m.cls
+),
+scores AS (
+  SELECT r.doc_id, p.tag, p.cls, p.log_prior + coalesce(d.dot, 0) AS score
+  FROM rvn r CROSS JOIN priors p
+  LEFT JOIN dots d ON d.doc_id = r.doc_id AND d.tag = p.tag AND d.cls = p.cls
+),
+raw_pred AS (
+  SELECT doc_id, tag,
+         CASE WHEN count(*) FILTER (WHERE cls = 1) = 0 THEN 0
+              WHEN count(*) FILTER (WHERE cls = 0) = 0 THEN 1
+              WHEN max(score) FILTER (WHERE cls = 1) > max(score) FILTER (WHERE cls = 0) THEN 1
+              ELSE 0 END AS p
+  FROM scores GROUP BY doc_id, tag
+),
+ml AS (
+  SELECT r.doc_id,
+         {', '.join(
+             f"CASE WHEN coalesce(r.rating >= 3, false) OR r.body IS NULL OR r.body IN ('', {_sql_str(params.PLACEHOLDER_BODY)}) "
+             f"THEN 0 ELSE max(p.p) FILTER (WHERE p.tag = {_sql_str(t)}) END AS \"{t}\""
+             for t in ML_TAGS)}
+  FROM rvn r JOIN raw_pred p ON r.doc_id = p.doc_id
+  GROUP BY r.doc_id, r.rating, r.body
+)"""
+
+
+def chain(body: str) -> str:
+    return with_reviews(CHAIN_CTES + "\n" + body)
+
+
+COMPOSE_TEXT = with_reviews(f"""
+SELECT doc_id, {composed_sql('title', 'body')} AS text FROM reviews
+""")
+
+CLEAN_TOKENS = with_reviews(f"""
+SELECT doc_id, array_to_string({tokens_sql('title', 'body')}, ' ') AS clean FROM reviews
+""")
+
+TAG_VOCABULARY = chain("""
+SELECT DISTINCT unnest(regexp_split_to_array(lower(trim(category)), '\\s+/\\s+')) AS tag
+FROM lab WHERE lower(trim(category)) <> ''
+""")
+
+TAG_ONEHOT = chain(f"""
+SELECT doc_id, {', '.join(f'CAST(list_contains(tags, {_sql_str(t)}) AS INTEGER) AS "{t}"' for t in ML_TAGS)}
+FROM train
+""")
+
+TERM_STATS = chain("""
+SELECT term, total_count, doc_freq FROM vocab
+""")
+
+TFIDF = chain("""
+SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf
+""")
+
+NB_MODEL = chain("""
+SELECT tag, cls, term, round(log_prob, 6) AS log_prob, round(log_prior, 6) AS log_prior FROM model
+""")
+
+NB_PREDICT = chain(f"""
+SELECT doc_id, {', '.join(f'"{t}"' for t in ML_TAGS)} FROM ml
+""")
+
+_FLAG_RULES = dict(testbed.TEST_RULES)
+
+PREDICT_LABELS = chain(f"""
+, flagged AS (
+  SELECT r.doc_id, r.target, r.date, r.rating, r.title, r.body, r.image,
+         {', '.join(
+             (f'{_rule_case(t, _FLAG_RULES[t])} AS "{t}"' if t in _FLAG_RULES else f'm."{t}" AS "{t}"')
+             for t in ML_CANDIDATES)}
+  FROM rvn r JOIN ml m ON r.doc_id = m.doc_id
+)
+SELECT *, {_category(ML_CANDIDATES)} AS category FROM flagged
+""")
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "review_base": REVIEW_BASE,
@@ -156,4 +326,13 @@ def all_oracles() -> dict[str, str]:
         "multi_source_union_dedupe": MULTI_SOURCE_UNION_DEDUPE,
         "size_lookup": SIZE_LOOKUP,
         "strict_lookup": STRICT_LOOKUP,
+        "compose_text": COMPOSE_TEXT,
+        "clean_tokens": CLEAN_TOKENS,
+        "tag_vocabulary": TAG_VOCABULARY,
+        "tag_onehot": TAG_ONEHOT,
+        "term_stats": TERM_STATS,
+        "tfidf": TFIDF,
+        "nb_model": NB_MODEL,
+        "nb_predict": NB_PREDICT,
+        "predict_labels": PREDICT_LABELS,
     }

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions import fields
-from revlens.operators import lookups, recency, rules, sets
+from revlens.functions import fields, text
+from revlens.functions.stem import stem_word
+from revlens.operators import label, lookups, nb, recency, rules, sets, tfidf
 from revlens.sources import testbed
 from revlens.sources.tables import table
 
@@ -115,6 +116,102 @@ def strict_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "target", "product_id", "model_no", "model_description")
 
 
+# ---------------------------------------------------------------------------
+# Text, TF-IDF and Naive Bayes chain
+# ---------------------------------------------------------------------------
+ML_CANDIDATES = ["license", "low quality", "contact", "decimal", "toxic", "gap", "number"]
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testbed.training_set(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def compose_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """title/body composition."""
+    r = _reviews(spark, sf_dir)
+    return r.select("doc_id", text.compose_text(F.col("title"), F.col("body")).alias("text"))
+
+
+def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned tokens re-joined (no stemming)."""
+    r = _reviews(spark, sf_dir)
+    toks = text.review_tokens(F.col("title"), F.col("body"), stem=False)
+    return r.select("doc_id", text.clean_text(toks).alias("clean"))
+
+
+def stem_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct cleaned word of the reviews with its stem."""
+    r = _reviews(spark, sf_dir)
+    words = (r.select(F.explode(text.review_tokens(F.col("title"), F.col("body"), stem=False)).alias("word"))
+             .distinct())
+    return words.select("word", stem_word(F.col("word")).alias("stem"))
+
+
+def tag_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct training tags."""
+    return nb.tag_vocabulary(_training(spark, sf_dir))
+
+
+def tag_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary one-hot tags of the labelled training rows."""
+    t = nb.training_tags(_training(spark, sf_dir))
+    return t.select("doc_id", *[F.array_contains("tags", g).cast("int").alias(g) for g in testbed.TEST_ML_TAGS])
+
+
+def _labelled(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
+    return nb.labelled_ngrams(_training(spark, sf_dir), stem=stem)
+
+
+def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top terms of the training corpus (no stemming)."""
+    stats = tfidf.term_stats(_labelled(spark, sf_dir, False))
+    return tfidf.top_terms(stats).select("term", "total_count", "doc_freq")
+
+
+def _fit(spark: SparkSession, sf_dir: str, stem: bool = False):
+    return nb.fit(_training(spark, sf_dir), testbed.TEST_ML_TAGS, stem=stem)
+
+
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2-normalised tf-idf of every review (no stemming)."""
+    model = _fit(spark, sf_dir)
+    r = text.with_review_ngrams(_reviews(spark, sf_dir), stem=False).select("doc_id", "ngrams")
+    w = tfidf.tfidf_long(r, model.vocab)
+    return w.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+def nb_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per tag and class, log-probabilities and priors."""
+    vocab, tbl = nb.fit_table(_labelled(spark, sf_dir, False), testbed.TEST_ML_TAGS)
+    return tbl.select("tag", "cls", "term", F.round("log_prob", 6).alias("log_prob"),
+                      F.round("log_prior", 6).alias("log_prior"))
+
+
+def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model labels of every review, masked by eligibility."""
+    model = _fit(spark, sf_dir)
+    r = _reviews(spark, sf_dir).select("doc_id", "rating", "title", "body")
+    out = label.predict_labels(r, testbed.TEST_ML_TAGS, model=model, rules=[], stem=False)
+    return out.select("doc_id", *[F.col(f"`{t}`") for t in testbed.TEST_ML_TAGS])
+
+
+def _predict(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
+    r = _reviews(spark, sf_dir).select("doc_id", "target", "date", "rating", "title", "body", "image")
+    return label.predict_labels(r, ML_CANDIDATES, training=_training(spark, sf_dir),
+                                rules=testbed.TEST_RULES, stem=stem)
+
+
+def predict_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X18-X20 (flagship): rule tags and model tags routed per tag, eligibility
+    masks, one-hot columns and the category string (no stemming)."""
+    return _predict(spark, sf_dir, stem=False)
+
+
+def predict_labels_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X19 with Porter stemming, as in the original tool's default."""
+    return _predict(spark, sf_dir, stem=True)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "review_base": review_base,
@@ -124,4 +221,15 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "multi_source_union_dedupe": multi_source_union_dedupe,
         "size_lookup": size_lookup,
         "strict_lookup": strict_lookup,
+        "compose_text": compose_text,
+        "clean_tokens": clean_tokens,
+        "stem_vocab": stem_vocab,
+        "tag_vocabulary": tag_vocabulary,
+        "tag_onehot": tag_onehot,
+        "term_stats": term_stats,
+        "tfidf": tfidf_weights,
+        "nb_model": nb_model,
+        "nb_predict": nb_predict,
+        "predict_labels": predict_labels,
+        "predict_labels_stemmed": predict_labels_stemmed,
     }
