@@ -28,7 +28,7 @@ def iso_date_prefix(ts: Column) -> Column:
 
 def parse_date(text: Column, layout: str) -> Column:
     """Layout-specific date parse; NULL (not an error) on junk."""
-    return F.try_to_date(text, F.lit(params.DATE_FORMATS[layout]))
+    return F.try_to_date(text, params.DATE_FORMATS[layout])
 
 
 def rating_from_text(text: Column) -> Column:

@@ -73,18 +73,20 @@ def stop_at_first_empty_page(pages: DataFrame, n_col: str = "n_reviews", key: st
 
 def pager_cutoff(pages: DataFrame, key: str = "target", seq_col: str = "seq",
                  label_col: str = "page_label", wrap_label: str | None = "1") -> DataFrame:
-    """pages in fetch order; a page whose label repeats is a re-observation
-    (skipped), and the pager wrapping back to ``wrap_label`` ends the target.
-
-    With ``wrap_label=None`` only repeats are removed (the "URL did not change"
-    rule).  Dedupe keeps the first fetch of each label.
+    """pager observations in fetch order (``seq`` counts fetches 1, 2, ...).
+
+    An observation whose label equals the one fetched just before it is a
+    re-observation and is skipped; the pager coming back to ``wrap_label``
+    from another page ends the target (nothing from there on is read).  With
+    ``wrap_label=None`` only repeats are removed (the "URL did not change"
+    rule).  The previous fetch is found by an equi-join on ``seq - 1``, so no
+    target is ever sorted in one task.
     """
-    out = pages
+    prev = pages.select(F.col(key), (F.col(seq_col) + 1).alias(seq_col), F.col(label_col).alias("__prev"))
+    p = pages.join(prev, [key, seq_col], "left")
+    repeat = F.coalesce(F.col(label_col) == F.col("__prev"), F.lit(False))
+    out = p
     if wrap_label is not None:
-        first = pages.groupBy(key).agg(F.min(seq_col).alias("__first"))
-        p = pages.join(first, key, "left")
-        out = take_while(p, (F.col(label_col) == wrap_label) & (F.col(seq_col) > F.col("__first")),
-                         key, (seq_col,)).drop("__first")
-    w_first = F.min_by(F.struct(*[F.col(c) for c in out.columns]), F.col(seq_col))
-    firsts = out.groupBy(key, label_col).agg(w_first.alias("__row"))
-    return firsts.select("__row.*")
+        wrap = (~repeat) & F.col("__prev").isNotNull() & (F.col(label_col) == F.lit(wrap_label))
+        out = take_while(p, wrap, key, (seq_col,))
+    return out.filter(~repeat).drop("__prev")

@@ -147,6 +147,51 @@ FROM r JOIN m2d m ON r.model_no = m.model_no
 """)
 
 
+# ---------------------------------------------------------------------------
+# Landed JSON layouts, re-derived straight from the review rows.
+# ---------------------------------------------------------------------------
+def _cut_read(fail_mod: int, fail_rem: int, limit: str | None) -> str:
+    stop = f"date < DATE '{limit}'" if limit else "false"
+    return f"""
+, lw AS (SELECT *, 2 + ascii(right(target, 1)) % 3 AS cut FROM reviews),
+flag AS (
+  SELECT *, max(CASE WHEN {stop} THEN 1 ELSE 0 END)
+              OVER (PARTITION BY target ORDER BY page_no, pos
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped
+  FROM lw WHERE page_no < cut
+),
+kept AS (SELECT * FROM flag WHERE stopped = 0),
+failed AS (SELECT DISTINCT target FROM kept WHERE doc_id % {fail_mod} = {fail_rem})"""
+
+
+WALMART_JSON_EXTRACT = with_reviews(_cut_read(*testbed.WALMART_FAIL, None) + """
+SELECT target, page_no, date, rating, title, body, image
+FROM kept WHERE target NOT IN (SELECT target FROM failed)
+""")
+
+LOWES_JSON_EXTRACT = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
+SELECT target, page_no, date, rating, title, body, image
+FROM kept WHERE target NOT IN (SELECT target FROM failed)
+""")
+
+FAILED_TARGETS_REPORT = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
+, cnt AS (SELECT target, count(*) AS n FROM kept GROUP BY target),
+tg AS (SELECT DISTINCT target FROM reviews)
+SELECT tg.target,
+       CASE WHEN f.target IS NOT NULL THEN 'failed'
+            WHEN coalesce(c.n, 0) > 0 THEN 'success' ELSE 'no new reviews' END AS status,
+       CAST(CASE WHEN f.target IS NOT NULL THEN 0 ELSE coalesce(c.n, 0) END AS BIGINT) AS n_reviews
+FROM tg LEFT JOIN failed f ON tg.target = f.target LEFT JOIN cnt c ON tg.target = c.target
+""")
+
+PAGE_CUTOFF = with_reviews("""
+SELECT DISTINCT target, CAST(page_no AS VARCHAR) AS page_label,
+       page_no + CAST(CASE WHEN ascii(right(target, 1)) % 2 = 0 THEN floor((page_no - 1) / 2)
+                           ELSE floor(page_no / 2) END AS INTEGER) AS seq
+FROM reviews
+""")
+
+
 # ---------------------------------------------------------------------------
 # Text, TF-IDF and Naive Bayes chain (no stemming), re-derived in SQL.
 # ---------------------------------------------------------------------------
@@ -326,6 +371,10 @@ def all_oracles() -> dict[str, str]:
         "multi_source_union_dedupe": MULTI_SOURCE_UNION_DEDUPE,
         "size_lookup": SIZE_LOOKUP,
         "strict_lookup": STRICT_LOOKUP,
+        "walmart_json_extract": WALMART_JSON_EXTRACT,
+        "lowes_json_extract": LOWES_JSON_EXTRACT,
+        "failed_targets_report": FAILED_TARGETS_REPORT,
+        "page_cutoff": PAGE_CUTOFF,
         "compose_text": COMPOSE_TEXT,
         "clean_tokens": CLEAN_TOKENS,
         "tag_vocabulary": TAG_VOCABULARY,

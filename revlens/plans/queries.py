@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import fields, text
 from revlens.functions.stem import stem_word
-from revlens.operators import label, lookups, nb, recency, rules, sets, tfidf
+from revlens.operators import extract, label, lookups, nb, recency, rules, sets, tfidf
 from revlens.sources import testbed
 from revlens.sources.tables import table
 
@@ -116,6 +116,37 @@ def strict_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "target", "product_id", "model_no", "model_description")
 
 
+# ---------------------------------------------------------------------------
+# Landed JSON payloads
+# ---------------------------------------------------------------------------
+def walmart_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4/E3/P3/P7/F3/3.4: Walmart payload pages -> reviews; reading stops at
+    the first empty page; a target with a bad review is dropped whole."""
+    landed = testbed.landed_walmart(_reviews(spark, sf_dir))
+    out = extract.extract_reviews(landed, "walmart")
+    return out.select("target", "page_no", *extract.REVIEW_COLUMNS)
+
+
+def lowes_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5/E4/P2/P3/P7/F2/F3/3.4: Lowes payload pages with a day limit."""
+    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
+    out = extract.extract_reviews(landed, "lowes", _earliest())
+    return out.select("target", "page_no", *extract.REVIEW_COLUMNS)
+
+
+def failed_targets_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5/K6/A1/3.4: per-target outcome of the Lowes read with a day limit."""
+    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
+    read = extract.read_cutoff(extract.typed_lowes(extract.explode_lowes(landed)), _earliest())
+    return extract.target_report(landed.select("target"), read)
+
+
+def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """re-observed pages skipped, reading ends when the pager wraps to 1."""
+    seq = testbed.pager_sequence(_reviews(spark, sf_dir))
+    return recency.pager_cutoff(seq).select("target", "page_label", "seq")
+
+
 # ---------------------------------------------------------------------------
 # Text, TF-IDF and Naive Bayes chain
 # ---------------------------------------------------------------------------
@@ -221,6 +252,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "multi_source_union_dedupe": multi_source_union_dedupe,
         "size_lookup": size_lookup,
         "strict_lookup": strict_lookup,
+        "walmart_json_extract": walmart_json_extract,
+        "lowes_json_extract": lowes_json_extract,
+        "failed_targets_report": failed_targets_report,
+        "page_cutoff": page_cutoff,
         "compose_text": compose_text,
         "clean_tokens": clean_tokens,
         "stem_vocab": stem_vocab,

@@ -119,3 +119,95 @@ TEST_RULES = [
     ("number", "\\d{3}"),
 ]
 TEST_ML_TAGS = ["low quality", "toxic"]
+
+
+# ---------------------------------------------------------------------------
+# Landed layouts rendered from the review test bed.
+#
+# Pages hold the reviews of one target whose ids fall in one block of
+# PAGE_SPAN ids (so a page is bounded whatever the skew).  Each target gets an
+# empty page at page ``cut = 2 + ascii(last char of target) % 3``; data pages
+# from ``cut`` on move up by one, so reading must stop before them.  A few
+# reviews lack a required key, which fails their target if it is read.
+# ---------------------------------------------------------------------------
+WALMART_FAIL = (97, 13)      # doc_id % 97 = 13: no "photos" key
+LOWES_FAIL = (89, 7)         # doc_id % 89 = 7: no "Photos" key
+
+
+def cut_page(target: Column) -> Column:
+    return (F.lit(2) + F.ascii(F.substring(target, -1, 1)) % 3).cast("int")
+
+
+def _photo_structs(photos: Column) -> Column:
+    return F.transform(photos, lambda u: F.struct(F.struct(F.struct(u.alias("Url")).alias("normal")).alias("Sizes")))
+
+
+def _json(*cols: Column) -> Column:
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def _render_pages(reviews_df: DataFrame, review_json: Column, wrap, source: str) -> DataFrame:
+    r = reviews_df.select("target", "page_no", "pos", review_json.alias("j"))
+    cut = cut_page(F.col("target"))
+    r = r.withColumn("page_no", F.when(F.col("page_no") >= cut, F.col("page_no") + 1).otherwise(F.col("page_no")))
+    pages = r.groupBy("target", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "j"))).alias("items"))
+    arr = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]"))
+    data = pages.select(F.lit(source).alias("source"), "target", "page_no", wrap(F.col("target"), arr).alias("payload"))
+    empty = (reviews_df.select("target").distinct()
+             .select(F.lit(source).alias("source"), "target", cut.alias("page_no"),
+                     wrap(F.col("target"), F.lit("[]")).alias("payload")))
+    return data.unionByName(empty)
+
+
+def landed_walmart(reviews_df: DataFrame) -> DataFrame:
+    """Walmart-layout payload pages: ``payload.reviews[target].customerReviews``."""
+    d = F.col("date")
+    date_text = F.when(F.col("doc_id") % 2 == 0, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "M/d/yyyy"))
+    base = [date_text.alias("reviewSubmissionTime"), F.col("rating").alias("rating"),
+            F.col("title").alias("reviewTitle"), F.col("body").alias("reviewText")]
+    m, k = WALMART_FAIL
+    j = F.when(F.col("doc_id") % m == k, _json(*base)).otherwise(
+        _json(*base, _photo_structs(F.col("photos")).alias("photos")))
+
+    def wrap(target, arr):
+        return F.concat(F.lit('{"payload":{"reviews":{"'), target, F.lit('":{"customerReviews":'), arr, F.lit("}}}}"))
+
+    return _render_pages(reviews_df, j, wrap, "walmart")
+
+
+def landed_lowes(reviews_df: DataFrame) -> DataFrame:
+    """Lowes-layout payload pages: ``Results`` array."""
+    ts = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T10:00:00.000+00:00"))
+    base = [ts.alias("SubmissionTime"), F.col("rating").alias("Rating"), F.col("title").alias("Title"),
+            F.col("body").alias("ReviewText")]
+    m, k = LOWES_FAIL
+    j = F.when(F.col("doc_id") % m == k, _json(*base)).otherwise(
+        _json(*base, _photo_structs(F.col("photos")).alias("Photos")))
+
+    def wrap(target, arr):
+        return F.concat(F.lit('{"Results":'), arr, F.lit("}"))
+
+    return _render_pages(reviews_df, j, wrap, "lowes")
+
+
+def _dups_before(page: Column, a: Column) -> Column:
+    """Re-observed pages before ``page``: page q is observed twice when
+    q and the target's last character code have the same parity."""
+    return F.when(a % 2 == 0, F.floor((page - 1) / 2)).otherwise(F.floor(page / 2)).cast("int")
+
+
+def pager_sequence(reviews_df: DataFrame) -> DataFrame:
+    """Pager observations ``(target, seq, page_label)`` with a dense fetch
+    counter: each page once, some observed twice in a row, then a wrap back
+    to page 1 and one more page after it."""
+    p = reviews_df.select("target", "page_no").distinct()
+    a = F.ascii(F.substring("target", -1, 1))
+    lbl = F.col("page_no").cast("string")
+    first = F.col("page_no") + _dups_before(F.col("page_no"), a)
+    obs = p.select("target", first.alias("seq"), lbl.alias("page_label"))
+    dup = p.filter(F.col("page_no") % 2 == a % 2).select("target", (first + 1).alias("seq"), lbl.alias("page_label"))
+    last = p.groupBy("target").agg(F.max("page_no").alias("P"))
+    total = F.col("P") + _dups_before(F.col("P") + 1, F.ascii(F.substring("target", -1, 1)))
+    wrap1 = last.select("target", (total + 1).alias("seq"), F.lit("1").alias("page_label"))
+    wrap2 = last.select("target", (total + 2).alias("seq"), F.lit("2").alias("page_label"))
+    return obs.unionByName(dup).unionByName(wrap1).unionByName(wrap2)
