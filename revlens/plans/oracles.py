@@ -363,7 +363,10 @@ SELECT *, {_category(ML_CANDIDATES)} AS category FROM flagged
 
 
 def all_oracles() -> dict[str, str]:
+    from revlens.plans.oracles_html import ORACLES as HTML_ORACLES
+
     return {
+        **HTML_ORACLES,
         "review_base": REVIEW_BASE,
         "rule_labels": RULE_LABELS,
         "recency_filter": RECENCY_FILTER,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import fields, text
 from revlens.functions.stem import stem_word
-from revlens.operators import extract, label, lookups, nb, recency, rules, sets, tfidf
+from revlens.operators import extract, html_extract, label, lookups, nb, recency, rules, sets, tfidf
 from revlens.sources import testbed
 from revlens.sources.tables import table
 
@@ -147,6 +147,63 @@ def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recency.pager_cutoff(seq).select("target", "page_label", "seq")
 
 
+# ---------------------------------------------------------------------------
+# Landed HTML pages
+# ---------------------------------------------------------------------------
+def amazon_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amazon-layout review pages -> typed reviews."""
+    rows = html_extract.amazon_page_reviews(testbed.landed_amazon(_reviews(spark, sf_dir)))
+    return extract.drop_failed(rows).select("target", "page_no", "date", "size", "rating", "title", "body",
+                                            "image", "badge")
+
+
+def homedepot_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2/E2/E10/P3/P5/P7/P8/3.4: Home Depot-layout review pages; a review
+    without its required stars style fails its whole target."""
+    rows = html_extract.homedepot_page_reviews(testbed.landed_homedepot(_reviews(spark, sf_dir)))
+    return extract.drop_failed(rows).select("target", "page_no", "date", "rating", "title", "body", "image")
+
+
+def product_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Description, model number and manufacturer from product pages."""
+    pages = testbed.product_pages(table(spark, sf_dir, "part"))
+    return html_extract.homedepot_product_meta(pages).select("target", "model_description", "model_no",
+                                                             "manufacturer")
+
+
+def spec_model_no(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model number from spec tables by priority, else the URL."""
+    pairs = html_extract.page_spec_pairs(testbed.spec_pages(table(spark, sf_dir, "part")))
+    return lookups.resolve_model_no(pairs, "target", "url").select("target", "url", "model_no")
+
+
+def target_discovery_hd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review-page URLs from Home Depot-layout listings."""
+    listing = testbed.homedepot_listing(table(spark, sf_dir, "part"))
+    return html_extract.homedepot_listing_targets(listing)
+
+
+DISCOVERY_KEYWORD = "Red"   # matched case-insensitively
+
+
+def target_discovery_kw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product ids and URLs from Walmart-layout listings whose
+    description contains the keyword."""
+    listing = testbed.walmart_listing(table(spark, sf_dir, "part"))
+    return html_extract.walmart_listing_targets(listing, DISCOVERY_KEYWORD)
+
+
+def page_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First h1 of every supplied web page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_extract.page_headline(pages).select("page_id", "headline")
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8-style link extraction: every anchor href of every supplied page."""
+    return html_extract.page_links(table(spark, sf_dir, "pages"))
+
+
 # ---------------------------------------------------------------------------
 # Text, TF-IDF and Naive Bayes chain
 # ---------------------------------------------------------------------------
@@ -256,6 +313,14 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lowes_json_extract": lowes_json_extract,
         "failed_targets_report": failed_targets_report,
         "page_cutoff": page_cutoff,
+        "amazon_html_extract": amazon_html_extract,
+        "homedepot_html_extract": homedepot_html_extract,
+        "product_meta": product_meta,
+        "spec_model_no": spec_model_no,
+        "target_discovery_hd": target_discovery_hd,
+        "target_discovery_kw": target_discovery_kw,
+        "page_headline": page_headline,
+        "page_links": page_links,
         "compose_text": compose_text,
         "clean_tokens": clean_tokens,
         "stem_vocab": stem_vocab,

@@ -211,3 +211,178 @@ def pager_sequence(reviews_df: DataFrame) -> DataFrame:
     wrap1 = last.select("target", (total + 1).alias("seq"), F.lit("1").alias("page_label"))
     wrap2 = last.select("target", (total + 2).alias("seq"), F.lit("2").alias("page_label"))
     return obs.unionByName(dup).unionByName(wrap1).unionByName(wrap2)
+
+
+# ---------------------------------------------------------------------------
+# HTML layouts.  Text is escaped (& < >); the parser must unescape it.
+# ---------------------------------------------------------------------------
+HOMEDEPOT_FAIL = (83, 21)    # doc_id % 83 = 21: stars element without style
+META_SHORT = (9, 4)          # p_partkey % 9 = 4: only one detail bar (no model number)
+WALMART_PAGE_URL = "https://www.walmart.com/ip/"
+
+
+def esc(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def _opt(cond: Column, piece: Column) -> Column:
+    return F.when(cond, piece).otherwise(F.lit(""))
+
+
+def _html_pages(blocks: DataFrame, source: str, head: str, tail: str) -> DataFrame:
+    pages = blocks.groupBy("target", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "b"))).alias("items"))
+    html = F.concat(F.lit(head), F.array_join(F.transform("items", lambda x: x["b"]), ""), F.lit(tail))
+    url = F.concat(F.lit(f"https://{source}.example.com/reviews/"), F.col("target"), F.lit("?page="),
+                   F.col("page_no").cast("string"))
+    return pages.select(F.lit(source).alias("source"), "target", "page_no", url.alias("url"), html.alias("html"))
+
+
+def landed_amazon(reviews_df: DataFrame) -> DataFrame:
+    """Amazon-layout review pages: ``div[data-hook=review]`` blocks."""
+    c = F.col
+    date_text = F.concat(F.lit("Reviewed in the United States on "), F.date_format("date", "MMMM d, yyyy"))
+    imgs = F.array_join(F.transform("photos", lambda u: F.concat(
+        F.lit('<img data-hook="review-image-tile" alt="" src="'), u, F.lit('">'))), "")
+    block = F.concat(
+        F.lit('<div data-hook="review" class="a-section review"><div class="a-row">'),
+        F.lit('<span data-hook="review-date" class="a-size-base">'), date_text, F.lit("</span></div>"),
+        _opt(c("size").isNotNull(), F.concat(F.lit('<a data-hook="format-strip" class="a-link">Size: '),
+                                             esc(c("size")), F.lit("</a>"))),
+        _opt(c("rating").isNotNull(), F.concat(
+            F.lit('<i data-hook="review-star-rating" class="a-icon"><span class="a-icon-alt">'),
+            c("rating").cast("string"), F.lit(".0 out of 5 stars</span></i>"))),
+        _opt(c("title").isNotNull(), F.concat(F.lit('<a data-hook="review-title" href="#"><span>'),
+                                              esc(c("title")), F.lit("</span></a>"))),
+        _opt(c("body").isNotNull(), F.concat(F.lit('<span data-hook="review-body" class="a-size-base"><span>'),
+                                             esc(c("body")), F.lit("</span></span>"))),
+        imgs,
+        _opt(c("badge").isNotNull(), F.concat(F.lit('<span data-hook="avp-badge">'), c("badge"), F.lit("</span>"))),
+        F.lit("</div>"))
+    blocks = reviews_df.select("target", "page_no", "pos", block.alias("b"))
+    return _html_pages(blocks, "amazon", '<html><head><title>Reviews</title></head><body><div id="cm_cr-review_list">',
+                       "</div></body></html>")
+
+
+def homedepot_width(rating: Column, doc_id: Column) -> Column:
+    """Stars width: rating * 20 %, with a fractional width one step lower on
+    odd ids (e.g. 70.5% for a 4) to exercise the floor division."""
+    return F.when((doc_id % 2 == 1) & (rating >= 1),
+                  F.concat((rating * 20 - 10).cast("string"), F.lit(".5%"))).otherwise(
+        F.concat((F.coalesce(rating, F.lit(0)) * 20).cast("string"), F.lit("%")))
+
+
+def landed_homedepot(reviews_df: DataFrame) -> DataFrame:
+    """Home Depot-layout review pages: ``div.review_item`` blocks."""
+    c = F.col
+    m, k = HOMEDEPOT_FAIL
+    stars = F.when(c("doc_id") % m == k, F.lit('<span class="stars"></span>')).otherwise(
+        F.concat(F.lit('<span class="stars" style="width: '), homedepot_width(c("rating"), c("doc_id")),
+                 F.lit('"></span>')))
+    media = F.array_join(F.transform("photos", lambda u: F.concat(
+        F.lit('<div class="media-carousel__media"><button style=\'background-image: url("'), u,
+        F.lit('")\'></button></div>'))), "")
+    block = F.concat(
+        F.lit('<div class="review_item">'),
+        F.lit('<span class="review-content__date">'), F.date_format("date", "MMM d, yyyy"), F.lit("</span>"),
+        stars,
+        _opt(c("title").isNotNull(), F.concat(F.lit('<span class="review-content__title">'), esc(c("title")),
+                                              F.lit("</span>"))),
+        _opt(c("body").isNotNull(), F.concat(F.lit('<div class="review-content-body">'), esc(c("body")),
+                                             F.lit("</div>"))),
+        media, F.lit("</div>"))
+    blocks = reviews_df.select("target", "page_no", "pos", block.alias("b"))
+    return _html_pages(blocks, "homedepot", "<html><body><section class='reviews'>", "</section></body></html>")
+
+
+def product_pages(part: DataFrame) -> DataFrame:
+    """Home Depot-layout product pages, one per part: heading and detail bars."""
+    c = F.col
+    key = c("p_partkey").cast("string")
+    m, k = META_SHORT
+    h1 = F.concat(F.lit('<h1 class="page-title">Customer Reviews for\n<!-- -->'), esc(c("p_brand")), F.lit(" "),
+                  esc(c("p_name")), F.lit("</h1>"))
+    bar = F.lit('<h2 class="product-info-bar__detail--24WIp">')
+    details = F.concat(bar, F.lit("Internet #"), key, F.lit("</h2>"),
+                       _opt(c("p_partkey") % m != k, F.concat(bar, F.lit("Model #<!-- -->"), c("p_type"),
+                                                              F.lit("-"), key, F.lit("</h2>"))))
+    html = F.concat(F.lit("<html><body><div class='product'>"), h1, details, F.lit("</div></body></html>"))
+    return part.select(key.alias("target"), html.alias("html"))
+
+
+def _td_row(a: Column, b: Column | None = None) -> Column:
+    if b is None:
+        return F.concat(F.lit("<tr><td>"), a, F.lit("</td></tr>"))
+    return F.concat(F.lit("<tr><td>"), a, F.lit("</td><td>"), b, F.lit("</td></tr>"))
+
+
+def spec_pages(part: DataFrame) -> DataFrame:
+    """Walmart-layout product pages with spec tables, one per part; the table
+    shape cycles with ``p_partkey % 4`` (see the model-number oracle)."""
+    c = F.col
+    key = c("p_partkey").cast("string")
+    L = F.lit
+    t0 = F.concat(L("<table>"), _td_row(L("Brand"), c("p_brand")),
+                  _td_row(L("Manufacturer Part Number"), F.concat(L("MPN-"), key)),
+                  _td_row(L("Model"), esc(c("p_name"))), _td_row(L("Model"), F.concat(L("X"), key)), L("</table>"))
+    t1 = F.concat(L("<table>"), _td_row(L("Manufacturer Part Number"), F.concat(L("MPN-"), key)),
+                  _td_row(L("manufacturer_part_number"), F.concat(L("mpn-"), c("p_type"))),
+                  _td_row(L("Color"), L("White")), L("</table>"))
+    t2 = F.concat(L("<table>"), _td_row(L("Color")), _td_row(L("Model")), _td_row(L("Brand")), L("</table>"),
+                  L("<table>"), _td_row(L("Value")), _td_row(L("White")), _td_row(esc(c("p_name"))),
+                  _td_row(c("p_brand")), L("</table>"))
+    t3 = F.concat(L("<table>"), _td_row(L("Color"), L("White")),
+                  _td_row(L("Size"), c("p_size").cast("string")), L("</table>"))
+    m = c("p_partkey") % 4
+    tables = F.when(m == 0, t0).when(m == 1, t1).when(m == 2, t2).otherwise(t3)
+    html = F.concat(L("<html><body><h1>"), esc(c("p_name")), L("</h1>"), tables, L("</body></html>"))
+    return part.select(key.alias("target"), F.concat(L(WALMART_PAGE_URL), key).alias("url"), html.alias("html"))
+
+
+LISTING_PODS = 24            # products per listing page
+
+
+def homedepot_listing(part: DataFrame) -> DataFrame:
+    """Home Depot-layout listing pages per ``p_type`` category; a product
+    shows a ratings count unless ``p_size % 3 = 0``; every product whose key
+    is a multiple of 5 is listed again on the next page."""
+    c = F.col
+    key = c("p_partkey").cast("string")
+    pod = F.concat(
+        F.lit('<div class="browse-search__pod"><div class="product-pod">'),
+        _opt(c("p_size") % 3 != 0, F.concat(F.lit('<span class="product-pod__ratings-count">('),
+                                            c("p_size").cast("string"), F.lit(")</span>"))),
+        F.lit('<a href="/p/'), F.regexp_replace(c("p_name"), " ", "-"), F.lit("/"), key,
+        F.lit('" class="header product-pod--ie-fix"><span>'), esc(c("p_name")), F.lit("</span></a></div></div>"))
+    base = part.select(c("p_type").alias("category"), (c("p_partkey") / LISTING_PODS).cast("int").alias("page_no"),
+                       c("p_partkey").alias("pos"), pod.alias("b"))
+    again = part.filter(c("p_partkey") % 5 == 0).select(
+        c("p_type").alias("category"), ((c("p_partkey") / LISTING_PODS).cast("int") + 1).alias("page_no"),
+        c("p_partkey").alias("pos"), pod.alias("b"))
+    b = base.unionByName(again)
+    pages = b.groupBy("category", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "b"))).alias("items"))
+    html = F.concat(F.lit("<html><body><div class='results'>"),
+                    F.array_join(F.transform("items", lambda x: x["b"]), ""), F.lit("</div></body></html>"))
+    return pages.select(F.lit("homedepot").alias("source"), "category", "page_no", html.alias("html"))
+
+
+def walmart_listing(part: DataFrame) -> DataFrame:
+    """Walmart-layout listing pages per ``p_type``: grid items with the
+    product link as the second anchor; a review count unless ``p_size % 4 = 0``."""
+    c = F.col
+    key = c("p_partkey").cast("string")
+    item = F.concat(
+        F.lit('<div class="Grid-col u-size-6-12 u-size-1-4-m u-size-1-5-xl">'),
+        F.lit('<div class="search-result-gridview-item-wrapper" data-id="'), key, F.lit('">'),
+        F.lit('<a class="img-link" href="'), F.lit(WALMART_PAGE_URL), key, F.lit('"><img src="x.jpg"></a>'),
+        F.lit('<a class="product-title-link" href="'), F.lit(WALMART_PAGE_URL), key, F.lit('"><span>'),
+        esc(c("p_name")), F.lit("</span></a>"),
+        _opt(c("p_size") % 4 != 0, F.concat(F.lit('<span class="stars-reviews-count">'),
+                                            c("p_size").cast("string"), F.lit(" reviews</span>"))),
+        F.lit("</div></div>"))
+    b = part.select(c("p_type").alias("category"), (c("p_partkey") / LISTING_PODS).cast("int").alias("page_no"),
+                    c("p_partkey").alias("pos"), item.alias("b"))
+    pages = b.groupBy("category", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "b"))).alias("items"))
+    html = F.concat(F.lit("<html><body><div class='search-grid'>"),
+                    F.array_join(F.transform("items", lambda x: x["b"]), ""), F.lit("</div></body></html>"))
+    return pages.select(F.lit("walmart").alias("source"), "category", "page_no", html.alias("html"))
