@@ -48,7 +48,7 @@ def class_statistics(vectors: DataFrame, tags: Sequence[str], vec_col: str = "w"
     totals = per_tag.groupBy("tag", "cls").agg(
         F.count(F.lit(1)).alias("n_c"),
         F.sum(F.aggregate(vec_col, F.lit(0.0), lambda a, x: a + x)).alias("total_w"))
-    sums = (per_tag.select("tag", "cls", F.posexplode(vec_col).alias("idx", "x"))
+    sums = (per_tag.select("tag", "cls", F.posexplode_outer(vec_col).alias("idx", "x"))
             .filter(F.col("x") != 0).groupBy("tag", "cls", "idx").agg(F.sum("x").alias("sum_w")))
     return totals, sums
 

@@ -58,7 +58,11 @@ class Vocabulary:
 
 def term_stats(docs: DataFrame, doc_col: str = "doc_id", ngrams_col: str = "ngrams") -> DataFrame:
     """A2: ``(term, total_count, doc_freq)`` over all documents."""
-    per_doc = (docs.select(doc_col, F.explode(ngrams_col).alias("term"))
+    # explode_outer: a plain explode makes the optimizer infer a size() > 0
+    # filter and push it below the projection that builds the n-grams, which
+    # would evaluate the whole text pipeline a second time.
+    per_doc = (docs.select(doc_col, F.explode_outer(ngrams_col).alias("term"))
+               .filter(F.col("term").isNotNull())
                .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("c")))
     return per_doc.groupBy("term").agg(F.sum("c").alias("total_count"),
                                        F.count(F.lit(1)).alias("doc_freq"))
@@ -96,5 +100,5 @@ def tfidf_long(df: DataFrame, vocab: Vocabulary, doc_col: str = "doc_id",
     """Long form ``(doc_id, term, weight)`` of the non-zero weights."""
     v = tfidf_vectors(df.select(doc_col, ngrams_col), vocab, ngrams_col, "__w")
     terms = F.array(*[F.lit(t) for t in vocab.terms])
-    e = v.select(doc_col, F.posexplode("__w").alias("idx", "weight")).filter(F.col("weight") != 0)
+    e = v.select(doc_col, F.posexplode_outer("__w").alias("idx", "weight")).filter(F.col("weight") != 0)
     return e.select(doc_col, F.element_at(terms, F.col("idx") + 1).alias("term"), "weight")

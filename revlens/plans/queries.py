@@ -230,8 +230,8 @@ def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stem_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct cleaned word of the reviews with its stem."""
     r = _reviews(spark, sf_dir)
-    words = (r.select(F.explode(text.review_tokens(F.col("title"), F.col("body"), stem=False)).alias("word"))
-             .distinct())
+    words = (r.select(F.explode_outer(text.review_tokens(F.col("title"), F.col("body"), stem=False)).alias("word"))
+             .filter(F.col("word").isNotNull()).distinct())
     return words.select("word", stem_word(F.col("word")).alias("stem"))
 
 

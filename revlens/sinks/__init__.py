@@ -1 +1,59 @@
-"""sinks."""
+"""Sinks and reports (K1, K2, K5, K6).
+
+The original tool wrote one spreadsheet.  Here the labelled table is written
+as a dataset of many files by many tasks (no ``coalesce(1)``: one task must
+never carry the whole table); CSV output carries the spreadsheet header
+names.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from revlens import schemas
+
+
+def sheet_columns(df: DataFrame) -> DataFrame:
+    """Rename engine columns to the spreadsheet names (tags keep their names)."""
+    return df.select(*[F.col(f"`{c}`").alias(schemas.SHEET_NAMES.get(c, c)) for c in df.columns])
+
+
+def write_reviews(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
+                  partition_by: list[str] | None = None) -> str:
+    """K1: write the review table; ``fmt`` is ``parquet`` or ``csv`` (with header)."""
+    out = sheet_columns(df) if fmt == "csv" else df
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if fmt == "csv":
+        w.option("header", True).option("escape", '"').csv(path)
+    elif fmt == "parquet":
+        w.parquet(path)
+    else:
+        raise ValueError(f"unsupported format: {fmt}")
+    return path
+
+
+def write_versioned(df: DataFrame, base: str, fmt: str = "parquet", max_versions: int = 1000) -> str:
+    """K2: write to ``base``, or ``base1``, ``base2``, ... - the first path not
+    taken - and return the path written."""
+    for version in range(max_versions):
+        path = base if version == 0 else f"{base}{version}"
+        try:
+            return write_reviews(df, path, fmt, mode="errorifexists")
+        except AnalysisException as e:
+            if "already exists" not in str(e).lower() and "PATH_ALREADY_EXISTS" not in str(e):
+                raise
+    raise RuntimeError(f"no free output path after {max_versions} versions of {base}")
+
+
+def totals(report: DataFrame) -> DataFrame:
+    """K6: targets found, targets by status and reviews extracted, in one row."""
+    return report.agg(
+        F.count(F.lit(1)).alias("targets"),
+        F.sum(F.when(F.col("status") == "success", 1).otherwise(0)).alias("succeeded"),
+        F.sum(F.when(F.col("status") == "no new reviews", 1).otherwise(0)).alias("no_new_reviews"),
+        F.sum(F.when(F.col("status") == "failed", 1).otherwise(0)).alias("failed"),
+        F.coalesce(F.sum("n_reviews"), F.lit(0)).alias("reviews"))
