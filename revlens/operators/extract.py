@@ -37,12 +37,17 @@ def _missing_any(raw: Column, required: Sequence[str]) -> Column:
     return ~F.coalesce(ok, F.lit(False))
 
 
+def _passthrough(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in ("payload",)]
+
+
 def explode_walmart(landed: DataFrame) -> DataFrame:
-    """One row per review object; an empty page keeps one marker row."""
+    """One row per review object; an empty page keeps one marker row.
+    Every landed column except ``payload`` is carried through."""
     page = F.from_json("payload", schemas.WALMART_PAGE)
     entry = page["payload"]["reviews"][F.col("target")]
     arr = entry["customerReviews"]
-    p = landed.select("source", "target", "page_no", arr.alias("__arr"),
+    p = landed.select(*_passthrough(landed), arr.alias("__arr"),
                       (entry.isNull() | arr.isNull()).alias("__page_bad"))
     return _explode_pages(p)
 
@@ -50,40 +55,39 @@ def explode_walmart(landed: DataFrame) -> DataFrame:
 def explode_lowes(landed: DataFrame) -> DataFrame:
     """One row per review object of a Lowes-layout page."""
     arr = F.from_json("payload", schemas.LOWES_PAGE)["Results"]
-    p = landed.select("source", "target", "page_no", arr.alias("__arr"), arr.isNull().alias("__page_bad"))
+    p = landed.select(*_passthrough(landed), arr.alias("__arr"), arr.isNull().alias("__page_bad"))
     return _explode_pages(p)
 
 
 def _explode_pages(p: DataFrame) -> DataFrame:
-    e = p.select("source", "target", "page_no", "__page_bad",
-                 (F.coalesce(F.size("__arr"), F.lit(0)) <= 0).alias("empty_page"),
+    keep = [c for c in p.columns if c != "__arr"]
+    # Only a present, empty list is an empty page (a stop); a missing list is
+    # a bad page (the original raised on the missing key).
+    e = p.select(*keep, F.coalesce(F.size("__arr") == 0, F.lit(False)).alias("empty_page"),
                  F.posexplode_outer("__arr").alias("pos", "raw"))
     return e.withColumn("pos", F.coalesce("pos", F.lit(-1)))
 
 
 def typed_walmart(rows: DataFrame) -> DataFrame:
     r = F.from_json("raw", schemas.WALMART_REVIEW)
-    date_text = r["reviewSubmissionTime"]
-    date = fields.parse_date(date_text, "walmart")
+    date = fields.parse_date(r["reviewSubmissionTime"], "walmart")
+    keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
     bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.WALMART_REQUIRED)
                                     | date.isNull())
     return rows.select(
-        "source", "target", "page_no", "pos", "empty_page",
-        date.alias("date"), r["rating"].alias("rating"), r["reviewTitle"].alias("title"),
-        r["reviewText"].alias("body"), fields.join_photo_urls(r["photos"]).alias("image"),
-        bad.alias("bad"))
+        *keep, date.alias("date"), r["rating"].alias("rating"), r["reviewTitle"].alias("title"),
+        r["reviewText"].alias("body"), fields.join_photo_urls(r["photos"]).alias("image"), bad.alias("bad"))
 
 
 def typed_lowes(rows: DataFrame) -> DataFrame:
     r = F.from_json("raw", schemas.LOWES_REVIEW)
     date = fields.parse_date(fields.iso_date_prefix(r["SubmissionTime"]), "lowes")
+    keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
     bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.LOWES_REQUIRED)
                                     | date.isNull())
     return rows.select(
-        "source", "target", "page_no", "pos", "empty_page",
-        date.alias("date"), r["Rating"].alias("rating"), r["Title"].alias("title"),
-        r["ReviewText"].alias("body"), fields.join_photo_urls(r["Photos"]).alias("image"),
-        bad.alias("bad"))
+        *keep, date.alias("date"), r["Rating"].alias("rating"), r["Title"].alias("title"),
+        r["ReviewText"].alias("body"), fields.join_photo_urls(r["Photos"]).alias("image"), bad.alias("bad"))
 
 
 def read_cutoff(typed: DataFrame, earliest: Column | None, key: str = "target") -> DataFrame:

@@ -156,6 +156,8 @@ def fit_table(labelled: DataFrame, tags: Sequence[str],
     if unknown:
         raise KeyError(f"tags not in the training data: {unknown}")
     vocab = fit_vocabulary(labelled, "doc_id", "ngrams", max_features)
+    if len(vocab) == 0:
+        raise ValueError("empty vocabulary: the training texts have no terms")
     vectors = tfidf_vectors(labelled, vocab, "ngrams", "w")
     totals, sums = class_statistics(vectors, tags)
     return vocab, log_prob_table(totals, sums, vocab, vocab.n_docs)
