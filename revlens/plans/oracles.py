@@ -184,6 +184,37 @@ SELECT tg.target,
 FROM tg LEFT JOIN failed f ON tg.target = f.target LEFT JOIN cnt c ON tg.target = c.target
 """)
 
+TARGET_TOTALS = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
+, cnt AS (SELECT target, count(*) AS n FROM kept GROUP BY target),
+tg AS (SELECT DISTINCT target FROM reviews),
+rep AS (
+  SELECT tg.target,
+         CASE WHEN f.target IS NOT NULL THEN 'failed'
+              WHEN coalesce(c.n, 0) > 0 THEN 'success' ELSE 'no new reviews' END AS status,
+         CASE WHEN f.target IS NOT NULL THEN 0 ELSE coalesce(c.n, 0) END AS n_reviews
+  FROM tg LEFT JOIN failed f ON tg.target = f.target LEFT JOIN cnt c ON tg.target = c.target
+)
+SELECT CAST(count(*) AS BIGINT) AS targets,
+       CAST(sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) AS BIGINT) AS succeeded,
+       CAST(sum(CASE WHEN status = 'no new reviews' THEN 1 ELSE 0 END) AS BIGINT) AS no_new_reviews,
+       CAST(sum(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+       CAST(coalesce(sum(n_reviews), 0) AS BIGINT) AS reviews
+FROM rep
+""")
+
+LOWES_REQUEST_URLS = with_reviews(f"""
+, lw AS (SELECT DISTINCT target, page_no, 2 + ascii(right(target, 1)) % 3 AS cut FROM reviews),
+pg AS (
+  SELECT target, CASE WHEN page_no >= cut THEN page_no + 1 ELSE page_no END AS page_no FROM lw
+  UNION
+  SELECT target, cut AS page_no FROM lw
+)
+SELECT target, page_no,
+       replace({_sql_str(params.LOWES_SEARCH_URL)}, '{{}}', CAST(ascii(right(target, 1)) + 1000 AS VARCHAR))
+         || CAST((page_no - 1) * {params.LOWES_PAGE_SIZE} AS VARCHAR) AS request_url
+FROM pg
+""")
+
 PAGE_CUTOFF = with_reviews("""
 SELECT DISTINCT target, CAST(page_no AS VARCHAR) AS page_label,
        page_no + CAST(CASE WHEN ascii(right(target, 1)) % 2 = 0 THEN floor((page_no - 1) / 2)
@@ -378,6 +409,8 @@ def all_oracles() -> dict[str, str]:
         "lowes_json_extract": LOWES_JSON_EXTRACT,
         "failed_targets_report": FAILED_TARGETS_REPORT,
         "page_cutoff": PAGE_CUTOFF,
+        "target_totals": TARGET_TOTALS,
+        "lowes_request_urls": LOWES_REQUEST_URLS,
         "compose_text": COMPOSE_TEXT,
         "clean_tokens": CLEAN_TOKENS,
         "tag_vocabulary": TAG_VOCABULARY,

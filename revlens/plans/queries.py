@@ -141,6 +141,23 @@ def failed_targets_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.target_report(landed.select("target"), read)
 
 
+def target_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6/A1: totals of the per-target outcome report in one row."""
+    from revlens import sinks
+
+    return sinks.totals(failed_targets_report(spark, sf_dir))
+
+
+def lowes_request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search request URL behind every landed Lowes page (offset
+    10 per page), from the product URL's last path segment."""
+    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
+    product_url = F.concat(F.lit("https://www.lowes.com/pd/ac-"), F.col("target"), F.lit("/"),
+                           (F.ascii(F.expr("right(target, 1)")) + 1000).cast("string"))
+    pid = fields.last_path_segment(product_url)
+    return landed.select("target", "page_no", fields.lowes_request_url(pid, F.col("page_no")).alias("request_url"))
+
+
 def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """re-observed pages skipped, reading ends when the pager wraps to 1."""
     seq = testbed.pager_sequence(_reviews(spark, sf_dir))
@@ -313,6 +330,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lowes_json_extract": lowes_json_extract,
         "failed_targets_report": failed_targets_report,
         "page_cutoff": page_cutoff,
+        "target_totals": target_totals,
+        "lowes_request_urls": lowes_request_urls,
         "amazon_html_extract": amazon_html_extract,
         "homedepot_html_extract": homedepot_html_extract,
         "product_meta": product_meta,

@@ -28,7 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
     if spread is None:
         spread = name in TEXT_TABLES
     if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:      # no RDD view (e.g. a Spark Connect session): leave the scan as is
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df
