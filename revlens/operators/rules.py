@@ -10,6 +10,7 @@ Python worker, so it runs unchanged on a streaming DataFrame.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,8 +24,36 @@ from revlens import params
 _FLAGS = "(?dU)"
 
 
+# A literal segment: letters, digits, spaces or escaped characters.
+_LITERAL = r"(?:[A-Za-z0-9 ]|\\.)+"
+_LAZY_CHAIN = re.compile(rf"{_LITERAL}(?:\.\+\?{_LITERAL})+")
+
+
+def _commit_lazy_chains(pattern: str) -> str:
+    """Rewrite alternatives of the form ``A.+?B.+?C`` (literal segments joined
+    by lazy dots) to ``A(?>.+?B)(?>.+?C)``.
+
+    For an existence test this is the same predicate: if any B after A leaves
+    room for C, the first B after A does too, so committing to it loses no
+    match.  It removes the backtracking over every later B, which is what
+    makes such patterns slow on long lines.  Patterns with groups or other
+    shapes are left exactly as written.
+    """
+    if "(" in pattern or "[" in pattern or "\\|" in pattern:
+        return pattern
+    out = []
+    for alt in pattern.split("|"):
+        if _LAZY_CHAIN.fullmatch(alt):
+            head, *rest = alt.split(".+?")
+            alt = head + "".join(f"(?>.+?{seg})" for seg in rest)
+        out.append(alt)
+    return "|".join(out)
+
+
 def java_pattern(pattern: str) -> str:
-    return _FLAGS + pattern
+    """The pattern as a Java regex with Python-like flags (see ``_FLAGS``),
+    for use with ``rlike`` (an existence test)."""
+    return _FLAGS + _commit_lazy_chains(pattern)
 
 
 def rule_ineligible(rating: Column) -> Column:

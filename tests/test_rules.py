@@ -64,3 +64,21 @@ def test_rule_labels_are_narrow(spark):
     df = spark.createDataFrame([(1, 1, "loud", None)], "id int, rating int, title string, body string")
     plan = rules.rule_labels(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_lazy_chain_rewrite_shapes():
+    assert rules._commit_lazy_chains("blink.+?88|8\\.8") == "blink(?>.+?88)|8\\.8"
+    assert rules._commit_lazy_chains("a.+?b.+?c") == "a(?>.+?b)(?>.+?c)"
+    for untouched in ("(?:a).+?b", "a[bc].+?d", "nois|loud", "a\\|b.+?c", "a.*?b"):
+        assert rules._commit_lazy_chains(untouched) == untouched
+
+
+def test_lazy_chain_rewrite_is_the_same_predicate(spark):
+    from conftest import SF01
+    from revlens.sources.tables import table
+
+    docs = table(spark, SF01, "documents").select(F.lower("text").alias("t"))
+    for pat in ("the.+?tion.+?and", "an.+?the", "blink.+?88|88.+?error", "ou.+?ment.+?x"):
+        fast = F.col("t").rlike(rules.java_pattern(pat))
+        plain = F.col("t").rlike("(?dU)" + pat)
+        assert docs.filter(fast != plain).count() == 0, pat
