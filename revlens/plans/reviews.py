@@ -108,3 +108,15 @@ def dedupe_reviews(reviews: DataFrame) -> DataFrame:
 def label_reviews(reviews: DataFrame, tags: Sequence[str] = params.DEFAULT_TAGS, **kwargs) -> DataFrame:
     """X19 with one-hot columns, as all four original entry points do."""
     return label.predict_labels(reviews, tags, one_hot=True, **kwargs)
+
+
+def train_models(training: DataFrame, tags: Sequence[str] = params.TRAIN_TAGS, model_path: str | None = None,
+                 stem: bool = True):
+    """Fit the vectorizer and one classifier per tag on a training table
+    ``(title, body, category)`` and, with ``model_path``, save them (K3, K4)."""
+    from revlens.operators.nb import fit
+
+    model = fit(training, tags, stem=stem)
+    if model_path:
+        model.save(training.sparkSession, model_path)
+    return model
