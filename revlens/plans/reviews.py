@@ -120,3 +120,44 @@ def train_models(training: DataFrame, tags: Sequence[str] = params.TRAIN_TAGS, m
     if model_path:
         model.save(training.sparkSession, model_path)
     return model
+
+
+def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None = None,
+                    product_pages: DataFrame | None = None, size2model: DataFrame | None = None,
+                    targets: DataFrame | None = None, model2desc: DataFrame | None = None,
+                    mode: str = "category", target: str | None = None, days: int | None = params.DEFAULT_DAYS,
+                    as_of: _dt.date | None = None, predict: bool = False,
+                    tags: Sequence[str] = params.DEFAULT_TAGS, training: DataFrame | None = None,
+                    model_path: str | None = None, output: str | None = None, fmt: str = "parquet"):
+    """One run of a source.
+
+    ``mode="product"`` keeps only ``target``; ``days`` 0/None means no limit;
+    ``predict`` adds the tag columns and category; ``output`` writes the table
+    to the first free versioned path.  Returns ``(reviews, report, path)``.
+    """
+    if mode not in ("category", "product"):
+        raise ValueError(f"invalid mode: {mode}")
+    if mode == "product":
+        if not target:
+            raise ValueError("product mode needs a target")
+        landed = landed.filter(F.col("target") == target)
+    if layout in ("walmart", "lowes"):
+        reviews, report = json_flow(landed, layout, meta, days, as_of)
+    elif layout == "amazon":
+        reviews, report = amazon_flow(landed, size2model, targets, days, as_of, model2desc)
+    elif layout == "homedepot":
+        reviews, report = homedepot_flow(landed, product_pages, days, as_of)
+    else:
+        raise ValueError(f"unknown layout: {layout}")
+    if layout in ("amazon", "lowes"):          # config mode dedupes before labelling
+        reviews = dedupe_reviews(reviews)
+    else:
+        reviews = reviews.drop("target")
+    if predict:
+        reviews = label_reviews(reviews, tags, training=training, model_path=model_path)
+    path = None
+    if output:
+        from revlens import sinks
+
+        path = sinks.write_versioned(reviews, output, fmt)
+    return reviews, report, path

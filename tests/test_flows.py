@@ -46,3 +46,20 @@ def test_amazon_and_homedepot_flows(spark):
     out2, report2 = flows.homedepot_flow(hd_landed, pages, days=None)
     ok = report2.filter(F.col("status") == "success").count()
     assert ok > 0 and out2.filter(F.col("manufacturer").isNull()).count() == 0
+
+
+def test_collect_reviews_product_mode_and_output(spark, tmp_out):
+    import pytest
+
+    r = testbed.reviews(table(spark, SF001, "documents"))
+    landed = testbed.landed_walmart(r)
+    one = r.select("target").limit(1).collect()[0]["target"]
+    meta = r.select("target").distinct().select(
+        "target", F.lit("M").alias("model_no"), F.lit("ACME unit").alias("model_description"))
+    out, report, path = flows.collect_reviews("walmart", landed, meta=meta, mode="product", target=one,
+                                              days=None, output=tmp_out + "/Walmart_Reviews")
+    assert path == tmp_out + "/Walmart_Reviews"
+    assert report.count() == 1
+    assert spark.read.parquet(path).count() == out.count()
+    with pytest.raises(ValueError):
+        flows.collect_reviews("walmart", landed, meta=meta, mode="product")
