@@ -27,14 +27,20 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "revlens",
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Return the active session, creating a local one if none exists."""
+              shuffle_partitions: int | None = None, local_memory: str = "4g") -> SparkSession:
+    """Return the active session, creating one if none exists.
+
+    For a ``local`` master the single JVM is both driver and executor, so its
+    heap is set to ``local_memory``; on a cluster the submit settings decide.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", local_memory)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
