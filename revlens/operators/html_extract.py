@@ -260,9 +260,3 @@ def walmart_listing_targets(listing: DataFrame, keyword: str) -> DataFrame:
                         & F.lower(F.col("desc")).contains(keyword.lower()))
     return keep.select("category", "product_id", F.col("href").alias("url"), F.col("desc").alias("description")).distinct()
 
-
-def bad_any(*conds: Column) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out

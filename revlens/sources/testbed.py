@@ -91,20 +91,6 @@ def training_set(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", cat.alias("category")).join(r, "doc_id", "inner")
 
 
-def target_meta(reviews_df: DataFrame) -> DataFrame:
-    """Per-target metadata derived from the target name (P16 input)."""
-    return (reviews_df.select("target").distinct()
-            .select("target",
-                    F.concat(F.lit("ACME "), F.upper("target"), F.lit(" 8,000 BTU")).alias("model_description"),
-                    F.concat(F.lit("M-"), F.upper("target")).alias("model_no")))
-
-
-def u2_input(reviews_df: DataFrame) -> DataFrame:
-    """Two overlapping slices of the reviews, unioned: every review appears
-    once or twice, so a full-row dedupe must restore the whole table."""
-    a = reviews_df.filter(F.col("doc_id") % 3 != 0)
-    b = reviews_df.filter(F.col("doc_id") % 3 != 1)
-    return a.unionByName(b)
 
 
 # Rule dictionary for the test bed.  The issue patterns almost never match
