@@ -149,13 +149,13 @@ def fit_table(labelled: DataFrame, tags: Sequence[str],
               max_features: int = params.MAX_FEATURES) -> tuple[Vocabulary, DataFrame]:
     """X11 + X14 on ``(doc_id, tags, ngrams)``: the vocabulary (bounded by
     ``max_features``) and the Spark-computed log-probability table."""
-    requested = (labelled.select(F.explode("tags").alias("tag"))
-                 .filter(F.col("tag").isin(list(tags))).distinct())
-    known = {r["tag"] for r in requested.collect()}       # at most len(tags) rows
-    unknown = [t for t in tags if t not in known]
+    # One pass: the document count and, per requested tag, whether any row has it.
+    probe = labelled.agg(F.count(F.lit(1)).alias("n"), *[
+        F.max(F.array_contains("tags", t).cast("int")).alias(f"t{i}") for i, t in enumerate(tags)]).collect()[0]
+    unknown = [t for i, t in enumerate(tags) if not probe[f"t{i}"]]
     if unknown:
         raise KeyError(f"tags not in the training data: {unknown}")
-    vocab = fit_vocabulary(labelled, "doc_id", "ngrams", max_features)
+    vocab = fit_vocabulary(labelled, "doc_id", "ngrams", max_features, n_docs=int(probe["n"]))
     if len(vocab) == 0:
         raise ValueError("empty vocabulary: the training texts have no terms")
     vectors = tfidf_vectors(labelled, vocab, "ngrams", "w")

@@ -74,9 +74,11 @@ def top_terms(stats: DataFrame, max_features: int = params.MAX_FEATURES) -> Data
 
 
 def fit_vocabulary(docs: DataFrame, doc_col: str = "doc_id", ngrams_col: str = "ngrams",
-                   max_features: int = params.MAX_FEATURES) -> Vocabulary:
-    """X11: fit the vocabulary and document frequencies on ``docs``."""
-    n_docs = docs.count()
+                   max_features: int = params.MAX_FEATURES, n_docs: int | None = None) -> Vocabulary:
+    """X11: fit the vocabulary and document frequencies on ``docs``
+    (``n_docs``, if known, saves a count)."""
+    if n_docs is None:
+        n_docs = docs.count()
     top = top_terms(term_stats(docs, doc_col, ngrams_col), max_features).collect()
     assert len(top) <= max_features
     top = sorted(top, key=lambda r: r["term"])
