@@ -63,3 +63,15 @@ def test_collect_reviews_product_mode_and_output(spark, tmp_out):
     assert spark.read.parquet(path).count() == out.count()
     with pytest.raises(ValueError):
         flows.collect_reviews("walmart", landed, meta=meta, mode="product")
+
+
+def test_walmart_meta_from_product_pages(spark):
+    part = table(spark, SF001, "part")
+    meta = {r["target"]: r for r in flows.walmart_meta(testbed.spec_pages(part)).collect()}
+    for p in part.collect():
+        m = meta[str(p["p_partkey"])]
+        assert m["model_description"] == p["p_name"]
+        assert m["manufacturer"] == p["p_name"].split()[0]
+        want = {0: p["p_name"], 1: "mpn-" + p["p_type"], 2: p["p_name"]}.get(
+            p["p_partkey"] % 4, testbed.WALMART_PAGE_URL + str(p["p_partkey"]))
+        assert m["model_no"] == want
