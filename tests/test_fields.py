@@ -104,3 +104,19 @@ def test_pager_cutoff(spark):
     df = spark.createDataFrame(rows, "target string, seq int, page_label string")
     got = sorted((r["seq"], r["page_label"]) for r in recency.pager_cutoff(df).collect())
     assert got == [(1, "1"), (3, "2"), (4, "3")]
+
+
+def test_takewhile_aggregate_equals_window_random(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(600):
+        target = "hot" if rng.random() < 0.6 else f"t{rng.randrange(5)}"   # one target holds most rows
+        rows.append((target, rng.randrange(1, 8), rng.randrange(20), dt.date(2021, 6, 1) + dt.timedelta(days=rng.randrange(30))))
+    rows = list({(t, p, q): (t, p, q, d) for t, p, q, d in rows}.values())   # unique read positions
+    df = spark.createDataFrame(rows, "target string, page_no int, pos int, date date")
+    earliest = F.lit(dt.date(2021, 6, 8))
+    a = recency.take_while_recent(df, earliest)
+    b = recency.take_while_recent_window(df, earliest)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
