@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,11 +54,14 @@ def get_spark(master: str | None = None, app: str = "revlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as given.
-    Only when it is unset (local tests) is a scratch folder chosen.
+    On a cluster that setting names shared storage and is used as given; a
+    cluster without it is an error, since a machine-local folder would not be
+    seen by the other executors.  Only a local master gets a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="revlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -66,7 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, whatever folder they start in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_revlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="revlens-pkg-"), "revlens.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("revlens", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._revlens_shipped = True
