@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.llm.common import prepare, table
 from revlens.llm.exact_dedup import exact_groups
+from revlens.llm.ngram_join import near_duplicates
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
