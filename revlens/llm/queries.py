@@ -10,6 +10,7 @@ from revlens.llm.common import prepare, table
 from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.ngram_join import near_duplicates
+from revlens.llm.packing import pack
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
