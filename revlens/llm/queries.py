@@ -11,6 +11,7 @@ from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
+from revlens.llm.suffix_dedup import suffix_dedup
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return pack(table(spark, sf_dir, "documents"))
