@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revlens.llm.common import prepare, table
 from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
+from revlens.llm.hmm_lm import hmm_scores
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
 from revlens.llm.suffix_dedup import suffix_dedup
@@ -24,6 +25,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return hmm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return suffix_dedup(table(spark, sf_dir, "documents"))
