@@ -12,6 +12,7 @@ from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.hmm_lm import hmm_scores
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
+from revlens.llm.quality_crf import quality
 from revlens.llm.suffix_dedup import suffix_dedup
 
 
@@ -20,6 +21,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return near_duplicates(table(spark, sf_dir, "documents"))
