@@ -13,9 +13,14 @@ from revlens.llm.hmm_lm import hmm_scores
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
 from revlens.llm.quality_crf import quality
+from revlens.llm.secret_scan import secret_scan
 from revlens.llm.suffix_dedup import suffix_dedup
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact_groups(table(spark, sf_dir, "documents"))
