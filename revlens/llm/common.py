@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.session import ensure_checkpoint_dir, ship_package
 
 #: Rows per Arrow batch handed to Python tasks; texts can be long, so batches stay small.
 BATCH_ROWS = 2000
+#: Ids (8 bytes each, 4 MB) that a join may broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +43,10 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucket5(remainder_of: Column, n: int) -> Column:
-    """crc32 of the decimal text of an id, modulo ``n``."""
-    return F.pmod(F.crc32(remainder_of.cast("string")), F.lit(n))
+def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow rows, marked for broadcast when counting finds no more than ``rows`` of them; beyond that
+    the planner's shuffle join is used."""
+    return F.broadcast(ids) if ids.count() <= rows else ids
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:

@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import connected_components, id_text, scratch
+from revlens.llm.common import broadcast_if_small, connected_components, id_text, scratch
 
 SIZE, PERCENT = 5, 80
 #: n-grams whose corpus counts are given to every task: 16 bytes each, so 1 MB.
 FREQUENT = 65_536
 #: n-grams counted together before a chunk's counts are sent on, and the least count that is sent.
-CHUNK, CHUNK_LEAST = 2_000_000, 3
+CHUNK, CHUNK_LEAST = 2_000_000, 2
 #: Candidates of one leader that are verified together.
 BLOCK = 256
 
@@ -266,7 +266,7 @@ class NgramJoin:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b) those that link."""
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        ids = broadcast_if_small(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
         # one row an id: a repeated id has one representative text here
         sets = scratch(self.base.join(ids, "doc_id", "left_semi").mapInArrow(
             _sets(self.size, self.frequent), "doc_id long, grams array<long>"), "ngram-members")
@@ -292,13 +292,14 @@ class NgramJoin:
         found = scratch(self._verified(scratch(first, "ngram-pairs")), "ngram-links")
         label = connected_components(found)
         rest = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "token", "doc_id", "n", F.coalesce("component", "doc_id").alias("part"))
+            "token", "doc_id", "n", "mine", F.coalesce("component", "doc_id").alias("part"))
+        # an n-gram between documents that all are in one component already is done with
         mixed = rest.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
         rest = scratch(rest.join(mixed.select("token"), "token", "left_semi"), "ngram-rest")
         x, y = rest.alias("x"), rest.alias("y")
         crossing = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                           & (F.col("x.part") != F.col("y.part"))
-                          & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent))
+                          & self._can_link("x.n", "y.n", F.least("x.mine", "y.mine")))
         pairs = (crossing.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
                  .agg(F.count("*").alias("common"), F.first("x.n").alias("na"), F.first("y.n").alias("nb")))
         left = scratch(pairs.where(self._can_link("na", "nb", F.col("common"))).select("a", "b"), "ngram-pairs")
