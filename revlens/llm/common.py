@@ -49,6 +49,12 @@ def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= rows else ids
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id is not the first column of ``gone`` (rows without an id stay)."""
+    ids = scratch(gone.select(gone[gone.columns[0]].alias(id_col)).distinct(), "gone")
+    return docs.join(broadcast_if_small(ids), id_col, "left_anti").select(docs.columns)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import id_text
+from revlens.llm.common import id_text, without
 
 SIZE, PERCENT = 5, 80
 #: Hamming radius of the search.  Two sets with weighted Jaccard similarity 0.8 differ in about 10 of
@@ -220,5 +220,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` (all columns) that match no benchmark item."""
-    gone = contaminated(docs, benchmark, id_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, contaminated(docs, benchmark, id_col).where("doc_id IS NOT NULL"), id_col)

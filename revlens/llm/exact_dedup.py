@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import id_text, scratch
+from revlens.llm.common import id_text, scratch, without
 
 
 def content_hash(text: Column) -> Column:
@@ -20,7 +20,7 @@ def content_hash(text: Column) -> Column:
     return F.md5(text)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest",
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
                  hash_fn: Callable[[Column], Column] = content_hash) -> DataFrame:
     """One row per input row: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -56,9 +56,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         "text_sha256")
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` whose id stays, all columns.  Ids are taken to be unique: a repeated row
     whose id stays is returned as often as it came."""
     groups = exact_groups(docs, id_col, text_col, keep)
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, groups.where(~F.col("kept")), id_col)

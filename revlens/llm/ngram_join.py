@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import broadcast_if_small, connected_components, id_text, scratch
+from revlens.llm.common import broadcast_if_small, connected_components, id_text, scratch, without
 
 SIZE, PERCENT = 5, 80
 #: n-grams whose corpus counts are given to every task: 16 bytes each, so 1 MB.
@@ -333,5 +333,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that are the smallest id of their component."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, found.where("doc_id <> component_id"), id_col)

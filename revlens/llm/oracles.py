@@ -1,5 +1,13 @@
 """DuckDB SQL of the training-data queries, written from the source rows."""
 
+from revlens.llm import license_scan as _license
+from revlens.llm import line_dedup as _lines
+from revlens.llm import secret_scan as _secret
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
 OP2_EXACT_DEDUP = """
 SELECT doc_id,
        max(doc_id) OVER g AS keep_id,
@@ -9,3 +17,105 @@ SELECT doc_id,
 FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+_KEPT_KINDS = ("assign", _secret.ASSIGN), ("access", _secret.ACCESS), ("hex", _secret.HEX)
+
+
+def _pieces(kind: str, pattern: str, group: int) -> str:
+    """(doc_id, kind, pos, string, value): matches, placed by the text between them."""
+    p = _text(pattern.replace("\\x20", " "))
+    return f"""
+    SELECT doc_id, '{kind}' AS kind, unnest(range(1, len(found) + 1)) AS k, between_, found, vals
+    FROM (SELECT doc_id, string_split_regex(t, {p}) AS between_, regexp_extract_all(t, {p}, 0) AS found,
+                 regexp_extract_all(t, {p}, {group}) AS vals
+          FROM texts WHERE regexp_matches(t, {p}))"""
+
+
+def _secret_sql() -> str:
+    kinds = [_pieces("assign", _secret.ASSIGN, 2), _pieces("access", _secret.ACCESS, 0), _pieces("hex", _secret.HEX, 0)]
+    for kind, chars, _ in _secret.ENTROPY:
+        kinds.append(_pieces(kind, f"[{chars}]{{{_secret.WINDOW},}}", 0))
+    least = " ".join(f"WHEN '{kind}' THEN {_secret.most_sum(_secret.WINDOW, bits)}" for kind, _, bits in _secret.ENTROPY)
+    rank = " ".join(f"WHEN '{kind}' THEN {i}" for i, kind in enumerate(_secret.KINDS))
+    terms = ", ".join(map(str, _secret.count_terms(_secret.WINDOW)))
+    harmless = " AND ".join(f"NOT regexp_matches(s, {_text(a)})" for a in _secret.ALLOWED)
+    w = _secret.WINDOW
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+matched AS ({" UNION ALL ".join(kinds)}),
+placed AS (SELECT doc_id, kind, found[k] AS s, vals[k] AS v,
+                  list_sum(list_transform(between_[1:k], lambda x: length(x)))
+                  + coalesce(list_sum(list_transform(found[1:k-1], lambda x: length(x))), 0) AS pos FROM matched),
+base AS (SELECT doc_id, kind, pos AS lo, pos + length(s) AS hi FROM placed
+         WHERE kind IN ('access', 'hex') OR kind = 'assign' AND length(v) >= 6),
+wins AS (SELECT doc_id, kind, pos, s, unnest(range(0, length(s) - {w} + 1)) AS i FROM placed
+         WHERE kind LIKE 'entropy%' AND {harmless}),
+hot AS (SELECT doc_id, kind, pos, i FROM
+          (SELECT doc_id, kind, pos, i, c, count(*) AS n FROM
+             (SELECT doc_id, kind, pos, i, unnest(string_split(substr(s, i + 1, {w}), '')) AS c FROM wins)
+           GROUP BY ALL)
+        GROUP BY doc_id, kind, pos, i HAVING sum([{terms}][n + 1]) <= CASE kind {least} END),
+islands AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, kind, pos ORDER BY i) AS island FROM
+             (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id, kind, pos ORDER BY i) <= {w} THEN 0 ELSE 1 END AS opens
+              FROM hot)),
+more AS (SELECT doc_id, kind, pos + min(i) AS lo, pos + max(i) + {w} AS hi FROM islands GROUP BY doc_id, kind, pos, island),
+spans AS (SELECT doc_id, kind, lo, hi, CASE kind {rank} END AS rank, kind || ':' || lo || ':' || hi AS said
+          FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+per_doc AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+                   count(*) FILTER (rank = 2) AS n_hex, count(*) FILTER (rank > 2) AS n_entropy,
+                   string_agg(said, ',' ORDER BY lo, rank) FILTER (rank < 3) AS base, string_agg(said, ',' ORDER BY lo, rank) AS spans
+            FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+FROM texts LEFT JOIN per_doc USING (doc_id)
+"""
+
+
+OP1_SECRET_SCAN = _secret_sql()
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"{_text(s)}: {_text(i)}" for s, i in _license.SENTENCES.items())
+    varying = " ".join(f"WHEN regexp_matches(s, {_text(p)}) THEN {_text(i)}" for p, i in _license.PATTERNS)
+    steps, last = [], "seq"
+    for k, (name, sequence) in enumerate(_license.RULES):
+        literal = _text("|" + "||".join(sequence) + "|")
+        steps.append(f"r{k} AS (SELECT doc_id, ids, CASE WHEN contains(rest, {literal}) THEN "
+                     f"list_append(names, {_text(name)}) ELSE names END AS names, replace(rest, {literal}, '#') AS rest FROM {last})")
+        last = f"r{k}"
+    return f"""
+WITH cut AS (SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '[.!?;:]+[ \\t\\n\\x0B\\f\\r]+',
+                                                               chr(10), 'g'), chr(10))) AS s,
+                    generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '[.!?;:]+[ \\t\\n\\x0B\\f\\r]+',
+                                                               chr(10), 'g'), chr(10)), 1) AS k FROM documents),
+normal AS (SELECT doc_id, k, trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^a-z0-9]+', ' ', 'g')) AS s FROM cut),
+named AS (SELECT doc_id, k, coalesce(MAP {{{known}}}[s], CASE {varying} END) AS id FROM normal),
+listed AS (SELECT doc_id, list(id ORDER BY k) FILTER (id IS NOT NULL) AS ids FROM named GROUP BY doc_id),
+seq AS (SELECT doc_id, coalesce(ids, []) AS ids, CAST([] AS VARCHAR[]) AS names,
+               '|' || array_to_string(list_transform(coalesce(ids, []), lambda i: i || '|'), '|') AS rest FROM listed),
+{", ".join(steps)}
+SELECT doc_id, array_to_string(ids, ',') AS sentences,
+       coalesce(array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ','), '') AS licenses,
+       CAST(len(ids) AS BIGINT) AS n_sentences,
+       CAST(len(list_filter(string_split_regex(rest, '[|#]+'), lambda x: x <> '')) AS BIGINT) AS n_unmatched
+FROM {last}
+"""
+
+
+OP5_LICENSE_SCAN = _license_sql()
+
+OP8_LINE_DEDUP = f"""
+WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+cut AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM parts),
+wins AS (SELECT doc_id, unnest(range(0, len(lines) - {_lines.WINDOW} + 1)) AS pos, lines FROM parts),
+texts AS (SELECT doc_id, pos, array_to_string(lines[pos + 1:pos + {_lines.WINDOW}], chr(10)) AS t FROM wins),
+later AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY t ORDER BY doc_id, pos) AS nth FROM texts)
+          WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, pos + unnest(range(0, {_lines.WINDOW})) AS pos FROM later),
+marked AS (SELECT cut.*, gone.pos IS NOT NULL AS drop_ FROM cut LEFT JOIN gone USING (doc_id, pos)),
+edged AS (SELECT *, drop_ AND NOT coalesce(lag(drop_) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM marked)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drop_) AS n_removed, count(*) FILTER (opens) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop_), '')) AS kept_sha256
+FROM edged GROUP BY doc_id
+"""

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import id_text
+from revlens.llm.common import id_text, without
 
 FOLDS, THRESHOLD = 5, 0.3
 #: Labelled documents used for fitting at most, lines of a training segment, and segments at most.
@@ -260,6 +260,6 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def drop_bad(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier accepts.  An id goes when all its rows are rejected."""
-    bad = quality(docs, labels, id_col, text_col).groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.max("predicted").alias("best")).where("best = 0").select(id_col)
-    return docs.join(bad, id_col, "left_anti")
+    bad = (quality(docs, labels, id_col, text_col).groupBy("doc_id").agg(F.max("predicted").alias("best"))
+           .where("best = 0 AND doc_id IS NOT NULL"))
+    return without(docs, bad, id_col)

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revlens.llm.common import prepare, table
 from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.hmm_lm import hmm_scores
+from revlens.llm.license_scan import license_scan
+from revlens.llm.line_dedup import line_dedup
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
 from revlens.llm.quality_crf import quality
@@ -23,7 +26,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return exact_groups(table(spark, sf_dir, "documents"))
+    return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +39,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return hmm_scores(table(spark, sf_dir, "documents"))
@@ -46,6 +53,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return pack(table(spark, sf_dir, "documents"))
