@@ -11,8 +11,9 @@ as often as they occur; an empty table gives an empty result.
 
 How a window is found:
 
-1. A window that can match shares at least ``percent * 2m' / (100 + percent)`` of its m' shingles with the
-   item.  A running count of shingles that any item has leaves only windows that reach this bound.
+1. A window that can match an item of as many shingles shares at least ``2 * percent / (100 + percent)`` of
+   them with it.  A running count of the shingles that items of that size have leaves only windows that
+   reach this bound.
 2. Those windows get a 64-bit SimHash over their weighted shingles.  The fingerprints of all items are
    indexed by ``BLOCKS`` blocks of bits: fingerprints within ``RADIUS`` differ in at most
    ``RADIUS // BLOCKS`` bits of some block, so each item is entered under every value within that many
@@ -73,10 +74,12 @@ class Items:
         self.low = np.zeros(1 << 22, bool)
         self.low[(self.known & _U((1 << 22) - 1)).astype(np.int64)] = True
         self.prints = np.array([simhash(g[None, :])[0] for g in self.grams], np.uint64)
-        #: number of shingles of an item -> indices of such items
+        #: number of shingles of an item -> indices of such items, and which shingles these have
         self.by_count: dict[int, list[int]] = {}
         for i, g in enumerate(self.grams):
             self.by_count.setdefault(len(g), []).append(i)
+        self.own = {n: np.isin(self.known, np.concatenate([self.grams[i] for i in members]))
+                    for n, members in self.by_count.items()}
         self.index: list[dict[int, list[int]]] = []
         for block in range(BLOCKS):
             shift, width = _bits(block)
@@ -88,14 +91,14 @@ class Items:
                         table.setdefault(value ^ sum(1 << b for b in at), []).append(i)
             self.index.append(table)
 
-    def has(self, grams: np.ndarray) -> np.ndarray:
-        """Which shingles any item has."""
-        hit = self.low[(grams & _U((1 << 22) - 1)).astype(np.int64)]
-        at = np.flatnonzero(hit)
-        if len(at):
-            near = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
-            hit[at] = self.known[near] == grams[at]
-        return hit
+    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, which): shingles that any item has, as indices of ``known``."""
+        at = np.flatnonzero(self.low[(grams & _U((1 << 22) - 1)).astype(np.int64)])
+        if not len(at):
+            return at, at
+        near = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
+        hit = self.known[near] == grams[at]
+        return at[hit], near[hit]
 
     def near(self, prints: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
         """(window, item) pairs within the radius, for items of ``n`` shingles."""
@@ -112,11 +115,10 @@ class Items:
 
 def simhash(rows: np.ndarray) -> np.ndarray:
     """64-bit SimHash of each row of shingle hashes; a repeated shingle weighs as often as it occurs."""
-    out = np.zeros(len(rows), np.uint64)
-    for bit in range(64):
-        ones = ((rows >> _U(bit)) & _U(1)).sum(axis=1, dtype=np.int64)
-        out |= (2 * ones >= rows.shape[1]).astype(np.uint64) << _U(bit)
-    return out
+    bits = np.unpackbits(np.ascontiguousarray(rows).astype("<u8").view(np.uint8).reshape(*rows.shape, 8), axis=2,
+                         bitorder="little").reshape(*rows.shape, 64)
+    ones = bits.sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * ones >= rows.shape[1], axis=1, bitorder="little").view("<u8").reshape(-1).astype(np.uint64)
 
 
 def weighted_similarity(a: Counter, b: Counter) -> tuple[int, int]:
@@ -136,26 +138,33 @@ def _matches(items: Items):
             for lo, _, d, o in textkit.runs(data, offsets):
                 words = textkit.Words(d, o)
                 grams, first = words.shingles(items.size)
-                hits = np.concatenate([[0], np.cumsum(items.has(grams))])
-                per_doc = np.diff(hits[first])
-                for i in np.flatnonzero(per_doc):
+                at, which = items.hits(grams)
+                edge = np.searchsorted(at, first)
+                for i in np.flatnonzero(np.diff(edge)):
                     if ids[lo + i] is not None:
+                        mine = slice(edge[i], edge[i + 1])
                         rows.extend(_document(ids[lo + i], grams[first[i]:first[i + 1]],
                                               int(words.first[i + 1] - words.first[i]),
-                                              hits[first[i]:first[i + 1] + 1] - hits[first[i]], items))
+                                              at[mine] - first[i], which[mine], items))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     return run
 
 
-def _document(doc_id, grams, n_words, hits, items: Items) -> Iterator[tuple]:
+def _document(doc_id, grams, n_words, places, which, items: Items) -> Iterator[tuple]:
     """Best matching window of each item in one document."""
     for n, members in items.by_count.items():
         width = min(n, len(grams))     # a document shorter than the item is one window
         # window and item share at least this many shingles when they match
         need = -(-items.percent * (width + n) // (100 + items.percent))
-        starts = np.flatnonzero(hits[width:] - hits[:-width] >= need)
+        shared = places[items.own[n][which]]
+        if len(shared) < need:
+            continue
+        count = np.zeros(len(grams) + 1, np.int64)
+        count[shared + 1] = 1
+        count = np.cumsum(count)
+        starts = np.flatnonzero(count[width:] - count[:-width] >= need)
         best: dict[int, tuple] = {}
         for at in range(0, len(starts), WINDOWS):
             part = starts[at:at + WINDOWS]
