@@ -7,9 +7,9 @@ dynamic programme over the lengths left finds the multiset whose sum is closest
 backtracking gives how many pieces of each length that takes.  A sequence is padded to the window, except
 when its length is a power of two; so in the tail of a shard exact powers of two are split off first.
 
-Tokens are computed once, where the text is: white space never lies inside a token of this vocabulary, so
-every distinct word of a run of documents is encoded once and the ids are put together from these.  Only
-(id, start, length, checksum) go on.  Pieces are dealt to shards of about ``SHARD`` by a hash, so shards
+Tokens are computed once, where the text is.  The vocabulary's pattern cuts at white space and between an
+ASCII letter and punctuation (but an apostrophe), so every distinct piece is encoded once by a worker and
+the ids of a text are put together from these.  Only (id, start, length, checksum) go on.  Pieces are dealt to shards of about ``SHARD`` by a hash, so shards
 stay bounded at any size and every shard is packed on its own.
 
 Rows keep their id, null or repeated; pieces of equal length are dealt out in the order of (id, start,
@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from typing import ClassVar
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,10 @@ WINDOW, END_ID = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one shard, about.
 SHARD = 8192
-#: Distinct words whose ids a task remembers.
-MEMO = 400_000
+#: Distinct words whose ids a worker remembers.
+MEMO = 600_000
+#: A text that may hold a special token of the vocabulary is encoded as a whole.
+SPECIAL = b"<|"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -57,17 +60,23 @@ def load_tokenizer(path: str | None):
 class WordIds:
     """Token ids of words, each distinct word encoded once."""
 
+    #: By file, kept while the worker lives: tasks that follow know the words already.
+    kept: ClassVar[dict[str | None, WordIds]] = {}
+
     def __init__(self, path: str | None):
         self.tokenizer = load_tokenizer(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.slot: dict[int, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.used = 0
 
+    @classmethod
+    def of(cls, path: str | None) -> WordIds:
+        if path not in cls.kept:
+            cls.kept[path] = cls(path)
+        return cls.kept[path]
+
     def _add(self, hashes: list[int], words: list[str]) -> None:
         for h, encoding in zip(hashes, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
             ids, k = encoding.ids, len(self.slot)
@@ -82,12 +91,11 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): ids of document i, with the end id, are ids[first[i]:first[i+1]]."""
-        words = textkit.Words(data, offsets)
+        words = textkit.Words(data, offsets, parts=True)
         distinct, where, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.slot) + len(distinct) > MEMO:
-            self.forget()
         keys = distinct.tolist()
         new = [j for j, h in enumerate(keys) if h not in self.slot]
+        used = self.used
         if new:
             low = words.low.tobytes()
             start, end = words.start[where[new]].tolist(), words.end[where[new]].tolist()
@@ -96,13 +104,17 @@ class WordIds:
         size = self.size[slots]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.at[slots] - ends[:-1], size) + np.arange(ends[-1])]
+        if len(self.slot) > MEMO:       # full: what this run added is dropped again
+            for j in new:
+                del self.slot[keys[j]]
+            self.used = used
         first = ends[words.first]
         return np.insert(ids, first[1:], end_id), first + np.arange(len(first))
 
 
 def _pieces(path: str | None, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = WordIds.of(path)
         for batch in batches:
             data, offsets = textkit.buffers(batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
@@ -110,8 +122,13 @@ def _pieces(path: str | None, window: int, end_id: int):
             for lo, hi, d, o in textkit.runs(data, offsets):
                 tokens, first = words.encode(d, o, end_id)
                 tokens = tokens.astype("<u4", copy=False)
+                raw = d.tobytes()
+                special = SPECIAL in raw
                 for i in range(hi - lo):
                     own = tokens[first[i]:first[i + 1]]
+                    if special and SPECIAL in raw[o[i]:o[i + 1]]:
+                        whole = words.tokenizer.encode(raw[o[i]:o[i + 1]].decode(), add_special_tokens=False).ids
+                        own = np.array([*whole, end_id], "<u4")
                     for start in range(0, len(own), window):
                         part = own[start:start + window]
                         rows.append((ids[lo + i], start, len(part), zlib.crc32(part.tobytes()), len(own)))

@@ -22,6 +22,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+#: ASCII punctuation but the apostrophe, which joins a contraction.
+POINT = np.zeros(256, bool)
+POINT[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -72,9 +77,10 @@ def runs(data: np.ndarray, offsets: np.ndarray, max_bytes: int = MAX_BYTES) -> I
 
 
 class Words:
-    """Words (runs of other than space and tab..CR) of a run of documents, A-Z lower-cased."""
+    """Words (runs of other than space and tab..CR) of a run of documents, A-Z lower-cased; with ``parts``
+    they are also cut between an ASCII letter and ASCII punctuation."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, parts: bool = False):
         self.docs = len(offsets) - 1
         self.low = LOWER[data]
         n = len(data)
@@ -85,10 +91,14 @@ class Words:
         inside = ~SEPARATOR[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
+        between = edge[1:n].copy()   # between[i]: a cut before byte i + 1
+        if parts:
+            letter, point = LETTER[data], POINT[data]
+            between |= (letter[:-1] & point[1:]) | (point[:-1] & letter[1:])
         begins = inside.copy()
-        begins[1:] &= edge[1:n] | ~inside[:-1]
+        begins[1:] &= between | ~inside[:-1]
         ends = inside.copy()
-        ends[:-1] &= edge[1:n] | ~inside[1:]
+        ends[:-1] &= between | ~inside[1:]
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends) + 1
         #: words of document i are first[i]:first[i+1]
