@@ -32,7 +32,8 @@ def parse_date(text: Column, layout: str) -> Column:
 
 
 def rating_from_text(text: Column) -> Column:
-    """P4: '4.0 out of 5 stars' -> 4 (first character as an integer)."""
+    """P4: '4.0 out of 5 stars' -> 4 (first character as an integer); NULL on other
+    text, which the caller treats as a failure."""
     return F.substring(text, 1, 1).try_cast("int")
 
 
@@ -52,6 +53,11 @@ def join_photo_urls(photos: Column) -> Column:
     return F.array_join(F.transform(photos, lambda p: p["Sizes"]["normal"]["Url"]), "\n")
 
 
+def photos_bad(photos: Column) -> Column:
+    """No list of photos, or a photo without its URL, is a failure."""
+    return photos.isNull() | F.exists(photos, lambda p: p["Sizes"]["normal"]["Url"].isNull())
+
+
 def css_url(style: Column) -> Column:
     """The URL inside ``url("...")`` of a style attribute."""
     return F.regexp_extract(style, _RX + r'url\("?(\S+?)"?\)', 1)
@@ -109,8 +115,3 @@ def earliest_date(days: int | None, as_of: _dt.date | Column | None = None) -> C
         return None
     base = F.current_date() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     return F.date_sub(base, int(days))
-
-
-def py_strip(text: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(text, _RX + r"^\s+|\s+$", "")

@@ -23,7 +23,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,12 +42,11 @@ _VOWELS = set("aeiou")
 
 
 def _cons(w: str, i: int) -> bool:
-    ch = w[i]
-    if ch in _VOWELS:
-        return False
-    if ch == "y":
-        return i == 0 or not _cons(w, i - 1)
-    return True
+    # a "y" is what the letter before it is not; walk back over a run of them
+    j = i
+    while w[j] == "y" and j > 0:
+        j -= 1
+    return (w[j] not in _VOWELS) ^ ((i - j) % 2 == 1)
 
 
 def _m(stem: str) -> int:
@@ -208,7 +206,3 @@ def stem_tokens(tokens: pd.Series) -> pd.Series:
 def stem_word(words: pd.Series) -> pd.Series:
     """Stem one word per row (for vocabulary tables)."""
     return words.map(lambda w: None if w is None else porter_stem(w))
-
-
-def stem_column(tokens: Column) -> Column:
-    return stem_tokens(tokens)

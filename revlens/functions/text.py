@@ -30,10 +30,12 @@ def letters_only(text: Column) -> Column:
 
 def split_contractions(text: Column) -> Column:
     """X5 (part): the word tokenizer splits a few apostrophe-free contractions."""
-    out = text
-    for word, parts in params.TOKENIZER_SPLITS:
-        out = F.regexp_replace(out, rf"\b{word}\b", parts)
-    return out
+    # one pass: the groups of the alternatives that did not match are empty
+    halves = [parts.split(" ") for _, parts in params.TOKENIZER_SPLITS]
+    pattern = r"\b(?:" + "|".join(f"({a})({b})" for a, b in halves) + r")\b"
+    first = "".join(f"${2 * i + 1}" for i in range(len(halves)))
+    second = "".join(f"${2 * i + 2}" for i in range(len(halves)))
+    return F.regexp_replace(text, pattern, f"{first} {second}")
 
 
 def tokenize(text: Column) -> Column:
@@ -41,14 +43,9 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(split_contractions(text), " "), lambda t: t != F.lit(""))
 
 
-def _stopword_array() -> Column:
-    return F.array(*[F.lit(w) for w in params.EFFECTIVE_STOPWORDS])
-
-
 def drop_stopwords(tokens: Column) -> Column:
     """Remove stopwords, keeping duplicates and order (negations are kept)."""
-    stop = _stopword_array()
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    return F.filter(tokens, lambda t: ~t.isin(list(params.EFFECTIVE_STOPWORDS)))
 
 
 def review_tokens(title: Column, body: Column, stem: bool = True) -> Column:

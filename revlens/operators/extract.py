@@ -10,8 +10,9 @@ exploded with their position, and the original read loop becomes set logic:
   required key, unparseable date, missing product entry) drops all of that
   target's rows, and the target is reported as failed (3.4).
 
-No step groups a whole target into one task: cut-offs and failures are
-grouped aggregates joined back on the target key.
+Pages are parsed once; the typed rows are written, and one aggregate per
+target gives where reading stops and whether the target fails.  One join
+applies it.  No step groups a whole target into one task.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from revlens import schemas
 from revlens.functions import fields
-from revlens.operators import recency
+from revlens.session import written
 
 REVIEW_COLUMNS = ["date", "rating", "title", "body", "image"]
 
@@ -73,7 +74,7 @@ def typed_walmart(rows: DataFrame) -> DataFrame:
     date = fields.parse_date(r["reviewSubmissionTime"], "walmart")
     keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
     bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.WALMART_REQUIRED)
-                                    | date.isNull())
+                                    | date.isNull() | fields.photos_bad(r["photos"]))
     return rows.select(
         *keep, date.alias("date"), r["rating"].alias("rating"), r["reviewTitle"].alias("title"),
         r["reviewText"].alias("body"), fields.join_photo_urls(r["photos"]).alias("image"), bad.alias("bad"))
@@ -84,51 +85,59 @@ def typed_lowes(rows: DataFrame) -> DataFrame:
     date = fields.parse_date(fields.iso_date_prefix(r["SubmissionTime"]), "lowes")
     keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
     bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.LOWES_REQUIRED)
-                                    | date.isNull())
+                                    | date.isNull() | fields.photos_bad(r["Photos"]))
     return rows.select(
         *keep, date.alias("date"), r["Rating"].alias("rating"), r["Title"].alias("title"),
         r["ReviewText"].alias("body"), fields.join_photo_urls(r["Photos"]).alias("image"), bad.alias("bad"))
 
 
-def read_cutoff(typed: DataFrame, earliest: Column | None, key: str = "target") -> DataFrame:
-    """F2 + F3: keep each target's rows before its first empty page or, with
-    a limit, its first review older than ``earliest``."""
-    stop = F.col("empty_page")
-    if earliest is not None:
-        stop = stop | F.coalesce(F.col("date") < earliest, F.lit(False))
-    kept = recency.take_while(typed, stop, key, ("page_no", "pos"))
-    return kept.filter(~F.col("empty_page"))
-
-
-def failed_targets(read: DataFrame, key: str = "target") -> DataFrame:
-    """Targets with a bad review inside the part that was read."""
-    return read.filter(F.col("bad")).select(key).distinct()
+def extract_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
+    """Landed JSON pages -> typed reviews of the targets that did not fail."""
+    typed = typed_reviews(landed, layout)
+    return read_targets(typed, target_cuts(read_events(typed, earliest), typed))[0]
 
 
-def drop_failed(read: DataFrame, key: str = "target") -> DataFrame:
-    """3.4: a target is atomic - any bad row drops all its rows."""
-    return read.join(failed_targets(read, key), key, "left_anti")
+def typed_reviews(landed: DataFrame, layout: str) -> DataFrame:
+    """Landed JSON pages -> typed rows, written once (parsed once)."""
+    explode, typed = {"walmart": (explode_walmart, typed_walmart), "lowes": (explode_lowes, typed_lowes)}[layout]
+    return written(typed(explode(landed)), "typed-reviews")
 
 
-def extract_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
-    """Landed JSON pages -> typed reviews of the targets that did not fail."""
-    if layout == "walmart":
-        typed = typed_walmart(explode_walmart(landed))
-    elif layout == "lowes":
-        typed = typed_lowes(explode_lowes(landed))
-    else:
-        raise ValueError(f"unknown JSON layout: {layout}")
-    return drop_failed(read_cutoff(typed, earliest))
-
-
-def target_report(targets: DataFrame, read: DataFrame, key: str = "target") -> DataFrame:
-    """K5/A1: per target ``status`` (success / no new reviews / failed) and
-    ``n_reviews`` (rows kept)."""
-    failed = failed_targets(read, key).withColumn("__failed", F.lit(True))
+def read_events(rows: DataFrame, earliest: Column | None, key: str = "target") -> DataFrame:
+    """Narrow ``(key, page_no, pos, stop, bad)`` of typed rows: what ends reading, what fails a target."""
+    stop = F.coalesce(F.col("empty_page"), F.lit(False)) if "empty_page" in rows.columns else F.lit(False)
+    if earliest is not None:
+        stop = stop | F.coalesce(F.col("date") < earliest, F.lit(False))
+    return rows.select(key, F.col("page_no").cast("long").alias("page_no"), F.col("pos").cast("long").alias("pos"),
+                       stop.alias("stop"), F.col("bad"))
+
+
+def target_cuts(events: DataFrame, targets: DataFrame, failed: DataFrame | None = None, key: str = "target") -> DataFrame:
+    """One row per target: ``__stop``, the place from which on nothing is read, and ``__failed``: something bad
+    before that place, or the target is among ``failed`` (no metadata).  One grouped aggregate."""
+    at = F.struct("page_no", "pos")
+    cuts = events.groupBy(key).agg(F.min(F.when(F.col("stop"), at)).alias("__stop"),
+                                   F.min(F.when(F.col("bad"), at)).alias("__bad"))
+    t = targets.select(key).distinct().join(cuts, key, "left")
+    lost = F.lit(False)
+    if failed is not None:
+        t = t.join(failed.select(key, F.lit(True).alias("__lost")).distinct(), key, "left")
+        lost = F.coalesce("__lost", F.lit(False))
+    bad = F.col("__bad").isNotNull() & (F.col("__stop").isNull() | (F.col("__bad") < F.col("__stop")))
+    return t.select(key, "__stop", (lost | bad).alias("__failed"))
+
+
+def read_targets(rows: DataFrame, cuts: DataFrame, key: str = "target") -> tuple[DataFrame, DataFrame]:
+    """(reviews, report): one join of the typed rows with the per-target cuts applies where reading stops and
+    which targets fail; the report counts what is left (K5, A1)."""
+    at = F.struct(F.col("page_no").cast("long").alias("page_no"), F.col("pos").cast("long").alias("pos"))
+    read = rows.join(cuts, key).filter(~F.col("__failed") & (F.col("__stop").isNull() | (at < F.col("__stop"))))
+    if "empty_page" in rows.columns:
+        read = read.filter(~F.col("empty_page"))
+    read = read.drop("__stop", "__failed")
     counts = read.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    t = targets.select(key).distinct().join(failed, key, "left").join(counts, key, "left")
     n = F.coalesce("__n", F.lit(0)).cast("bigint")
-    status = (F.when(F.col("__failed"), F.lit("failed"))
-              .when(n > 0, F.lit("success")).otherwise(F.lit("no new reviews")))
-    return t.select(key, status.alias("status"),
-                    F.when(F.col("__failed"), F.lit(0).cast("bigint")).otherwise(n).alias("n_reviews"))
+    status = (F.when(F.col("__failed"), F.lit("failed")).when(n > 0, F.lit("success"))
+              .otherwise(F.lit("no new reviews")))
+    report = cuts.join(counts, key, "left").select(key, status.alias("status"), n.alias("n_reviews"))
+    return read, report

@@ -108,12 +108,16 @@ def _cell(n: Node) -> str:
 
 
 def spec_tables(root: Node) -> list:
-    """Every table as rows of whitespace-normalised cell texts."""
+    """Every table as rows of whitespace-normalised cell texts.  Rows without cells are skipped; heading
+    rows (in ``thead``, or rows of only ``th`` before the first other row) name the columns and are no data."""
     out = []
     for t in root.find_all("table"):
-        rows = []
+        rows: list[list[str]] = []
         for tr in t.find_all("tr"):
-            rows.append([_cell(c) for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")])
+            cells = [c for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")]
+            heading = tr.parent.tag == "thead" or (not rows and all(c.tag == "th" for c in cells))
+            if cells and not heading:
+                rows.append([_cell(c) for c in cells])
         out.append(rows)
     return out
 
@@ -183,12 +187,14 @@ def amazon_page_reviews(landed: DataFrame) -> DataFrame:
     rows = _explode(parse_pages(landed, amazon_reviews, "__recs", AMAZON_RECORDS), "__recs")
     token = fields.trailing_date_token(F.col("date_text"))
     date = fields.parse_date(token, "amazon")
-    bad = F.col("date_text").isNull() | (token == "") | date.isNull() | ~F.col("images_ok")
+    rating = fields.rating_from_text(F.col("rating_text"))
+    bad = (F.col("date_text").isNull() | (token == "") | date.isNull() | ~F.col("images_ok")
+           | (F.col("rating_text").isNotNull() & rating.isNull()))
     return rows.select(
         *[c for c in landed.columns if c != "html"], "pos",
         date.alias("date"),
         fields.strip_size_label(F.col("size_text")).alias("size"),
-        fields.rating_from_text(F.col("rating_text")).alias("rating"),
+        rating.alias("rating"),
         "title", "body",
         F.array_join(F.col("images"), "\n").alias("image"),
         "badge", bad.alias("bad"))
@@ -234,15 +240,22 @@ def page_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return parsed.select(key, F.posexplode("__h").alias("pos", "href"))
 
 
-def page_spec_pairs(pages: DataFrame) -> DataFrame:
-    """Positional (feature, item) pairs of each page's spec tables;
-    a page without pairs keeps one row with NULL feature."""
-    from revlens.operators.lookups import zip_spec_pairs
+PRODUCT_PAGE = T.StructType([T.StructField("headline", T.StringType()), T.StructField("tables", TABLES)])
 
-    parsed = parse_pages(pages, spec_tables, "__t", TABLES)
+
+def product_page(root: Node) -> dict:
+    """E6 + E7 in one parse."""
+    return {"headline": first_h1(root), "tables": spec_tables(root)}
+
+
+def page_models(pages: DataFrame, url_col: str = "url") -> DataFrame:
+    """Headline and model number of each product page, all within the page's row."""
+    from revlens.operators.lookups import model_from_pairs, zip_spec_pairs
+
+    parsed = parse_pages(pages, product_page, "__p", PRODUCT_PAGE)
     keys = [c for c in pages.columns if c != "html"]
-    z = parsed.select(*keys, F.posexplode_outer(zip_spec_pairs(F.col("__t"))).alias("pos", "__p"))
-    return z.select(*keys, "pos", F.col("__p.feature").alias("feature"), F.col("__p.item").alias("item"))
+    z = parsed.select(*keys, F.col("__p.headline").alias("headline"), zip_spec_pairs(F.col("__p.tables")).alias("__z"))
+    return z.select(*keys, "headline", model_from_pairs(F.col("__z"), F.col(url_col)).alias("model_no"))
 
 
 def homedepot_listing_targets(listing: DataFrame, prefix: str = params.HOMEDEPOT_REVIEW_PREFIX) -> DataFrame:
@@ -258,5 +271,6 @@ def walmart_listing_targets(listing: DataFrame, keyword: str) -> DataFrame:
     items = _explode(parse_pages(listing, walmart_items, "__i", WM_ITEMS), "__i")
     keep = items.filter(F.col("has_count") & F.col("product_id").isNotNull() & F.col("desc").isNotNull()
                         & F.lower(F.col("desc")).contains(keyword.lower()))
-    return keep.select("category", "product_id", F.col("href").alias("url"), F.col("desc").alias("description")).distinct()
+    # a product listed under two descriptions is one target
+    return keep.groupBy("category", "product_id", F.col("href").alias("url")).agg(F.min("desc").alias("description"))
 

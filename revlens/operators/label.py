@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,11 @@ def load_or_train(spark, ml_tags: Sequence[str], model_path: str | None = None,
     if model_path:
         try:
             return NBModel.load(spark, model_path, ml_tags)
-        except Exception:  # missing tables or a missing tag: retrain everything
+        except KeyError:                       # a tag is missing: train all requested ones
             pass
+        except AnalysisException as e:         # nothing saved there; any other error is not ours to hide
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     if training is None:
         raise FileNotFoundError("no saved model for the requested tags and no training table")
     model = fit(training, ml_tags, stem=stem)

@@ -63,12 +63,13 @@ def zip_spec_pairs(tables: Column) -> Column:
 
     One table: column 0 against column 1.  Several: column 0 of the first
     against column 0 of the second without its first row.  Zip is positional
-    and the shorter side wins.
+    and the shorter side wins; a cell that a row lacks is NULL.
     """
-    first = F.element_at(tables, 1)
-    second = F.element_at(tables, 2)
-    col0 = lambda t: F.transform(t, lambda r: F.element_at(r, 1))
-    col1 = lambda t: F.transform(t, lambda r: F.element_at(r, 2))
+    first = F.try_element_at(tables, F.lit(1))
+    second = F.try_element_at(tables, F.lit(2))
+    # a ragged row has no such cell: NULL, not an error
+    col0 = lambda t: F.transform(t, lambda r: F.try_element_at(r, F.lit(1)))
+    col1 = lambda t: F.transform(t, lambda r: F.try_element_at(r, F.lit(2)))
     feats = F.when(F.size(tables) == 1, col0(first)).when(F.size(tables) > 1, col0(first))
     items = (F.when(F.size(tables) == 1, col1(first))
              .when(F.size(tables) > 1, F.slice(col0(second), 2, 1 << 30)))
@@ -77,23 +78,10 @@ def zip_spec_pairs(tables: Column) -> Column:
                                       F.slice(items, 1, n).alias("item")))
 
 
-def resolve_model_no(pairs: DataFrame, key: str = "target", url_col: str = "url") -> DataFrame:
-    """Model number per target by priority.
-
-    ``pairs`` has ``key, url, pos, feature, item`` (one row per spec pair,
-    rows of a target without pairs have NULL feature).  The first ``Model``
-    wins; else the last part-number feature; else the page URL.
-    """
-    is_model = F.col("feature") == F.lit(params.MODEL_FEATURE)
-    is_part = F.col("feature").isin(*params.PART_NUMBER_FEATURES)
-    agg = pairs.groupBy(key).agg(
-        F.first(url_col, ignorenulls=True).alias(url_col),
-        F.min_by(F.col("item"), F.when(is_model, F.col("pos"))).alias("__model"),
-        F.max_by(F.col("item"), F.when(is_part, F.col("pos"))).alias("__part"),
-        F.max(is_model.cast("int")).alias("__has_model"),
-        F.max(is_part.cast("int")).alias("__has_part"),
-    )
-    model = (F.when(F.col("__has_model") == 1, F.col("__model"))
-             .when(F.col("__has_part") == 1, F.col("__part"))
-             .otherwise(F.col(url_col)))
-    return agg.select(key, url_col, model.alias("model_no"))
+def model_from_pairs(pairs: Column, url: Column) -> Column:
+    """Model number by priority from a page's (feature, item) pairs: the first ``Model``, else the last
+    part-number feature, else the page URL.  Within the row: no shuffle."""
+    models = F.filter(pairs, lambda p: p["feature"] == F.lit(params.MODEL_FEATURE))
+    parts = F.filter(pairs, lambda p: p["feature"].isin(*params.PART_NUMBER_FEATURES))
+    return (F.when(F.size(models) > 0, F.try_element_at(models, F.lit(1))["item"])
+            .when(F.size(parts) > 0, F.try_element_at(parts, F.lit(-1))["item"]).otherwise(url))

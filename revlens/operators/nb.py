@@ -13,16 +13,17 @@ only when strictly greater.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import params
 from revlens.functions import fields
-from revlens.operators.tfidf import Vocabulary, fit_vocabulary, tfidf_vectors
+from revlens.operators.tfidf import Vocabulary, fit_vocabulary, sparse_tfidf
 
 
 def training_tags(df: DataFrame, category_col: str = "category") -> DataFrame:
@@ -39,17 +40,18 @@ def tag_vocabulary(df: DataFrame, category_col: str = "category") -> DataFrame:
             .filter(F.col("tag") != "").distinct())
 
 
-def class_statistics(vectors: DataFrame, tags: Sequence[str], vec_col: str = "w",
+def class_statistics(vectors: DataFrame, tags: Sequence[str], vec_col: str = "v",
                      tags_col: str = "tags") -> tuple[DataFrame, DataFrame]:
     """A4/A5: ``(tag, cls, n_c, total_w)`` and ``(tag, cls, idx, sum_w)``."""
     tag_arr = F.array(*[F.lit(t) for t in tags])
     per_tag = vectors.select(F.explode(tag_arr).alias("tag"), tags_col, vec_col).withColumn(
         "cls", F.array_contains(F.col(tags_col), F.col("tag")).cast("int"))
-    totals = per_tag.groupBy("tag", "cls").agg(
-        F.count(F.lit(1)).alias("n_c"),
-        F.sum(F.aggregate(vec_col, F.lit(0.0), lambda a, x: a + x)).alias("total_w"))
-    sums = (per_tag.select("tag", "cls", F.posexplode_outer(vec_col).alias("idx", "x"))
-            .filter(F.col("x") != 0).groupBy("tag", "cls", "idx").agg(F.sum("x").alias("sum_w")))
+    # sparse vectors are summed map-side: one dense vector per tag, class and task is shuffled
+    per_class = per_tag.groupBy("tag", "cls").agg(F.count(F.lit(1)).alias("n_c"),
+                                                  Summarizer.sum(F.col(vec_col)).alias("s"))
+    per_class = per_class.withColumn("s", vector_to_array("s"))
+    totals = per_class.select("tag", "cls", "n_c", F.aggregate("s", F.lit(0.0), lambda a, x: a + x).alias("total_w"))
+    sums = per_class.select("tag", "cls", F.posexplode("s").alias("idx", "sum_w"))
     return totals, sums
 
 
@@ -82,34 +84,47 @@ class NBModel:
         rows = []
         for (tag, cls), probs in self.log_prob.items():
             for idx, lp in enumerate(probs):
-                rows.append((tag, int(cls), idx, self.vocab.terms[idx], float(lp),
-                             float(self.log_prior[(tag, cls)])))
-        return spark.createDataFrame(
-            rows, "tag string, cls int, idx int, term string, log_prob double, log_prior double")
+                rows.append((tag, int(cls), idx, self.vocab.terms[idx], int(self.vocab.doc_freq[idx]),
+                             int(self.vocab.n_docs), float(lp), float(self.log_prior[(tag, cls)])))
+        return spark.createDataFrame(rows, "tag string, cls int, idx int, term string, df bigint, n_docs bigint, "
+                                           "log_prob double, log_prior double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.vocab.to_frame(spark).write.mode("overwrite").parquet(os.path.join(path, "vocab"))
-        self.table(spark).write.mode("overwrite").partitionBy("tag").parquet(os.path.join(path, "nb"))
+        """Every tag's classifier with the vocabulary it was fitted on, in one write that replaces the
+        partitions of these tags only: other saved tags stay, and no half of a model is ever newer."""
+        (self.table(spark).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("tag").parquet(path))
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, tags: Sequence[str] | None = None) -> "NBModel":
-        vocab = Vocabulary.from_frame(spark.read.parquet(os.path.join(path, "vocab")))
-        nb = spark.read.parquet(os.path.join(path, "nb"))
-        if tags is not None:
-            nb = nb.filter(F.col("tag").isin(list(tags)))
-        return cls.from_table(vocab, nb, tags)
+    def load(cls, spark: SparkSession, path: str, tags: Sequence[str]) -> "NBModel":
+        """The classifiers of ``tags``; a tag that isn't saved, or tags saved with different vocabularies, are
+        a ``KeyError`` (train again); any other error is the caller's."""
+        nb = spark.read.parquet(path).filter(F.col("tag").cast("string").isin(list(tags)))
+        rows = nb.limit(len(tags) * 2 * params.MAX_FEATURES + 1).collect()
+        if len(rows) > len(tags) * 2 * params.MAX_FEATURES:
+            raise ValueError("model table larger than tags x 2 x vocabulary")
+        kept = {(str(r["tag"]), r["cls"]): set() for r in rows}
+        for r in rows:
+            kept[str(r["tag"]), r["cls"]].add((r["idx"], r["term"], r["df"], r["n_docs"]))
+        if {t for t, _ in kept} != set(tags) or len({frozenset(v) for v in kept.values()}) != 1:
+            raise KeyError("no classifiers of one vocabulary for the requested tags")
+        words = sorted(next(iter(kept.values())))
+        vocab = Vocabulary([w[1] for w in words], [int(w[2]) for w in words], int(words[0][3]))
+        return cls._from_rows(vocab, rows, tags)
 
     @classmethod
-    def from_table(cls, vocab: Vocabulary, nb: DataFrame, tags: Sequence[str] | None) -> "NBModel":
-        bound = max(1, len(tags or [])) * 2 * max(1, len(vocab))
-        rows = nb.select("tag", "cls", "idx", "log_prob", "log_prior").collect()
-        if tags is None:
-            tags = sorted({r["tag"] for r in rows})
-        elif len(rows) > bound:
+    def from_table(cls, vocab: Vocabulary, nb: DataFrame, tags: Sequence[str]) -> "NBModel":
+        most = max(1, len(tags)) * 2 * max(1, len(vocab))
+        rows = nb.select("tag", "cls", "idx", "log_prob", "log_prior").limit(most + 1).collect()
+        if len(rows) > most:
             raise ValueError("model table larger than tags x 2 x vocabulary")
+        return cls._from_rows(vocab, rows, tags)
+
+    @classmethod
+    def _from_rows(cls, vocab: Vocabulary, rows, tags: Sequence[str]) -> "NBModel":
         m = cls(vocab, list(tags))
         for r in rows:
-            key = (r["tag"], int(r["cls"]))
+            key = (str(r["tag"]), int(r["cls"]))
             m.log_prior[key] = r["log_prior"]
             m.log_prob.setdefault(key, [0.0] * len(vocab))[int(r["idx"])] = r["log_prob"]
         missing = [t for t in m.tags if not any(k[0] == t for k in m.log_prior)]
@@ -137,17 +152,16 @@ class NBModel:
 
 def labelled_ngrams(train: DataFrame, stem: bool = True, title: str = "title", body: str = "body",
                     category: str = "category") -> DataFrame:
-    """Training rows with a non-blank category as ``(doc_id, tags, ngrams)``."""
+    """Training rows with a non-blank category as ``(tags, ngrams)``."""
     from revlens.functions.text import with_review_ngrams
 
     labelled = training_tags(train, category).select("tags", title, body)
-    labelled = with_review_ngrams(labelled, title, body, stem, "ngrams").select("tags", "ngrams")
-    return labelled.withColumn("doc_id", F.monotonically_increasing_id())
+    return with_review_ngrams(labelled, title, body, stem, "ngrams").select("tags", "ngrams")
 
 
 def fit_table(labelled: DataFrame, tags: Sequence[str],
               max_features: int = params.MAX_FEATURES) -> tuple[Vocabulary, DataFrame]:
-    """X11 + X14 on ``(doc_id, tags, ngrams)``: the vocabulary (bounded by
+    """X11 + X14 on ``(tags, ngrams)``: the vocabulary (bounded by
     ``max_features``) and the Spark-computed log-probability table."""
     # One pass: the document count and, per requested tag, whether any row has it.
     probe = labelled.agg(F.count(F.lit(1)).alias("n"), *[
@@ -155,10 +169,10 @@ def fit_table(labelled: DataFrame, tags: Sequence[str],
     unknown = [t for i, t in enumerate(tags) if not probe[f"t{i}"]]
     if unknown:
         raise KeyError(f"tags not in the training data: {unknown}")
-    vocab = fit_vocabulary(labelled, "doc_id", "ngrams", max_features, n_docs=int(probe["n"]))
+    vocab = fit_vocabulary(labelled, "ngrams", max_features, n_docs=int(probe["n"]))
     if len(vocab) == 0:
         raise ValueError("empty vocabulary: the training texts have no terms")
-    vectors = tfidf_vectors(labelled, vocab, "ngrams", "w")
+    vectors = sparse_tfidf(labelled, vocab, "ngrams", "v")
     totals, sums = class_statistics(vectors, tags)
     return vocab, log_prob_table(totals, sums, vocab, vocab.n_docs)
 

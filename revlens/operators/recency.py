@@ -65,28 +65,26 @@ def take_while_recent_window(df: DataFrame, earliest: Column | None, key: str =
     return df.withColumn("__stopped", stopped).filter(F.col("__stopped") == 0).drop("__stopped")
 
 
-def stop_at_first_empty_page(pages: DataFrame, n_col: str = "n_reviews", key: str = "target",
-                             page_col: str = "page_no") -> DataFrame:
-    """drop a target's pages from its first empty page on."""
-    return take_while(pages, F.col(n_col) == 0, key, (page_col,))
+def pager_flags(pages: DataFrame, key: str = "target", seq_col: str = "seq", label_col: str = "page_label",
+                wrap_label: str | None = "1") -> DataFrame:
+    """each observation with ``__repeat`` (same label as the one fetched just before) and ``__ends``.
 
-
-def pager_cutoff(pages: DataFrame, key: str = "target", seq_col: str = "seq",
-                 label_col: str = "page_label", wrap_label: str | None = "1") -> DataFrame:
-    """pager observations in fetch order (``seq`` counts fetches 1, 2, ...).
-
-    An observation whose label equals the one fetched just before it is a
-    re-observation and is skipped; the pager coming back to ``wrap_label``
-    from another page ends the target (nothing from there on is read).  With
-    ``wrap_label=None`` only repeats are removed (the "URL did not change"
-    rule).  The previous fetch is found by an equi-join on ``seq - 1``, so no
-    target is ever sorted in one task.
+    With a ``wrap_label`` a repeat is only skipped, and the pager coming back to that label from another page
+    ends the target; with None a repeat itself does (the address that did not change).  The previous fetch
+    is found by an equi-join on ``seq - 1`` of narrow rows, so no target is ever sorted in one task.
     """
     prev = pages.select(F.col(key), (F.col(seq_col) + 1).alias(seq_col), F.col(label_col).alias("__prev"))
     p = pages.join(prev, [key, seq_col], "left")
     repeat = F.coalesce(F.col(label_col) == F.col("__prev"), F.lit(False))
-    out = p
+    ends = repeat
     if wrap_label is not None:
-        wrap = (~repeat) & F.col("__prev").isNotNull() & (F.col(label_col) == F.lit(wrap_label))
-        out = take_while(p, wrap, key, (seq_col,))
-    return out.filter(~repeat).drop("__prev")
+        ends = ~repeat & F.col("__prev").isNotNull() & F.coalesce(F.col(label_col) == F.lit(wrap_label), F.lit(False))
+    return p.select(*pages.columns, repeat.alias("__repeat"), ends.alias("__ends"))
+
+
+def pager_cutoff(pages: DataFrame, key: str = "target", seq_col: str = "seq",
+                 label_col: str = "page_label", wrap_label: str | None = "1") -> DataFrame:
+    """pager observations in fetch order (``seq`` counts fetches 1, 2, ...) that are read: nothing from
+    the first one that ends its target on, and no re-observation (see ``pager_flags``)."""
+    flagged = pager_flags(pages, key, seq_col, label_col, wrap_label)
+    return take_while(flagged, F.col("__ends"), key, (seq_col,)).filter(~F.col("__repeat")).drop("__repeat", "__ends")

@@ -1,4 +1,4 @@
-"""Union and dedupe."""
+"""Union and dedupe."""
 
 from __future__ import annotations
 
@@ -25,8 +25,3 @@ def dedupe_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame
     duplicates map-side before the shuffle, so a heavily repeated row costs
     one row per map task, not one per copy."""
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
-
-
-def distinct_targets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The set of discovered targets."""
-    return df.select(*cols).distinct()

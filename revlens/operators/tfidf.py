@@ -50,22 +50,26 @@ class Vocabulary:
         return spark.createDataFrame(rows, schema)
 
     @classmethod
-    def from_frame(cls, df: DataFrame) -> "Vocabulary":
-        rows = df.orderBy("idx").collect()
+    def from_frame(cls, df: DataFrame, most: int = params.MAX_FEATURES) -> "Vocabulary":
+        """A saved vocabulary; one of more than ``most`` terms is an error."""
+        rows = df.orderBy("idx").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"saved vocabulary has more than {most} terms")
         n = int(rows[0]["n_docs"]) if rows else 0
         return cls([r["term"] for r in rows], [int(r["df"]) for r in rows], n)
 
 
-def term_stats(docs: DataFrame, doc_col: str = "doc_id", ngrams_col: str = "ngrams") -> DataFrame:
-    """A2: ``(term, total_count, doc_freq)`` over all documents."""
+def term_stats(docs: DataFrame, ngrams_col: str = "ngrams") -> DataFrame:
+    """A2: ``(term, total_count, doc_freq)`` over all documents: every n-gram counts once for the total, every
+    distinct n-gram of a row once for the documents; one shuffle, by term, after map-side sums."""
     # explode_outer: a plain explode makes the optimizer infer a size() > 0
     # filter and push it below the projection that builds the n-grams, which
     # would evaluate the whole text pipeline a second time.
-    per_doc = (docs.select(doc_col, F.explode_outer(ngrams_col).alias("term"))
-               .filter(F.col("term").isNotNull())
-               .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("c")))
-    return per_doc.groupBy("term").agg(F.sum("c").alias("total_count"),
-                                       F.count(F.lit(1)).alias("doc_freq"))
+    one = lambda n, d: lambda t: F.struct(t.alias("term"), F.lit(n).alias("n"), F.lit(d).alias("d"))
+    counts = F.concat(F.transform(ngrams_col, one(1, 0)), F.transform(F.array_distinct(ngrams_col), one(0, 1)))
+    return (docs.select(F.explode_outer(counts).alias("t")).filter(F.col("t").isNotNull())
+            .groupBy(F.col("t.term").alias("term"))
+            .agg(F.sum("t.n").alias("total_count"), F.sum("t.d").alias("doc_freq")))
 
 
 def top_terms(stats: DataFrame, max_features: int = params.MAX_FEATURES) -> DataFrame:
@@ -73,28 +77,32 @@ def top_terms(stats: DataFrame, max_features: int = params.MAX_FEATURES) -> Data
     return stats.orderBy(F.desc("total_count"), F.asc("term")).limit(max_features)
 
 
-def fit_vocabulary(docs: DataFrame, doc_col: str = "doc_id", ngrams_col: str = "ngrams",
+def fit_vocabulary(docs: DataFrame, ngrams_col: str = "ngrams",
                    max_features: int = params.MAX_FEATURES, n_docs: int | None = None) -> Vocabulary:
     """X11: fit the vocabulary and document frequencies on ``docs``
     (``n_docs``, if known, saves a count)."""
     if n_docs is None:
         n_docs = docs.count()
-    top = top_terms(term_stats(docs, doc_col, ngrams_col), max_features).collect()
+    top = top_terms(term_stats(docs, ngrams_col), max_features).collect()
     assert len(top) <= max_features
     top = sorted(top, key=lambda r: r["term"])
     return Vocabulary([r["term"] for r in top], [int(r["doc_freq"]) for r in top], int(n_docs))
 
 
+def sparse_tfidf(df: DataFrame, vocab: Vocabulary, ngrams_col: str = "ngrams", out_col: str = "v") -> DataFrame:
+    """Add ``out_col`` = sparse L2-normalised tf-idf vector over the vocabulary."""
+    cv = CountVectorizerModel.from_vocabulary(vocab.terms, inputCol=ngrams_col, outputCol="__tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(vocab.idf), inputCol="__tf", outputCol="__tfidf")
+    norm = Normalizer(p=2.0, inputCol="__tfidf", outputCol=out_col)
+    return norm.transform(scale.transform(cv.transform(df))).drop("__tf", "__tfidf")
+
+
 def tfidf_vectors(df: DataFrame, vocab: Vocabulary, ngrams_col: str = "ngrams",
                   out_col: str = "w") -> DataFrame:
     """Add ``out_col`` = dense L2-normalised tf-idf array over the vocabulary."""
     if len(vocab) == 0:
         return df.withColumn(out_col, F.array().cast(T.ArrayType(T.DoubleType())))
-    cv = CountVectorizerModel.from_vocabulary(vocab.terms, inputCol=ngrams_col, outputCol="__tf")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(vocab.idf), inputCol="__tf", outputCol="__tfidf")
-    norm = Normalizer(p=2.0, inputCol="__tfidf", outputCol="__vec")
-    out = norm.transform(scale.transform(cv.transform(df)))
-    return out.withColumn(out_col, vector_to_array("__vec")).drop("__tf", "__tfidf", "__vec")
+    return sparse_tfidf(df, vocab, ngrams_col, "__vec").withColumn(out_col, vector_to_array("__vec")).drop("__vec")
 
 
 def tfidf_long(df: DataFrame, vocab: Vocabulary, doc_col: str = "doc_id",

@@ -115,7 +115,6 @@ SIZE_LABEL = "Size: "
 HOMEDEPOT_REVIEW_PREFIX = "https://www.homedepot.com/p/reviews"
 LOWES_SEARCH_URL = ("https://www.lowes.com/rnr/r/get-by-product/{}/pdp/prod"
                     "?sortMethod=SubmissionTime&sortDirection=desc&offset=")
-WALMART_PAGE_SIZE = 20
 LOWES_PAGE_SIZE = 10
 
 # Model-number features on a spec table, by priority.

@@ -150,7 +150,14 @@ FROM r JOIN m2d m ON r.model_no = m.model_no
 # ---------------------------------------------------------------------------
 # Landed JSON layouts, re-derived straight from the review rows.
 # ---------------------------------------------------------------------------
-def _cut_read(fail_mod: int, fail_rem: int, limit: str | None) -> str:
+def _fails(fail: tuple) -> str:
+    return "(" + " OR ".join(f"doc_id % {m} = {r}" for m, r in fail) + ")"
+
+
+RATING = f"CAST(rating AS DOUBLE) + CASE WHEN doc_id % {testbed.HALF_RATING[0]} = {testbed.HALF_RATING[1]} THEN 0.5 ELSE 0 END AS rating"
+
+
+def _cut_read(fail: tuple, limit: str | None) -> str:
     stop = f"date < DATE '{limit}'" if limit else "false"
     return f"""
 , lw AS (SELECT *, 2 + ascii(right(target, 1)) % 3 AS cut FROM reviews),
@@ -161,20 +168,20 @@ flag AS (
   FROM lw WHERE page_no < cut
 ),
 kept AS (SELECT * FROM flag WHERE stopped = 0),
-failed AS (SELECT DISTINCT target FROM kept WHERE doc_id % {fail_mod} = {fail_rem})"""
+failed AS (SELECT DISTINCT target FROM kept WHERE {_fails(fail)})"""
 
 
-WALMART_JSON_EXTRACT = with_reviews(_cut_read(*testbed.WALMART_FAIL, None) + """
-SELECT target, page_no, date, rating, title, body, image
+WALMART_JSON_EXTRACT = with_reviews(_cut_read(testbed.WALMART_FAIL, None) + f"""
+SELECT target, page_no, date, {RATING}, title, body, image
 FROM kept WHERE target NOT IN (SELECT target FROM failed)
 """)
 
-LOWES_JSON_EXTRACT = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
-SELECT target, page_no, date, rating, title, body, image
+LOWES_JSON_EXTRACT = with_reviews(_cut_read(testbed.LOWES_FAIL, "2024-01-24") + f"""
+SELECT target, page_no, date, {RATING}, title, body, image
 FROM kept WHERE target NOT IN (SELECT target FROM failed)
 """)
 
-FAILED_TARGETS_REPORT = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
+FAILED_TARGETS_REPORT = with_reviews(_cut_read(testbed.LOWES_FAIL, "2024-01-24") + """
 , cnt AS (SELECT target, count(*) AS n FROM kept GROUP BY target),
 tg AS (SELECT DISTINCT target FROM reviews)
 SELECT tg.target,
@@ -184,7 +191,7 @@ SELECT tg.target,
 FROM tg LEFT JOIN failed f ON tg.target = f.target LEFT JOIN cnt c ON tg.target = c.target
 """)
 
-TARGET_TOTALS = with_reviews(_cut_read(*testbed.LOWES_FAIL, "2024-01-24") + """
+TARGET_TOTALS = with_reviews(_cut_read(testbed.LOWES_FAIL, "2024-01-24") + """
 , cnt AS (SELECT target, count(*) AS n FROM kept GROUP BY target),
 tg AS (SELECT DISTINCT target FROM reviews),
 rep AS (
@@ -394,10 +401,12 @@ SELECT *, {_category(ML_CANDIDATES)} AS category FROM flagged
 
 
 def all_oracles() -> dict[str, str]:
+    from revlens.plans.oracles_flows import ORACLES as FLOW_ORACLES
     from revlens.plans.oracles_html import ORACLES as HTML_ORACLES
 
     return {
         **HTML_ORACLES,
+        **FLOW_ORACLES,
         "review_base": REVIEW_BASE,
         "rule_labels": RULE_LABELS,
         "recency_filter": RECENCY_FILTER,

@@ -6,15 +6,19 @@ full, so its work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens import params, sinks
 from revlens.functions import fields, text
 from revlens.functions.stem import stem_word
 from revlens.operators import extract, html_extract, label, lookups, nb, recency, rules, sets, tfidf
-from revlens.sources import testbed
+from revlens.plans import reviews as flows
+from revlens.session import ensure_checkpoint_dir, written
+from revlens.sources import config, testbed
 from revlens.sources.tables import table
 
 
@@ -97,22 +101,16 @@ def size_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "target", "size", "model_no", "model_description")
 
 
-STRICT_MODELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "XL"]
-
-
 def strict_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product id from the URL; model -> description is strict, so a
+    """Product id from the URL; model -> description is strict, so a
     target whose model has no description yields nothing."""
     r = _reviews(spark, sf_dir)
     url = F.concat(F.lit("https://www.lowes.com/pd/ac-"), F.col("target"), F.lit("/"),
                    (F.ascii(F.expr("right(target, 1)")) + 1000).cast("string"))
-    models = F.array(*[F.lit(m) for m in STRICT_MODELS])
-    model = F.element_at(models, (F.ascii(F.expr("right(target, 1)")) % len(STRICT_MODELS) + 1).cast("int"))
+    models = F.array(*[F.lit(m) for m in testbed.MODELS])
+    model = F.element_at(models, (F.ascii(F.expr("right(target, 1)")) % len(testbed.MODELS) + 1).cast("int"))
     r = r.select("doc_id", "target", fields.last_path_segment(url).alias("product_id"), model.alias("model_no"))
-    part = table(spark, sf_dir, "part")
-    model2desc = part.groupBy(F.col("p_type").alias("model_no")).agg(
-        F.min_by("p_name", "p_partkey").alias("model_description"))
-    out = lookups.strict_description(r, model2desc)
+    out = lookups.strict_description(r, testbed.model_descriptions(table(spark, sf_dir, "part")))
     return out.select("doc_id", "target", "product_id", "model_no", "model_description")
 
 
@@ -136,15 +134,12 @@ def lowes_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def failed_targets_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5/K6/A1/3.4: per-target outcome of the Lowes read with a day limit."""
-    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
-    read = extract.read_cutoff(extract.typed_lowes(extract.explode_lowes(landed)), _earliest())
-    return extract.target_report(landed.select("target"), read)
+    rows = extract.typed_reviews(testbed.landed_lowes(_reviews(spark, sf_dir)), "lowes")
+    return extract.read_targets(rows, extract.target_cuts(extract.read_events(rows, _earliest()), rows))[1]
 
 
 def target_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6/A1: totals of the per-target outcome report in one row."""
-    from revlens import sinks
-
     return sinks.totals(failed_targets_report(spark, sf_dir))
 
 
@@ -169,16 +164,19 @@ def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def amazon_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amazon-layout review pages -> typed reviews."""
-    rows = html_extract.amazon_page_reviews(testbed.landed_amazon(_reviews(spark, sf_dir)))
-    return extract.drop_failed(rows).select("target", "page_no", "date", "size", "rating", "title", "body",
-                                            "image", "badge")
+    rows = written(html_extract.amazon_page_reviews(testbed.landed_amazon(_reviews(spark, sf_dir))), "typed-reviews")
+    return _unfailed(rows).select("target", "page_no", "date", "size", "rating", "title", "body", "image", "badge")
+
+
+def _unfailed(rows: DataFrame) -> DataFrame:
+    return extract.read_targets(rows, extract.target_cuts(extract.read_events(rows, None), rows))[0]
 
 
 def homedepot_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2/E2/E10/P3/P5/P7/P8/3.4: Home Depot-layout review pages; a review
     without its required stars style fails its whole target."""
-    rows = html_extract.homedepot_page_reviews(testbed.landed_homedepot(_reviews(spark, sf_dir)))
-    return extract.drop_failed(rows).select("target", "page_no", "date", "rating", "title", "body", "image")
+    rows = written(html_extract.homedepot_page_reviews(testbed.landed_homedepot(_reviews(spark, sf_dir))), "typed-reviews")
+    return _unfailed(rows).select("target", "page_no", "date", "rating", "title", "body", "image")
 
 
 def product_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,8 +188,8 @@ def product_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spec_model_no(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model number from spec tables by priority, else the URL."""
-    pairs = html_extract.page_spec_pairs(testbed.spec_pages(table(spark, sf_dir, "part")))
-    return lookups.resolve_model_no(pairs, "target", "url").select("target", "url", "model_no")
+    pages = testbed.spec_pages(table(spark, sf_dir, "part"))
+    return html_extract.page_models(pages).select("target", "url", "model_no")
 
 
 def target_discovery_hd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +219,152 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.page_links(table(spark, sf_dir, "pages"))
 
 
+# ---------------------------------------------------------------------------
+# End-to-end flows: reviews and per-target report of each layout
+# ---------------------------------------------------------------------------
+def _lowes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = _reviews(spark, sf_dir)
+    landed = testbed.listed_twice(testbed.landed_lowes(r))
+    models = testbed.listed_twice(testbed.target_models(r))
+    meta = lookups.strict_description(models, testbed.model_descriptions(table(spark, sf_dir, "part")), failed_col="lost")
+    return flows.json_flow(landed, "lowes", meta.drop("lost"), RECENCY_DAYS, testbed.AS_OF)
+
+
+def lowes_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2/U2/3.4: Lowes reviews; models without a description fail; equal rows of two targets are one."""
+    return flows.dedupe_reviews(_lowes(spark, sf_dir)[0])
+
+
+def lowes_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lowes(spark, sf_dir)[1]
+
+
+def _walmart(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    pages = testbed.spec_pages(table(spark, sf_dir, "part")).withColumn("target", testbed.target_of_part())
+    meta = written(flows.walmart_meta(pages), "product-meta")
+    return flows.json_flow(testbed.landed_walmart(_reviews(spark, sf_dir)), "walmart", meta, None)
+
+
+def walmart_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3/E6/E7/A7/P12/3.4: Walmart reviews with product-page metadata; targets without a page fail."""
+    return _walmart(spark, sf_dir)[0]
+
+
+def walmart_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _walmart(spark, sf_dir)[1]
+
+
+def _amazon(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = _reviews(spark, sf_dir)
+    named = testbed.last_code(F.col("target")) % 3 == 0
+    targets = testbed.target_models(r).withColumn("model_no", F.when(named, F.col("model_no")))
+    return flows.amazon_flow(testbed.amazon_walk(r), _size2model(spark, sf_dir), targets, RECENCY_DAYS, testbed.AS_OF,
+                             testbed.model_descriptions(table(spark, sf_dir, "part")))
+
+
+def amazon_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1/F2/F4/J1-J3/3.4: Amazon reviews; equal ones are kept; an unchanged address ends a target."""
+    return _amazon(spark, sf_dir)[0]
+
+
+def amazon_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _amazon(spark, sf_dir)[1]
+
+
+def _homedepot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    pages = testbed.product_pages(table(spark, sf_dir, "part")).withColumn("target", testbed.target_of_part())
+    return flows.homedepot_flow(testbed.homedepot_walk(_reviews(spark, sf_dir)), pages, 20, testbed.AS_OF)
+
+
+def homedepot_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2/E5/F2/F4/3.4: Home Depot reviews; pages seen again are skipped, page 1 again ends a target; targets
+    without a product page or a model number fail."""
+    return _homedepot(spark, sf_dir)[0]
+
+
+def homedepot_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _homedepot(spark, sf_dir)[1]
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks and saved models, written and read back
+# ---------------------------------------------------------------------------
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def training_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training table as CSV with quoted multi-line fields, read by the training source."""
+    path = _folder(spark, "training")
+    _training(spark, sf_dir).select(F.col("title").alias("Title"), F.col("body").alias("Body"),
+                                    F.col("category").alias("Category"), F.lit("x").alias("Extra")).write.option(
+        "header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return config.training_csv(spark, path).groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length(F.coalesce("title", F.lit("")))).alias("title_chars"),
+        F.sum(F.length(F.coalesce("body", F.lit("")))).alias("body_chars"))
+
+
+def lowes_config_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Lowes config file made from the part types, read back as targets and descriptions."""
+    part = table(spark, sf_dir, "part")
+    types = part.groupBy("p_type").agg(F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi"),
+                                       F.min_by("p_name", "p_partkey").alias("name"))   # one row a type
+    url = lambda k: F.concat(F.lit("https://www.lowes.com/pd/x/"), F.col(k).cast("string"))
+    cfg = types.agg(F.map_from_entries(F.collect_list(F.struct("p_type", F.array(url("lo"), url("hi"))))).alias("urls"),
+                    F.map_from_entries(F.collect_list(F.struct("p_type", "name"))).alias("model2desc"))
+    path = _folder(spark, "lowes-config")
+    cfg.select(F.to_json(F.struct("urls", "model2desc")).alias("value")).write.text(path)
+    read = config.lowes_config(spark, path)
+    return read["targets"].join(read["model2desc"], "model_no")
+
+
+def amazon_config_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An Amazon config file with one category a part type, either one address or one a model."""
+    part = table(spark, sf_dir, "part")
+    types = part.groupBy("p_type").agg(F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi"))
+    url = lambda k: F.concat(F.lit("https://www.amazon.com/dp/"), F.col(k).cast("string"))
+    many = F.to_json(F.map_from_arrays(F.array(F.lit("A"), F.lit("B")), F.array(url("lo"), url("hi"))))
+    value = F.when(F.length("p_type") % 2 == 0, many).otherwise(F.concat(F.lit('"'), url("lo"), F.lit('"')))
+    urls = types.agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit('"'), "p_type", F.lit('":'), value))), ",").alias("u"))
+    path = _folder(spark, "amazon-config")
+    urls.select(F.concat(F.lit('{"urls":{'), "u", F.lit('},"size2model":{"5 BTU":["M5","five"]},"model2desc":{"A":"a"}}'))
+                .alias("value")).write.text(path)
+    return config.amazon_config(spark, path)["targets"]
+
+
+def versioned_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/K2: labelled reviews written twice under one name, the second time as CSV, both read back."""
+    tags = [t for t, _ in testbed.TEST_RULES]
+    out = rules.with_category(rules.rule_labels(_reviews(spark, sf_dir), testbed.TEST_RULES), tags)
+    out = out.select("doc_id", "target", "date", "rating", "category")
+    base = _folder(spark, "Reviews")
+    first, second = sinks.write_versioned(out, base), sinks.write_versioned(out, base, fmt="csv")
+    if (first, second) != (base, base + "1"):
+        raise AssertionError("the second table must have the next free name")
+    csv = spark.read.option("header", True).csv(second).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("Category", F.lit("")).alias("csv_category"),
+        F.col("Rating").cast("int").alias("csv_rating"))
+    return spark.read.parquet(first).join(csv, "doc_id")
+
+
+def saved_model_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifiers trained one after the other into one folder, loaded again and applied."""
+    path = _folder(spark, "model")
+    for tag in testbed.TEST_ML_TAGS:
+        flows.train_models(_training(spark, sf_dir), [tag], path, stem=False)
+    r = _reviews(spark, sf_dir).select("doc_id", "rating", "title", "body")
+    out = label.predict_labels(r, testbed.TEST_ML_TAGS, model_path=path, rules=[], stem=False)
+    return out.select("doc_id", *[F.col(f"`{t}`") for t in testbed.TEST_ML_TAGS])
+
+
+def issue_rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five issue rules on reviews with phrases that hit and narrowly miss them."""
+    tags = [t for t, _ in params.RULES]
+    r = testbed.issue_reviews(table(spark, sf_dir, "documents"))
+    out = rules.with_category(rules.rule_labels(r, params.RULES), tags)
+    return out.select("doc_id", "rating", *[F.col(f"`{t}`") for t in tags], "category")
+
+
 # ---------------------------------------------------------------------------
 # Text, TF-IDF and Naive Bayes chain
 # ---------------------------------------------------------------------------
@@ -287,7 +431,7 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per tag and class, log-probabilities and priors."""
-    vocab, tbl = nb.fit_table(_labelled(spark, sf_dir, False), testbed.TEST_ML_TAGS)
+    vocab, tbl = nb.fit_table(written(_labelled(spark, sf_dir, False), "labelled"), testbed.TEST_ML_TAGS)
     return tbl.select("tag", "cls", "term", F.round("log_prob", 6).alias("log_prob"),
                       F.round("log_prior", 6).alias("log_prior"))
 
@@ -338,6 +482,20 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "spec_model_no": spec_model_no,
         "target_discovery_hd": target_discovery_hd,
         "target_discovery_kw": target_discovery_kw,
+        "lowes_flow": lowes_flow,
+        "lowes_flow_report": lowes_flow_report,
+        "walmart_flow": walmart_flow,
+        "walmart_flow_report": walmart_flow_report,
+        "amazon_flow": amazon_flow,
+        "amazon_flow_report": amazon_flow_report,
+        "homedepot_flow": homedepot_flow,
+        "homedepot_flow_report": homedepot_flow_report,
+        "training_csv_roundtrip": training_csv_roundtrip,
+        "lowes_config_roundtrip": lowes_config_roundtrip,
+        "amazon_config_roundtrip": amazon_config_roundtrip,
+        "versioned_sink_roundtrip": versioned_sink_roundtrip,
+        "saved_model_predict": saved_model_predict,
+        "issue_rule_labels": issue_rule_labels,
         "page_headline": page_headline,
         "page_links": page_links,
         "compose_text": compose_text,

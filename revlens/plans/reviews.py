@@ -5,8 +5,10 @@ Each flow takes landed pages/payloads plus target metadata and returns
 that did not fail, and the per-target outcome report.  Labelling and writing
 are separate steps (``label_reviews``, ``revlens.sinks``).
 
-Order follows the original tool: read cut-offs, then the atomic-target rule,
-then per-target constant columns, then (config mode) dedupe, then labels.
+Pages are parsed once and the typed rows written; one aggregate per target
+says where reading stops (empty page, too old review, pager) and whether the
+target fails (bad review that is read, missing metadata, missing pager); one
+join applies that.  Then per-target constant columns, dedupe (Lowes), labels.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from revlens import params
 from revlens.functions import fields
 from revlens.operators import extract, html_extract, label, lookups, recency, sets
+from revlens.session import written
+from revlens.sources import config
 
 REVIEW_COLUMNS = ["manufacturer", "model_no", "model_description", "date", "rating", "title", "body",
                   "image", "badge"]
@@ -29,79 +33,112 @@ def _earliest(days: int | None, as_of: _dt.date | None):
     return fields.earliest_date(days, as_of)
 
 
-def _finish(read: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    report = extract.target_report(targets, read)
-    return extract.drop_failed(read), report
-
-
 def _project(df: DataFrame) -> DataFrame:
     """The review columns, missing ones as NULL."""
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in REVIEW_COLUMNS]
     return df.select("target", *cols)
 
 
+def _without_meta(targets: DataFrame, meta: DataFrame, *needed: str) -> DataFrame:
+    """Targets without a metadata row, or with one of ``needed`` missing in it."""
+    whole = meta
+    for column in needed:
+        whole = whole.filter(F.col(column).isNotNull())
+    return targets.select("target").distinct().join(whole.select("target"), "target", "left_anti")
+
+
 def json_flow(landed: DataFrame, layout: str, meta: DataFrame, days: int | None = params.DEFAULT_DAYS,
-              as_of: _dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+              as_of: _dt.date | None = None, targets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Walmart / Lowes payload pages -> reviews.
 
-    ``meta(target, model_no, model_description[, manufacturer])`` gives the
-    per-target constants (P16); a missing manufacturer is the first word of
-    the description (P12).
+    ``meta(target, model_no, model_description)`` gives the per-target
+    constants (P16); a target without a description fails (J2).  Walmart's
+    manufacturer is the first word of the description (P12), Lowes has none.
     """
-    typed = (extract.typed_walmart(extract.explode_walmart(landed)) if layout == "walmart"
-             else extract.typed_lowes(extract.explode_lowes(landed)))
-    read = extract.read_cutoff(typed, _earliest(days, as_of))
-    reviews, report = _finish(read, landed.select("target"))
-    if "manufacturer" not in meta.columns:
+    targets = landed if targets is None else targets
+    rows = extract.typed_reviews(landed, layout)
+    cuts = extract.target_cuts(extract.read_events(rows, _earliest(days, as_of)), targets,
+                               _without_meta(targets, meta, "model_description"))
+    reviews, report = extract.read_targets(rows, cuts)
+    if layout == "walmart":
         meta = meta.withColumn("manufacturer", fields.manufacturer(F.col("model_description")))
+    else:
+        meta = meta.drop("manufacturer")
     return _project(reviews.join(meta, "target", "left")), report
 
 
+def _pager_events(pages: DataFrame, label_col: str, wrap_label: str | None, on_error: str) -> tuple[DataFrame, DataFrame]:
+    """(events, skipped pages) of F4 over narrow ``(target, page_no, label)`` rows.  A page without a label
+    fails its target, or with ``keep_prefix`` ends it."""
+    flagged = recency.pager_flags(pages, "target", "page_no", label_col, wrap_label)
+    missing = F.col(label_col).isNull()
+    keep = F.lit(on_error == "keep_prefix")
+    events = flagged.filter(F.col("__ends") | missing).select(
+        "target", F.col("page_no").cast("long").alias("page_no"), F.lit(-1).cast("long").alias("pos"),
+        (F.col("__ends") | (missing & keep)).alias("stop"), (missing & ~keep).alias("bad"))
+    return events, flagged.filter("__repeat").select("target", "page_no").distinct()
+
+
 def amazon_flow(landed: DataFrame, size2model: DataFrame, targets: DataFrame,
                 days: int | None = params.DEFAULT_DAYS, as_of: _dt.date | None = None,
                 model2desc: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Amazon pages -> reviews: size lookup (J1) unless the target names an
-    explicit model (J3), whose description lookup is strict (J2).
+    explicit model (J3), whose missing description fails the target (J2).
+    A page whose address is that of the page before ends its target (F4).
 
     ``targets(target, model_no)``: NULL model_no means "use the size lookup".
     """
-    rows = html_extract.amazon_page_reviews(landed)
-    read = recency.take_while_recent(rows, _earliest(days, as_of))
-    reviews, report = _finish(read, landed.select("target"))
+    rows = written(html_extract.amazon_page_reviews(landed), "typed-reviews")
+    events = extract.read_events(rows, _earliest(days, as_of))
+    if "url" in landed.columns:
+        ends, _ = _pager_events(landed.select("target", "page_no", "url").filter("url IS NOT NULL"), "url", None, "")
+        events = events.unionByName(ends)
+    named = targets.filter(F.col("model_no").isNotNull()).select("target", "model_no")
+    if model2desc is None:
+        explicit = named.withColumns({"model_description": F.lit(None).cast("string"), "__lost": F.lit(True)})
+    else:
+        explicit = lookups.strict_description(named, model2desc, failed_col="__lost")
+    cuts = extract.target_cuts(events, landed, explicit.filter("__lost"))
+    reviews, report = extract.read_targets(rows, cuts)
     out = lookups.size_to_model(reviews, size2model, "size")
-    if model2desc is not None:
-        explicit = lookups.strict_description(targets.filter(F.col("model_no").isNotNull()), model2desc)
-        out = lookups.override_model(out, explicit.select("target", "model_no", "model_description"))
+    out = lookups.override_model(out, explicit.select("target", "model_no", "model_description"))
     return _project(out), report
 
 
 def homedepot_flow(landed: DataFrame, product_pages: DataFrame, days: int | None = params.DEFAULT_DAYS,
-                   as_of: _dt.date | None = None) -> tuple[DataFrame, DataFrame]:
-    """Home Depot pages -> reviews with metadata from the product page (E5);
-    a target whose page lacks the model number fails (3.4)."""
-    rows = html_extract.homedepot_page_reviews(landed)
-    read = recency.take_while_recent(rows, _earliest(days, as_of))
-    meta = html_extract.homedepot_product_meta(product_pages).select(
-        "target", "model_description", "model_no", "manufacturer")
-    bad_meta = meta.filter(F.col("model_no").isNull() | F.col("model_description").isNull()).select("target")
-    read = read.join(bad_meta.withColumn("__bad_meta", F.lit(True)), "target", "left").withColumn(
-        "bad", F.col("bad") | F.coalesce("__bad_meta", F.lit(False))).drop("__bad_meta")
-    reviews, report = _finish(read, landed.select("target"))
+                   as_of: _dt.date | None = None, targets: DataFrame | None = None,
+                   on_error: str = "drop_target") -> tuple[DataFrame, DataFrame]:
+    """Home Depot pages -> reviews with metadata from the product page (E5); a target without a product page,
+    description or model number fails (3.4).
+
+    With a ``page_label`` column the pager rule (F4) holds: a page observed again is skipped, coming back to
+    page 1 ends the target, and a page without a label fails it (``on_error="keep_prefix"``: ends it).
+    """
+    if on_error not in ("drop_target", "keep_prefix"):
+        raise ValueError(f"invalid on_error: {on_error}")
+    targets = landed if targets is None else targets
+    rows = written(html_extract.homedepot_page_reviews(landed), "typed-reviews")
+    meta = written(html_extract.homedepot_product_meta(product_pages).select(
+        "target", "model_description", "model_no", "manufacturer"), "product-meta")
+    events = extract.read_events(rows, _earliest(days, as_of))
+    if "page_label" in landed.columns:
+        marks, skipped = _pager_events(landed.select("target", "page_no", "page_label"), "page_label", "1", on_error)
+        rows = rows.join(skipped, ["target", "page_no"], "left_anti")
+        events = events.join(skipped, ["target", "page_no"], "left_anti").unionByName(marks)
+    cuts = extract.target_cuts(events, targets, _without_meta(targets, meta, "model_description", "model_no"))
+    reviews, report = extract.read_targets(rows, cuts)
     return _project(reviews.join(meta, "target", "left")), report
 
 
 def walmart_meta(product_pages: DataFrame) -> DataFrame:
-    """``(target, model_no, model_description, manufacturer)`` from
-    the product page: the first h1 and the spec tables."""
-    heads = html_extract.page_headline(product_pages).select("target", F.col("headline").alias("model_description"))
-    models = lookups.resolve_model_no(html_extract.page_spec_pairs(product_pages), "target", "url")
-    return (models.join(heads, "target", "left")
-            .withColumn("manufacturer", fields.manufacturer(F.col("model_description")))
-            .select("target", "model_no", "model_description", "manufacturer"))
+    """``(target, model_no, model_description)`` from the product page: the first h1 and the spec
+    tables, in one parse and without a shuffle."""
+    return html_extract.page_models(product_pages).select("target", "model_no",
+                                                          F.col("headline").alias("model_description"))
 
 
 def dedupe_reviews(reviews: DataFrame) -> DataFrame:
-    """U2 (config mode): full-row dedupe over the review columns, before labels."""
+    """U2 (Lowes): full-row dedupe over the review columns, before labels."""
     return sets.dedupe_rows(reviews.select(*REVIEW_COLUMNS))
 
 
@@ -122,38 +159,76 @@ def train_models(training: DataFrame, tags: Sequence[str] = params.TRAIN_TAGS, m
     return model
 
 
+def discovered_targets(layout: str, listing: DataFrame, category: str) -> DataFrame:
+    """The targets of one category's landed listing pages.  An unknown category is an error."""
+    config.resolve_category(layout, category)
+    pages = listing.filter(F.col("category") == category)
+    if layout == "homedepot":
+        return html_extract.homedepot_listing_targets(pages).select(F.col("review_url").alias("target")).distinct()
+    return html_extract.walmart_listing_targets(pages, category).select(
+        F.col("product_id").alias("target")).distinct()
+
+
 def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None = None,
                     product_pages: DataFrame | None = None, size2model: DataFrame | None = None,
                     targets: DataFrame | None = None, model2desc: DataFrame | None = None,
-                    mode: str = "category", target: str | None = None, days: int | None = params.DEFAULT_DAYS,
-                    as_of: _dt.date | None = None, predict: bool = False,
+                    listing: DataFrame | None = None, mode: str = "category", category: str | None = None,
+                    target: str | None = None, config_path: str | None = None,
+                    days: int | None = params.DEFAULT_DAYS, as_of: _dt.date | None = None,
+                    on_error: str = "drop_target", predict: bool | None = None,
                     tags: Sequence[str] = params.DEFAULT_TAGS, training: DataFrame | None = None,
                     model_path: str | None = None, output: str | None = None, fmt: str = "parquet"):
     """One run of a source.
 
-    ``mode="product"`` keeps only ``target``; ``days`` 0/None means no limit;
-    ``predict`` adds the tag columns and category; ``output`` writes the table
-    to the first free versioned path.  Returns ``(reviews, report, path)``.
+    * ``mode="product"`` keeps only ``target``; ``mode="category"`` with ``listing`` pages keeps the products
+      that ``category``'s pages list.
+    * ``config_path`` (Amazon, Lowes) reads the targets and lookups from a config file; Amazon takes the
+      ``category`` of it.  Landed targets are the product URLs (Amazon) or the product ids (Lowes).
+    * ``days`` 0/None means no limit; ``on_error`` as in ``homedepot_flow``.
+    * ``predict`` adds the tag columns and category; by default on for Amazon and Lowes, off for the others.
+    * ``output`` writes the table to the first free versioned path.
+
+    Returns ``(reviews, report, path)``.
     """
+    if layout not in ("walmart", "lowes", "amazon", "homedepot"):
+        raise ValueError(f"unknown layout: {layout}")
     if mode not in ("category", "product"):
         raise ValueError(f"invalid mode: {mode}")
+    spark = landed.sparkSession
+    known = None
+    if config_path is not None:
+        if layout == "amazon":
+            cfg = config.amazon_config(spark, config_path)
+            targets = config.check_config_category(cfg["targets"], category).select(
+                F.col("url").alias("target"), "model_no")
+            size2model, model2desc = cfg["size2model"], cfg["model2desc"]
+        elif layout == "lowes":
+            cfg = config.lowes_config(spark, config_path)
+            targets = cfg["targets"].select(F.col("product_id").alias("target"), "model_no")
+            meta = lookups.strict_description(targets, cfg["model2desc"], failed_col="__lost").drop("__lost")
+        else:
+            raise ValueError(f"{layout} has no config file")
+        known = targets.select("target").distinct()
     if mode == "product":
         if not target:
             raise ValueError("product mode needs a target")
         landed = landed.filter(F.col("target") == target)
+    elif listing is not None:
+        if layout not in ("homedepot", "walmart"):
+            raise ValueError(f"{layout} has no listing pages")
+        known = written(discovered_targets(layout, listing, category), "targets")
+    if known is not None:
+        landed = landed.join(known, "target", "left_semi")
     if layout in ("walmart", "lowes"):
-        reviews, report = json_flow(landed, layout, meta, days, as_of)
+        if layout == "walmart" and meta is None:
+            meta = written(walmart_meta(product_pages), "product-meta")
+        reviews, report = json_flow(landed, layout, meta, days, as_of, known)
     elif layout == "amazon":
         reviews, report = amazon_flow(landed, size2model, targets, days, as_of, model2desc)
-    elif layout == "homedepot":
-        reviews, report = homedepot_flow(landed, product_pages, days, as_of)
-    else:
-        raise ValueError(f"unknown layout: {layout}")
-    if layout in ("amazon", "lowes"):          # config mode dedupes before labelling
-        reviews = dedupe_reviews(reviews)
     else:
-        reviews = reviews.drop("target")
-    if predict:
+        reviews, report = homedepot_flow(landed, product_pages, days, as_of, known, on_error)
+    reviews = dedupe_reviews(reviews) if layout == "lowes" else reviews.drop("target")
+    if predict or (predict is None and layout in ("amazon", "lowes")):
         reviews = label_reviews(reviews, tags, training=training, model_path=model_path)
     path = None
     if output:

@@ -16,7 +16,7 @@ PHOTO = T.StructType([
 
 WALMART_REVIEW = T.StructType([
     T.StructField("reviewSubmissionTime", T.StringType()),
-    T.StructField("rating", T.IntegerType()),
+    T.StructField("rating", T.DoubleType()),
     T.StructField("reviewTitle", T.StringType()),
     T.StructField("reviewText", T.StringType()),
     T.StructField("photos", T.ArrayType(PHOTO)),
@@ -35,7 +35,7 @@ WALMART_PAGE = T.StructType([
 
 LOWES_REVIEW = T.StructType([
     T.StructField("SubmissionTime", T.StringType()),
-    T.StructField("Rating", T.IntegerType()),
+    T.StructField("Rating", T.DoubleType()),
     T.StructField("Title", T.StringType()),
     T.StructField("ReviewText", T.StringType()),
     T.StructField("Photos", T.ArrayType(PHOTO)),
@@ -48,7 +48,7 @@ REVIEW = T.StructType([
     T.StructField("model_no", T.StringType()),
     T.StructField("model_description", T.StringType()),
     T.StructField("date", T.DateType()),
-    T.StructField("rating", T.IntegerType()),
+    T.StructField("rating", T.DoubleType()),   # payload ratings may have fractions
     T.StructField("title", T.StringType()),
     T.StructField("body", T.StringType()),
     T.StructField("image", T.StringType()),

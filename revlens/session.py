@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale.  AQE re-plans joins at runtime: a shuffle
 # join whose measured side is small becomes a broadcast join, skewed
@@ -69,6 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back: it is computed once, the
+    lineage is cut, and the rows survive the loss of any executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application, whatever folder they start in."""
     sc = spark.sparkContext

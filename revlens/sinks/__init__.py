@@ -8,6 +8,8 @@ names.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,17 +38,17 @@ def write_reviews(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "e
     return path
 
 
-def write_versioned(df: DataFrame, base: str, fmt: str = "parquet", max_versions: int = 1000) -> str:
+def write_versioned(df: DataFrame, base: str, fmt: str = "parquet") -> str:
     """K2: write to ``base``, or ``base1``, ``base2``, ... - the first path not
     taken - and return the path written."""
-    for version in range(max_versions):
+    for version in count():
         path = base if version == 0 else f"{base}{version}"
         try:
             return write_reviews(df, path, fmt, mode="errorifexists")
         except AnalysisException as e:
             if "already exists" not in str(e).lower() and "PATH_ALREADY_EXISTS" not in str(e):
                 raise
-    raise RuntimeError(f"no free output path after {max_versions} versions of {base}")
+    raise AssertionError("unreachable")
 
 
 def totals(report: DataFrame) -> DataFrame:

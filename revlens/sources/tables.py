@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
+from revlens.session import ship_package
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Tables whose rows carry long text that is parsed, tokenised or rendered row
-# by row: CPU-bound work that should use every core.
-TEXT_TABLES = ("documents", "pages")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Read one supplied table; Catalyst prunes columns and pushes filters into the scan.
 
-    A text table read as fewer splits than the cluster has cores (one small
-    file is one split) is spread round-robin over ``defaultParallelism``
-    partitions, so per-row text work runs on every core.  On large inputs
-    the scan already has at least that many splits and nothing is added.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one supplied table, as the scan splits it; Catalyst prunes columns and pushes filters down."""
     if name not in TABLES:
         raise ValueError(f"unknown table: {name}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread is None:
-        spread = name in TEXT_TABLES
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:      # no RDD view (e.g. a Spark Connect session): leave the scan as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -116,8 +116,9 @@ TEST_ML_TAGS = ["low quality", "toxic"]
 # from ``cut`` on move up by one, so reading must stop before them.  A few
 # reviews lack a required key, which fails their target if it is read.
 # ---------------------------------------------------------------------------
-WALMART_FAIL = (97, 13)      # doc_id % 97 = 13: no "photos" key
-LOWES_FAIL = (89, 7)         # doc_id % 89 = 7: no "Photos" key
+WALMART_FAIL = ((97, 13), (101, 17), (211, 19))   # doc_id % m = r: no "photos" key; null; a photo without URL
+LOWES_FAIL = ((89, 7), (101, 17), (211, 19))      # the same for "Photos"
+HALF_RATING = (7, 1)         # doc_id % 7 = 1: the rating is half a point higher
 
 
 def cut_page(target: Column) -> Column:
@@ -132,6 +133,21 @@ def _json(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
+def _with_photos(base: list[Column], name: str, fail: tuple) -> Column:
+    """A review object whose photo list is missing, null or holds a photo without URL on some ids."""
+    missing, null, no_url = (F.col("doc_id") % m == r for m, r in fail)
+    photos = _photo_structs(F.col("photos"))
+    hole = F.transform(F.array(F.lit(None).cast("string")), lambda u: F.struct(F.struct(F.struct(u.alias("Url"))
+                                                                               .alias("normal")).alias("Sizes")))
+    value = F.when(~null, F.when(no_url, hole).otherwise(photos))
+    return F.when(missing, _json(*base)).otherwise(_json(*base, value.alias(name)))
+
+
+def payload_rating(rating: Column, doc_id: Column) -> Column:
+    """Ratings as numbers with a fraction (4.0, 4.5)."""
+    return rating.cast("double") + F.when(doc_id % HALF_RATING[0] == HALF_RATING[1], 0.5).otherwise(0.0)
+
+
 def _render_pages(reviews_df: DataFrame, review_json: Column, wrap, source: str) -> DataFrame:
     r = reviews_df.select("target", "page_no", "pos", review_json.alias("j"))
     cut = cut_page(F.col("target"))
@@ -149,11 +165,9 @@ def landed_walmart(reviews_df: DataFrame) -> DataFrame:
     """Walmart-layout payload pages: ``payload.reviews[target].customerReviews``."""
     d = F.col("date")
     date_text = F.when(F.col("doc_id") % 2 == 0, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "M/d/yyyy"))
-    base = [date_text.alias("reviewSubmissionTime"), F.col("rating").alias("rating"),
+    base = [date_text.alias("reviewSubmissionTime"), payload_rating(F.col("rating"), F.col("doc_id")).alias("rating"),
             F.col("title").alias("reviewTitle"), F.col("body").alias("reviewText")]
-    m, k = WALMART_FAIL
-    j = F.when(F.col("doc_id") % m == k, _json(*base)).otherwise(
-        _json(*base, _photo_structs(F.col("photos")).alias("photos")))
+    j = _with_photos(base, "photos", WALMART_FAIL)
 
     def wrap(target, arr):
         return F.concat(F.lit('{"payload":{"reviews":{"'), target, F.lit('":{"customerReviews":'), arr, F.lit("}}}}"))
@@ -164,11 +178,9 @@ def landed_walmart(reviews_df: DataFrame) -> DataFrame:
 def landed_lowes(reviews_df: DataFrame) -> DataFrame:
     """Lowes-layout payload pages: ``Results`` array."""
     ts = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T10:00:00.000+00:00"))
-    base = [ts.alias("SubmissionTime"), F.col("rating").alias("Rating"), F.col("title").alias("Title"),
+    base = [ts.alias("SubmissionTime"), payload_rating(F.col("rating"), F.col("doc_id")).alias("Rating"), F.col("title").alias("Title"),
             F.col("body").alias("ReviewText")]
-    m, k = LOWES_FAIL
-    j = F.when(F.col("doc_id") % m == k, _json(*base)).otherwise(
-        _json(*base, _photo_structs(F.col("photos")).alias("Photos")))
+    j = _with_photos(base, "Photos", LOWES_FAIL)
 
     def wrap(target, arr):
         return F.concat(F.lit('{"Results":'), arr, F.lit("}"))
@@ -202,6 +214,7 @@ def pager_sequence(reviews_df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # HTML layouts.  Text is escaped (& < >); the parser must unescape it.
 # ---------------------------------------------------------------------------
+AMAZON_FAIL = (193, 13)      # doc_id % 193 = 13: a rating text that starts with no digit
 HOMEDEPOT_FAIL = (83, 21)    # doc_id % 83 = 21: stars element without style
 META_SHORT = (9, 4)          # p_partkey % 9 = 4: only one detail bar (no model number)
 WALMART_PAGE_URL = "https://www.walmart.com/ip/"
@@ -237,7 +250,8 @@ def landed_amazon(reviews_df: DataFrame) -> DataFrame:
                                              esc(c("size")), F.lit("</a>"))),
         _opt(c("rating").isNotNull(), F.concat(
             F.lit('<i data-hook="review-star-rating" class="a-icon"><span class="a-icon-alt">'),
-            c("rating").cast("string"), F.lit(".0 out of 5 stars</span></i>"))),
+            F.when(c("doc_id") % AMAZON_FAIL[0] == AMAZON_FAIL[1], F.lit("N/A")).otherwise(
+                F.concat(c("rating").cast("string"), F.lit(".0 out of 5 stars"))), F.lit("</span></i>"))),
         _opt(c("title").isNotNull(), F.concat(F.lit('<a data-hook="review-title" href="#"><span>'),
                                               esc(c("title")), F.lit("</span></a>"))),
         _opt(c("body").isNotNull(), F.concat(F.lit('<span data-hook="review-body" class="a-size-base"><span>'),
@@ -308,16 +322,18 @@ def spec_pages(part: DataFrame) -> DataFrame:
     c = F.col
     key = c("p_partkey").cast("string")
     L = F.lit
-    t0 = F.concat(L("<table>"), _td_row(L("Brand"), c("p_brand")),
+    heading, one_heading = L("<tr><th>Feature</th><th>Value</th></tr><tr></tr>"), L("<tr><th>Feature</th></tr>")
+    ragged = L('<tr><td colspan="2">General</td></tr>')
+    t0 = F.concat(L("<table>"), heading, _td_row(L("Brand"), c("p_brand")),
                   _td_row(L("Manufacturer Part Number"), F.concat(L("MPN-"), key)),
                   _td_row(L("Model"), esc(c("p_name"))), _td_row(L("Model"), F.concat(L("X"), key)), L("</table>"))
-    t1 = F.concat(L("<table>"), _td_row(L("Manufacturer Part Number"), F.concat(L("MPN-"), key)),
+    t1 = F.concat(L("<table><thead>"), heading, L("</thead>"), ragged, _td_row(L("Manufacturer Part Number"), F.concat(L("MPN-"), key)),
                   _td_row(L("manufacturer_part_number"), F.concat(L("mpn-"), c("p_type"))),
                   _td_row(L("Color"), L("White")), L("</table>"))
-    t2 = F.concat(L("<table>"), _td_row(L("Color")), _td_row(L("Model")), _td_row(L("Brand")), L("</table>"),
+    t2 = F.concat(L("<table>"), one_heading, _td_row(L("Color")), _td_row(L("Model")), _td_row(L("Brand")), L("</table>"),
                   L("<table>"), _td_row(L("Value")), _td_row(L("White")), _td_row(esc(c("p_name"))),
                   _td_row(c("p_brand")), L("</table>"))
-    t3 = F.concat(L("<table>"), _td_row(L("Color"), L("White")),
+    t3 = F.concat(L("<table>"), ragged, L("<tr></tr>"), _td_row(L("Color"), L("White")),
                   _td_row(L("Size"), c("p_size").cast("string")), L("</table>"))
     m = c("p_partkey") % 4
     tables = F.when(m == 0, t0).when(m == 1, t1).when(m == 2, t2).otherwise(t3)
@@ -368,7 +384,82 @@ def walmart_listing(part: DataFrame) -> DataFrame:
         F.lit("</div></div>"))
     b = part.select(c("p_type").alias("category"), (c("p_partkey") / LISTING_PODS).cast("int").alias("page_no"),
                     c("p_partkey").alias("pos"), item.alias("b"))
+    # every seventh product is listed again under a longer description
+    again = part.filter(c("p_partkey") % 7 == 0).select(
+        c("p_type").alias("category"), (c("p_partkey") / LISTING_PODS + 1).cast("int").alias("page_no"),
+        c("p_partkey").alias("pos"), F.replace(item, F.lit("</span></a>"), F.lit(" new</span></a>")).alias("b"))
+    b = b.unionByName(again)
     pages = b.groupBy("category", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "b"))).alias("items"))
     html = F.concat(F.lit("<html><body><div class='search-grid'>"),
                     F.array_join(F.transform("items", lambda x: x["b"]), ""), F.lit("</div></body></html>"))
     return pages.select(F.lit("walmart").alias("source"), "category", "page_no", html.alias("html"))
+
+
+# ---------------------------------------------------------------------------
+# Inputs of the end-to-end flows: metadata for half of the targets only,
+# models without a description, repeated and wrapped pages, equal reviews.
+# ---------------------------------------------------------------------------
+TWICE = (10, 3)              # doc_id % 10 = 3: the review stands on its page twice
+MODELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "XL"]   # the last ones have no description
+
+
+def last_code(target: Column) -> Column:
+    return F.ascii(F.substring(target, -1, 1))
+
+
+def target_models(reviews_df: DataFrame) -> DataFrame:
+    """(target, model_no) of every target."""
+    models = F.array(*[F.lit(m) for m in MODELS])
+    return reviews_df.select("target").distinct().select(
+        "target", F.element_at(models, (last_code(F.col("target")) % len(MODELS) + 1).cast("int")).alias("model_no"))
+
+
+def model_descriptions(part: DataFrame) -> DataFrame:
+    """(model_no, model_description) for the part types."""
+    return part.groupBy(F.col("p_type").alias("model_no")).agg(F.min_by("p_name", "p_partkey").alias("model_description"))
+
+
+def listed_twice(landed: DataFrame) -> DataFrame:
+    """Every product under a second target with the same reviews."""
+    return landed.unionByName(landed.withColumn("target", F.concat("target", F.lit("-b"))))
+
+
+def target_of_part() -> Column:
+    """Product pages belong to the targets with even numbers."""
+    return F.concat(F.lit("src"), (F.col("target").cast("long") * 2).cast("string"))
+
+
+def amazon_walk(reviews_df: DataFrame) -> DataFrame:
+    """Amazon pages with equal reviews; for targets with an even last code the third page has the second's address."""
+    m, k = TWICE
+    landed = landed_amazon(reviews_df.unionByName(reviews_df.filter(F.col("doc_id") % m == k)))
+    stuck = (last_code(F.col("target")) % 2 == 0) & (F.col("page_no") == 3)
+    return landed.withColumn("url", F.when(stuck, F.regexp_replace("url", "page=3$", "page=2")).otherwise(F.col("url")))
+
+
+def homedepot_walk(reviews_df: DataFrame) -> DataFrame:
+    """Home Depot pages as the pager showed them: some twice, then page 1 again and one more."""
+    seen = pager_sequence(reviews_df).withColumn("shown", F.col("page_label").cast("int"))
+    landed = landed_homedepot(reviews_df).withColumnRenamed("page_no", "shown")
+    return seen.join(landed, ["target", "shown"]).select("source", "target", F.col("seq").alias("page_no"), "page_label",
+                                                         "url", "html")
+
+
+# ---------------------------------------------------------------------------
+# Reviews that hit and narrowly miss the issue rules.
+# ---------------------------------------------------------------------------
+PHRASES = [
+    "too loud", "nice sound", "it makes a weird sound", "it blinks then 88", "shows 8x8", "error 8.8 again",
+    "did not receive it", "notreceive", "parts missing", "i used it because", "previous  return", "i was confused",
+    "wi-fi dropped", "wi fi dropped", "88 then an error", "sounds nothing like that", "be careful not to include", "rattling",
+]
+
+
+def issue_reviews(documents: DataFrame) -> DataFrame:
+    """The review test bed with a phrase in front of every title (even ids) or body (odd ids)."""
+    phrases = F.array(*[F.lit(p) for p in PHRASES])
+    phrase = F.element_at(phrases, (F.floor(F.col("doc_id") / 2) % len(PHRASES) + 1).cast("int"))
+    even = F.col("doc_id") % 2 == 0
+    return reviews(documents).withColumns({
+        "title": F.when(even, F.concat(phrase, F.lit(" "), F.coalesce("title", F.lit("")))).otherwise(F.col("title")),
+        "body": F.when(~even, F.concat(phrase, F.lit(" "), F.coalesce("body", F.lit("")))).otherwise(F.col("body"))})

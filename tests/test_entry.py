@@ -13,12 +13,14 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"stem_vocab", "predict_labels_stemmed"}
+    own = {q for q in entry.queries() if not q.startswith("op") and q != "pipeline"}
+    assert own - set(entry.oracle_sql()) == {"stem_vocab", "predict_labels_stemmed"}
 
 
 def test_queries_run_on_smallest_tables(spark):
     for name, fn in entry.queries().items():
+        if name.startswith("op") or name == "pipeline":      # covered by the tests of their own folder
+            continue
         df = fn(spark, SF001)
         assert df.columns, name
         df.write.format("noop").mode("overwrite").save()

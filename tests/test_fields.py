@@ -60,12 +60,12 @@ def test_size_lookup(spark):
 
 
 def test_model_priority(spark):
-    rows = [("t1", "u1", 0, "Manufacturer Part Number", "A"), ("t1", "u1", 1, "Model", "B"), ("t1", "u1", 2, "Model", "C"),
-            ("t2", "u2", 0, "Manufacturer Part Number", "A"), ("t2", "u2", 1, "manufacturer_part_number", "D"),
-            ("t3", "u3", 0, "Color", "White"), ("t4", "u4", 0, None, None)]
-    pairs = spark.createDataFrame(rows, "target string, url string, pos int, feature string, item string")
-    got = {r["target"]: r["model_no"] for r in lookups.resolve_model_no(pairs).collect()}
-    assert got == {"t1": "B", "t2": "D", "t3": "u3", "t4": "u4"}
+    rows = [("u1", [("Manufacturer Part Number", "A"), ("Model", "B"), ("Model", "C")]),
+            ("u2", [("Manufacturer Part Number", "A"), ("manufacturer_part_number", "D")]),
+            ("u3", [("Color", "White")]), ("u4", None), ("u5", [("Model", None), ("Model", "C")])]
+    pages = spark.createDataFrame(rows, "url string, pairs array<struct<feature:string,item:string>>")
+    got = {r["url"]: r["m"] for r in pages.select("url", lookups.model_from_pairs(F.col("pairs"), F.col("url")).alias("m")).collect()}
+    assert got == {"u1": "B", "u2": "D", "u3": "u3", "u4": "u4", "u5": None}
 
 
 def test_spec_table_zip(spark):
@@ -73,10 +73,12 @@ def test_spec_table_zip(spark):
         (1, [[["Model", "B"], ["Color", "W"]]]),
         (2, [[["Color"], ["Model"]], [["hdr"], ["White"], ["X1"], ["extra"]]]),
         (3, []),
+        (4, [[["General"], ["Model", "B"]]]),
     ], "id int, t array<array<array<string>>>")
     out = {r["id"]: ([(p["feature"], p["item"]) for p in r["z"]] if r["z"] else None)
            for r in df.select("id", lookups.zip_spec_pairs(F.col("t")).alias("z")).collect()}
-    assert out == {1: [("Model", "B"), ("Color", "W")], 2: [("Color", "White"), ("Model", "X1")], 3: None}
+    assert out == {1: [("Model", "B"), ("Color", "W")], 2: [("Color", "White"), ("Model", "X1")], 3: None,
+                   4: [("General", None), ("Model", "B")]}
 
 
 def test_recency_goldens(spark):

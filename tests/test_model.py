@@ -21,7 +21,8 @@ def test_tfidf_and_nb_goldens(spark):
     idf = dict(zip(vocab.terms, vocab.idf))
     assert idf["water"] == pytest.approx(1.0)
     assert idf["leak"] == pytest.approx(math.log(3 / 2) + 1)
-    w = {(r["doc_id"], r["term"]): r["weight"] for r in tfidf.tfidf_long(lab, vocab).collect()}
+    rows = lab.withColumn("doc_id", F.concat_ws(" ", "ngrams"))
+    w = {(r["doc_id"], r["term"]): r["weight"] for r in tfidf.tfidf_long(rows, vocab).collect()}
     by_terms = {}
     for (d, t), v in w.items():
         by_terms.setdefault(d, {})[t] = v
@@ -83,3 +84,24 @@ def test_vocabulary_cap(spark):
     train = spark.createDataFrame(rows, "title string, body string, category string")
     model = nb.fit(train, ["a"], stem=False, max_features=50)
     assert len(model.vocab) == 50
+
+
+def test_saving_one_tag_keeps_the_others_and_real_errors_show(spark, tmp_out):
+    path = tmp_out + "/m3"
+    nb.fit(_train(spark), ["yes"], stem=False).save(spark, path)
+    nb.fit(_train(spark), ["no"], stem=False).save(spark, path)
+    both = nb.NBModel.load(spark, path, ["yes", "no"])
+    assert set(both.log_prior) == {("yes", 0), ("yes", 1), ("no", 0), ("no", 1)}
+    with open(tmp_out + "/broken", "w") as f:
+        f.write("not a table")
+    with pytest.raises(Exception) as e:
+        label.load_or_train(spark, ["yes"], tmp_out + "/broken", _train(spark), stem=False)
+    assert not isinstance(e.value, FileNotFoundError)
+    with open(tmp_out + "/broken") as f:
+        assert f.read() == "not a table"          # nothing was overwritten
+
+
+def test_stem_of_a_long_run_of_y():
+    from revlens.functions.stem import porter_stem
+
+    assert porter_stem("y" * 5000).startswith("y") and porter_stem("happy") == "happi" and porter_stem("toying") == "toy"

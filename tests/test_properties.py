@@ -12,7 +12,7 @@ CANDS = ["license", "low quality", "contact", "decimal", "toxic", "gap", "number
 
 
 def _run(spark, partitions):
-    docs = table(spark, SF001, "documents", spread=False).repartition(partitions)
+    docs = table(spark, SF001, "documents").repartition(partitions)
     r = testbed.reviews(docs).select("doc_id", "rating", "title", "body")
     training = testbed.training_set(table(spark, SF001, "documents"), table(spark, SF001, "labels"))
     model = nb.fit(training, testbed.TEST_ML_TAGS, stem=False)
