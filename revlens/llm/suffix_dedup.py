@@ -21,8 +21,9 @@ than a bucket:
 4. *Repeated intervals.* A string that starts l bytes before the sample is repeated when another row is
    in the same block after l steps to the left and after ``length`` - anchor - l steps to the right.
 
-Buckets are bounded: a sample that occurs more than ``hot`` times is not gathered in a task; the strings
-around it are exploded and counted with partial aggregation.
+Buckets are bounded: equal surroundings fold to one row with a count before they are shuffled, and a sample
+with more than ``hot`` different surroundings is not gathered in a task; the strings around it are exploded
+and counted with partial aggregation.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
 from revlens.llm.common import id_text, scratch
 
 LENGTH, ANCHOR = 200, 80
-#: Rows of one sample that a task may gather.
-HOT = 50_000
+#: Different surroundings of one sample that a task may gather.
+HOT = 20_000
 #: Rows that a task refines together.
 REFINE = 10_000
 
@@ -101,48 +102,44 @@ def _samples(length: int, anchor: int):
     return run
 
 
-def _surroundings(length: int, anchor: int, hot: int, over: bool):
-    """Bytes around each sample that occurs up to (``over``: more than) ``hot`` times: to the right from its
-    start, to the left from there reversed."""
-    names = ["hash", "doc_id", "place", "right", "left"]
+def _cut(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, step: int) -> pa.Array:
+    """Binary rows data[start], data[start + step], ... of the given sizes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.repeat(starts - step * ends[:-1], sizes) + step * np.arange(ends[-1])
+    return pa.Array.from_buffers(pa.binary(), len(starts), [
+        None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data[at].tobytes())])
+
+
+def _surroundings(length: int, anchor: int):
+    """Bytes around each sample that occurs again: to the right from its start, to the left from there reversed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = textkit.buffers(batch.column("text"))
-            raw = data.tobytes() if batch.num_rows else b""
-            ids, places = batch.column("doc_id").to_pylist(), batch.column("samples").to_pylist()
-            rows: list[tuple] = []
-            for i in range(batch.num_rows):
-                lo, hi = int(offsets[i]), int(offsets[i + 1])
-                for s in places[i]:
-                    if (s["df"] > hot) != over:
-                        continue
-                    p = min(lo + s["place"], hi)
-                    rows.append((s["hash"], ids[i], s["place"], raw[p:min(p + length, hi)],
-                                 raw[max(lo, p - length + anchor):p][::-1]))
-                if len(rows) >= 5000:
-                    yield _rows(rows, names)
-                    rows = []
-            if rows:
-                yield _rows(rows, names)
+            for i in range(batch.num_rows):     # one document at a time: its samples are bounded by its length
+                text = data[offsets[i]:offsets[i + 1]]
+                hashes, places = (batch.column(c)[i].values for c in ("hashes", "places"))
+                at = np.minimum(places.to_numpy(zero_copy_only=False).astype(np.int64), len(text))
+                yield pa.RecordBatch.from_arrays([
+                    hashes, pa.array(np.full(len(at), batch.column("doc_id")[i].as_py(), np.int64)), places,
+                    _cut(text, at, np.minimum(length, len(text) - at), 1),
+                    _cut(text, at - 1, np.minimum(length - anchor, at), -1)],
+                    names=["hash", "doc_id", "place", "right", "left"])
 
     return run
 
 
-def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-
-def _matrix(values: list[bytes], width: int) -> np.ndarray:
-    """Bytes as rows of 0..255; beyond the end every row has a symbol of its own (it equals nothing)."""
-    flat = np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.uint8).reshape(len(values), width)
-    out = flat.astype(np.int32)
-    size = np.array([len(v) for v in values])
-    outside = np.arange(width)[None, :] >= size[:, None]
-    out[outside] = (256 + np.broadcast_to(np.arange(len(values))[:, None], out.shape))[outside]
-    return out
+def _matrix(column: pa.Array, skip: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, sizes): bytes from ``skip`` on as rows of 0..255; beyond the end every row has a symbol of its
+    own, which equals nothing."""
+    data, offsets = textkit.buffers(column)
+    size = np.clip(np.diff(offsets) - skip, 0, width)
+    inside = np.arange(width)[None, :] < size[:, None]
+    out = np.broadcast_to((256 + np.arange(len(size), dtype=np.int32))[:, None], inside.shape).copy()
+    ends = np.cumsum(size)
+    at = np.repeat(offsets[:-1] + skip - np.concatenate([[0], ends])[:-1], size) + np.arange(ends[-1] if len(ends) else 0)
+    out[inside] = data[at]
+    return out, size
 
 
 def refine(block: np.ndarray, symbols: np.ndarray) -> Iterator[np.ndarray]:
@@ -165,55 +162,57 @@ def refine(block: np.ndarray, symbols: np.ndarray) -> Iterator[np.ndarray]:
         yield block
 
 
-def repeated(keys: np.ndarray, rights: list[bytes], lefts: list[bytes], length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of surroundings: how far the repeated strings reach to the left of the sample and to the
-    right of its start; -1 where none does."""
+def repeated(keys: np.ndarray, rights: pa.Array, lefts: pa.Array, counts: np.ndarray, length: int,
+             anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of surroundings, each standing for ``counts`` samples: how far the repeated strings reach to the
+    left of the sample and to the right of its start; -1 where none does."""
     reach = length - anchor
     start = np.unique(keys, return_inverse=True)[1]
-    right = list(refine(start, _matrix([r[anchor:] for r in rights], reach)))
-    fits_left = np.array([len(v) for v in lefts])
-    fits_right = np.array([len(v) for v in rights]) - anchor
+    symbols, fits_right = _matrix(rights, anchor, reach)
+    right = list(refine(start, symbols))
+    symbols, fits_left = _matrix(lefts, 0, reach)
     far_left, far_right = np.full(len(keys), -1), np.full(len(keys), -1)
-    for step, left in enumerate(refine(start, _matrix(lefts, reach))):
+    for step, left in enumerate(refine(start, symbols)):
         other = right[reach - step]
         fits = np.flatnonzero((fits_left >= step) & (fits_right >= reach - step))
         if not len(fits):
             continue
         _, inverse = np.unique(left[fits].astype(np.int64) * (int(other.max()) + 1) + other[fits],
                                return_inverse=True)
-        hit = fits[np.bincount(inverse)[inverse] > 1]
+        hit = fits[np.bincount(inverse, weights=counts[fits])[inverse] > 1]
         far_left[hit] = step                                           # steps grow: the last one is the farthest
         far_right[hit] = np.maximum(far_right[hit], length - step)     # and the first reaches farthest right
     return far_left, far_right
 
 
 def _merge(length: int, anchor: int):
-    """Rows sorted by sample -> (doc_id, low, high): bytes covered around a sample by repeated strings."""
+    """Surroundings sorted by sample -> (hash, around, to_left, to_right): what repeated strings cover."""
 
-    def flush(rows):
-        if not rows:
+    def flush(rows: pa.Table):
+        if not rows.num_rows:
             return None
-        keys = np.array([r[0] for r in rows], np.int64)
-        left, right = repeated(keys, [r[3] for r in rows], [r[4] for r in rows], length, anchor)
+        rows = rows.combine_chunks()
+        column = {c: rows.column(c).combine_chunks() for c in rows.column_names}
+        left, right = repeated(column["hash"].to_numpy(), column["right"], column["left"],
+                               column["copies"].to_numpy(), length, anchor)
         hit = np.flatnonzero(left >= 0)
-        place = np.array([r[2] for r in rows], np.int64)
         return pa.RecordBatch.from_arrays([
-            pa.array([rows[i][1] for i in hit], pa.int64()), pa.array(place[hit] - left[hit], pa.int64()),
-            pa.array(place[hit] + right[hit], pa.int64())], names=["doc_id", "low", "high"])
+            column["hash"].take(pa.array(hit)), column["around"].take(pa.array(hit)), pa.array(left[hit], pa.int32()),
+            pa.array(right[hit], pa.int32())], names=["hash", "around", "to_left", "to_right"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: pa.Table | None = None
         for batch in batches:
-            held.extend(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            if len(held) >= REFINE:
-                cut = len(held)                       # the last sample may go on in the next batch
-                while cut and held[cut - 1][0] == held[-1][0]:
-                    cut -= 1
-                out = flush(held[:cut])
-                held = held[cut:]
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            if held.num_rows >= REFINE:               # the last sample may go on in the next batch
+                keys = held.column("hash").to_numpy()
+                cut = int(np.flatnonzero(keys == keys[-1])[0])
+                out = flush(held.slice(0, cut))
+                held = held.slice(cut)
                 if out is not None:
                     yield out
-        out = flush(held)
+        out = flush(held) if held is not None else None
         if out is not None:
             yield out
 
@@ -286,31 +285,38 @@ class SuffixDedup:
         self.groups = scratch(groups, "suffix-groups")
 
     def samples(self) -> DataFrame:
-        """(doc_id, hash, place, df) of the samples that occur at least twice among different texts."""
+        """(doc_id, hash, place) of the samples that occur at least twice among different texts."""
         found = self.base.mapInArrow(_samples(self.length, self.anchor),
                                      "doc_id long, hashes array<long>, places array<int>")
         reps = self.groups.where((F.col("n_bytes") >= self.length) & F.col("rep").isNotNull()).select(
             F.col("rep").alias("doc_id"))
-        found = found.join(reps, "doc_id", "left_semi").select(
+        found = scratch(found.join(reps, "doc_id", "left_semi"), "suffix-samples").select(
             "doc_id", F.explode_outer(F.arrays_zip(F.col("hashes").alias("hash"), F.col("places").alias("place"))).alias("s"))
-        count = F.count("*").over(Window.partitionBy("hash"))
-        return found.select("doc_id", "s.hash", "s.place").withColumn("df", count).where("df > 1")
+        found = found.where("s IS NOT NULL").select("doc_id", "s.hash", "s.place")
+        again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+        return found.join(again, "hash")
 
     def spans(self) -> tuple[DataFrame, DataFrame]:
         """(texts, spans): texts of the documents with samples that occur again; covered (doc_id, low, high)."""
-        by_doc = self.samples().groupBy("doc_id").agg(
-            F.collect_list(F.struct("hash", "place", "df")).alias("samples"))
+        by_doc = self.samples().groupBy("doc_id").agg(F.collect_list(F.struct("hash", "place")).alias("s")).select(
+            "doc_id", F.col("s.hash").alias("hashes"), F.col("s.place").alias("places"))
         texts = scratch(self.base.join(by_doc, "doc_id"), "suffix-texts")
-
-        def around(over: bool) -> DataFrame:
-            return texts.select("doc_id", "text", "samples").mapInArrow(
-                _surroundings(self.length, self.anchor, self.hot, over),
-                "hash long, doc_id long, place int, right binary, left binary")
-
-        spans = (around(False).repartition("hash").sortWithinPartitions("hash")
-                 .mapInArrow(_merge(self.length, self.anchor), "doc_id long, low long, high long"))
-        if texts.where(F.exists("samples", lambda s: s["df"] > self.hot)).limit(1).count():
-            strings = scratch(around(True).mapInArrow(
+        around = texts.select("doc_id", "text", "hashes", "places").mapInArrow(
+            _surroundings(self.length, self.anchor),
+            "hash long, doc_id long, place int, right binary, left binary")
+        same = F.xxhash64("right", "left").alias("around")    # beside the sample's own hash: 128 bits
+        different = scratch(around.groupBy("hash", "right", "left").agg(F.count("*").cast("double").alias("copies"))
+                            .select("hash", same, "right", "left", "copies"), "suffix-around")
+        heat = different.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > self.hot).select("hash")
+        hot = scratch(heat, "suffix-hot")
+        reached = scratch(different.join(hot, "hash", "left_anti").repartition("hash").sortWithinPartitions("hash")
+                          .mapInArrow(_merge(self.length, self.anchor),
+                                      "hash long, around long, to_left int, to_right int"), "suffix-reached")
+        spans = around.select("doc_id", "place", "hash", same).join(reached, ["hash", "around"]).select(
+            "doc_id", (F.col("place") - F.col("to_left")).cast("long").alias("low"),
+            (F.col("place") + F.col("to_right")).cast("long").alias("high"))
+        if hot.limit(1).count():
+            strings = scratch(around.join(hot, "hash", "left_semi").mapInArrow(
                 _strings(self.length, self.anchor), "digest binary, doc_id long, low long"), "suffix-strings")
             often = strings.distinct().groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
             again = strings.join(often, "digest", "left_semi")
