@@ -388,7 +388,7 @@ SELECT doc_id, {', '.join(f'"{t}"' for t in ML_TAGS)} FROM ml
 
 _FLAG_RULES = dict(testbed.TEST_RULES)
 
-PREDICT_LABELS = chain(f"""
+PREDICT_LABELS_TAIL = f"""
 , flagged AS (
   SELECT r.doc_id, r.target, r.date, r.rating, r.title, r.body, r.image,
          {', '.join(
@@ -397,16 +397,19 @@ PREDICT_LABELS = chain(f"""
   FROM rvn r JOIN ml m ON r.doc_id = m.doc_id
 )
 SELECT *, {_category(ML_CANDIDATES)} AS category FROM flagged
-""")
+"""
+PREDICT_LABELS = chain(PREDICT_LABELS_TAIL)
 
 
 def all_oracles() -> dict[str, str]:
     from revlens.plans.oracles_flows import ORACLES as FLOW_ORACLES
     from revlens.plans.oracles_html import ORACLES as HTML_ORACLES
+    from revlens.plans.oracles_stem import ORACLES as STEM_ORACLES
 
     return {
         **HTML_ORACLES,
         **FLOW_ORACLES,
+        **STEM_ORACLES,
         "review_base": REVIEW_BASE,
         "rule_labels": RULE_LABELS,
         "recency_filter": RECENCY_FILTER,

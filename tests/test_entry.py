@@ -14,7 +14,7 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     own = {q for q in entry.queries() if not q.startswith("op") and q != "pipeline"}
-    assert own - set(entry.oracle_sql()) == {"stem_vocab", "predict_labels_stemmed"}
+    assert own - set(entry.oracle_sql()) == set()
 
 
 def test_queries_run_on_smallest_tables(spark):

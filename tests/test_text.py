@@ -66,3 +66,19 @@ def test_stem_udf_on_arrays(spark):
     df = spark.createDataFrame([(1, ["running", "leaks"]), (2, []), (3, None)], "id int, t array<string>")
     out = {r["id"]: r["s"] for r in df.select("id", stem.stem_tokens(F.col("t")).alias("s")).collect()}
     assert list(out[1]) == ["run", "leak"] and list(out[2]) == [] and out[3] is None
+
+
+def test_stemmer_equals_its_sql():
+    import duckdb
+
+    from revlens.functions.stem import IRREGULAR, porter_stem
+    from revlens.plans.oracles_stem import _S2, _S3, _S4, stem_ctes
+
+    endings = ["", "s", "es", "ies", "sses", "ed", "eed", "ied", "ing", "y", "ly", "e", "ll", "logi", *(s for s, _ in _S2), *(s for s, _ in _S3), *_S4]
+    heads = ["a", "tr", "by", "yy", "sky", "toy", "oat", "hop", "fail", "hiss", "tann", "oscill", "relat", "hopef", "yyy", "ayy"]
+    words = sorted({h + e for h in heads for e in endings} | set(IRREGULAR) | {"nationalli", "is", "bi", "agreed", "plied", "died", "controll", "roll"})
+    con = duckdb.connect()
+    con.execute("CREATE TABLE w(word VARCHAR)")
+    con.executemany("INSERT INTO w VALUES (?)", [(x,) for x in words])
+    got = dict(con.execute(f"WITH {stem_ctes('w')} SELECT word, stem FROM stems").fetchall())
+    assert got == {x: porter_stem(x) for x in words}
