@@ -134,11 +134,11 @@ SELECT *, category AS csv_category, rating AS csv_rating FROM done
 """)
 
 _ISSUES = [t for t, _ in params.RULES]
-_PHRASE = "[" + ", ".join(_sql_str(p) for p in testbed.PHRASES) + f"][CAST((doc_id // 2) % {len(testbed.PHRASES)} AS INTEGER) + 1]"
+PHRASE = "[" + ", ".join(_sql_str(p) for p in testbed.PHRASES) + f"][CAST((doc_id // 2) % {len(testbed.PHRASES)} AS INTEGER) + 1]"
 ISSUE_RULE_LABELS = with_reviews(f"""
 , said AS (SELECT doc_id, rating,
-                  CASE WHEN doc_id % 2 = 0 THEN {_PHRASE} || ' ' || coalesce(title, '') ELSE title END AS title,
-                  CASE WHEN doc_id % 2 = 1 THEN {_PHRASE} || ' ' || coalesce(body, '') ELSE body END AS body FROM reviews),
+                  CASE WHEN doc_id % 2 = 0 THEN {PHRASE} || ' ' || coalesce(title, '') ELSE title END AS title,
+                  CASE WHEN doc_id % 2 = 1 THEN {PHRASE} || ' ' || coalesce(body, '') ELSE body END AS body FROM reviews),
 flagged AS (SELECT doc_id, rating, {", ".join(f'{_rule_case(t, p)} AS "{t}"' for t, p in params.RULES)} FROM said)
 SELECT *, {_category(_ISSUES)} AS category FROM flagged
 """)

@@ -6,9 +6,11 @@ repeats.  The mask of a beginning of a word is the beginning of its mask, so eve
 
 from __future__ import annotations
 
+from revlens import params
 from revlens.functions.stem import IRREGULAR
 from revlens.plans import oracles
-from revlens.plans.oracles import CHAIN_CTES, with_reviews, tokens_sql
+from revlens.plans.oracles import CHAIN_CTES, REVIEWS_CTE, _category, _rule_case, tokens_sql, with_reviews
+from revlens.plans.oracles_flows import PHRASE
 
 
 def _mask(w: str) -> str:
@@ -119,4 +121,25 @@ rv AS (SELECT rv0.* EXCLUDE (toks), coalesce(rv2.toks, []) AS toks FROM rv0 LEFT
 
 PREDICT_LABELS_STEMMED = with_reviews(_STEMMED + CHAIN_CTES[len(_PLAIN):] + "\n" + oracles.PREDICT_LABELS_TAIL)
 
-ORACLES = {"stem_vocab": STEM_VOCAB, "predict_labels_stemmed": PREDICT_LABELS_STEMMED}
+
+def _default_tags() -> str:
+    """The chain with the two trained tags' names, on the reviews with phrases."""
+    low, toxic = params.TRAIN_TAGS
+    chain = _STEMMED + CHAIN_CTES[len(_PLAIN):]
+    for old, new in (("low quality", low), ("toxic", toxic)):
+        for a in (f"'{old}'", f'"{old}"'):
+            chain = chain.replace(a, a.replace(old, new))
+    chain = chain.replace("'low quality / toxic'", f"'{low} / {toxic}'")
+    said = REVIEWS_CTE.replace("\nreviews AS (", "\nplain AS (") + f""",
+reviews AS (SELECT * REPLACE (
+    CASE WHEN doc_id % 2 = 0 THEN {PHRASE} || ' ' || coalesce(title, '') ELSE title END AS title,
+    CASE WHEN doc_id % 2 = 1 THEN {PHRASE} || ' ' || coalesce(body, '') ELSE body END AS body) FROM plain)"""
+    rules = dict(params.RULES)
+    tags = ", ".join(f'{_rule_case(t, rules[t])} AS "{t}"' if t in rules else f'm."{t}" AS "{t}"' for t in params.DEFAULT_TAGS)
+    return f"""WITH {said}{chain}
+, flagged AS (SELECT r.doc_id, {tags} FROM rvn r JOIN ml m ON r.doc_id = m.doc_id)
+SELECT *, {_category(params.DEFAULT_TAGS)} AS category FROM flagged"""
+
+
+ORACLES = {"stem_vocab": STEM_VOCAB, "predict_labels_stemmed": PREDICT_LABELS_STEMMED,
+           "predict_default_tags": _default_tags()}

@@ -461,6 +461,15 @@ def predict_labels_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predict(spark, sf_dir, stem=True)
 
 
+def predict_default_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven default tags, the two model tags trained on the labels, with stemming."""
+    documents = table(spark, sf_dir, "documents")
+    training = testbed.training_set(documents, table(spark, sf_dir, "labels"), *params.TRAIN_TAGS, of=testbed.issue_reviews)
+    r = testbed.issue_reviews(documents).select("doc_id", "rating", "title", "body")
+    out = flows.label_reviews(r, training=training)
+    return out.select("doc_id", *[F.col(f"`{t}`") for t in params.DEFAULT_TAGS], "category")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "review_base": review_base,
@@ -496,6 +505,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "versioned_sink_roundtrip": versioned_sink_roundtrip,
         "saved_model_predict": saved_model_predict,
         "issue_rule_labels": issue_rule_labels,
+        "predict_default_tags": predict_default_tags,
         "page_headline": page_headline,
         "page_links": page_links,
         "compose_text": compose_text,

@@ -77,17 +77,19 @@ def reviews(documents: DataFrame) -> DataFrame:
     )
 
 
-def training_set(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def training_set(documents: DataFrame, labels: DataFrame, low: str = "low quality", toxic: str = "toxic",
+                 of=None) -> DataFrame:
     """Training rows ``(doc_id, title, body, category)`` from ``labels``.
 
-    quality 0 -> ``low quality``, toxic 1 -> ``toxic``, both -> the two joined
-    by `` / ``; any other labelled row has a blank category.
+    quality 0 -> ``low``, toxic 1 -> ``toxic``, both -> the two joined by
+    `` / ``; any other labelled row has a blank category.  ``of`` derives the
+    reviews from the documents (default: ``reviews``).
     """
-    cat = (F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit("low quality / toxic"))
-           .when(F.col("quality") == 0, F.lit("low quality"))
-           .when(F.col("toxic") == 1, F.lit("toxic"))
+    cat = (F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(f"{low} / {toxic}"))
+           .when(F.col("quality") == 0, F.lit(low))
+           .when(F.col("toxic") == 1, F.lit(toxic))
            .otherwise(F.lit("")))
-    r = reviews(documents).select("doc_id", "title", "body")
+    r = (of or reviews)(documents).select("doc_id", "title", "body")
     return labels.select("doc_id", cat.alias("category")).join(r, "doc_id", "inner")
 
 
