@@ -49,6 +49,24 @@ def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= rows else ids
 
 
+def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows with the largest counts, at most ``most`` of them, as a plain filter.
+
+    Counts fall into classes of a sixteenth of a doubling; their sizes (some hundred rows) tell down to which
+    class the rows fit.  Nothing is sorted, and what a task sends to the driver later has the bound ``most``.
+    """
+    level = F.floor(F.log2(F.col(column)) * 16)
+    sizes = sorted(((r.level, r.n) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()),
+                   reverse=True)
+    least = None
+    for at, n in sizes:
+        most -= n
+        if most < 0:
+            break
+        least = at
+    return counts.where(F.lit(False) if least is None else level >= least)
+
+
 def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs``, all columns, whose id is not the first column of ``gone`` (rows without an id stay)."""
     ids = scratch(gone.select(gone[gone.columns[0]].alias(id_col)).distinct(), "gone")

@@ -14,7 +14,7 @@ vocabulary and grow with it.
 Steps, all over the whole table:
 
 1. Word counts: counted per chunk in the tasks, summed by word (one shuffle), written as a table.
-2. The ``TOP`` most frequent words and their counts go to every task (12 bytes each, 1.6 MB).  Texts become class
+2. Up to ``TOP`` of the most frequent words and their counts go to every task (12 bytes each, 1.6 MB).  Texts become class
    sequences, written once; words beyond ``TOP`` are joined with the count table by word.
 3. Baum-Welch: each round, tasks run scaled forward-backward over their sequences (training texts cut into
    consecutive segments of ``SEGMENT`` tokens) and send expected counts, which are summed across
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import scratch
+from revlens.llm.common import most_frequent, scratch
 
 STATES, OWN, TAILS, TOP = 8, 8192, 256, 131_072
 ROUNDS, SEGMENT = 4, 64
@@ -272,9 +272,9 @@ class HmmLanguageModel:
 
     def _vocabulary(self) -> Vocabulary:
         sums = self.words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-        top = self.words.orderBy(F.desc("c"), "word").limit(TOP).collect()
+        top = most_frequent(self.words.where("tail >= 0"), "c", TOP).collect()
+        top.sort(key=lambda r: (-r.c, r.word))
         end = self.words.where(F.col("tail") == -1).collect()       # one row at most
-        top = [r for r in top if r.tail >= 0]
         classes = [*range(min(OWN, len(top))), *(OWN + r.tail for r in top[OWN:])]
         rows = [*zip(top, classes, strict=True), *((r, OWN + TAILS) for r in end)]
         words = np.array([r.word for r, _ in rows], np.int64).view(np.uint64)

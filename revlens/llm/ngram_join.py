@@ -10,8 +10,8 @@ Plan (every step covers all documents):
 
 1. One pass hashes the sets; equal sets fold to the smallest id (partial aggregation folds hot copies).
 2. The global order of n-grams is (count among frequent ones, hash): frequent ones come last.  The
-   frequent ones are counted over the corpus by chunk, and the ``FREQUENT`` most common are given to the
-   tasks.  That bound only affects speed: any one order gives the same links.
+   frequent ones are counted over the corpus by chunk, and up to ``FREQUENT`` of the most common are given to
+   the tasks.  That bound only affects speed: any one order gives the same links.
 3. Sets that link share an n-gram among the first ``n - ceil(percent*n/100) + 1`` of either (the first
    levels of the tree).  Only those are shuffled.
 4. Per shared n-gram the document that shares most of its own prefix leads, and every other one is a
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import broadcast_if_small, connected_components, id_text, scratch, without
+from revlens.llm.common import broadcast_if_small, connected_components, id_text, most_frequent, scratch, without
 
 SIZE, PERCENT = 5, 80
 #: n-grams whose corpus counts are given to every task: 16 bytes each, so 1 MB.
@@ -234,8 +234,9 @@ class NgramJoin:
         summaries = scratch(self.base.mapInArrow(
             _summaries(size), "doc_id long, n long, sig binary, token long, seen long"), "ngram-sets")
         self.sets = summaries.where("sig IS NOT NULL").select("doc_id", "n", "sig")
-        common = (summaries.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
-                  .orderBy(F.desc("seen"), "token").limit(FREQUENT).collect())
+        seen = scratch(summaries.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")), "ngram-seen")
+        common = most_frequent(seen, "seen", FREQUENT).collect()
+        common.sort(key=lambda r: (-r.seen, r.token))
         keys = np.array([r.token for r in common], np.int64).view(np.uint64)
         order = np.argsort(keys)
         self.frequent = keys[order], (len(keys) - np.arange(len(keys)))[order]
