@@ -6,8 +6,8 @@ line after.  The chain has two states; forward-backward gives every line's proba
 document's score is their average weighted by line length (in bytes, plus one).
 
 Only documents are labelled, so in training every line has its document's label.  The field is fitted on a
-bounded sample (``SAMPLE`` labelled documents that come first by a hash of their id, cut into segments of
-``SEGMENT`` lines); every other step covers all rows and whole texts.  Rows whose crc32(id as text) modulo
+bounded sample (about ``SAMPLE`` labelled documents that a hash of their id picks, cut into segments of
+``SEGMENT`` lines, of which about ``SEGMENTS`` are used); every other step covers all rows and whole texts.  Rows whose crc32(id as text) modulo
 ``folds`` is 0 are held out of training.  Labels, ids and other columns are never inputs of a score.
 
 A row without an id is scored and never trained on; a label that is null is ignored, of several labels of
@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import id_text, without
+from revlens.llm.common import broadcast_if_small, id_text, scratch, without
 
 FOLDS, THRESHOLD = 5, 0.3
-#: Labelled documents used for fitting at most, lines of a training segment, and segments at most.
+#: Labelled documents used for fitting, lines of a training segment, and segments used.
 SAMPLE, SEGMENT, SEGMENTS = 6000, 64, 12_000
 
 _KINDS = ("lower", "upper", "digit", "space", "stop", "bar", "bang", "symbol", "punct", "beyond")
@@ -232,16 +232,25 @@ def held_out(id_: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_.cast("string")), F.lit(folds)) == 0, F.lit(True))
 
 
+def _share(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """All rows, or of more than ``most`` the share that a hash of the key picks: about ``most`` of them, the
+    same on every run, without a sort."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(*key), F.lit(1_000_000)) < int(1_000_000 * most / n))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", folds: int = FOLDS, sample: int = SAMPLE) -> Chain:
     """The field fitted on at most ``sample`` labelled documents outside the held-out fold."""
     known = (labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
              .where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label")))
-    chosen = (known.where(~held_out(F.col("doc_id"), folds))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = (id_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label")
-            .mapInArrow(_segments, "doc_id long, at long, label int, features binary")
-            .orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(SEGMENTS).collect())
+    chosen = broadcast_if_small(_share(known.where(~held_out(F.col("doc_id"), folds)), sample, "doc_id"))
+    segments = scratch(id_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label")
+                       .mapInArrow(_segments, "doc_id long, at long, label int, features binary"), "quality-segments")
+    rows = _share(segments, SEGMENTS, "doc_id", "at").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.at, r.label, r.features))
     if not rows:
         return Chain(np.zeros(FEATURES), np.zeros((2, 2)))
     parts = [np.frombuffer(r.features, np.float32).reshape(-1, FEATURES) for r in rows]
