@@ -130,11 +130,12 @@ def hot_windows(string: Column, window: int, least_bits: float) -> Column:
         return F.struct(state["counts"].alias("counts"), state["sum"].alias("sum"), state["n"].alias("n"),
                         F.when(hot, spans).otherwise(state["spans"]).cast(spans_type).alias("spans"))
 
-    # one step a character: it enters, the one a window before leaves, the window is judged
-    moves = F.flatten(F.transform(F.sequence(F.lit(0), F.size(codes) - 1), lambda i: F.array(
-        F.struct(F.lit(0).alias("what"), F.get(codes, i).alias("into"), F.lit(-1).alias("out")),
-        F.struct(F.lit(1).alias("what"), F.lit(-1).alias("into"),
-                 F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1)).alias("out")),
+    # one step a character: it enters, the one a window before leaves, the window is judged; the two are
+    # zipped beforehand, so no step looks into the whole string
+    leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), window), codes), F.lit(1), F.length(string))
+    moves = F.flatten(F.transform(F.arrays_zip(codes.alias("into"), leaving.alias("out")), lambda c: F.array(
+        F.struct(F.lit(0).alias("what"), c["into"].alias("into"), F.lit(-1).alias("out")),
+        F.struct(F.lit(1).alias("what"), F.lit(-1).alias("into"), c["out"].alias("out")),
         F.struct(F.lit(2).alias("what"), F.lit(-1).alias("into"), F.lit(-1).alias("out")))))
     return F.aggregate(moves, start, lambda s, c: F.when(c["what"] == 0, step(s, c)).when(c["what"] == 1, left(s, c))
                        .otherwise(noted(s)), lambda s: s["spans"])
