@@ -26,30 +26,45 @@ WINDOW = 3
 
 
 def fingerprints(lines: Column, window: int) -> Column:
-    """Per window of lines: place, hash of its least line, digest of its text."""
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+    """Per window of lines: place, hash of its least line, digest of its text, and whether the window is the
+    first that selects this line.  A window's lines are zipped beforehand (with the line before it), so no
+    window looks into the whole text."""
+    n = F.size(lines) - window + 1
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), lines), F.lit(1), n)
+    zipped = F.arrays_zip(before.alias("l0"), *(F.slice(lines, F.lit(j), n).alias(f"l{j}") for j in range(1, window + 1)))
 
-    def one(at: Column) -> Column:
-        least = F.array_min(F.slice(hashes, at + 1, window))
-        return F.struct(at.alias("at"), least.alias("print"),
-                        F.unhex(F.md5(F.array_join(F.slice(lines, at + 1, window), "\n"))).alias("digest"))
+    def least_place(w: Column, first: int) -> tuple[Column, Column]:
+        """(least hash, its last place counted from the window's own first line) of ``window`` lines."""
+        hashes = [F.xxhash64(w[f"l{first + j}"]) for j in range(window)]
+        least = F.least(*hashes)
+        place = F.coalesce(*(F.when(hashes[j] == least, F.lit(first - 1 + j)) for j in reversed(range(window))))
+        return least, place
 
-    return F.transform(F.sequence(F.lit(0), F.size(lines) - window), one)
+    def one(w: Column, at: Column) -> Column:
+        least, place = least_place(w, 1)
+        digest = F.unhex(F.md5(F.concat_ws("\n", *(w[f"l{j}"] for j in range(1, window + 1)))))
+        return F.struct(at.alias("at"), least.alias("print"), digest.alias("digest"),
+                        ((at == 0) | (least_place(w, 0)[1] != place)).alias("first"))
+
+    return F.transform(zipped, one)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, at) of the windows of lines that occurred before."""
+    if window < 2:
+        raise ValueError("a window has two lines at least")
     rows = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     cut = rows.select("doc_id", F.split("text", "\n", -1).alias("lines")).where(F.size("lines") >= window)
     places = cut.select("doc_id", F.explode_outer(fingerprints(F.col("lines"), window)).alias("w")).select(
-        "doc_id", "w.at", "w.print", "w.digest")
+        "doc_id", "w.at", "w.print", "w.digest", "w.first")
     places = scratch(places, "line-windows")
-    # a window's fingerprint occurs again only where its line does: those that don't need no comparison
-    prints = places.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    # a window can only occur again where its fingerprint is selected again
+    prints = places.where("first").groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     again = places.join(prints, "print", "left_semi")
-    first = (again.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
-             .where("n > 1").select("digest", "first"))
-    later = again.join(first, "digest").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
+    earliest = (again.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("was"))
+                .where("n > 1").select("digest", "was"))
+    later = again.drop("first").join(earliest, "digest").where(
+        (F.col("doc_id") != F.col("was.doc_id")) | (F.col("at") != F.col("was.at")))
     return later.select("doc_id", "at").distinct()
 
 
