@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.session import ensure_checkpoint_dir, ship_package
+from revlens.session import ship_package, written
 
 #: Rows per Arrow batch handed to Python tasks; texts can be long, so batches stay small.
 BATCH_ROWS = 2000
@@ -37,10 +35,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back: cuts the lineage,
     computes it once, and survives the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)
 
 
 def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -43,7 +43,7 @@ SIZE, PERCENT = 5, 80
 #: 64 bits (angle of cosine 0.89), with a deviation of 3.
 RADIUS, BLOCKS = 23, 8
 #: Words of benchmark text given to the tasks at once.
-PART_WORDS = 500_000
+PART_WORDS = 50_000
 #: Windows fingerprinted together.
 WINDOWS = 4096
 
