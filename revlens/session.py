@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="revlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
