@@ -13,11 +13,14 @@ Plan (every step covers all documents):
    frequent ones are counted over the corpus by chunk, and up to ``FREQUENT`` of the most common are given to
    the tasks.  That bound only affects speed: any one order gives the same links.
 3. Sets that link share an n-gram among the first ``n - ceil(percent*n/100) + 1`` of either (the first
-   levels of the tree).  Only those are shuffled.
+   levels of the tree); with a prefix longer by ``EXTRA`` per cent of n they share as many more.  Only
+   prefixes are shuffled, and documents that share too few of theirs with any other are left out, such
+   as those that only have a passage in common.
 4. Per shared n-gram the document that shares most of its own prefix leads, and every other one is a
-   candidate of the leader: linear in the n-grams.  After these are verified, pairs of a shared n-gram
-   that are still in different components, and share enough of their prefixes to be able to link, are
-   verified too.  No link between components is lost, and pairs inside one are not expanded.
+   candidate of the leader: linear in the n-grams.  After these are verified, the n-grams between
+   documents still in different components are counted by pair, in blocks of documents of one leader;
+   pairs that share enough of their prefixes to be able to link are verified too.  No link between
+   components is lost, and pairs inside one are not expanded.
 5. Verification is the prefix tree: the ordered sets of up to ``BLOCK`` candidates of one leader are
    a tree (sorted lists, shared beginnings walked once), the leader's set is matched along it, and a
    subtree is left as soon as the overlap so far plus what can still follow is too small.
@@ -36,12 +39,21 @@ from revlens.llm import textkit
 from revlens.llm.common import broadcast_if_small, connected_components, id_text, most_frequent, scratch, without
 
 SIZE, PERCENT = 5, 80
+#: Per cent of the n-grams by which prefixes are longer than the least needed.
+EXTRA = 5
 #: n-grams whose corpus counts are given to every task: 16 bytes each, so 1 MB.
 FREQUENT = 65_536
 #: n-grams counted together before a chunk's counts are sent on, and the least count that is sent.
 CHUNK, CHUNK_LEAST = 2_000_000, 2
 #: Candidates of one leader that are verified together.
 BLOCK = 256
+#: Documents of a block whose pairs are counted with those of another.
+MEMBERS = 1000
+
+
+def prefix_size(n: int, percent: int) -> int:
+    """Length of the prefix of an ordered set of ``n``: sets that link share ``1 + n * EXTRA // 100`` in theirs."""
+    return n - -(-percent * n // 100) + 1 + n * EXTRA // 100
 
 
 def ordered(values: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -114,7 +126,7 @@ def _prefixes(size: int, percent: int, frequent):
                         continue
                     out_ids.append(ids[lo + i])
                     ns.append(n)
-                    lists.append(own[:n - -(-percent * n // 100) + 1])
+                    lists.append(own[:prefix_size(n, percent)])
                 if out_ids:
                     starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
                     yield pa.RecordBatch.from_arrays([
@@ -224,13 +236,66 @@ def _verify(percent: int):
     return run
 
 
+def _pairs(percent: int):
+    """Rows sorted by (lead, low, high, token) -> pairs of different components with their shared n-grams."""
+
+    def group(c: dict[str, np.ndarray]) -> np.ndarray | None:
+        docs, first, at = np.unique(c["doc_id"], return_index=True, return_inverse=True)
+        if len(docs) < 2:
+            return None
+        common = np.zeros((len(docs), len(docs)), np.int32)
+        edges = np.flatnonzero(np.diff(c["token"], prepend=c["token"][0] - 1))
+        for lo, hi in zip(edges, np.append(edges[1:], len(at)), strict=True):
+            common[np.ix_(at[lo:hi], at[lo:hi])] += 1
+        n, part, block = (c[k][first] for k in ("n", "part", "block"))
+        i, j = np.nonzero(np.triu(common, 1))
+        fits = (part[i] != part[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        if c["low"][0] != c["high"][0]:
+            fits &= block[i] != block[j]
+        i, j = i[fits], j[fits]
+        return np.stack([docs[i], docs[j], common[i, j].astype(np.int64), n[i], n[j]]) if len(i) else None
+
+    def flush(rows: pa.Table) -> pa.RecordBatch | None:
+        columns = {k: rows.column(k).to_numpy() for k in rows.column_names}
+        keys = np.stack([columns[k].astype(np.int64) for k in ("lead", "low", "high")])
+        edges = np.flatnonzero(np.any(np.diff(keys, axis=1, prepend=keys[:, :1] - 1) != 0, axis=0))
+        found = [group({k: v[lo:hi] for k, v in columns.items()})
+                 for lo, hi in zip(edges, np.append(edges[1:], rows.num_rows), strict=True)]
+        found = [f for f in found if f is not None]
+        if not found:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)],
+                                          names=["a", "b", "common", "na", "nb"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 100_000:                  # the last group may go on in the next batch
+                rows = pa.Table.from_batches(held)
+                keys = [rows.column(k).to_numpy() for k in ("lead", "low", "high")]
+                cut = int(np.flatnonzero(np.all([k == k[-1] for k in keys], axis=0))[0])
+                out = flush(rows.slice(0, cut)) if cut else None
+                held = rows.slice(cut).to_batches()
+                size = rows.num_rows - cut
+                if out is not None:
+                    yield out
+        out = flush(pa.Table.from_batches(held)) if size else None
+        if out is not None:
+            yield out
+
+    return run
+
+
 class NgramJoin:
     """One run of the join over ``docs``; ``links`` and ``documents`` are its results."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 size: int = SIZE, percent: int = PERCENT, block: int = BLOCK):
+                 size: int = SIZE, percent: int = PERCENT, block: int = BLOCK, members: int = MEMBERS):
         self.base = id_text(docs, id_col, text_col)
-        self.size, self.percent, self.block = size, percent, block
+        self.size, self.percent, self.block, self.members = size, percent, block, members
         summaries = scratch(self.base.mapInArrow(
             _summaries(size), "doc_id long, n long, sig binary, token long, seen long"), "ngram-sets")
         self.sets = summaries.where("sig IS NOT NULL").select("doc_id", "n", "sig")
@@ -251,16 +316,17 @@ class NgramJoin:
         # of equal sets only the representative's prefix goes on
         prefixes = prefixes.join(self.reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         posted = prefixes.select("doc_id", "n", F.explode_outer("prefix").alias("token"))
-        count = F.count("*").over(_by("token"))
-        shared = scratch(posted.withColumn("df", count).where("df > 1").drop("df"), "ngram-shared")
-        mine = shared.groupBy("doc_id").agg(F.count("*").alias("mine"))
-        return scratch(shared.join(mine, "doc_id"), "ngram-shared")
+        count = F.count("*")
+        shared = posted.withColumn("df", count.over(_by("token"))).where("df > 1").drop("df")
+        shared = shared.withColumn("mine", count.over(_by("doc_id"))).where(
+            F.col("mine") > F.floor(F.col("n") * EXTRA / 100))
+        return scratch(shared.withColumn("df", count.over(_by("token"))).where("df > 1").drop("df"), "ngram-shared")
 
     def _can_link(self, n1: str, n2: str, common):
         """Sizes fit, and the n-grams shared within the prefixes leave enough room: beyond them at most
         the longer rest can be shared."""
         p = self.percent
-        kept = [F.ceil(F.col(n) * p / 100) - 1 for n in (n1, n2)]
+        kept = [F.ceil(F.col(n) * p / 100) - 1 - F.floor(F.col(n) * EXTRA / 100) for n in (n1, n2)]
         need = F.ceil((F.col(n1) + F.col(n2)) * p / (100 + p))
         return ((F.least(n1, n2) * 100 >= F.greatest(n1, n2) * p)
                 & (common >= need - F.greatest(*kept)))
@@ -284,10 +350,9 @@ class NgramJoin:
     def links(self) -> DataFrame:
         """Verified links (a, b) between different sets: enough to connect every component."""
         shared = self._shared()
-        lead = shared.groupBy("token").agg(F.max(F.struct(
-            (F.col("mine") / F.col("n")).alias("share"), F.col("doc_id").alias("a"),
-            F.col("n").alias("na"), F.col("mine").alias("ma"))).alias("lead"))
-        led = (shared.join(lead, "token").select("doc_id", "n", "mine", "lead.a", "lead.na", "lead.ma")
+        lead = F.max(F.struct((F.col("mine") / F.col("n")).alias("share"), F.col("doc_id").alias("a"),
+                              F.col("n").alias("na"), F.col("mine").alias("ma"))).over(_by("token"))
+        led = (shared.withColumn("lead", lead).select("doc_id", "n", "mine", "lead.a", "lead.na", "lead.ma")
                .where("doc_id <> a").distinct())
         first = led.where(self._can_link("n", "na", F.least("mine", "ma"))).select("a", F.col("doc_id").alias("b"))
         found = scratch(self._verified(scratch(first, "ngram-pairs")), "ngram-links")
@@ -295,19 +360,30 @@ class NgramJoin:
         rest = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
             "token", "doc_id", "n", "mine", F.coalesce("component", "doc_id").alias("part"))
         # an n-gram between documents that all are in one component already is done with
-        mixed = rest.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-        rest = scratch(rest.join(mixed.select("token"), "token", "left_semi"), "ngram-rest")
-        x, y = rest.alias("x"), rest.alias("y")
-        crossing = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id"))
-                          & (F.col("x.part") != F.col("y.part"))
-                          & self._can_link("x.n", "y.n", F.least("x.mine", "y.mine")))
-        pairs = (crossing.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-                 .agg(F.count("*").alias("common"), F.first("x.n").alias("na"), F.first("y.n").alias("nb")))
+        top = F.max(F.struct((F.col("mine") / F.col("n")).alias("share"), F.col("doc_id").alias("lead"))).over(_by("token"))
+        rest = rest.withColumns({"lo": F.min("part").over(_by("token")), "hi": F.max("part").over(_by("token")), "top": top})
+        rest = scratch(rest.where("lo < hi").select("token", "doc_id", "n", "part", "top.lead"), "ngram-rest")
+        pairs = self._crossing(rest).groupBy("a", "b").agg(
+            F.sum("common").alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         left = scratch(pairs.where(self._can_link("na", "nb", F.col("common"))).select("a", "b"), "ngram-pairs")
         if left.limit(1).count():
             found = found.union(scratch(self._verified(left), "ngram-links"))
         return found
 
+    def _crossing(self, rest: DataFrame) -> DataFrame:
+        """(a, b, common, na, nb): how many n-grams of one leader two documents of different components share.
+
+        The n-grams of a leader are counted together, so a pair comes out once a leader and not once an
+        n-gram; documents of a leader are handled in blocks of about ``self.members``, each with each."""
+        docs = rest.select("lead", "doc_id").distinct().groupBy("lead").agg(
+            F.ceil(F.count("*") / self.members).cast("int").alias("blocks"))
+        placed = rest.join(docs, "lead").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = placed.select("lead", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                               "token", "doc_id", "n", "part", "block")
+        return (placed.repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high", "token")
+                .mapInArrow(_pairs(self.percent), "a long, b long, common long, na long, nb long"))
+
     def documents(self) -> DataFrame:
         """Per row: ``doc_id``, ``n_shingles``, ``component_id``."""
         label = connected_components(self.links())
@@ -326,9 +402,9 @@ def _by(column: str):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+                    size: int = SIZE, percent: int = PERCENT, block: int = BLOCK, members: int = MEMBERS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
-    return NgramJoin(docs, id_col, text_col, size, percent, block).documents()
+    return NgramJoin(docs, id_col, text_col, size, percent, block, members).documents()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -66,7 +66,7 @@ def near_rows(seed=1):
 
 def test_near_duplicates_against_plain_python(make, corpus, monkeypatch):
     for rows in (near_rows(), near_rows(2), corpus):
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(make(rows), block=7).collect()}
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(make(rows), block=7, members=5).collect()}
         assert got == brute.components(rows)
     monkeypatch.setattr(ngram_join, "FREQUENT", 50)   # the order of n-grams must not change the links
     rows = near_rows(3)
