@@ -237,7 +237,8 @@ def _verify(percent: int):
 
 
 def _pairs(percent: int):
-    """Rows sorted by (lead, low, high, token) -> pairs of different components with their shared n-grams."""
+    """Rows sorted by (lead, low, high, token) -> pairs of different components with their shared n-grams, if
+    these and what they may share elsewhere can be enough."""
 
     def group(c: dict[str, np.ndarray]) -> np.ndarray | None:
         docs, first, at = np.unique(c["doc_id"], return_index=True, return_inverse=True)
@@ -247,9 +248,14 @@ def _pairs(percent: int):
         edges = np.flatnonzero(np.diff(c["token"], prepend=c["token"][0] - 1))
         for lo, hi in zip(edges, np.append(edges[1:], len(at)), strict=True):
             common[np.ix_(at[lo:hi], at[lo:hi])] += 1
-        n, part, block = (c[k][first] for k in ("n", "part", "block"))
+        n, part, block, rows = (c[k][first] for k in ("n", "part", "block", "rows"))
+        elsewhere = rows - np.bincount(at)     # a document's n-grams with other leaders
+        rest = -(-percent * n // 100) - 1 - n * EXTRA // 100
         i, j = np.nonzero(np.triu(common, 1))
         fits = (part[i] != part[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        # even if all of these were shared too, a pair below this can't link
+        least = -(-percent * (n[i] + n[j]) // (100 + percent)) - np.maximum(rest[i], rest[j])
+        fits &= common[i, j] + np.minimum(elsewhere[i], elsewhere[j]) >= least
         if c["low"][0] != c["high"][0]:
             fits &= block[i] != block[j]
         i, j = i[fits], j[fits]
@@ -362,7 +368,9 @@ class NgramJoin:
         # an n-gram between documents that all are in one component already is done with
         top = F.max(F.struct((F.col("mine") / F.col("n")).alias("share"), F.col("doc_id").alias("lead"))).over(_by("token"))
         rest = rest.withColumns({"lo": F.min("part").over(_by("token")), "hi": F.max("part").over(_by("token")), "top": top})
-        rest = scratch(rest.where("lo < hi").select("token", "doc_id", "n", "part", "top.lead"), "ngram-rest")
+        rest = rest.where("lo < hi").select("token", "doc_id", "n", "part", "top.lead",
+                                            F.count("*").over(_by("doc_id")).alias("rows"))
+        rest = scratch(rest, "ngram-rest")
         pairs = self._crossing(rest).groupBy("a", "b").agg(
             F.sum("common").alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         left = scratch(pairs.where(self._can_link("na", "nb", F.col("common"))).select("a", "b"), "ngram-pairs")
@@ -371,7 +379,8 @@ class NgramJoin:
         return found
 
     def _crossing(self, rest: DataFrame) -> DataFrame:
-        """(a, b, common, na, nb): how many n-grams of one leader two documents of different components share.
+        """(a, b, common, na, nb): how many n-grams of one leader two documents of different components share,
+        without pairs that can't link whatever they share with other leaders.
 
         The n-grams of a leader are counted together, so a pair comes out once a leader and not once an
         n-gram; documents of a leader are handled in blocks of about ``self.members``, each with each."""
@@ -380,7 +389,7 @@ class NgramJoin:
         placed = rest.join(docs, "lead").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         placed = placed.select("lead", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                               "token", "doc_id", "n", "part", "block")
+                               "token", "doc_id", "n", "part", "block", "rows")
         return (placed.repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high", "token")
                 .mapInArrow(_pairs(self.percent), "a long, b long, common long, na long, nb long"))
 
