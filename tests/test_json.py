@@ -11,10 +11,13 @@ from conftest import SF001
 
 
 def _expected(reviews, fail):
-    m, k = fail
+    bad = F.lit(False)
+    for m, k in fail:
+        bad = bad | (F.col("doc_id") % m == k)
+    reviews = reviews.withColumn("rating", testbed.payload_rating(F.col("rating"), F.col("doc_id")))
     cut = testbed.cut_page(F.col("target"))
     kept = reviews.filter(F.col("page_no") < cut)
-    failed = kept.filter(F.col("doc_id") % m == k).select("target").distinct()
+    failed = kept.filter(bad).select("target").distinct()
     return kept.join(failed, "target", "left_anti").select("target", "page_no", *extract.REVIEW_COLUMNS)
 
 
@@ -43,11 +46,12 @@ def test_missing_key_fails_exactly_one_target(spark):
             ("lowes", "b", 1, json.dumps({"Results": [ok, bad]})),
             ("lowes", "c", 1, json.dumps({"Results": []}))]
     landed = spark.createDataFrame(rows, "source string, target string, page_no int, payload string")
-    read = extract.read_cutoff(extract.typed_lowes(extract.explode_lowes(landed)), None)
-    got = {r["target"]: (r["status"], r["n_reviews"]) for r in extract.target_report(landed, read).collect()}
+    rows = extract.typed_reviews(landed, "lowes")
+    read, report = extract.read_targets(rows, extract.target_cuts(extract.read_events(rows, None), landed))
+    got = {r["target"]: (r["status"], r["n_reviews"]) for r in report.collect()}
     assert got == {"a": ("success", 2), "b": ("failed", 0), "c": ("no new reviews", 0)}
     # a JSON null is a NULL value, not a failure
-    assert extract.drop_failed(read).filter(F.col("target") == "a").filter(F.col("title").isNull()).count() == 2
+    assert read.filter(F.col("target") == "a").filter(F.col("title").isNull()).count() == 2
 
 
 def test_missing_product_entry_fails_target(spark):
