@@ -12,7 +12,7 @@ from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.hmm_lm import hmm_scores
 from revlens.llm.license_scan import license_scan
-from revlens.llm.line_dedup import line_dedup
+from revlens.llm.line_dedup import PASSAGE, line_dedup
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
 from revlens.llm.quality_crf import quality
@@ -58,6 +58,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), words=PASSAGE).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return pack(table(spark, sf_dir, "documents"))

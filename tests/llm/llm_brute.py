@@ -135,5 +135,21 @@ def line_runs(docs, window):
     return out
 
 
+def line_passages(docs, window, words):
+    """As line_runs; a run of fewer lines than ``window`` counts when it holds ``words`` words."""
+    cut, seen = {i: (t or "").split("\n") for i, t in docs}, set()
+    gone = {i: set() for i in cut}
+    for i in sorted(cut):
+        for k in range(len(cut[i])):
+            for n in range(1, min(window, len(cut[i]) - k) + 1):
+                run = tuple(cut[i][k:k + n])
+                if n == window or len(re.findall(r"[^ \t\n\v\f\r]+", "\n".join(run))) >= words:
+                    if run in seen:
+                        gone[i].update(range(k, k + n))
+                    seen.add(run)
+    return {i: (len(x), len(gone[i]), sum(k - 1 not in gone[i] for k in gone[i]),
+                "\n".join(y for k, y in enumerate(x) if k not in gone[i])) for i, x in cut.items()}
+
+
 def fold(doc_id, n):
     return zlib.crc32(str(doc_id).encode()) % n

@@ -141,3 +141,22 @@ def test_line_runs_edges(odd, nothing):
     assert got[1].text == "" and got[1].n_lines == 1 and got[14].n_removed == 0
     assert got[16].n_removed and got[17].n_lines == 5
     assert line_dedup.line_dedup(nothing).count() == 0
+
+
+def test_long_passages_of_few_lines(make, corpus):
+    long, other = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
+    half = " ".join(f"h{i}" for i in range(25))
+    rows = [(1, f"a\n{long}\nb"), (2, long), (3, f"{long}\nmore"), (4, f"{half}\n{half}"), (5, f"{half}\n{half}"),
+            (6, f"x\n{half}\ny"), (7, f"{other} {other}\r"), (8, f"{long}\n{long}\nz\n{long}"), (9, None), (10, long[:-4]),
+            (11, long[:-4]), (12, f"{half}\n{half}\nend")]
+    got = {r.doc_id: (r.n_removed, r.n_runs, r.text) for r in line_dedup.line_dedup(make(rows), words=50).collect()}
+    assert got == {1: (0, 0, rows[0][1]), 2: (1, 1, ""), 3: (1, 1, "more"), 4: (0, 0, rows[3][1]), 5: (2, 1, ""),
+                   6: (0, 0, rows[5][1]), 7: (0, 0, rows[6][1]), 8: (3, 2, "z"), 9: (0, 0, ""), 10: (0, 0, long[:-4]),
+                   11: (0, 0, long[:-4]), 12: (2, 1, "end")}
+    rnd = random.Random(4)
+    lines = ["a", "b c", "", "d e f", "g h i j k", "é  é\té é"]
+    rows = corpus[:80] + [(1000 + i, "\n".join(rnd.choices(lines, k=rnd.randrange(0, 30)))) for i in range(60)]
+    for window, words in ((3, 50), (3, 4), (4, 6), (2, 5)):
+        got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.text)
+               for r in line_dedup.line_dedup(make(rows), window, words=words).collect()}
+        assert got == brute.line_passages(rows, window, words)
