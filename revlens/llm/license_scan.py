@@ -4,7 +4,8 @@ A text is cut into sentences at line ends and after ``. ! ? ; :`` before white s
 (A-Z lower-cased, runs of other than ASCII letters and digits one blank) and looked up: first as a whole among
 ``SENTENCES``, then by ``PATTERNS`` for sentences that hold a version, a year or a name.  The identifiers of
 a text, in order, are matched against ``RULES`` in their order; what a rule matches is used up.  Identifiers
-that no rule uses are counted as unmatched.
+that no rule uses are counted as unmatched.  The value of an SPDX tag belongs to the tag's sentence; each licence
+of its expression (``A OR B``, ``A AND B``) is one identifier.
 
 A null text counts as empty; a text without known sentences has no identifiers; rows keep their ids, null or
 repeated; an empty table gives an empty result.  Everything happens inside the row: no shuffle.
@@ -12,6 +13,7 @@ repeated; an empty table gives an empty result.  Everything happens inside the r
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -48,16 +50,26 @@ SENTENCES = {
     "following disclaimer in the documentation and or other materials provided with the distribution": "BSD-binary",
     "redistributions in binary form must reproduce the above copyright notice": "BSD-binary",
 }
+#: Licences that an SPDX tag may name; ``GPL-2.0`` and ``GPL-3.0`` are the older names of ``-only``.
+SPDX = {name: name for name in (
+    "MIT", "Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "GPL-3.0-or-later", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-2.0-only", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC-BY-4.0", "Unlicense")} | {
+    "GPL-3.0": "GPL-3.0-only", "GPL-2.0": "GPL-2.0-only"}
+TAG = "spdx license identifier"
+_GPL = ("^(this program is free software )?you can redistribute it and or modify it under the terms of the gnu "
+        "general public license")
 #: Sentences with a part that varies: (pattern over the normalised sentence, identifier).
 PATTERNS = (
     ("^permission is hereby granted free of charge to any person obtaining a copy", "MIT-grant"),
     ("^neither the names? of .* may be used to endorse or promote products", "BSD-endorse"),
-    ("^this program is free software you can redistribute it and or modify it under the terms of the gnu "
-     "general public license .* version 2 .*any later version$", "GPL-2-or-later"),
-    ("^this program is free software you can redistribute it and or modify it under the terms of the gnu "
-     "general public license .* version 3 .*any later version$", "GPL-3-or-later"),
+    (_GPL + " .*version 2 .*any later version$", "GPL-2-or-later"),
+    (_GPL + " .*version 3 .*any later version$", "GPL-3-or-later"),
+    (_GPL + "( as published by the free software foundation)?$", "GPL-grant"),
+    ("^either version 2 .*any later version$", "GPL-2-later"),
+    ("^either version 3 .*any later version$", "GPL-3-later"),
     ("^(copyright|c copyright)( c)? ([0-9]{4} )+", "Copyright"),
-    ("^spdx license identifier", "SPDX"),
+    *((f"^{TAG} " + re.sub("[^a-z0-9]+", " ", value.lower()) + "( with .*)?$", f"SPDX-{name}") for value, name in SPDX.items()),
+    (f"^{TAG}", "SPDX"),
 )
 #: Rules in order: (licence, sequence of identifiers; the later ones may be missing from the optional part on).
 RULES = (
@@ -68,8 +80,14 @@ RULES = (
     ("MIT", ("MIT-ref",)),
     ("Apache-2.0", ("Apache-2.0-ref", "Apache-use", "Apache-copy")),
     ("Apache-2.0", ("Apache-2.0-ref",)),
+    ("GPL-3.0-or-later", ("GPL-3-or-later", "GPL-copy")),
     ("GPL-3.0-or-later", ("GPL-3-or-later",)),
+    ("GPL-3.0-or-later", ("GPL-grant", "GPL-3-later", "GPL-copy")),
+    ("GPL-3.0-or-later", ("GPL-grant", "GPL-3-later")),
+    ("GPL-2.0-or-later", ("GPL-2-or-later", "GPL-copy")),
     ("GPL-2.0-or-later", ("GPL-2-or-later",)),
+    ("GPL-2.0-or-later", ("GPL-grant", "GPL-2-later", "GPL-copy")),
+    ("GPL-2.0-or-later", ("GPL-grant", "GPL-2-later")),
     ("GPL-3.0-only", ("GPL-3-ref", "GPL-copy")),
     ("GPL-3.0-only", ("GPL-3-ref",)),
     ("GPL-2.0-only", ("GPL-2-ref",)),
@@ -80,6 +98,7 @@ RULES = (
     ("LicenseRef-PublicDomain", ("PublicDomain",)),
     ("LicenseRef-Proprietary", ("Copyright", "AllRightsReserved")),
     ("LicenseRef-Proprietary", ("AllRightsReserved",)),
+    *((name, (f"SPDX-{name}",)) for name in dict.fromkeys(SPDX.values())),
 )
 #: Every known sentence has one of these words, so other texts need not be cut.
 HINT = "(?i:licen|copyright|reserved|permission|redistribut|domain|warrant|neither)"
@@ -87,11 +106,24 @@ BREAK = r"[.!?;:]+[\x20\t\n\x0B\f\r]+"
 OTHER = "[^a-z0-9]+"
 
 
+def tagged(text: Column) -> Column:
+    """A text, A-Z lower-cased, in which an SPDX tag starts a sentence that its value belongs to."""
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    later = F.regexp_replace(lower, r"(gpl-[0-9.]+)\+", "$1-or-later")
+    return F.regexp_replace(later, r"spdx-license-identifier[\x20\t]*:[\x20\t]*", f"\n{TAG} ")
+
+
 def normalised(text: Column) -> Column:
     """Sentences of a text, normalised."""
-    cut = F.split(F.regexp_replace(text, BREAK, "\n"), "\n", -1)
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.translate(
-        s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), OTHER, " ")))
+    cut = F.split(F.regexp_replace(tagged(text), BREAK, "\n"), "\n", -1)
+    return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, OTHER, " ")))
+
+
+def operands(sentence: Column) -> Column:
+    """The tag before each licence of its expression; any other sentence alone."""
+    each = F.transform(F.split(F.substr(sentence, F.lit(len(TAG) + 2)), " (?:or(?! later(?![a-z0-9]))|and) "),
+                       lambda v: F.concat(F.lit(f"{TAG} "), v))
+    return F.when(F.startswith(sentence, F.lit(f"{TAG} ")), each).otherwise(F.array(sentence))
 
 
 def identifiers(text: Column) -> Column:
@@ -102,7 +134,8 @@ def identifiers(text: Column) -> Column:
         found = F.try_element_at(known, sentence)
         return F.coalesce(found, *(F.when(sentence.rlike(pattern), F.lit(name)) for pattern, name in PATTERNS))
 
-    ids = F.filter(F.transform(normalised(text), one), lambda i: i.isNotNull())
+    sentences = F.flatten(F.transform(normalised(text), operands))
+    ids = F.filter(F.transform(sentences, one), lambda i: i.isNotNull())
     return F.when(text.rlike(HINT), ids).otherwise(F.array().cast("array<string>"))
 
 

@@ -79,3 +79,32 @@ def test_license_tables_and_edges(odd, nothing):
     rows = license_scan.license_scan(odd).collect()
     assert len(rows) == odd.count() and [r.licenses for r in rows if r.doc_id == 15] == ["MIT"]
     assert license_scan.license_scan(nothing).count() == 0
+
+
+GPL2 = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.")
+GPL3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.")
+COPY = " You should have received a copy of the GNU General Public License along with this program; if not, see elsewhere."
+
+
+def licenses(df):
+    return {r.doc_id: (r.licenses, r.n_sentences, r.n_unmatched) for r in license_scan.license_scan(df).collect()}
+
+
+def test_gpl_notices_and_spdx_tags(make):
+    tags = {"MIT": "MIT", "GPL-2.0+": "GPL-2.0-or-later", "GPL-2.0": "GPL-2.0-only", "(MIT OR Apache-2.0) */": "MIT,Apache-2.0",
+            "GPL-3.0-or-later AND BSD-2-Clause": "BSD-2-Clause,GPL-3.0-or-later", "Apache-2.0 WITH LLVM-exception": "Apache-2.0"}
+    rows = [(1, GPL2), (2, GPL3), (3, GPL2 + COPY), (4, GPL3 + COPY), (5, GPL3.replace("GNU General", "GNU Lesser General")),
+            (6, "// SPDX-License-Identifier: MIT-0"), (7, "x. SPDX-License-Identifier:MIT\nmit\nlicense"),
+            (8, GPL2.replace("2 of", "3 of")), *((100 + i, f"# SPDX-License-Identifier: {v}\ncode") for i, v in enumerate(tags)),
+            *((200 + i, f"/* SPDX-License-Identifier: {v} */") for i, v in enumerate(license_scan.SPDX))]
+    got = licenses(make(rows))
+    assert {i: got[i] for i in range(1, 9)} == {
+        1: ("GPL-2.0-or-later", 2, 0), 2: ("GPL-3.0-or-later", 1, 0), 3: ("GPL-2.0-or-later", 3, 0),
+        4: ("GPL-3.0-or-later", 2, 0), 5: ("", 0, 0), 6: ("", 1, 1), 7: ("MIT", 1, 0), 8: ("GPL-3.0-or-later", 2, 0)}
+    for i, want in enumerate(tags.values()):
+        assert set(got[100 + i][0].split(",")) == set(want.split(",")) and got[100 + i][2] == 0
+    assert [got[200 + i] for i in range(len(license_scan.SPDX))] == [(v, 1, 0) for v in license_scan.SPDX.values()]
