@@ -1,8 +1,10 @@
 """License scans: sentences become known identifiers, ordered rules match sequences of identifiers.
 
-A text is cut into sentences at line ends and after ``. ! ? ; :`` before white space; a sentence is normalised
-(A-Z lower-cased, runs of other than ASCII letters and digits one blank) and looked up: first as a whole among
-``SENTENCES``, then by ``PATTERNS`` for sentences that hold a version, a year or a name.  The identifiers of
+A text is cut after ``. ! ? ; :`` before white space and at blank lines (lines without ASCII letters and digits, so
+a bare comment mark is one); marks that open a line cut nothing.  A sentence is a line or several consecutive lines
+between cuts.  It is normalised (A-Z lower-cased, runs of other than ASCII letters and digits one blank) and looked
+up: first as a whole among ``SENTENCES``, then by ``PATTERNS`` for sentences that hold a version, a year or a name;
+of the sentences that start at a line the longest whole one counts.  The identifiers of
 a text, in order, are matched against ``RULES`` in their order; what a rule matches is used up.  Identifiers
 that no rule uses are counted as unmatched.  The value of an SPDX tag belongs to the tag's sentence; each licence
 of its expression (``A OR B``, ``A AND B``) is one identifier.
@@ -103,20 +105,37 @@ RULES = (
 #: Every known sentence has one of these words, so other texts need not be cut.
 HINT = "(?i:licen|copyright|reserved|permission|redistribut|domain|warrant|neither)"
 BREAK = r"[.!?;:]+[\x20\t\n\x0B\f\r]+"
-OTHER = "[^a-z0-9]+"
+#: Breaks that only open a line are comment marks.
+MARK = r"(?md)^[\x20\t]*[!;:]+(?=[\x20\t]|$)"
+OTHER = "[^a-z0-9|\n]+"
+
+
+def _known() -> str:
+    """Pattern of all known sentences over a normalised text, where ``|`` is a cut and a newline a line end; the
+    longest sentences first."""
+    varying = [p.removeprefix("^").replace(".*", "[^|]*?").replace("(", "(?:").replace("$", "(?![^|\n])").replace(" ", "[ \n]")
+               for p, i in PATTERNS if not i.startswith("SPDX")]
+    whole = [s.replace(" ", "[ \n]") + "(?![^|\n])" for s in sorted(SENTENCES, key=lambda s: (-len(s), s))]
+    return "(?<![^|\n])(?:" + "|".join([*whole, *varying, f"{TAG}(?![a-z0-9])[a-z0-9 ]*"]) + ")"
 
 
 def tagged(text: Column) -> Column:
-    """A text, A-Z lower-cased, in which an SPDX tag starts a sentence that its value belongs to."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A text, A-Z lower-cased and without ``|``, in which an SPDX tag starts a sentence that its value belongs to."""
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ|", "abcdefghijklmnopqrstuvwxyz ")
     later = F.regexp_replace(lower, r"(gpl-[0-9.]+)\+", "$1-or-later")
-    return F.regexp_replace(later, r"spdx-license-identifier[\x20\t]*:[\x20\t]*", f"\n{TAG} ")
+    return F.regexp_replace(later, r"spdx-license-identifier[\x20\t]*:[\x20\t]*", f"|{TAG} ")
 
 
 def normalised(text: Column) -> Column:
-    """Sentences of a text, normalised."""
-    cut = F.split(F.regexp_replace(tagged(text), BREAK, "\n"), "\n", -1)
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, OTHER, " ")))
+    """A text, normalised: ``|`` at cuts, newlines at other line ends."""
+    cut = F.regexp_replace(F.regexp_replace(tagged(text), MARK, " "), BREAK, "|")
+    cut = F.regexp_replace(cut, "\n[^a-z0-9|\n]*+(?=\n)", "|")
+    return F.regexp_replace(F.regexp_replace(cut, OTHER, " "), "^ | $| (?=[|\n])|(?<=[|\n]) ", "")
+
+
+def sentences(text: Column) -> Column:
+    """The known sentences of a text, in order, each on one line."""
+    return F.transform(F.regexp_extract_all(normalised(text), F.lit(_known()), F.lit(0)), lambda s: F.translate(s, "\n", " "))
 
 
 def operands(sentence: Column) -> Column:
@@ -134,8 +153,8 @@ def identifiers(text: Column) -> Column:
         found = F.try_element_at(known, sentence)
         return F.coalesce(found, *(F.when(sentence.rlike(pattern), F.lit(name)) for pattern, name in PATTERNS))
 
-    sentences = F.flatten(F.transform(normalised(text), operands))
-    ids = F.filter(F.transform(sentences, one), lambda i: i.isNotNull())
+    each = F.flatten(F.transform(sentences(text), operands))
+    ids = F.filter(F.transform(each, one), lambda i: i.isNotNull())
     return F.when(text.rlike(HINT), ids).otherwise(F.array().cast("array<string>"))
 
 

@@ -108,3 +108,43 @@ def test_gpl_notices_and_spdx_tags(make):
     for i, want in enumerate(tags.values()):
         assert set(got[100 + i][0].split(",")) == set(want.split(",")) and got[100 + i][2] == 0
     assert [got[200 + i] for i in range(len(license_scan.SPDX))] == [(v, 1, 0) for v in license_scan.SPDX.values()]
+
+
+MIT = ("MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of "
+       "this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, subject "
+       "to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or "
+       "substantial portions of the Software.\n\nThe software is provided \"as is\", without warranty of any kind, express or implied.")
+BSD = ("Copyright (c) 2020, Someone\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without "
+       "modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must "
+       "retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in "
+       "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+       "documentation and/or other materials provided with the distribution.")
+BSD3 = BSD + ("\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission.")
+APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+          "the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0")
+
+
+def test_wrapped_notices(make):
+    import textwrap
+
+    def wrapped(text, width, mark="", end="\n"):
+        lines = [x for p in text.split("\n") for x in textwrap.wrap(p, width) or [""]]
+        return "code\n\n" + end.join((mark + x).rstrip() for x in lines) + end
+
+    notices = [(MIT, "MIT", 4, 1), (BSD, "BSD-2-Clause,LicenseRef-Proprietary", 5, 0), (BSD3, "BSD-3-Clause,LicenseRef-Proprietary", 6, 0),
+               (GPL2 + COPY, "GPL-2.0-or-later", 3, 0), (GPL3 + COPY, "GPL-3.0-or-later", 2, 0), (APACHE, "Apache-2.0", 3, 0)]
+    styles = [(w, m, e) for w in (25, 60, 76, 400) for m, e in (("", "\n"), ("# ", "\n"), ("// ", "\r\n"), (" * ", "\n"), (";; ", "\n"),
+                                                               ("! ", "\n"), ("| ", "\n"))]
+    rows = [(100 * k + j, wrapped(n[0], *style)) for k, n in enumerate(notices) for j, style in enumerate(styles)]
+    assert licenses(make(rows)) == {100 * k + j: n[1:] for k, n in enumerate(notices) for j in range(len(styles))}
+
+
+def test_lines_and_cuts_still_end_sentences(make):
+    rows = [(1, "Released under\n\nthe MIT License"), (2, "Released under. the MIT License"), (3, "Released under\n//\n// the MIT License"),
+            (4, "a\nReleased under the MIT License\nb"), (5, "x Released under\nthe MIT License"), (6, "Released under\nthe MIT License b"),
+            (7, "Licensed under CC BY 4.0\nAll rights reserved"), (8, "Released under\r\n\tthe MIT\nLicense\nAll rights reserved"),
+            (9, "Neither the name of X. may be used to endorse or promote products"), (10, "license" + "\n" * 20000 + "\n \n" * 20000)]
+    assert licenses(make(rows)) == {
+        1: ("", 0, 0), 2: ("", 0, 0), 3: ("", 0, 0), 4: ("MIT", 1, 0), 5: ("", 0, 0), 6: ("", 0, 0),
+        7: ("CC-BY-4.0,LicenseRef-Proprietary", 2, 0), 8: ("MIT,LicenseRef-Proprietary", 2, 0), 9: ("", 0, 0), 10: ("", 0, 0)}
