@@ -3,7 +3,9 @@
 For every benchmark item of m words, the windows of m words of a document are compared with the item
 (a shorter document is one window).  A window and an item match when the weighted Jaccard similarity of
 their ``size``-word shingles (multisets) is at least ``percent`` / 100.  Words are runs of other than ASCII
-white space, A-Z lower-cased; an item with fewer words than ``size`` is one shingle.
+white space, A-Z lower-cased; an item with fewer words than ``size`` is one shingle.  With ``short_items`` such
+an item is looked up in the documents' windows of its own number of words; without, only a document that is the
+item as a whole matches it.
 
 Per (document, item) with a matching window one row is returned: the best window (largest similarity, then
 first).  Documents and items without words, or without an id, match nothing; repeated rows are returned
@@ -59,13 +61,22 @@ def _bits(block: int) -> tuple[int, int]:
 class Items:
     """Benchmark items with their shingles, fingerprints and multi-index, as sent to tasks."""
 
-    def __init__(self, ids: list[int], texts: list[str], size: int, percent: int, radius: int):
+    def __init__(self, ids: list[int], texts: list[str], size: int, percent: int, radius: int, short_items: bool = False):
         self.size, self.percent, self.radius = size, percent, radius
         data, offsets = textkit.buffers(pa.array(texts, pa.string()))
         words = textkit.Words(data, offsets)
         grams, first = words.shingles(size)
         counts = np.diff(words.first)
         keep = [i for i in range(len(ids)) if counts[i] and ids[i] is not None]
+        #: number of words, if under ``size`` -> hash of an item of so many words -> ids of such items
+        self.short: dict[int, dict[int, list[int]]] = {}
+        if short_items:
+            for m in sorted({int(counts[i]) for i in keep if counts[i] < size}):
+                own, at = words.shingles(m)
+                for i in keep:
+                    if counts[i] == m:
+                        self.short.setdefault(m, {}).setdefault(int(own[at[i]]), []).append(ids[i])
+            keep = [i for i in keep if counts[i] >= size]
         self.ids = [ids[i] for i in keep]
         self.words = counts[keep]
         self.grams = [grams[first[i]:first[i + 1]] for i in keep]
@@ -146,12 +157,29 @@ def _matches(items: Items):
                         rows.extend(_document(ids[lo + i], grams[first[i]:first[i + 1]],
                                               int(words.first[i + 1] - words.first[i]),
                                               at[mine] - first[i], which[mine], items))
+                for m, table in items.short.items():
+                    rows.extend(_short(ids[lo:], words, m, table))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     return run
 
 
+def _short(ids: list, words: textkit.Words, m: int, table: dict[int, list[int]]) -> Iterator[tuple]:
+    """First place of each item of ``m`` words, fewer than a shingle has, in each document."""
+    known = np.array(sorted(table), np.uint64)
+    grams, first = words.shingles(m)
+    which = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    at = np.flatnonzero(known[which] == grams)
+    doc = np.searchsorted(first, at, "right") - 1
+    _, once = np.unique(doc * len(known) + which[at], return_index=True)
+    for k in once.tolist():
+        i = int(doc[k])
+        if ids[i] is not None:
+            for item in table[int(known[which[at[k]]])]:
+                yield ids[i], item, int(at[k] - first[i]), m, 1, 1, 0
+
+
 def _document(doc_id, grams, n_words, places, which, items: Items) -> Iterator[tuple]:
     """Best matching window of each item in one document."""
     for n, members in items.by_count.items():
@@ -207,14 +235,14 @@ def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[l
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", size: int = SIZE,
-                 percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+                 percent: int = PERCENT, radius: int = RADIUS, short_items: bool = False) -> DataFrame:
     """One row per document and item that match: ``doc_id``, ``item_id``, ``start_word``, ``n_words``,
     ``similarity``, ``distance`` (Hamming)."""
     base = id_text(docs, id_col, text_col)
     found = None
     for ids, texts in _parts(benchmark, item_id_col, item_text_col):
-        items = Items(ids, texts, size, percent, radius)
-        if not items.ids:
+        items = Items(ids, texts, size, percent, radius, short_items)
+        if not items.ids and not items.short:
             continue
         part = base.mapInArrow(_matches(items), "doc_id long, item_id long, start_word long, n_words long, "
                                                 "shared long, total long, distance long")
@@ -228,5 +256,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` (all columns) that match no benchmark item."""
-    return without(docs, contaminated(docs, benchmark, id_col).where("doc_id IS NOT NULL"), id_col)
+    """The rows of ``docs`` (all columns) that match no benchmark item, short items included."""
+    return without(docs, contaminated(docs, benchmark, id_col, short_items=True).where("doc_id IS NOT NULL"), id_col)

@@ -236,3 +236,29 @@ def test_decontamination_edges(spark, odd, nothing):
     assert decontam.contaminated(nothing, bench).count() == 0 and decontam.contaminated(odd, bench.limit(0)).count() == 0
     kept = decontam.drop_contaminated(odd, bench)
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} & {11, 12, 14} == set()
+
+
+def test_short_items_match_inside_documents(spark, make):
+    rnd = random.Random(6)
+    vocabulary = [f"s{i}" for i in range(30)]
+    bench = [(k, " ".join(rnd.choices(vocabulary, k=1 + k % 7))) for k in range(40)] + [(3, "S1 s2"), (None, "s1")]
+    rows = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randrange(0, 60)))) for i in range(80)] + [(90, "s1 S2"), (91, None), (None, "s1 s2")]
+    expected = {}
+    for i, t in rows:
+        own = (t or "").lower().split()
+        for k, x in bench:
+            item = x.lower().split()
+            at = [a for a in range(len(own) - len(item) + 1) if own[a:a + len(item)] == item]
+            if at and None not in (i, k) and len(item) < 5:
+                expected.setdefault((i, k), []).append((at[0], len(item), 1.0))
+    out = decontam.contaminated(make(rows), items(spark, bench), short_items=True).collect()
+    got = {}
+    for r in out:
+        if r.n_words < 5 and r.distance == 0:
+            got.setdefault((r.doc_id, r.item_id), []).append((r.start_word, r.n_words, r.similarity))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()} and len(expected) > 100
+    long = [(k, t) for k, t in bench if len(t.split()) >= 5]
+    assert {(r.doc_id, r.item_id, r.start_word) for r in out if r.n_words >= 5} == {
+        (r.doc_id, r.item_id, r.start_word) for r in decontam.contaminated(make(rows), items(spark, long)).collect() if r.n_words >= 5}
+    assert {r.doc_id for r in decontam.drop_contaminated(make(rows), items(spark, [(1, "s1")])).collect()} == {
+        i for i, t in rows if i is None or "s1" not in (t or "").lower().split()}
