@@ -2,6 +2,7 @@
 
 from revlens.llm import license_scan as _license
 from revlens.llm import line_dedup as _lines
+from revlens.llm import quality_rules as _rules
 from revlens.llm import secret_scan as _secret
 
 
@@ -137,3 +138,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drop_) AS n_removed, count(
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop_), '')) AS kept_sha256
 FROM edged GROUP BY doc_id
 """
+
+
+def _rules_sql() -> str:
+    rate, r = _rules.RISK / len(_rules.RULES), len(_rules.RULES)
+    per = lambda part, whole, scale: f"least({_rules.TOP}, ({scale} * {part}) // nullif({whole}, 0))"
+    length = per("word_chars", "n_words", 100)
+    numbers = {"symbols": per("n_symbols", "word_chars", 1000), "long_words": length,
+               "short_words": f"{_rules.TOP} - {length}", "dup_lines": per("n_dup_lines", "n_lines", 1000),
+               "repeats": per("n_repeat_words", "n_words", 1000)}
+    rows = " UNION ALL ".join(f"SELECT doc_id, lang, {i} AS place, '{rule}' AS rule, {numbers[rule]} AS number FROM counts WHERE NOT base_failed"
+                              for i, rule in enumerate(_rules.RULES))
+    return f"""
+WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+split AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^ \\t\\n\\x0B\\f\\r]+') AS words,
+                 list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]')) AS lines FROM texts),
+grams AS (SELECT doc_id, words[i:i + 2] AS g, i FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
+twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+counts AS (SELECT *, n_words < {_rules.LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM (
+  SELECT doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (doc_id))),
+numbers AS ({rows}),
+folded AS (SELECT lang, rule, number, sum(quality) AS good, sum(1 - quality) AS bad
+           FROM numbers JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id
+                              HAVING min(quality) = max(quality)) USING (doc_id) GROUP BY lang, rule, number),
+steps AS (SELECT lang, rule, number, CAST(sum(good) OVER w AS BIGINT) AS k, sum(bad) OVER w AS bad,
+                 CAST(sum(good) OVER (PARTITION BY lang, rule) AS BIGINT) AS n FROM folded
+          WINDOW w AS (PARTITION BY lang, rule ORDER BY number DESC ROWS UNBOUNDED PRECEDING)),
+tails AS (SELECT lang, rule, number, k, bad,
+                 list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                          + i * ln({rate}) + (n - i) * ln(1 - {rate})))) AS tail
+          FROM steps WHERE k < n * {rate} AND bad > 0),
+cuts AS (SELECT lang, rule, arg_max(number, bad * {2 * _rules.TOP} + number) AS cutoff FROM tails
+         WHERE tail <= {1 - _rules.CONFIDENCE} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM folded)) * {r}) GROUP BY lang, rule),
+failed AS (SELECT doc_id, string_agg(n.rule, ',' ORDER BY place) AS failed_rules
+           FROM numbers n JOIN cuts c ON n.lang IS NOT DISTINCT FROM c.lang AND n.rule = c.rule AND n.number >= c.cutoff GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules
+FROM counts LEFT JOIN failed USING (doc_id)
+"""
+
+
+OP12_QUALITY_RULES = _rules_sql()

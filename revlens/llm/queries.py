@@ -16,6 +16,7 @@ from revlens.llm.line_dedup import PASSAGE, line_dedup
 from revlens.llm.ngram_join import near_duplicates
 from revlens.llm.packing import pack
 from revlens.llm.quality_crf import quality
+from revlens.llm.quality_rules import quality_rules
 from revlens.llm.secret_scan import secret_scan
 from revlens.llm.suffix_dedup import suffix_dedup
 
@@ -73,6 +74,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
