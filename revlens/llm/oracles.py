@@ -9,6 +9,10 @@ from revlens.llm import secret_scan as _secret
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
+#: Arguments of translate that lower-case A-Z, and the pattern of terms once that is done.
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERM = "'[0-9a-z\\x{80}-\\x{10FFFF}]+'"
+
 OP2_EXACT_DEDUP = """
 SELECT doc_id,
        max(doc_id) OVER g AS keep_id,
@@ -184,3 +188,20 @@ FROM counts LEFT JOIN failed USING (doc_id)
 
 
 OP12_QUALITY_RULES = _rules_sql()
+
+OP13_LEXICAL_SEARCH = f"""
+WITH doc_terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), {_TERM})) AS t FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM doc_terms GROUP BY doc_id, t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, whole GROUP BY t, docs),
+sizes AS (SELECT doc_id, 75 + (25 * n * docs) // total AS m FROM lengths, whole),
+asked AS (SELECT item_id, t, count(*) AS times
+          FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), {_TERM})) AS t
+                FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, t),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM asked JOIN weights USING (t) JOIN tfs USING (t) JOIN sizes USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 20
+"""

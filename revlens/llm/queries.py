@@ -11,6 +11,7 @@ from revlens.llm.common import prepare, table
 from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
 from revlens.llm.hmm_lm import hmm_scores
+from revlens.llm.lexical_search import search
 from revlens.llm.license_scan import license_scan
 from revlens.llm.line_dedup import PASSAGE, line_dedup
 from revlens.llm.ngram_join import near_duplicates
@@ -78,6 +79,11 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
