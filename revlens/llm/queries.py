@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import prepare, table
 from revlens.llm.decontam import contaminated
 from revlens.llm.exact_dedup import exact_groups
+from revlens.llm.hard_negatives import hard_negatives
 from revlens.llm.hmm_lm import hmm_scores
 from revlens.llm.lexical_search import search
 from revlens.llm.license_scan import license_scan
@@ -75,6 +76,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
