@@ -258,7 +258,7 @@ def _find_negatives(anchors: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame
                         if len(best[anchor][k][0]) == NEGATIVES:
                             floor[anchor][k] = float(best[anchor][k][0][-1])
                 need[anchor] = min(floor[anchor])
-        out += [(row.pack * BLOCK + a, k, int(s), int(i)) for a, of in enumerate(best) for k, b in enumerate(of) for s, i in zip(*b)]
+        out += [(row.pack * BLOCK + a, k + 1, int(s), int(i)) for a, of in enumerate(best) for k, b in enumerate(of) for s, i in zip(*b)]
     return pd.DataFrame(out, columns=["anchor", "positive", "score", "vec_id"])
 
 

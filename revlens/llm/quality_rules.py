@@ -72,20 +72,21 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed``."""
     t = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[stratum_col].cast("string").alias("stratum"),
                     F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    t = t.select("doc_id", "stratum", F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
-                 (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+    t = t.select("doc_id", "stratum", F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
                  F.filter(F.split("text", SPACE), lambda w: w != "").alias("words"),
                  F.filter(F.split("text", "\n"), lambda line: line.rlike(NO_SPACE)).alias("lines"))
-    keys = ["doc_id", "stratum", "word_chars", "n_symbols"]
-    t = t.select(*keys, F.size("words").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
-                 (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-                 F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))), lambda w, i: F.concat_ws(
-                     " ", w, F.get("words", i + 1), F.get("words", i + 2))).alias("grams"))
-    keys += ["n_words", "n_lines", "n_dup_lines"]
-    # equal windows are neighbours once sorted; texts without any (found by a hash set) skip the sort
-    again = F.size(F.array_distinct("grams")) < F.size("grams")
-    t = t.select(*keys, F.when(again, F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))))
-                 .alias("sorted"))
+    keys = ["doc_id", "stratum", "n_symbols"]
+    firsts = F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0)))
+    t = t.select(*keys, F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+                 F.size("words").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
+                 (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "words",
+                 F.transform(firsts, lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))).alias("hashes"))
+    keys += ["word_chars", "n_words", "n_lines", "n_dup_lines"]
+    # only texts with two windows of one hash are looked at closely: their windows are compared as strings, and
+    # equal ones are neighbours once sorted
+    again = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    t = t.select(*keys, F.when(again, F.sort_array(F.transform(firsts, lambda w, i: F.struct(
+        F.concat_ws(" ", w, F.get("words", i + 1), F.get("words", i + 2)).alias("g"), i.alias("i"))))).alias("sorted"))
     twice = F.filter(F.transform("sorted", lambda x, j: F.when(
         (x["g"] == F.get("sorted", j - 1)["g"]) | (x["g"] == F.get("sorted", j + 1)["g"]), x["i"])), lambda i: i.isNotNull())
     t = t.select(*keys, F.sort_array(twice).alias("at"))
