@@ -11,7 +11,8 @@ Matching follows the usual tree-library conventions: an attribute selector
 on ``class`` matches one class token or the whole class string; other
 attributes match exactly; ``find`` is the first match in document order and
 ``find_all`` all matches including nested ones; ``text`` joins all
-descendant text (comments excluded).
+descendant text (comments excluded).  Cells, rows and sections of a table may
+lack their end tags.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "track", "wbr"}
 
 
+#: A start tag ends the open parts of the same table that it can't stand in.
+_ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "tbody": ("tbody", "thead", "tfoot", "tr"),
+         "thead": ("tbody", "thead", "tfoot", "tr"), "tfoot": ("tbody", "thead", "tfoot", "tr")}
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children", "parent")
 
@@ -93,7 +99,19 @@ class _TreeBuilder(HTMLParser):
         self.root = Node("[document]", {}, None)
         self.cur = self.root
 
+    def _end_parts(self, ends: tuple[str, ...]) -> None:
+        """End the outermost open part among ``ends`` of the innermost open table."""
+        n, outermost = self.cur, None
+        while n is not self.root and n.tag != "table":
+            if n.tag in ends:
+                outermost = n
+            n = n.parent
+        if outermost is not None:
+            self.cur = outermost.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag in _ENDS:
+            self._end_parts(_ENDS[tag])
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
         self.cur.children.append(node)
         if tag not in _VOID:
@@ -105,6 +123,8 @@ class _TreeBuilder(HTMLParser):
     def handle_endtag(self, tag):
         n = self.cur
         while n is not self.root and n.tag != tag:
+            if tag in _ENDS and n.tag == "table":
+                return                   # a part's end tag does not reach out of its table
             n = n.parent
         if n is not self.root:           # an end tag with no open element is ignored
             self.cur = n.parent

@@ -1,23 +1,27 @@
 """Reviews out of landed JSON payloads (E3, E4) and the per-target read rules.
 
-A landed page is one row ``(source, target, page_no, payload)``.  Pages are
-parsed with ``from_json`` against declared schemas, review objects are
-exploded with their position, and the original read loop becomes set logic:
-
-* reading stops at a target's first empty page (F3) and, with a day limit,
-  at its first review older than the limit (F2) - one take-while cut;
+A landed page is one row ``(source, target, page_no, payload)``.  Every payload
+is parsed once, to a VARIANT; the review list, the reviews and their fields are
+paths into it, so a missing key (a failure) differs from a JSON null (a value).
+The original read loop becomes set logic:
+
+* reading stops at a target's first page without reviews (F3: an empty list, a
+  JSON null or another false value) and, with a day limit, at its first review
+  older than the limit (F2) - one take-while cut;
 * a target is atomic: one bad review inside the part that is read (missing
   required key, unparseable date, missing product entry) drops all of that
   target's rows, and the target is reported as failed (3.4).
 
-Pages are parsed once; the typed rows are written, and one aggregate per
-target gives where reading stops and whether the target fails.  One join
-applies it.  No step groups a whole target into one task.
+A page's reviews behind its own first too old one are cut off inside the row,
+before they are typed, exploded or written; so of the pages behind a target's
+stop, which are newest first, one marker row each is left.  The typed rows are
+written, and one aggregate per target gives where reading stops and whether the
+target fails.  One join applies it.  No step groups a whole target into one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,78 +33,95 @@ from revlens.session import written
 REVIEW_COLUMNS = ["date", "rating", "title", "body", "image"]
 
 
-def _missing_any(raw: Column, required: Sequence[str]) -> Column:
-    keys = F.json_object_keys(raw)
-    present = [F.array_contains(keys, k) for k in required]
-    ok = present[0]
-    for p in present[1:]:
-        ok = ok & p
-    return ~F.coalesce(ok, F.lit(False))
+def _get(value: Column, path: str, as_type: str = "variant") -> Column:
+    """The value at a path; NULL if it is missing or of another type.  A JSON null is a (variant) value."""
+    return F.try_variant_get(value, path, as_type)
+
+
+def _missing_any(review: Column, required: Sequence[str]) -> Column:
+    gone = [_get(review, f"$.{k}").isNull() for k in required]
+    out = gone[0]
+    for g in gone[1:]:
+        out = out | g
+    return out
+
+
+def _walmart_list(landed: DataFrame) -> DataFrame:
+    """``__list``: the target's ``customerReviews`` (NULL: no such entry)."""
+    by_product = _get(F.try_parse_json("payload"), "$.payload.reviews", "map<string,variant>")
+    return landed.withColumn("__list", _get(F.try_element_at(by_product, F.col("target")), "$.customerReviews"))
+
 
+def _lowes_list(landed: DataFrame) -> DataFrame:
+    return landed.withColumn("__list", _get(F.try_parse_json("payload"), "$.Results"))
 
-def _passthrough(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("payload",)]
 
+def _walmart_date(review: Column) -> Column:
+    return fields.parse_date(_get(review, "$.reviewSubmissionTime", "string"), "walmart")
 
-def explode_walmart(landed: DataFrame) -> DataFrame:
-    """One row per review object; an empty page keeps one marker row.
-    Every landed column except ``payload`` is carried through."""
-    page = F.from_json("payload", schemas.WALMART_PAGE)
-    entry = page["payload"]["reviews"][F.col("target")]
-    arr = entry["customerReviews"]
-    p = landed.select(*_passthrough(landed), arr.alias("__arr"),
-                      (entry.isNull() | arr.isNull()).alias("__page_bad"))
-    return _explode_pages(p)
 
+def _lowes_date(review: Column) -> Column:
+    return fields.parse_date(fields.iso_date_prefix(_get(review, "$.SubmissionTime", "string")), "lowes")
 
-def explode_lowes(landed: DataFrame) -> DataFrame:
-    """One row per review object of a Lowes-layout page."""
-    arr = F.from_json("payload", schemas.LOWES_PAGE)["Results"]
-    p = landed.select(*_passthrough(landed), arr.alias("__arr"), arr.isNull().alias("__page_bad"))
-    return _explode_pages(p)
 
+def _typed(review: Column, date: Column, required: Sequence[str], rating: str, title: str, body: str, photos: str) -> Column:
+    """The typed fields of one review object and whether it is bad."""
+    images = _get(review, f"$.{photos}", schemas.PHOTOS)
+    bad = _missing_any(review, required) | date.isNull() | fields.photos_bad(images)
+    return F.struct(date.alias("date"), _get(review, f"$.{rating}", "double").alias("rating"),
+                    _get(review, f"$.{title}", "string").alias("title"), _get(review, f"$.{body}", "string").alias("body"),
+                    fields.join_photo_urls(images).alias("image"), bad.alias("bad"))
 
-def _explode_pages(p: DataFrame) -> DataFrame:
-    keep = [c for c in p.columns if c != "__arr"]
-    # Only a present, empty list is an empty page (a stop); a missing list is
-    # a bad page (the original raised on the missing key).
-    e = p.select(*keep, F.coalesce(F.size("__arr") == 0, F.lit(False)).alias("empty_page"),
-                 F.posexplode_outer("__arr").alias("pos", "raw"))
-    return e.withColumn("pos", F.coalesce("pos", F.lit(-1)))
 
+def _walmart_review(review: Column) -> Column:
+    return _typed(review, _walmart_date(review), schemas.WALMART_REQUIRED, "rating", "reviewTitle", "reviewText", "photos")
 
-def typed_walmart(rows: DataFrame) -> DataFrame:
-    r = F.from_json("raw", schemas.WALMART_REVIEW)
-    date = fields.parse_date(r["reviewSubmissionTime"], "walmart")
-    keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
-    bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.WALMART_REQUIRED)
-                                    | date.isNull() | fields.photos_bad(r["photos"]))
-    return rows.select(
-        *keep, date.alias("date"), r["rating"].alias("rating"), r["reviewTitle"].alias("title"),
-        r["reviewText"].alias("body"), fields.join_photo_urls(r["photos"]).alias("image"), bad.alias("bad"))
 
+def _lowes_review(review: Column) -> Column:
+    return _typed(review, _lowes_date(review), schemas.LOWES_REQUIRED, "Rating", "Title", "ReviewText", "Photos")
 
-def typed_lowes(rows: DataFrame) -> DataFrame:
-    r = F.from_json("raw", schemas.LOWES_REVIEW)
-    date = fields.parse_date(fields.iso_date_prefix(r["SubmissionTime"]), "lowes")
-    keep = [c for c in rows.columns if c not in ("raw", "__page_bad")]
-    bad = (~F.col("empty_page")) & (F.col("__page_bad") | _missing_any(F.col("raw"), schemas.LOWES_REQUIRED)
-                                    | date.isNull() | fields.photos_bad(r["Photos"]))
-    return rows.select(
-        *keep, date.alias("date"), r["Rating"].alias("rating"), r["Title"].alias("title"),
-        r["ReviewText"].alias("body"), fields.join_photo_urls(r["Photos"]).alias("image"), bad.alias("bad"))
+
+_LAYOUTS: dict[str, tuple[Callable, Callable, Callable]] = {
+    "walmart": (_walmart_list, _walmart_date, _walmart_review),
+    "lowes": (_lowes_list, _lowes_date, _lowes_review),
+}
+
+
+def _is_false(value: Column, items: Column) -> Column:
+    """What ends reading like an empty list: null, {}, "", 0, false (but not a string that looks so)."""
+    scalar = F.when(items.isNull(), (F.schema_of_variant(value) != "STRING") & (_get(value, "$", "double") == 0.0))
+    tests = [F.is_variant_null(value), F.size(items) == 0, F.size(_get(value, "$", "map<string,variant>")) == 0,
+             _get(value, "$", "string") == "", scalar]
+    return F.array_contains(F.array(*(F.coalesce(t, F.lit(False)) for t in tests)), True)
+
+
+def page_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
+    """One typed row per review object, ``(..., pos, empty_page, date, rating, title, body, image, bad)``, with
+    every landed column but ``payload``.  A page without reviews keeps one row at ``pos`` -1, which is ``bad`` unless the
+    list is there and empty.  With ``earliest`` a page's rows end at its first too old review (which is kept)."""
+    listed, date_of, typed = _LAYOUTS[layout]
+    keep = [c for c in landed.columns if c != "payload"]
+    p = listed(landed).withColumn("__items", _get(F.col("__list"), "$", "array<variant>"))
+    empty = F.coalesce(_is_false(F.col("__list"), F.col("__items")), F.lit(False))
+    p = p.select(*keep, "__items", empty.alias("empty_page"))
+    if earliest is not None:
+        old = F.array_position(F.transform("__items", lambda r: F.coalesce(date_of(r) < earliest, F.lit(False))), True)
+        first = F.slice("__items", F.lit(1), old.cast("int"))
+        p = p.withColumn("__items", F.when(old > 0, first).otherwise(F.col("__items")))
+    e = p.select(*keep, "empty_page", F.posexplode_outer(F.transform("__items", typed)).alias("pos", "r"))
+    return e.select(*keep, "empty_page", F.coalesce("pos", F.lit(-1)).alias("pos"), *[f"r.{c}" for c in REVIEW_COLUMNS],
+                    F.coalesce("r.bad", ~F.col("empty_page")).alias("bad"))
 
 
 def extract_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
     """Landed JSON pages -> typed reviews of the targets that did not fail."""
-    typed = typed_reviews(landed, layout)
+    typed = typed_reviews(landed, layout, earliest)
     return read_targets(typed, target_cuts(read_events(typed, earliest), typed))[0]
 
 
-def typed_reviews(landed: DataFrame, layout: str) -> DataFrame:
+def typed_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
     """Landed JSON pages -> typed rows, written once (parsed once)."""
-    explode, typed = {"walmart": (explode_walmart, typed_walmart), "lowes": (explode_lowes, typed_lowes)}[layout]
-    return written(typed(explode(landed)), "typed-reviews")
+    return written(page_reviews(landed, layout, earliest), "typed-reviews")
 
 
 def read_events(rows: DataFrame, earliest: Column | None, key: str = "target") -> DataFrame:

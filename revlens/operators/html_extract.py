@@ -107,18 +107,65 @@ def _cell(n: Node) -> str:
     return " ".join(n.text.split())
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    said = cell.attrs.get(name, "").strip()
+    return min(max(int(said), 1), most) if said.isdigit() else 1
+
+
+def _own_rows(table: Node) -> list[Node]:
+    """Rows of the table, without those of tables in its cells."""
+    rows, stack = [], list(reversed(table.children))
+    while stack:
+        n = stack.pop()
+        if not isinstance(n, Node) or n.tag == "table":
+            continue
+        if n.tag == "tr":
+            rows.append(n)
+        stack.extend(reversed(n.children))
+    return rows
+
+
+def _grid(rows: list[list[Node]]) -> list[list[str]]:
+    """Cell texts by row: a cell fills every place it spans, down to the last row.  What still spans a row that ends
+    before its column comes last in the row."""
+    out: list[list[str]] = []
+    above: list[tuple[int, str, int]] = []          # (column, text, rows it still fills) by column
+    for cells in rows:
+        row: list[str] = []
+        below: list[tuple[int, str, int]] = []
+
+        def put(column: int, text: str, high: int) -> None:
+            row.append(text)
+            if high > 1:
+                below.append((column, text, high - 1))
+
+        for cell in cells:
+            while above and above[0][0] <= len(row):
+                put(*above.pop(0))
+            text, high = _cell(cell), _span(cell, "rowspan", 65534)
+            for _ in range(_span(cell, "colspan", 1000)):
+                put(len(row), text, high)
+        for spanning in above:
+            put(*spanning)
+        above = sorted(below)
+        if row:
+            out.append(row)
+    return out
+
+
 def spec_tables(root: Node) -> list:
-    """Every table as rows of whitespace-normalised cell texts.  Rows without cells are skipped; heading
-    rows (in ``thead``, or rows of only ``th`` before the first other row) name the columns and are no data."""
+    """Every table as a grid of whitespace-normalised cell texts, tables in cells apart.  Cells that span rows or
+    columns fill them; rows without cells are skipped; heading rows (in ``thead`` or, without one, the first rows of
+    only ``th``) name the columns and are no data."""
     out = []
     for t in root.find_all("table"):
-        rows: list[list[str]] = []
-        for tr in t.find_all("tr"):
-            cells = [c for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")]
-            heading = tr.parent.tag == "thead" or (not rows and all(c.tag == "th" for c in cells))
-            if cells and not heading:
-                rows.append([_cell(c) for c in cells])
-        out.append(rows)
+        rows = [(tr.parent.tag == "thead", [c for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")])
+                for tr in _own_rows(t)]
+        body = [cells for head, cells in rows if not head]
+        if len(body) == len(rows):
+            while body and all(c.tag == "th" for c in body[0]):
+                body.pop(0)
+        out.append(_grid(body))
     return out
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens import params, sinks
@@ -18,7 +18,7 @@ from revlens.functions.stem import stem_word
 from revlens.operators import extract, html_extract, label, lookups, nb, recency, rules, sets, tfidf
 from revlens.plans import reviews as flows
 from revlens.session import ensure_checkpoint_dir, written
-from revlens.sources import config, testbed
+from revlens.sources import config, landed, testbed
 from revlens.sources.tables import table
 
 
@@ -120,21 +120,19 @@ def strict_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def walmart_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4/E3/P3/P7/F3/3.4: Walmart payload pages -> reviews; reading stops at
     the first empty page; a target with a bad review is dropped whole."""
-    landed = testbed.landed_walmart(_reviews(spark, sf_dir))
-    out = extract.extract_reviews(landed, "walmart")
+    out = extract.extract_reviews(testbed.landed_walmart(_reviews(spark, sf_dir)), "walmart")
     return out.select("target", "page_no", *extract.REVIEW_COLUMNS)
 
 
 def lowes_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5/E4/P2/P3/P7/F2/F3/3.4: Lowes payload pages with a day limit."""
-    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
-    out = extract.extract_reviews(landed, "lowes", _earliest())
+    out = extract.extract_reviews(testbed.landed_lowes(_reviews(spark, sf_dir)), "lowes", _earliest())
     return out.select("target", "page_no", *extract.REVIEW_COLUMNS)
 
 
 def failed_targets_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5/K6/A1/3.4: per-target outcome of the Lowes read with a day limit."""
-    rows = extract.typed_reviews(testbed.landed_lowes(_reviews(spark, sf_dir)), "lowes")
+    rows = extract.typed_reviews(testbed.landed_lowes(_reviews(spark, sf_dir)), "lowes", _earliest())
     return extract.read_targets(rows, extract.target_cuts(extract.read_events(rows, _earliest()), rows))[1]
 
 
@@ -146,11 +144,11 @@ def target_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lowes_request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search request URL behind every landed Lowes page (offset
     10 per page), from the product URL's last path segment."""
-    landed = testbed.landed_lowes(_reviews(spark, sf_dir))
+    pages = testbed.landed_lowes(_reviews(spark, sf_dir))
     product_url = F.concat(F.lit("https://www.lowes.com/pd/ac-"), F.col("target"), F.lit("/"),
                            (F.ascii(F.expr("right(target, 1)")) + 1000).cast("string"))
     pid = fields.last_path_segment(product_url)
-    return landed.select("target", "page_no", fields.lowes_request_url(pid, F.col("page_no")).alias("request_url"))
+    return pages.select("target", "page_no", fields.lowes_request_url(pid, F.col("page_no")).alias("request_url"))
 
 
 def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,14 +222,14 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _lowes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     r = _reviews(spark, sf_dir)
-    landed = testbed.listed_twice(testbed.landed_lowes(r))
-    models = testbed.listed_twice(testbed.target_models(r))
+    pages = testbed.listed_twice(testbed.landed_lowes(r))
+    models = testbed.listed_twice(testbed.target_runs(r))
     meta = lookups.strict_description(models, testbed.model_descriptions(table(spark, sf_dir, "part")), failed_col="lost")
-    return flows.json_flow(landed, "lowes", meta.drop("lost"), RECENCY_DAYS, testbed.AS_OF)
+    return flows.json_flow(pages, "lowes", meta.drop("lost"), RECENCY_DAYS, testbed.AS_OF)
 
 
 def lowes_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2/U2/3.4: Lowes reviews; models without a description fail; equal rows of two targets are one."""
+    """J2/U2/3.4: Lowes reviews by run; runs whose model has no description fail; equal rows of two targets are one."""
     return flows.dedupe_reviews(_lowes(spark, sf_dir)[0])
 
 
@@ -257,7 +255,7 @@ def walmart_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _amazon(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     r = _reviews(spark, sf_dir)
     named = testbed.last_code(F.col("target")) % 3 == 0
-    targets = testbed.target_models(r).withColumn("model_no", F.when(named, F.col("model_no")))
+    targets = testbed.target_runs(r).withColumn("model_no", F.when(named, F.col("model_no")))
     return flows.amazon_flow(testbed.amazon_walk(r), _size2model(spark, sf_dir), targets, RECENCY_DAYS, testbed.AS_OF,
                              testbed.model_descriptions(table(spark, sf_dir, "part")))
 
@@ -286,6 +284,98 @@ def homedepot_flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _homedepot(spark, sf_dir)[1]
 
 
+# ---------------------------------------------------------------------------
+# Whole runs as a user calls them: config or listing, landed page files, flow, labels, output read back
+# ---------------------------------------------------------------------------
+RUN_TAGS = [t for t, _ in params.RULES]
+
+
+def _landed_files(spark: SparkSession, pages: DataFrame, source: str, content: str = "html", key: str = "target") -> DataFrame:
+    """The pages as files, one a page, read by the file source."""
+    return landed.read_pages(spark, landed.land_pages(pages, _folder(spark, "landed"), content, key), source, content, key=key)
+
+
+def _config_file(spark: SparkSession, text_row: DataFrame) -> str:
+    path = _folder(spark, "config")
+    text_row.write.text(path)
+    return path
+
+
+def _issue_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testbed.issue_reviews(table(spark, sf_dir, "documents"))
+
+
+def _lowes_run(spark: SparkSession, sf_dir: str) -> flows.Run:
+    r = _issue_reviews(spark, sf_dir)
+    pages = _landed_files(spark, testbed.landed_lowes(r), "lowes", "payload")
+    cfg = _config_file(spark, testbed.lowes_config(r, table(spark, sf_dir, "part")))
+    return flows.collect_reviews("lowes", pages, config_path=cfg, days=RECENCY_DAYS, as_of=testbed.AS_OF, tags=RUN_TAGS,
+                                 output=_folder(spark, "Lowes_Reviews"), newest_first=True)
+
+
+def lowes_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configured Lowes run over page files, labelled; the output read back."""
+    return spark.read.parquet(_lowes_run(spark, sf_dir).path)
+
+
+def lowes_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the report of the same run, which has every configured run, as it was written."""
+    return spark.read.parquet(_lowes_run(spark, sf_dir).path + "_report")
+
+
+def lowes_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the totals of the same run, measured while its output was written."""
+    totals = _lowes_run(spark, sf_dir).totals
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{k} bigint" for k in totals))
+
+
+def amazon_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One category of an Amazon config over page files whose targets are addresses."""
+    r, part = _issue_reviews(spark, sf_dir), table(spark, sf_dir, "part")
+    named = testbed.amazon_walk(r).withColumn("target", F.concat(F.lit(testbed.AMAZON_URL), "target"))
+    cfg = _config_file(spark, testbed.amazon_config(r, part, _size2model(spark, sf_dir)))
+    run = flows.collect_reviews("amazon", _landed_files(spark, named, "amazon"), config_path=cfg, category="Window", days=RECENCY_DAYS,
+                                as_of=testbed.AS_OF, tags=RUN_TAGS, output=_folder(spark, "Amazon_Reviews"))
+    return spark.read.parquet(run.path)
+
+
+def walmart_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category found on listing page files, with product pages and labels on request."""
+    part = table(spark, sf_dir, "part")
+    r = _issue_reviews(spark, sf_dir).withColumn("target", testbed.source_number(F.col("target")).cast("string"))
+    listing = _landed_files(spark, testbed.walmart_listing(testbed.window_parts(part)), "walmart", key="category")
+    run = flows.collect_reviews("walmart", _landed_files(spark, testbed.landed_walmart(r), "walmart", "payload"), listing=listing,
+                                category="Window", product_pages=testbed.spec_pages(part), days=20, as_of=testbed.AS_OF,
+                                predict=True, tags=RUN_TAGS, output=_folder(spark, "Walmart_Reviews"))
+    return spark.read.parquet(run.path)
+
+
+def homedepot_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Home Depot category whose pager breaks off, keeping what was read; no labels by default."""
+    part, r = table(spark, sf_dir, "part"), _reviews(spark, sf_dir)
+    names = testbed.homedepot_targets(part)
+    broken = (testbed.last_code(F.col("target")) % 3 == 1) & (F.col("page_no") == testbed.NO_LABEL)
+    pages = testbed.homedepot_walk(r).withColumn("page_label", F.when(~broken, F.col("page_label")))
+    pages = pages.join(names, "target").drop("target").withColumnRenamed("review_url", "target")
+    product = testbed.product_pages(part).withColumn("target", F.concat(F.lit("src"), "target")).join(names, "target")
+    listing = testbed.homedepot_listing(testbed.window_parts(part).withColumn("p_name", F.regexp_replace("p_name", " window unit$", "")))
+    run = flows.collect_reviews("homedepot", pages, listing=listing, category="Window", on_error="keep_prefix", days=20,
+                                as_of=testbed.AS_OF, product_pages=product.select(F.col("review_url").alias("target"), "html"),
+                                output=_folder(spark, "Homedepot_Reviews"))
+    return spark.read.parquet(run.path)
+
+
+def newest_first_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1/K1: reviews written newest first; per date its rows, and whether no file starts newer than the one before ends."""
+    path = sinks.write_reviews(_reviews(spark, sf_dir).drop("photos"), _folder(spark, "Reviews"), newest_first=True, files=8)
+    read = spark.read.parquet(path).select("date", F.col("_metadata.file_name").alias("file"))
+    files = read.groupBy("file").agg(F.max("date").alias("newest"), F.min("date").alias("oldest"))     # one row a file
+    before = F.lag("oldest").over(Window.partitionBy(F.lit(1)).orderBy("file"))
+    order = files.select(F.coalesce(F.col("newest") <= before, F.lit(True)).alias("ok")).agg(F.bool_and("ok").alias("in_order"))
+    return read.groupBy("date").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(1)).join(
+        order.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 # ---------------------------------------------------------------------------
 # Sources, sinks and saved models, written and read back
 # ---------------------------------------------------------------------------
@@ -319,7 +409,7 @@ def lowes_config_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amazon_config_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An Amazon config file with one category a part type, either one address or one a model."""
+    """An Amazon config file with one category a part type, either one address or one a model."""
     part = table(spark, sf_dir, "part")
     types = part.groupBy("p_type").agg(F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi"))
     url = lambda k: F.concat(F.lit("https://www.amazon.com/dp/"), F.col(k).cast("string"))
@@ -499,6 +589,13 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "amazon_flow_report": amazon_flow_report,
         "homedepot_flow": homedepot_flow,
         "homedepot_flow_report": homedepot_flow_report,
+        "lowes_run": lowes_run,
+        "lowes_run_report": lowes_run_report,
+        "lowes_run_totals": lowes_run_totals,
+        "amazon_run": amazon_run,
+        "walmart_run": walmart_run,
+        "homedepot_run": homedepot_run,
+        "newest_first_sink": newest_first_sink,
         "training_csv_roundtrip": training_csv_roundtrip,
         "lowes_config_roundtrip": lowes_config_roundtrip,
         "amazon_config_roundtrip": amazon_config_roundtrip,

@@ -1,27 +1,30 @@
 """End-to-end review flows per source layout (category mode and config mode).
 
 Each flow takes landed pages/payloads plus target metadata and returns
-``(reviews, report)``: the review table (engine column names) of the targets
-that did not fail, and the per-target outcome report.  Labelling and writing
+``(reviews, report)``: the review table (engine column names) of the runs
+that did not fail, and the outcome report by run.  Labelling and writing
 are separate steps (``label_reviews``, ``revlens.sinks``).
 
-Pages are parsed once and the typed rows written; one aggregate per target
-says where reading stops (empty page, too old review, pager) and whether the
-target fails (bad review that is read, missing metadata, missing pager); one
-join applies that.  Then per-target constant columns, dedupe (Lowes), labels.
+HTML pages that are certainly behind a target's stop never reach the parser
+(``operators.pages``).  The others are parsed once and the typed rows written;
+one aggregate per target says where reading stops (empty page, too old review,
+pager) and whether the target fails (bad review that is read, missing pager);
+one join applies that.  A target serves each of its runs (under a model), which
+fail alone without their metadata.  Then constant columns, dedupe (Lowes), labels.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens import params
+from revlens import params, sinks
 from revlens.functions import fields
-from revlens.operators import extract, html_extract, label, lookups, recency, sets
+from revlens.operators import extract, html_extract, label, lookups, pages, recency, sets
 from revlens.session import written
 from revlens.sources import config
 
@@ -39,32 +42,36 @@ def _project(df: DataFrame) -> DataFrame:
     return df.select("target", *cols)
 
 
-def _without_meta(targets: DataFrame, meta: DataFrame, *needed: str) -> DataFrame:
-    """Targets without a metadata row, or with one of ``needed`` missing in it."""
-    whole = meta
-    for column in needed:
-        whole = whole.filter(F.col(column).isNotNull())
-    return targets.select("target").distinct().join(whole.select("target"), "target", "left_anti")
+def _by_run(reviews: DataFrame, report: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A target read once serves every run of it, ``runs(target, model_no, ..., __lost)``: the rows of each run that has
+    its metadata, and the report by ``(target, model_no)``."""
+    r = report.withColumnsRenamed({"status": "__status", "n_reviews": "__n"})
+    lines = runs.select("target", "model_no", "__lost").join(r, "target").select(
+        "target", "model_no", F.when(F.col("__lost"), F.lit("failed")).otherwise(F.col("__status")).alias("status"),
+        F.when(F.col("__lost"), F.lit(0)).otherwise(F.col("__n")).cast("bigint").alias("n_reviews"))
+    return reviews.join(runs.where(~F.col("__lost")).drop("__lost"), "target"), lines
 
 
 def json_flow(landed: DataFrame, layout: str, meta: DataFrame, days: int | None = params.DEFAULT_DAYS,
               as_of: _dt.date | None = None, targets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Walmart / Lowes payload pages -> reviews.
 
-    ``meta(target, model_no, model_description)`` gives the per-target
-    constants (P16); a target without a description fails (J2).  Walmart's
-    manufacturer is the first word of the description (P12), Lowes has none.
+    ``meta(target, model_no, model_description)`` gives the constants of a run (P16): a target under each of its
+    models.  A run without a description fails (J2), the target's other runs do not.  Targets without any model
+    fail.  Walmart's manufacturer is the first word of the description (P12), Lowes has none.  The Lowes report has one
+    line a run, ``(target, model_no)``; a Walmart product is one run.
     """
-    targets = landed if targets is None else targets
-    rows = extract.typed_reviews(landed, layout)
-    cuts = extract.target_cuts(extract.read_events(rows, _earliest(days, as_of)), targets,
-                               _without_meta(targets, meta, "model_description"))
-    reviews, report = extract.read_targets(rows, cuts)
+    targets = (landed if targets is None else targets).select("target").distinct()
+    earliest = _earliest(days, as_of)
+    rows = extract.typed_reviews(landed, layout, earliest)
+    reviews, report = extract.read_targets(rows, extract.target_cuts(extract.read_events(rows, earliest), targets))
+    columns = ["target", "model_no", "model_description"]
+    meta = meta.select(*columns).distinct()
+    runs = targets.join(meta, "target", "left").withColumn("__lost", F.col("model_description").isNull())
     if layout == "walmart":
-        meta = meta.withColumn("manufacturer", fields.manufacturer(F.col("model_description")))
-    else:
-        meta = meta.drop("manufacturer")
-    return _project(reviews.join(meta, "target", "left")), report
+        runs = runs.withColumn("manufacturer", fields.manufacturer(F.col("model_description")))
+    out, report = _by_run(reviews, report, runs)
+    return _project(out), report if layout == "lowes" else report.drop("model_no")
 
 
 def _pager_events(pages: DataFrame, label_col: str, wrap_label: str | None, on_error: str) -> tuple[DataFrame, DataFrame]:
@@ -82,26 +89,34 @@ def _pager_events(pages: DataFrame, label_col: str, wrap_label: str | None, on_e
 def amazon_flow(landed: DataFrame, size2model: DataFrame, targets: DataFrame,
                 days: int | None = params.DEFAULT_DAYS, as_of: _dt.date | None = None,
                 model2desc: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Amazon pages -> reviews: size lookup (J1) unless the target names an
-    explicit model (J3), whose missing description fails the target (J2).
-    A page whose address is that of the page before ends its target (F4).
+    """Amazon pages -> reviews: size lookup (J1) unless the run names an explicit model (J3), whose missing
+    description fails the run (J2).  A page whose address is that of the page before ends its target (F4).
 
-    ``targets(target, model_no)``: NULL model_no means "use the size lookup".
+    ``targets(target, model_no)`` are the runs: NULL model_no means "use the size lookup".  Every run has a report
+    line, also one whose target has no landed page.
     """
-    rows = written(html_extract.amazon_page_reviews(landed), "typed-reviews")
-    events = extract.read_events(rows, _earliest(days, as_of))
+    earliest = _earliest(days, as_of)
+    marks = None
     if "url" in landed.columns:
-        ends, _ = _pager_events(landed.select("target", "page_no", "url").filter("url IS NOT NULL"), "url", None, "")
-        events = events.unionByName(ends)
-    named = targets.filter(F.col("model_no").isNotNull()).select("target", "model_no")
+        marks, _ = _pager_events(landed.select("target", "page_no", "url").filter("url IS NOT NULL"), "url", None, "")
+        marks = written(marks, "pager")
+    rows = written(html_extract.amazon_page_reviews(pages.pages_to_parse(landed, "amazon", earliest, marks)), "typed-reviews")
+    events = extract.read_events(rows, earliest)
+    if marks is not None:
+        events = events.unionByName(marks)
+    runs = targets.select("target", "model_no").distinct()
     if model2desc is None:
-        explicit = named.withColumns({"model_description": F.lit(None).cast("string"), "__lost": F.lit(True)})
+        runs = runs.withColumn("model_description", F.lit(None).cast("string"))
     else:
-        explicit = lookups.strict_description(named, model2desc, failed_col="__lost")
-    cuts = extract.target_cuts(events, landed, explicit.filter("__lost"))
-    reviews, report = extract.read_targets(rows, cuts)
-    out = lookups.size_to_model(reviews, size2model, "size")
-    out = lookups.override_model(out, explicit.select("target", "model_no", "model_description"))
+        runs = lookups.strict_description(runs, model2desc, failed_col="__none").drop("__none")
+    runs = runs.withColumn("__lost", F.col("model_no").isNotNull() & F.col("model_description").isNull())
+    reviews, report = extract.read_targets(rows, extract.target_cuts(events, targets))
+    named = runs.withColumnsRenamed({"model_no": "__run_model", "model_description": "__run_text"})
+    _, report = _by_run(reviews, report, runs)
+    out = lookups.size_to_model(reviews.join(named.where(~F.col("__lost")).drop("__lost"), "target"), size2model, "size")
+    explicit = F.col("__run_model").isNotNull()
+    out = out.withColumns({"model_no": F.when(explicit, F.col("__run_model")).otherwise(F.col("model_no")),
+                           "model_description": F.when(explicit, F.col("__run_text")).otherwise(F.col("model_description"))})
     return _project(out), report
 
 
@@ -112,22 +127,31 @@ def homedepot_flow(landed: DataFrame, product_pages: DataFrame, days: int | None
     description or model number fails (3.4).
 
     With a ``page_label`` column the pager rule (F4) holds: a page observed again is skipped, coming back to
-    page 1 ends the target, and a page without a label fails it (``on_error="keep_prefix"``: ends it).
+    page 1 ends the target, and a page without a label fails it (``on_error="keep_prefix"``: ends it).  The first
+    page's own label is not looked at: it is page 1, with or without a pager.
     """
     if on_error not in ("drop_target", "keep_prefix"):
         raise ValueError(f"invalid on_error: {on_error}")
-    targets = landed if targets is None else targets
-    rows = written(html_extract.homedepot_page_reviews(landed), "typed-reviews")
+    targets = (landed if targets is None else targets).select("target").distinct()
+    earliest = _earliest(days, as_of)
     meta = written(html_extract.homedepot_product_meta(product_pages).select(
         "target", "model_description", "model_no", "manufacturer"), "product-meta")
-    events = extract.read_events(rows, _earliest(days, as_of))
+    marks = skipped = ends = None
     if "page_label" in landed.columns:
-        marks, skipped = _pager_events(landed.select("target", "page_no", "page_label"), "page_label", "1", on_error)
-        rows = rows.join(skipped, ["target", "page_no"], "left_anti")
-        events = events.join(skipped, ["target", "page_no"], "left_anti").unionByName(marks)
-    cuts = extract.target_cuts(events, targets, _without_meta(targets, meta, "model_description", "model_no"))
-    reviews, report = extract.read_targets(rows, cuts)
-    return _project(reviews.join(meta, "target", "left")), report
+        label_ = F.when(F.col("page_no") == 1, F.lit("1")).otherwise(F.col("page_label")).alias("page_label")
+        marks, skipped = _pager_events(landed.select("target", "page_no", label_), "page_label", "1", on_error)
+        marks, skipped = written(marks, "pager"), written(skipped, "skipped-pages")
+        ends = marks.where("stop")
+    landed = pages.pages_to_parse(landed, "homedepot", earliest, ends, skipped)
+    rows = written(html_extract.homedepot_page_reviews(landed), "typed-reviews")
+    events = extract.read_events(rows, earliest)
+    if marks is not None:
+        events = events.unionByName(marks)
+    reviews, report = extract.read_targets(rows, extract.target_cuts(events, targets))
+    runs = targets.join(meta.distinct(), "target", "left").withColumn(
+        "__lost", F.col("model_description").isNull() | F.col("model_no").isNull())
+    out, report = _by_run(reviews, report, runs)
+    return _project(out), report.drop("model_no")
 
 
 def walmart_meta(product_pages: DataFrame) -> DataFrame:
@@ -169,6 +193,16 @@ def discovered_targets(layout: str, listing: DataFrame, category: str) -> DataFr
         F.col("product_id").alias("target")).distinct()
 
 
+class Run(NamedTuple):
+    """What one run of a source gives.  ``totals`` (K6) is measured while the report is written, with
+    ``rows_written`` measured while the review table is; None without an output."""
+
+    reviews: DataFrame
+    report: DataFrame
+    path: str | None = None
+    totals: dict | None = None
+
+
 def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None = None,
                     product_pages: DataFrame | None = None, size2model: DataFrame | None = None,
                     targets: DataFrame | None = None, model2desc: DataFrame | None = None,
@@ -177,18 +211,19 @@ def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None =
                     days: int | None = params.DEFAULT_DAYS, as_of: _dt.date | None = None,
                     on_error: str = "drop_target", predict: bool | None = None,
                     tags: Sequence[str] = params.DEFAULT_TAGS, training: DataFrame | None = None,
-                    model_path: str | None = None, output: str | None = None, fmt: str = "parquet"):
+                    model_path: str | None = None, output: str | None = None, fmt: str = "parquet",
+                    newest_first: bool = False) -> Run:
     """One run of a source.
 
     * ``mode="product"`` keeps only ``target``; ``mode="category"`` with ``listing`` pages keeps the products
       that ``category``'s pages list.
     * ``config_path`` (Amazon, Lowes) reads the targets and lookups from a config file; Amazon takes the
-      ``category`` of it.  Landed targets are the product URLs (Amazon) or the product ids (Lowes).
+      ``category`` of it (an unknown one fails when the plan runs).  Landed targets are the product URLs (Amazon) or
+      the product ids (Lowes).  Every configured target is in the report, landed or not.
     * ``days`` 0/None means no limit; ``on_error`` as in ``homedepot_flow``.
     * ``predict`` adds the tag columns and category; by default on for Amazon and Lowes, off for the others.
-    * ``output`` writes the table to the first free versioned path.
-
-    Returns ``(reviews, report, path)``.
+    * ``output`` writes the table to the first free versioned path, and the report beside it under
+      ``<path>_report``; ``newest_first`` orders the table's files by date.
     """
     if layout not in ("walmart", "lowes", "amazon", "homedepot"):
         raise ValueError(f"unknown layout: {layout}")
@@ -199,8 +234,8 @@ def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None =
     if config_path is not None:
         if layout == "amazon":
             cfg = config.amazon_config(spark, config_path)
-            targets = config.check_config_category(cfg["targets"], category).select(
-                F.col("url").alias("target"), "model_no")
+            targets = written(config.check_config_category(cfg["targets"], category).select(
+                F.col("url").alias("target"), "model_no"), "targets")
             size2model, model2desc = cfg["size2model"], cfg["model2desc"]
         elif layout == "lowes":
             cfg = config.lowes_config(spark, config_path)
@@ -212,7 +247,8 @@ def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None =
     if mode == "product":
         if not target:
             raise ValueError("product mode needs a target")
-        landed = landed.filter(F.col("target") == target)
+        known = spark.range(1).select(F.lit(target).alias("target"))
+        targets = None if targets is None else targets.filter(F.col("target") == target)
     elif listing is not None:
         if layout not in ("homedepot", "walmart"):
             raise ValueError(f"{layout} has no listing pages")
@@ -230,9 +266,8 @@ def collect_reviews(layout: str, landed: DataFrame, *, meta: DataFrame | None =
     reviews = dedupe_reviews(reviews) if layout == "lowes" else reviews.drop("target")
     if predict or (predict is None and layout in ("amazon", "lowes")):
         reviews = label_reviews(reviews, tags, training=training, model_path=model_path)
-    path = None
-    if output:
-        from revlens import sinks
-
-        path = sinks.write_versioned(reviews, output, fmt)
-    return reviews, report, path
+    if not output:
+        return Run(reviews, report)
+    path, rows = sinks.write_measured(reviews, output, {"rows_written": F.count(F.lit(1))}, fmt, newest_first)
+    _, totals = sinks.write_measured(report, f"{path}_report", sinks.total_measures())
+    return Run(reviews, report, path, totals | rows)

@@ -8,40 +8,10 @@ LANDED_HTML = "source string, target string, page_no int, url string, html strin
 LANDED_LISTING = "source string, category string, page_no int, html string"
 LANDED_JSON = "source string, target string, page_no int, payload string"
 
-PHOTO = T.StructType([
-    T.StructField("Sizes", T.StructType([
-        T.StructField("normal", T.StructType([T.StructField("Url", T.StringType())])),
-    ])),
-])
-
-WALMART_REVIEW = T.StructType([
-    T.StructField("reviewSubmissionTime", T.StringType()),
-    T.StructField("rating", T.DoubleType()),
-    T.StructField("reviewTitle", T.StringType()),
-    T.StructField("reviewText", T.StringType()),
-    T.StructField("photos", T.ArrayType(PHOTO)),
-])
+# Payloads are parsed to VARIANT; these are the types and keys taken out of a review object.
+PHOTOS = "array<struct<Sizes:struct<normal:struct<Url:string>>>>"
 WALMART_REQUIRED = ["reviewSubmissionTime", "rating", "photos"]
-
-# Review objects are kept as raw JSON text first so that a missing required
-# key (a failure) can be told apart from a JSON null (a NULL value).
-WALMART_PAGE = T.StructType([
-    T.StructField("payload", T.StructType([
-        T.StructField("reviews", T.MapType(T.StringType(), T.StructType([
-            T.StructField("customerReviews", T.ArrayType(T.StringType())),
-        ]))),
-    ])),
-])
-
-LOWES_REVIEW = T.StructType([
-    T.StructField("SubmissionTime", T.StringType()),
-    T.StructField("Rating", T.DoubleType()),
-    T.StructField("Title", T.StringType()),
-    T.StructField("ReviewText", T.StringType()),
-    T.StructField("Photos", T.ArrayType(PHOTO)),
-])
 LOWES_REQUIRED = ["SubmissionTime", "Rating", "Title", "ReviewText", "Photos"]
-LOWES_PAGE = T.StructType([T.StructField("Results", T.ArrayType(T.StringType()))])
 
 REVIEW = T.StructType([
     T.StructField("manufacturer", T.StringType()),
@@ -57,9 +27,6 @@ REVIEW = T.StructType([
 
 TRAINING = "Title string, Body string, Category string"
 
-AMAZON_CONFIG = "urls variant, size2model map<string,array<string>>, model2desc map<string,string>"
-LOWES_CONFIG = "urls map<string,array<string>>, model2desc map<string,string>"
-
 # Spreadsheet column names of the review table (sink only).
 SHEET_NAMES = {
     "manufacturer": "Manufacturer",

@@ -12,32 +12,30 @@ from pyspark.sql import functions as F
 
 from revlens import params, schemas
 
-_AMAZON = "urls map<string,string>, size2model map<string,array<string>>, model2desc map<string,string>"
 _LOWES = "urls map<string,array<string>>, model2desc map<string,string>"
 
 
 def read_json_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its whole text in ``value``."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def amazon_config(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """``targets(category, model_no, url)``, ``size2model(size, model_no,
     model_description)`` and ``model2desc(model_no, model_description)``.
 
-    A category maps either to one URL or to an object of model -> URL; a
-    value that is an object arrives as its JSON text and is parsed again.
+    A category maps either to one URL or to an object of model -> URL, told apart by the VARIANT's type.
     """
-    cfg = read_json_text(spark, path).select(F.from_json("value", _AMAZON).alias("c"))
-    urls = cfg.select(F.explode("c.urls").alias("category", "raw"))
-    is_obj = F.trim("raw").startswith("{")
-    single = urls.filter(~is_obj).select("category", F.lit(None).cast("string").alias("model_no"),
-                                         F.col("raw").alias("url"))
-    multi = (urls.filter(is_obj)
-             .select("category", F.explode(F.from_json("raw", "map<string,string>")).alias("model_no", "url")))
-    size2model = cfg.select(F.explode("c.size2model").alias("size", "v")).select(
+    cfg = read_json_text(spark, path).select(F.parse_json("value").alias("c"))
+    part = lambda name, of: F.variant_get("c", f"$.{name}", of)
+    urls = cfg.select(F.explode(part("urls", "map<string,variant>")).alias("category", "v"))
+    by_model = F.try_variant_get("v", "$", "map<string,string>")
+    single = urls.filter(by_model.isNull()).select("category", F.lit(None).cast("string").alias("model_no"),
+                                                   F.variant_get("v", "$", "string").alias("url"))
+    multi = urls.filter(by_model.isNotNull()).select("category", F.explode(by_model).alias("model_no", "url"))
+    size2model = cfg.select(F.explode(part("size2model", "map<string,array<string>>")).alias("size", "v")).select(
         "size", F.element_at("v", 1).alias("model_no"), F.element_at("v", 2).alias("model_description"))
-    model2desc = cfg.select(F.explode("c.model2desc").alias("model_no", "model_description"))
+    model2desc = cfg.select(F.explode(part("model2desc", "map<string,string>")).alias("model_no", "model_description"))
     return {"targets": single.unionByName(multi), "size2model": size2model, "model2desc": model2desc}
 
 
@@ -76,9 +74,11 @@ def resolve_category(source: str, category: str) -> str:
     return cats[category]
 
 
-def check_config_category(targets: DataFrame, category: str) -> DataFrame:
-    """S12 for config files: the category must be a key of ``urls``."""
-    hit = targets.filter(F.col("category") == category)
-    if hit.limit(1).count() == 0:
-        raise ValueError(f"invalid category: {category}")
-    return hit
+def check_config_category(targets: DataFrame, category: str | None) -> DataFrame:
+    """S12 for config files: the category must be a key of ``urls``.  The check is part of the plan: a config without
+    the category fails whatever job reads the result, and no job runs before."""
+    hits = F.col("category") == F.lit(category)
+    found = targets.agg(F.count_if(hits).alias("n"))
+    wrong = F.assert_true(F.col("n") > 0, f"invalid category: {category}")      # NULL, or an error
+    none = found.where(wrong.isNotNull()).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in targets.schema.fields])
+    return targets.filter(hits).unionByName(none)

@@ -120,6 +120,7 @@ TEST_ML_TAGS = ["low quality", "toxic"]
 # ---------------------------------------------------------------------------
 WALMART_FAIL = ((97, 13), (101, 17), (211, 19))   # doc_id % m = r: no "photos" key; null; a photo without URL
 LOWES_FAIL = ((89, 7), (101, 17), (211, 19))      # the same for "Photos"
+EMPTY_LISTS = ["[]", "null", "{}", '""', "0", "false"]   # what ends a target instead of a list of reviews
 HALF_RATING = (7, 1)         # doc_id % 7 = 1: the rating is half a point higher
 
 
@@ -157,9 +158,11 @@ def _render_pages(reviews_df: DataFrame, review_json: Column, wrap, source: str)
     pages = r.groupBy("target", "page_no").agg(F.sort_array(F.collect_list(F.struct("pos", "j"))).alias("items"))
     arr = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]"))
     data = pages.select(F.lit(source).alias("source"), "target", "page_no", wrap(F.col("target"), arr).alias("payload"))
+    lists = F.array(*[F.lit(e) for e in EMPTY_LISTS])
+    nothing = F.element_at(lists, (last_code(F.col("target")) % len(EMPTY_LISTS) + 1).cast("int"))
     empty = (reviews_df.select("target").distinct()
              .select(F.lit(source).alias("source"), "target", cut.alias("page_no"),
-                     wrap(F.col("target"), F.lit("[]")).alias("payload")))
+                     wrap(F.col("target"), nothing).alias("payload")))
     return data.unionByName(empty)
 
 
@@ -318,9 +321,12 @@ def _td_row(a: Column, b: Column | None = None) -> Column:
     return F.concat(F.lit("<tr><td>"), a, F.lit("</td><td>"), b, F.lit("</td></tr>"))
 
 
+SPEC_SHAPES = 7
+
+
 def spec_pages(part: DataFrame) -> DataFrame:
     """Walmart-layout product pages with spec tables, one per part; the table
-    shape cycles with ``p_partkey % 4`` (see the model-number oracle)."""
+    shape cycles with ``p_partkey % SPEC_SHAPES`` (see the model-number oracle)."""
     c = F.col
     key = c("p_partkey").cast("string")
     L = F.lit
@@ -337,8 +343,20 @@ def spec_pages(part: DataFrame) -> DataFrame:
                   _td_row(c("p_brand")), L("</table>"))
     t3 = F.concat(L("<table>"), ragged, L("<tr></tr>"), _td_row(L("Color"), L("White")),
                   _td_row(L("Size"), c("p_size").cast("string")), L("</table>"))
-    m = c("p_partkey") % 4
-    tables = F.when(m == 0, t0).when(m == 1, t1).when(m == 2, t2).otherwise(t3)
+    # the feature spans two rows, so the second value is its too
+    t4 = F.concat(L('<table><tr><td rowspan="2">Manufacturer Part Number</td><td>A-'), key, L("</td></tr><tr><td>B-"), key,
+                  L("</td></tr>"), ragged, L("</table>"))
+    # the second table lies in a cell of the first; its rows are not rows of the first
+    values = F.concat(L("<table>"), _td_row(L("Value")), _td_row(L("White")), _td_row(esc(c("p_name"))), _td_row(L("z")), L("</table>"))
+    t5 = F.concat(L("<table>"), _td_row(L("Color"), values), _td_row(L("Model")), _td_row(L("Brand")), L("</table>"))
+    # no end tags
+    t6 = F.concat(L("<table><tbody><tr><td>Manufacturer Part Number<td>MPN-"), key, L("<tr><td>Model<td>"), esc(c("p_name")),
+                  L("<tr><td>Color<td>White</table>"))
+    shapes = [t0, t1, t2, t3, t4, t5, t6]
+    m = c("p_partkey") % SPEC_SHAPES
+    tables = shapes[-1]
+    for k, shape in enumerate(shapes[:-1]):
+        tables = F.when(m == k, shape).otherwise(tables)
     html = F.concat(L("<html><body><h1>"), esc(c("p_name")), L("</h1>"), tables, L("</body></html>"))
     return part.select(key.alias("target"), F.concat(L(WALMART_PAGE_URL), key).alias("url"), html.alias("html"))
 
@@ -416,6 +434,18 @@ def target_models(reviews_df: DataFrame) -> DataFrame:
         "target", F.element_at(models, (last_code(F.col("target")) % len(MODELS) + 1).cast("int")).alias("model_no"))
 
 
+SECOND_MODEL = 3             # last code % 3 = 0: the target is also listed under the next model
+
+
+def target_runs(reviews_df: DataFrame) -> DataFrame:
+    """(target, model_no) of every target, some of them under a second model."""
+    first = target_models(reviews_df)
+    models = F.array(*[F.lit(m) for m in MODELS])
+    second = first.where(last_code(F.col("target")) % SECOND_MODEL == 0).select(
+        "target", F.element_at(models, ((last_code(F.col("target")) + 1) % len(MODELS) + 1).cast("int")).alias("model_no"))
+    return first.unionByName(second)
+
+
 def model_descriptions(part: DataFrame) -> DataFrame:
     """(model_no, model_description) for the part types."""
     return part.groupBy(F.col("p_type").alias("model_no")).agg(F.min_by("p_name", "p_partkey").alias("model_description"))
@@ -440,11 +470,14 @@ def amazon_walk(reviews_df: DataFrame) -> DataFrame:
 
 
 def homedepot_walk(reviews_df: DataFrame) -> DataFrame:
-    """Home Depot pages as the pager showed them: some twice, then page 1 again and one more."""
+    """Home Depot pages as the pager showed them: some twice, then page 1 again and one more.  Targets with an odd last
+    code show no label on their first page."""
     seen = pager_sequence(reviews_df).withColumn("shown", F.col("page_label").cast("int"))
     landed = landed_homedepot(reviews_df).withColumnRenamed("page_no", "shown")
-    return seen.join(landed, ["target", "shown"]).select("source", "target", F.col("seq").alias("page_no"), "page_label",
-                                                         "url", "html")
+    unlabelled = (F.col("seq") == 1) & (last_code(F.col("target")) % 2 == 1)
+    return seen.join(landed, ["target", "shown"]).select(
+        "source", "target", F.col("seq").alias("page_no"), F.when(~unlabelled, F.col("page_label")).alias("page_label"),
+        "url", "html")
 
 
 # ---------------------------------------------------------------------------
@@ -465,3 +498,67 @@ def issue_reviews(documents: DataFrame) -> DataFrame:
     return reviews(documents).withColumns({
         "title": F.when(even, F.concat(phrase, F.lit(" "), F.coalesce("title", F.lit("")))).otherwise(F.col("title")),
         "body": F.when(~even, F.concat(phrase, F.lit(" "), F.coalesce("body", F.lit("")))).otherwise(F.col("body"))})
+
+
+# ---------------------------------------------------------------------------
+# Inputs of whole runs: config files and listings made from ``part``, targets named as a source names them.
+# ---------------------------------------------------------------------------
+AMAZON_URL = "https://www.amazon.com/dp/"
+LOWES_URL = "https://www.lowes.com/pd/x/"
+NOT_LANDED = ("src-none", "PROMO")       # a configured run whose target has no landed page
+NO_LABEL = 6                             # the fetch that shows no pager label, for targets with last code % 3 = 1
+
+
+def source_number(target: Column) -> Column:
+    """``src12`` -> 12: the part that stands for a target."""
+    return F.substring(target, 4, 20).cast("long")
+
+
+def _as_map(rows: DataFrame, key: str, value: str) -> DataFrame:
+    return rows.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value))))).alias("json"))
+
+
+def lowes_config(reviews_df: DataFrame, part: DataFrame) -> DataFrame:
+    """One row with the text of a Lowes config file (as long as the list of models and targets)."""
+    runs = target_runs(reviews_df).unionByName(reviews_df.sparkSession.range(1).select(
+        F.lit(NOT_LANDED[0]).alias("target"), F.lit(NOT_LANDED[1]).alias("model_no")))
+    urls = runs.groupBy("model_no").agg(F.sort_array(F.collect_list(F.concat(F.lit(LOWES_URL), "target"))).alias("urls"))
+    urls, names = _as_map(urls, "model_no", "urls"), _as_map(model_descriptions(part), "model_no", "model_description")
+    return urls.select(F.col("json").alias("u"), F.lit(1).alias("one")).join(names.select("json", F.lit(1).alias("one")), "one").select(
+        F.concat(F.lit('{"urls":'), "u", F.lit(',"model2desc":'), "json", F.lit("}")).alias("value"))
+
+
+def amazon_models(reviews_df: DataFrame, part: DataFrame) -> DataFrame:
+    """(target, url, model_no, model_description) of the targets with an even last code; every fifth has no description."""
+    t = reviews_df.select("target").distinct().where(last_code(F.col("target")) % 2 == 0)
+    names = part.select(F.col("p_partkey").alias("key"), "p_name")
+    t = t.withColumn("key", source_number(F.col("target")) + 1).join(names, "key", "left")
+    return t.select("target", F.concat(F.lit(AMAZON_URL), "target").alias("url"), F.concat(F.lit("AM-"), "target").alias("model_no"),
+                    F.when(F.col("key") % 5 != 0, F.col("p_name")).alias("model_description"))
+
+
+def amazon_config(reviews_df: DataFrame, part: DataFrame, size2model: DataFrame) -> DataFrame:
+    """One row with the text of an Amazon config file: a category with models, one with a single address."""
+    models = amazon_models(reviews_df, part)
+    sizes = size2model.select("size", F.array("model_no", "model_description").alias("of"))
+    parts = {"u": _as_map(models, "model_no", "url"), "s": _as_map(sizes, "size", "of"),
+             "d": _as_map(models.where("model_description IS NOT NULL"), "model_no", "model_description"),
+             "one": reviews_df.agg(F.min("target").alias("json"))}
+    row = reviews_df.sparkSession.range(1).select(F.lit(1).alias("k"))
+    for name, of in parts.items():
+        row = row.join(of.select(F.lit(1).alias("k"), F.col("json").alias(name)), "k")
+    return row.select(F.concat(F.lit('{"urls":{"Window":'), "u", F.lit(f',"Portable":"{AMAZON_URL}'), "one", F.lit('"},"size2model":'), "s",
+                               F.lit(',"model2desc":'), "d", F.lit("}")).alias("value"))
+
+
+def window_parts(part: DataFrame) -> DataFrame:
+    """Parts of one category, ``Window``, which two thirds of their names say."""
+    said = F.when(F.col("p_partkey") % 3 != 0, F.concat("p_name", F.lit(" window unit"))).otherwise(F.col("p_name"))
+    return part.withColumns({"p_type": F.lit("Window"), "p_name": said})
+
+
+def homedepot_targets(part: DataFrame) -> DataFrame:
+    """(target, review_url): the review page that the listing of a target's part leads to."""
+    href = F.concat(F.lit(params.HOMEDEPOT_REVIEW_PREFIX), F.lit("/"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("/"),
+                    F.col("p_partkey").cast("string"))
+    return part.select(F.concat(F.lit("src"), F.col("p_partkey").cast("string")).alias("target"), href.alias("review_url"))

@@ -24,13 +24,9 @@ LANDED_STREAM = "source string, target string, page_no int, payload string, land
 def labelled_review_stream(pages: DataFrame, layout: str, tags_rules: Sequence[tuple[str, str]] = params.RULES,
                            watermark: str = "1 hour", time_col: str = "landed_at") -> DataFrame:
     """Streaming ``pages`` -> deduplicated reviews with rule tags and category."""
-    if layout == "walmart":
-        typed = extract.typed_walmart(extract.explode_walmart(pages))
-    elif layout == "lowes":
-        typed = extract.typed_lowes(extract.explode_lowes(pages))
-    else:
+    if layout not in ("walmart", "lowes"):
         raise ValueError(f"unknown JSON layout: {layout}")
-    reviews = typed.filter(~F.col("empty_page") & ~F.col("bad"))
+    reviews = extract.page_reviews(pages, layout).filter(~F.col("empty_page") & ~F.col("bad"))
     cols = ["target", *extract.REVIEW_COLUMNS]
     dedup = (reviews.select(*cols, time_col).withWatermark(time_col, watermark)
              .dropDuplicatesWithinWatermark(cols))

@@ -76,8 +76,8 @@ def test_walmart_meta_from_product_pages(spark):
     for p in part.collect():
         m = meta[str(p["p_partkey"])]
         assert m["model_description"] == p["p_name"]
-        want = {0: p["p_name"], 1: "mpn-" + p["p_type"], 2: p["p_name"]}.get(
-            p["p_partkey"] % 4, testbed.WALMART_PAGE_URL + str(p["p_partkey"]))
+        key = str(p["p_partkey"])
+        want = {1: "mpn-" + p["p_type"], 3: testbed.WALMART_PAGE_URL + key, 4: "B-" + key}.get(p["p_partkey"] % 7, p["p_name"])
         assert m["model_no"] == want
 
 

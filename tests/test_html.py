@@ -72,3 +72,35 @@ def test_meta_and_listing(spark):
                                 "source string, category string, page_no int, html string")
     got = [r["review_url"] for r in html_extract.homedepot_listing_targets(ldf).collect()]
     assert got == ["https://www.homedepot.com/p/reviews/a/1"]
+
+
+def grid(html):
+    from revlens.functions.html import parse
+
+    return html_extract.spec_tables(parse(html))
+
+
+def test_cells_fill_what_they_span():
+    assert grid("<table><tr><td rowspan=2>a<td colspan='2'>b</td></tr><tr><td>c</td><td>d</td></tr></table>") == [
+        [["a", "b", "b"], ["a", "c", "d"]]]
+    assert grid("<table><tr><td>a</td><td rowspan=3>b</td><td>c</td></tr><tr><td>d</td></tr><tr></tr><tr><td>e</td></tr></table>") == [
+        [["a", "b", "c"], ["d", "b"], ["b"], ["e"]]]
+    assert grid("<table><tr><td rowspan='99' colspan=x>a</td><td rowspan=0>b</td></tr></table>") == [[["a", "b"]]]
+    assert grid("<table><tr><td rowspan=2 colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>") == [[["a", "a", "b"], ["a", "a", "c"]]]
+
+
+def test_nested_tables_keep_their_rows():
+    html = ("<table><tr><td>a</td><td><table><tbody><tr><td>x</td></tr><tr><td>y</td></tr></tbody></table></td></tr>"
+            "<tr><td>b</td></tr></table>")
+    assert grid(html) == [[["a", "xy"], ["b"]], [["x"], ["y"]]]
+    # end tags that are missing inside do not reach out of the inner table
+    html = "<table><tr><td>a<td><table><tr><td>x<tr><td>y</table><td>c<tr><td>b</table>"
+    assert grid(html) == [[["a", "xy", "c"], ["b"]], [["x"], ["y"]]]
+    assert grid("<table><tr><td><table><tr><td>x</td></tr></td></tr></table><td>z</table>")[0][0][0] == "x"
+
+
+def test_implied_ends_and_headings():
+    assert grid("<table><thead><tr><th>h<tbody><tr><td>a<td>b<tr><td>c<tfoot><tr><td>d</table>") == [[["a", "b"], ["c"], ["d"]]]
+    assert grid("<table><tr><th>h<th>i<tr><th>j<tr><td>a<th>b</table>") == [[["a", "b"]]]
+    # with a thead, later rows of headings are data
+    assert grid("<table><thead><tr><th>h</thead><tr><th>a<tr><td>b</table>") == [[["a"], ["b"]]]

@@ -57,5 +57,5 @@ def test_missing_key_fails_exactly_one_target(spark):
 def test_missing_product_entry_fails_target(spark):
     rows = [("walmart", "p1", 1, json.dumps({"payload": {"reviews": {"other": {"customerReviews": [{}]}}}}))]
     landed = spark.createDataFrame(rows, "source string, target string, page_no int, payload string")
-    typed = extract.typed_walmart(extract.explode_walmart(landed))
+    typed = extract.page_reviews(landed, "walmart")
     assert typed.filter("bad").count() == 1

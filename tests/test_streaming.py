@@ -23,7 +23,7 @@ def test_stream_matches_batch(spark, tmp_out):
          .option("checkpointLocation", os.path.join(tmp_out, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(120)
     got = spark.table("stream_rules").drop("landed_at")
-    typed = extract.typed_lowes(extract.explode_lowes(testbed.landed_lowes(r)))
+    typed = extract.page_reviews(testbed.landed_lowes(r), "lowes")
     batch = typed.filter(~F.col("empty_page") & ~F.col("bad")).select("target", *extract.REVIEW_COLUMNS).distinct()
     tags = [t for t, _ in testbed.TEST_RULES]
     batch = rules.rule_labels(batch, testbed.TEST_RULES).withColumn("category", rules.category_string(tags))
