@@ -113,21 +113,6 @@ OP5_LICENSE_SCAN = _license_sql()
 OP8_LINE_DEDUP = f"""
 WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 cut AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM parts),
-wins AS (SELECT doc_id, unnest(range(0, len(lines) - {_lines.WINDOW} + 1)) AS pos, lines FROM parts),
-texts AS (SELECT doc_id, pos, array_to_string(lines[pos + 1:pos + {_lines.WINDOW}], chr(10)) AS t FROM wins),
-later AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY t ORDER BY doc_id, pos) AS nth FROM texts)
-          WHERE nth > 1),
-gone AS (SELECT DISTINCT doc_id, pos + unnest(range(0, {_lines.WINDOW})) AS pos FROM later),
-marked AS (SELECT cut.*, gone.pos IS NOT NULL AS drop_ FROM cut LEFT JOIN gone USING (doc_id, pos)),
-edged AS (SELECT *, drop_ AND NOT coalesce(lag(drop_) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM marked)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drop_) AS n_removed, count(*) FILTER (opens) AS n_runs,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop_), '')) AS kept_sha256
-FROM edged GROUP BY doc_id
-"""
-
-OP8_LINE_PASSAGES = f"""
-WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-cut AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM parts),
 sizes AS (SELECT unnest(range(1, {_lines.WINDOW} + 1)) AS size),
 wins AS (SELECT doc_id, size, unnest(range(0, len(lines) - size + 1)) AS pos, lines FROM parts, sizes),
 texts AS (SELECT doc_id, size, pos, array_to_string(lines[pos + 1:pos + size], chr(10)) AS t FROM wins),

@@ -72,7 +72,7 @@ def test_trees_of_any_shape_find_the_same():
     for r, x in zip(asked, w):
         on = rank == r
         np.add.at(exact, doc[on], lexical.gain(np.full(on.sum(), x), tf[on], m[doc[on]]))
-    for leaf, depth in ((64, 12), (1, 12), (3, 2), (1, 0), (1000, 5)):
+    for leaf, depth in ((64, 12), (1, 12), (3, 2), (1, 1), (1000, 5)):
         tree = lexical.Tree(ids, m, first, rank, tf, 40, leaf, depth)
         for top in (1, 7, 400, 1000):
             best = lexical.Best(top)
