@@ -1,11 +1,12 @@
 """TF-IDF vocabulary fit and transform.
 
-Fit: term counts and document frequencies are grouped aggregations over the
-exploded n-grams of the training documents (partial aggregation per map task,
-then one shuffle by term); the vocabulary is the top ``max_features`` terms
-by total count, ties broken by term.  Its size is bounded by
-``max_features``, which is what makes it safe to hold on the driver and
-ship to every task (like a fitted ``CountVectorizerModel``).
+Fit: the vocabulary is the top ``max_features`` terms by total count, ties
+broken by term (``frequent_terms``).  Rare n-grams, which are nearly all of
+them, are never shuffled: each task keeps a heavy-hitter summary, the merged
+summaries name the candidates, and only those are counted, exactly.  The
+vocabulary's size is bounded by ``max_features``, which is what makes it safe
+to hold on the driver and ship to every task (like a fitted
+``CountVectorizerModel``).
 
 Transform: Spark ML's ``CountVectorizerModel`` counts in-vocabulary n-grams
 per row, ``ElementwiseProduct`` applies the idf and ``Normalizer`` the L2
@@ -77,13 +78,57 @@ def top_terms(stats: DataFrame, max_features: int = params.MAX_FEATURES) -> Data
     return stats.orderBy(F.desc("total_count"), F.asc("term")).limit(max_features)
 
 
+#: Terms a summary keeps, at first and at most (the most that Spark's sketch takes), and the step between.
+TRACKED, MOST_TRACKED, WIDER = 10_000, 1_000_000, 10
+#: Candidates counted, as a multiple of the terms wanted.
+CANDIDATES = 4
+
+
+def _summary_error(tracked: int) -> float:
+    """Largest share of all occurrences by which a frequent-items summary can be wrong: 3.5 / its table size, the power
+    of two that holds ``tracked`` items at a load of three quarters."""
+    return 3.5 / 2 ** math.ceil(math.log2(tracked / 0.75))
+
+
+def frequent_terms(docs: DataFrame, ngrams_col: str = "ngrams", max_features: int = params.MAX_FEATURES,
+                   tracked: int = TRACKED) -> DataFrame:
+    """A2/O2: ``(term, total_count, doc_freq)`` of the ``max_features`` most frequent terms (ties: term ascending), equal to
+    ``top_terms(term_stats(docs))``.
+
+    1. One pass builds a summary of ``tracked`` terms a task and merges them (a frequent-items sketch): what is
+       shuffled is bounded by tasks x summary.  A term that it does not return occurs at most ``bound`` times: twice its
+       error, or the least estimate it returned.
+    2. The returned terms are counted exactly, their occurrences folded map-side.
+    3. If the last wanted term occurs more often than ``bound``, no other term can belong to the result.  Otherwise
+       the summary is widened; beyond ``MOST_TRACKED`` (a corpus without frequent terms) all terms are counted.
+    """
+    most = CANDIDATES * max_features
+    one = docs.select(F.explode_outer(ngrams_col).alias("term")).filter(F.col("term").isNotNull())
+    while most <= tracked <= MOST_TRACKED:
+        seen = one.agg(F.call_function("approx_top_k", F.col("term"), F.lit(most), F.lit(tracked)).alias("top"),
+                       F.count(F.lit(1)).alias("n")).first()
+        terms = [r["item"] for r in seen["top"]]
+        if seen["n"] == 0:
+            break
+        least = min((r["count"] for r in seen["top"]), default=0) if len(terms) == most else 0
+        # with no more occurrences than tracked terms the summary holds all of them
+        bound = max(least, 0 if seen["n"] <= tracked else 2 * math.ceil(_summary_error(tracked) * seen["n"]))
+        known = docs.select(F.filter(ngrams_col, lambda t: t.isin(terms)).alias(ngrams_col))
+        top = top_terms(term_stats(known, ngrams_col), max_features).collect()      # max_features rows
+        if (len(top) == max_features and top[-1]["total_count"] > bound) or (bound == 0 and len(terms) < most):
+            schema = "term string, total_count bigint, doc_freq bigint"
+            return docs.sparkSession.createDataFrame([tuple(r) for r in top], schema)
+        tracked *= WIDER
+    return top_terms(term_stats(docs, ngrams_col), max_features)
+
+
 def fit_vocabulary(docs: DataFrame, ngrams_col: str = "ngrams",
                    max_features: int = params.MAX_FEATURES, n_docs: int | None = None) -> Vocabulary:
     """X11: fit the vocabulary and document frequencies on ``docs``
     (``n_docs``, if known, saves a count)."""
     if n_docs is None:
         n_docs = docs.count()
-    top = top_terms(term_stats(docs, ngrams_col), max_features).collect()
+    top = frequent_terms(docs, ngrams_col, max_features).collect()
     assert len(top) <= max_features
     top = sorted(top, key=lambda r: r["term"])
     return Vocabulary([r["term"] for r in top], [int(r["doc_freq"]) for r in top], int(n_docs))

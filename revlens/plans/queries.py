@@ -503,8 +503,7 @@ def _labelled(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top terms of the training corpus (no stemming)."""
-    stats = tfidf.term_stats(_labelled(spark, sf_dir, False))
-    return tfidf.top_terms(stats).select("term", "total_count", "doc_freq")
+    return tfidf.frequent_terms(written(_labelled(spark, sf_dir, False).select("ngrams"), "ngrams"))
 
 
 def _fit(spark: SparkSession, sf_dir: str, stem: bool = False):

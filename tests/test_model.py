@@ -105,3 +105,26 @@ def test_stem_of_a_long_run_of_y():
     from revlens.functions.stem import porter_stem
 
     assert porter_stem("y" * 5000).startswith("y") and porter_stem("happy") == "happi" and porter_stem("toying") == "toy"
+
+
+def test_frequent_terms_equal_the_full_count(spark, monkeypatch):
+    import random
+
+    from revlens.operators import tfidf
+
+    rnd = random.Random(2)
+    zipf = [[f"w{int(rnd.paretovariate(0.6)) % 5000}" for _ in range(rnd.randint(0, 60))] for _ in range(800)]
+    flat = [[f"t{i * 7 + j}" for j in range(7)] for i in range(300)]           # every term once
+    ties = [[f"k{j}" for j in range(40)] for _ in range(5)]
+    for rows, most, tracked in ((zipf, 20, 200), (zipf, 20, 5000), (zipf, 3, 12), (flat, 10, 100), (ties, 10, 100), (ties, 50, 1000),
+                                ([[]], 5, 100), ([None, ["a", "a", None]], 5, 100)):
+        df = spark.createDataFrame([(r,) for r in rows], "ngrams array<string>").repartition(3)
+        got = [tuple(r) for r in tfidf.frequent_terms(df, max_features=most, tracked=tracked).collect()]
+        assert got == [tuple(r) for r in tfidf.top_terms(tfidf.term_stats(df), most).collect()]
+    # frequent terms are found from the summary: nothing but candidates is ever grouped
+    sizes, real = [], tfidf.term_stats
+    monkeypatch.setattr(tfidf, "term_stats", lambda docs, col="ngrams": sizes.append(
+        docs.select(F.explode(col)).distinct().count()) or real(docs, col))
+    df = spark.createDataFrame([(r,) for r in zipf], "ngrams array<string>")
+    tfidf.frequent_terms(df, max_features=5, tracked=2000)
+    assert sizes and max(sizes) <= 5 * tfidf.CANDIDATES
