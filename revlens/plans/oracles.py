@@ -181,6 +181,11 @@ SELECT target, page_no, date, {RATING}, title, body, image
 FROM kept WHERE target NOT IN (SELECT target FROM failed)
 """)
 
+STATEFUL_READ_STREAM = with_reviews(_cut_read(testbed.LOWES_FAIL, "2024-01-24").replace(
+    "FROM reviews)", f"FROM reviews WHERE NOT ({_fails(testbed.LOWES_FAIL)}))") + f"""
+SELECT target, page_no, date, {RATING}, title, body, image FROM kept
+""")
+
 FAILED_TARGETS_REPORT = with_reviews(_cut_read(testbed.LOWES_FAIL, "2024-01-24") + """
 , cnt AS (SELECT target, count(*) AS n FROM kept GROUP BY target),
 tg AS (SELECT DISTINCT target FROM reviews)
@@ -414,12 +419,14 @@ def all_oracles() -> dict[str, str]:
         "rule_labels": RULE_LABELS,
         "recency_filter": RECENCY_FILTER,
         "recency_takewhile": RECENCY_TAKEWHILE,
+    "recency_window": RECENCY_TAKEWHILE,
         "multi_source_union_dedupe": MULTI_SOURCE_UNION_DEDUPE,
         "size_lookup": SIZE_LOOKUP,
         "strict_lookup": STRICT_LOOKUP,
         "walmart_json_extract": WALMART_JSON_EXTRACT,
         "lowes_json_extract": LOWES_JSON_EXTRACT,
-        "failed_targets_report": FAILED_TARGETS_REPORT,
+        "stateful_read_stream": STATEFUL_READ_STREAM,
+    "failed_targets_report": FAILED_TARGETS_REPORT,
         "page_cutoff": PAGE_CUTOFF,
         "target_totals": TARGET_TOTALS,
         "lowes_request_urls": LOWES_REQUEST_URLS,

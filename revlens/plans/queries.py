@@ -20,6 +20,7 @@ from revlens.plans import reviews as flows
 from revlens.session import ensure_checkpoint_dir, written
 from revlens.sources import config, landed, testbed
 from revlens.sources.tables import table
+from revlens.streaming import read_stream
 
 
 def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,12 @@ def recency_takewhile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recency.take_while_recent(r, _earliest()).select("doc_id", "target", "page_no", "date")
 
 
+def recency_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cut-off as a running flag over the ordered reviews of a target (the form for small targets)."""
+    r = _reviews(spark, sf_dir)
+    return recency.take_while_recent_window(r, _earliest()).select("doc_id", "target", "page_no", "date")
+
+
 def multi_source_union_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three frames with different column orders (one lacking a
     column) unioned by name, then a full-row dedupe."""
@@ -157,6 +164,22 @@ def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recency.pager_cutoff(seq).select("target", "page_label", "seq")
 
 
+def stateful_read_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2/F3 over a stream: Lowes pages that land in two batches, the later pages first, read with state per target."""
+    r = _reviews(spark, sf_dir)
+    for m, k in testbed.LOWES_FAIL:
+        r = r.filter(F.col("doc_id") % m != k)       # rows that are out can't be dropped with a failing target
+    pages, folder = testbed.landed_lowes(r), _folder(spark, "stream")
+    for batch in ("page_no > 1", "page_no = 1"):     # a run for each; the checkpoint keeps the state between them
+        pages.filter(batch).write.mode("append").parquet(f"{folder}/pages")
+        stream = spark.readStream.schema(pages.schema).parquet(f"{folder}/pages")
+        query = (read_stream.reviews_as_they_land(stream, "lowes", _earliest()).writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/reviews")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    return spark.read.schema(read_stream.OUT).parquet(f"{folder}/reviews").drop("pos")
+
+
 # ---------------------------------------------------------------------------
 # Landed HTML pages
 # ---------------------------------------------------------------------------
@@ -565,11 +588,13 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rule_labels": rule_labels,
         "recency_filter": recency_filter,
         "recency_takewhile": recency_takewhile,
+        "recency_window": recency_window,
         "multi_source_union_dedupe": multi_source_union_dedupe,
         "size_lookup": size_lookup,
         "strict_lookup": strict_lookup,
         "walmart_json_extract": walmart_json_extract,
         "lowes_json_extract": lowes_json_extract,
+        "stateful_read_stream": stateful_read_stream,
         "failed_targets_report": failed_targets_report,
         "page_cutoff": page_cutoff,
         "target_totals": target_totals,
