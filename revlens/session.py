@@ -76,7 +76,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``written`` once all that reads it has been written itself."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(df._written_at)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:
