@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm import textkit
 from revlens.llm.common import id_text, scratch
+from revlens.session import discard
 
 LENGTH, ANCHOR = 200, 80
 #: Different surroundings of one sample that a task may gather.
@@ -290,7 +291,8 @@ class SuffixDedup:
                                      "doc_id long, hashes array<long>, places array<int>")
         reps = self.groups.where((F.col("n_bytes") >= self.length) & F.col("rep").isNotNull()).select(
             F.col("rep").alias("doc_id"))
-        found = scratch(found.join(reps, "doc_id", "left_semi"), "suffix-samples").select(
+        self.sampled = scratch(found.join(reps, "doc_id", "left_semi"), "suffix-samples")
+        found = self.sampled.select(
             "doc_id", F.explode_outer(F.arrays_zip(F.col("hashes").alias("hash"), F.col("places").alias("place"))).alias("s"))
         found = found.where("s IS NOT NULL").select("doc_id", "s.hash", "s.place")
         again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
@@ -301,6 +303,7 @@ class SuffixDedup:
         by_doc = self.samples().groupBy("doc_id").agg(F.collect_list(F.struct("hash", "place")).alias("s")).select(
             "doc_id", F.col("s.hash").alias("hashes"), F.col("s.place").alias("places"))
         texts = scratch(self.base.join(by_doc, "doc_id"), "suffix-texts")
+        discard(self.sampled)
         around = texts.select("doc_id", "text", "hashes", "places").mapInArrow(
             _surroundings(self.length, self.anchor),
             "hash long, doc_id long, place int, right binary, left binary")
@@ -312,6 +315,7 @@ class SuffixDedup:
         reached = scratch(different.join(hot, "hash", "left_anti").repartition("hash").sortWithinPartitions("hash")
                           .mapInArrow(_merge(self.length, self.anchor),
                                       "hash long, around long, to_left int, to_right int"), "suffix-reached")
+        discard(different)
         spans = around.select("doc_id", "place", "hash", same).join(reached, ["hash", "around"]).select(
             "doc_id", (F.col("place") - F.col("to_left")).cast("long").alias("low"),
             (F.col("place") + F.col("to_right")).cast("long").alias("high"))
