@@ -26,27 +26,29 @@ WINDOW g AS (PARTITION BY coalesce(text, ''))
 _KEPT_KINDS = ("assign", _secret.ASSIGN), ("access", _secret.ACCESS), ("hex", _secret.HEX)
 
 
-def _pieces(kind: str, pattern: str, group: int) -> str:
+def _pieces(kind: str, pattern: str, group: int, t: str = "t") -> str:
     """(doc_id, kind, pos, string, value): matches, placed by the text between them."""
     p = _text(pattern.replace("\\x20", " "))
     return f"""
     SELECT doc_id, '{kind}' AS kind, unnest(range(1, len(found) + 1)) AS k, between_, found, vals
-    FROM (SELECT doc_id, string_split_regex(t, {p}) AS between_, regexp_extract_all(t, {p}, 0) AS found,
-                 regexp_extract_all(t, {p}, {group}) AS vals
-          FROM texts WHERE regexp_matches(t, {p}))"""
+    FROM (SELECT doc_id, string_split_regex({t}, {p}) AS between_, regexp_extract_all({t}, {p}, 0) AS found,
+                 regexp_extract_all({t}, {p}, {group}) AS vals
+          FROM texts WHERE regexp_matches({t}, {p}))"""
 
 
 def _secret_sql() -> str:
     kinds = [_pieces("assign", _secret.ASSIGN, 2), _pieces("access", _secret.ACCESS, 0), _pieces("hex", _secret.HEX, 0)]
     for kind, chars, _ in _secret.ENTROPY:
-        kinds.append(_pieces(kind, f"[{chars}]{{{_secret.WINDOW},}}", 0))
+        kinds.append(_pieces(kind, f"[{chars}]{{{_secret.WINDOW},}}", 0, "rest"))
     least = " ".join(f"WHEN '{kind}' THEN {_secret.most_sum(_secret.WINDOW, bits)}" for kind, _, bits in _secret.ENTROPY)
     rank = " ".join(f"WHEN '{kind}' THEN {i}" for i, kind in enumerate(_secret.KINDS))
     terms = ", ".join(map(str, _secret.count_terms(_secret.WINDOW)))
     harmless = " AND ".join(f"NOT regexp_matches(s, {_text(a)})" for a in _secret.ALLOWED)
-    w = _secret.WINDOW
+    w, rest = _secret.WINDOW, "t"
+    for word in _secret.SAMPLES:
+        rest = f"regexp_replace({rest}, '{word}', '{' ' * len(word)}', 'gi')"
     return f"""
-WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH texts AS (SELECT doc_id, t, {rest} AS rest FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
 matched AS ({" UNION ALL ".join(kinds)}),
 placed AS (SELECT doc_id, kind, found[k] AS s, vals[k] AS v,
                   list_sum(list_transform(between_[1:k], lambda x: length(x)))

@@ -4,10 +4,12 @@
 ``access`` an access key id of 20 or more, ``hex`` a run of 24 or more lower-case hex digits.
 
 *Entropy.* Candidate strings are runs of one character class (``ENTROPY``) of at least ``WINDOW`` characters.
-A window of that many characters slides over the candidate; counts by character are kept up to date as one
-character enters and one leaves, and with them the sum of c * log2 c, from which the window's Shannon entropy
-is log2(WINDOW) - sum / WINDOW.  Windows at or above the class's threshold that touch are one span.
-Candidates that match an allow-list pattern are known to be harmless and are left out.
+A window of that many characters slides over the candidate; as one character enters and one leaves, the sum of
+c * log2 c over the window's character counts c is kept up to date from the counts of these two alone, and with it the
+window's Shannon entropy, log2(WINDOW) - sum / WINDOW.  Windows at or above the class's threshold that touch are one
+span.  The allow-list has two parts: candidates that match an ``ALLOWED`` pattern as a whole are known to be harmless and
+are left out; ``SAMPLES``, words of examples, are blanked out before candidates are formed, so they are no part of a
+secret and hide none beside them.
 
 Spans are (kind, start, end) in code points, end exclusive.  A null text counts as empty; an empty text has
 no spans; rows keep their ids, null or repeated; an empty table gives an empty result.  Everything is
@@ -38,8 +40,9 @@ ALLOWED = (
     "^[0-9]+$", "^[A-Za-z]+$", "^[-=_+/]+$",                                   # numbers, words, rulers
     "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",                    # identifiers without meaning
     "^(/[A-Za-z0-9_-]+){3,}/?$",                                               # paths
-    "(?i:example|placeholder|xxxx|0123456789abcdef|abcdefghijklmnop)",         # samples
 )
+#: In either case.
+SAMPLES = ("0123456789abcdef", "abcdefghijklmnop", "placeholder", "example", "xxxx")
 #: c * log2(c) in millionths, so sums are exact.
 SCALE = 1_000_000
 
@@ -96,49 +99,41 @@ def hot_windows(string: Column, window: int, least_bits: float) -> Column:
     """Maximal spans (start, end) of a candidate that windows of high entropy cover."""
     terms = F.array(*(F.lit(t).cast("long") for t in count_terms(window + 1)))   # one more enters before one leaves
     most = F.lit(most_sum(window, least_bits)).cast("long")
-    codes = F.transform(F.split(string, ""), F.ascii)
     spans_type = "array<struct<low:int,high:int>>"
-    start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).cast("long").alias("sum"),
-                     F.lit(0).alias("n"), F.array().cast(spans_type).alias("spans"))
-
-    def moved(state: Column, code: Column, by: int) -> tuple[Column, Column]:
-        """Counts and sum after a character enters or leaves."""
-        count = F.get(state["counts"], code)
-        return (F.transform(state["counts"], lambda c, i: F.when(i == code, c + by).otherwise(c)),
-                state["sum"] + F.get(terms, count + by) - F.get(terms, count))
-
-    def step(state: Column, c: Column) -> Column:
-        counts, total = moved(state, c["into"], 1)
-        entered = F.struct(counts.alias("counts"), total.cast("long").alias("sum"),
-                           (state["n"] + 1).alias("n"), state["spans"].alias("spans"))
-        return entered
-
-    def left(state: Column, c: Column) -> Column:
-        counts, total = moved(state, c["out"], -1)
-        return F.struct(F.when(c["out"] >= 0, counts).otherwise(state["counts"]).alias("counts"),
-                        F.when(c["out"] >= 0, total).otherwise(state["sum"]).cast("long").alias("sum"),
-                        state["n"].alias("n"), state["spans"].alias("spans"))
-
-    def noted(state: Column) -> Column:
-        low, high = state["n"] - window, state["n"]
-        last = F.try_element_at(state["spans"], F.lit(-1))
-        new = F.struct(low.alias("low"), high.alias("high"))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"), F.array().cast(spans_type).alias("spans"))
+
+    def change(codes: Column, code: Column, i: Column) -> Column:
+        """What the sum gains as character i enters and the one a window before leaves: their counts are how often
+        they stand among the ``window`` characters before, and among those and the entering one."""
+        before = F.slice(codes, F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window)))
+        count = F.size(before) - F.size(F.array_remove(before, code))
+        gone = F.get(codes, i - window)
+        left = window - F.size(F.array_remove(before, gone)) + F.when(gone == code, 1).otherwise(0)
+        return (F.get(terms, count + 1) - F.get(terms, count)
+                + F.when(i >= window, F.get(terms, left - 1) - F.get(terms, left)).otherwise(0)).cast("long")
+
+    def step(state: Column, gain: Column) -> Column:
+        total, n = state["sum"] + gain, state["n"] + 1
+        low, last = n - window, F.try_element_at(state["spans"], F.lit(-1))
         grown = F.array_append(F.slice(state["spans"], F.lit(1), F.greatest(F.size(state["spans"]) - 1, F.lit(0))),
-                               F.struct(last["low"].alias("low"), high.alias("high")))
-        spans = F.when(last.isNotNull() & (last["high"] >= low), grown).otherwise(F.array_append(state["spans"], new))
-        hot = (low >= 0) & (state["sum"] <= most)
-        return F.struct(state["counts"].alias("counts"), state["sum"].alias("sum"), state["n"].alias("n"),
-                        F.when(hot, spans).otherwise(state["spans"]).cast(spans_type).alias("spans"))
-
-    # one step a character: it enters, the one a window before leaves, the window is judged; the two are
-    # zipped beforehand, so no step looks into the whole string
-    leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), window), codes), F.lit(1), F.length(string))
-    moves = F.flatten(F.transform(F.arrays_zip(codes.alias("into"), leaving.alias("out")), lambda c: F.array(
-        F.struct(F.lit(0).alias("what"), c["into"].alias("into"), F.lit(-1).alias("out")),
-        F.struct(F.lit(1).alias("what"), F.lit(-1).alias("into"), c["out"].alias("out")),
-        F.struct(F.lit(2).alias("what"), F.lit(-1).alias("into"), F.lit(-1).alias("out")))))
-    return F.aggregate(moves, start, lambda s, c: F.when(c["what"] == 0, step(s, c)).when(c["what"] == 1, left(s, c))
-                       .otherwise(noted(s)), lambda s: s["spans"])
+                               F.struct(last["low"].alias("low"), n.alias("high")))
+        spans = F.when(last.isNotNull() & (last["high"] >= low), grown).otherwise(
+            F.array_append(state["spans"], F.struct(low.alias("low"), n.alias("high"))))
+        return F.struct(total.cast("long").alias("sum"), n.alias("n"),
+                        F.when((low >= 0) & (total <= most), spans).otherwise(state["spans"]).cast(spans_type).alias("spans"))
+
+    # the codes are bound once, so a step looks into them instead of into the string
+    per_candidate = F.transform(F.array(F.transform(F.split(string, ""), F.ascii)), lambda codes: F.aggregate(
+        F.transform(codes, lambda c, i: change(codes, c, i)), start, step, lambda s: s["spans"]))
+    return F.element_at(per_candidate, 1)
+
+
+def without_samples(text: Column, samples: tuple[str, ...]) -> Column:
+    """The text with every sample word blanked out, at the same places."""
+    blank = text
+    for word in samples:
+        blank = F.regexp_replace(blank, f"(?i){word}", " " * len(word))
+    return F.when(text.rlike("(?i)" + "|".join(samples)), blank).otherwise(text) if samples else text
 
 
 def _entropy(text: Column, kind: str, chars: str, least_bits: float, window: int, allowed: tuple[str, ...]) -> Column:
@@ -159,11 +154,11 @@ def joined(spans: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                 classes: tuple = ENTROPY, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+                 classes: tuple = ENTROPY, allowed: tuple[str, ...] = ALLOWED, samples: tuple[str, ...] = SAMPLES) -> DataFrame:
     """Per row: ``doc_id``, ``text``, the array ``base`` of pattern spans and ``entropy`` of entropy spans."""
-    text = F.col("text")
-    entropy = F.concat(*(_entropy(text, *c, window, allowed) for c in classes)) if classes else _none()
-    return id_text(docs, id_col, text_col).select(
+    text, rest = F.col("text"), F.col("rest")
+    entropy = F.concat(*(_entropy(rest, *c, window, allowed) for c in classes)) if classes else _none()
+    return id_text(docs, id_col, text_col).withColumn("rest", without_samples(text, samples)).select(
         "doc_id", "text", F.concat(_assigned(text), _plain(text, "access", ACCESS), _plain(text, "hex", HEX)).alias("base"),
         entropy.alias("entropy"))
 

@@ -29,9 +29,11 @@ def secrets(text, m):
     base = [(x.start(), 0, "assign", x.end()) for x in re.finditer(m.ASSIGN, t) if len(x[2]) >= 6]
     base += [(x.start(), 1, "access", x.end()) for x in re.finditer("AKIA[A-Z0-9]+", t) if len(x[0]) >= 20]
     base += [(x.start(), 2, "hex", x.end()) for x in re.finditer("[0-9a-f]+", t) if len(x[0]) >= 24]
-    more = []
+    more, rest = [], t
+    for word in m.SAMPLES:
+        rest = re.sub(word, " " * len(word), rest, flags=re.IGNORECASE | re.ASCII)
     for rank, (kind, chars, least) in enumerate(m.ENTROPY):
-        for x in re.finditer(f"[{chars}]{{{m.WINDOW},}}", t):
+        for x in re.finditer(f"[{chars}]{{{m.WINDOW},}}", rest):
             if any(re.search(a, x[0]) for a in m.ALLOWED):
                 continue
             spans = []

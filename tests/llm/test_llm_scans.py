@@ -29,6 +29,27 @@ def test_secrets_against_plain_python(make, corpus):
     assert got[1003][5] >= 2 and got[1004][5] == 0 and "entropy_hex" in got[1005][4]
 
 
+def test_a_secret_beside_a_sample_word(make):
+    rnd = random.Random(8)
+    key = "".join(rnd.sample(string.ascii_letters + string.digits, 60))
+    rows = [(1, key), (2, f"{key}/xxxx/{key}"), (3, f"EXAMPLE{key}"), (4, "example" * 20), (5, "exampleXXXXplaceholder0123456789ABCDEF" * 3)]
+    got = found(make(rows))
+    assert got == {i: brute.secrets(t, secret_scan) for i, t in rows}
+    assert [got[i][5] for i in range(1, 6)] == [1, 2, 1, 0, 0]
+
+
+def test_one_very_long_candidate(make):
+    import time
+
+    rnd = random.Random(4)
+    b64 = string.ascii_letters + string.digits + "+/"
+    long, start = "".join(rnd.choices(b64, k=400_000)), time.time()
+    rows = [(1, long), (2, "a" * 300_000 + long[:30]), (3, " ".join("".join(rnd.choices("0123456789abcdef", k=32)) for _ in range(4000)))]
+    got = found(make(rows))
+    assert time.time() - start < 60
+    assert got[1][5] >= 1 and got[2] == brute.secrets(rows[1][1], secret_scan) and got[3] == brute.secrets(rows[2][1], secret_scan)
+
+
 def test_secrets_edges(odd, nothing):
     rows = secret_scan.secret_scan(odd).collect()
     assert len(rows) == odd.count()
@@ -44,7 +65,7 @@ def test_incremental_windows_equal_counting_each(spark):
     rows = [("".join(rnd.choices("abcdef0123456789", k=n)),) for n in (24, 25, 60, 200)] + [("a" * 100 + "0f1e2d3c4b5a69788796a5b4",)]
     df = spark.createDataFrame(rows, "s string").select("s", secret_scan.hot_windows(F.col("s"), 24, 3.4).alias("w"))
     class Only:
-        ENTROPY, WINDOW, ALLOWED, ASSIGN = (("k", "0-9a-f", 3.4),), 24, (), "(?!)"
+        ENTROPY, WINDOW, ALLOWED, SAMPLES, ASSIGN = (("k", "0-9a-f", 3.4),), 24, (), (), "(?!)"
     for r in df.collect():
         expected = brute.secrets(r.s, Only)[4].split(",")
         assert [f"k:{w.low}:{w.high}" for w in r.w] == [e for e in expected if e.startswith("k:")]
