@@ -68,12 +68,12 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     return docs.join(broadcast_if_small(ids), id_col, "left_anti").select(docs.columns)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 
     ``edges`` has long columns ``a`` and ``b``; returns ``node``, ``component``.  Each round gives a
     node the smallest label among its own and its neighbours' and then follows that label's own label
-    (pointer jumping), so a chain of n nodes needs about log n rounds.  All work is joins and
+    (pointer jumping), so a chain of n nodes needs about log n rounds; it ends when nothing changes.  All work is joins and
     ``min`` aggregates with map-side combine; only the number of changed labels reaches the driver.
     Empty edges give an empty result; self loops and repeated edges are harmless.
     """
@@ -81,7 +81,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     both = scratch(both.where("a IS NOT NULL AND b IS NOT NULL").distinct(), "cc-edges")
     labels = scratch(both.groupBy(F.col("a").alias("node"))
                      .agg(F.least(F.col("a"), F.min("b")).alias("component")), "cc-labels")
-    for _ in range(max_rounds):
+    while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near")))
         hooked = labels.join(near, "node").select(
@@ -92,4 +92,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         labels = new.select("node", "component")
         if not new.where("component <> old").limit(1).count():
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

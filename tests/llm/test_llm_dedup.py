@@ -25,6 +25,9 @@ def test_exact_groups(make, corpus, odd, nothing):
     assert got == {i: last[t] for i, t in corpus}
     kept = exact_dedup.drop_copies(make(corpus))
     assert kept.count() == len(last) and kept.columns == make(corpus).columns
+    rows = make([(1, "a b"), (1, "a b"), (1, "a b"), (2, "c"), (3, "c"), (None, "d"), (None, "d")])
+    same = rows.select("doc_id", "text")
+    assert sorted((r.doc_id or 0, r.text) for r in exact_dedup.drop_copies(same).collect()) == [(0, "d"), (0, "d"), (1, "a b"), (2, "c")]
 
 
 def test_exact_groups_survive_hash_collisions(make, corpus):
