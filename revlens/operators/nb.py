@@ -7,8 +7,8 @@ ln(n_c / n), unsmoothed (Spark's built-in ``NaiveBayes`` smooths it).
 
 The fitted parameters are at most ``tags x 2 x max_features`` numbers, so,
 like Spark ML models, they are held on the driver and scoring is a narrow
-expression per row: prior + dot(weights, log_prob) per class, class 1 wins
-only when strictly greater.
+expression per row: class 1 wins only when prior + dot(weights, log_prob) is
+strictly greater than class 0's.
 """
 
 from __future__ import annotations
@@ -133,21 +133,14 @@ class NBModel:
         return m
 
     # -- scoring (X17, A8) --------------------------------------------------
-    def score(self, vec: Column, tag: str, cls_: int) -> Column | None:
-        key = (tag, cls_)
-        if key not in self.log_prob:
-            return None
-        lp = F.array(*[F.lit(float(x)) for x in self.log_prob[key]])
-        dot = F.aggregate(F.zip_with(vec, lp, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-        return F.lit(float(self.log_prior[key])) + dot
-
     def predict(self, vec: Column, tag: str) -> Column:
-        s0, s1 = self.score(vec, tag, 0), self.score(vec, tag, 1)
-        if s1 is None:
-            return F.lit(0)
-        if s0 is None:
-            return F.lit(1)
-        return (s1 > s0).cast("int")
+        """1 where class 1 scores strictly higher: one product with the difference of the two classes."""
+        have = [c for c in (0, 1) if (tag, c) in self.log_prob]
+        if len(have) < 2:
+            return F.lit(have[0])
+        more = F.array(*[F.lit(float(b - a)) for a, b in zip(self.log_prob[tag, 0], self.log_prob[tag, 1])])
+        prior = F.lit(float(self.log_prior[tag, 1] - self.log_prior[tag, 0]))
+        return (F.aggregate(F.zip_with(vec, more, lambda w, d: w * d), prior, lambda total, x: total + x) > 0).cast("int")
 
 
 def labelled_ngrams(train: DataFrame, stem: bool = True, title: str = "title", body: str = "body",
