@@ -3,9 +3,9 @@
 For every benchmark item of m words, the windows of m words of a document are compared with the item
 (a shorter document is one window).  A window and an item match when the weighted Jaccard similarity of
 their ``size``-word shingles (multisets) is at least ``percent`` / 100.  Words are runs of other than ASCII
-white space, A-Z lower-cased; an item with fewer words than ``size`` is one shingle.  With ``short_items`` such
-an item is looked up in the documents' windows of its own number of words; without, only a document that is the
-item as a whole matches it.
+white space, A-Z lower-cased; an item with fewer words than ``size`` is one shingle, and is looked up in the
+documents' windows of its own number of words (without ``short_items`` only a document that is the item as a whole
+matches it).
 
 Per (document, item) with a matching window one row is returned: the best window (largest similarity, then
 first).  Documents and items without words, or without an id, match nothing; repeated rows are returned
@@ -16,29 +16,36 @@ How a window is found:
 1. A window that can match an item of as many shingles shares at least ``2 * percent / (100 + percent)`` of
    them with it.  A running count of the shingles that items of that size have leaves only windows that
    reach this bound.
-2. Those windows get a 64-bit SimHash over their weighted shingles.  The fingerprints of all items are
-   indexed by ``BLOCKS`` blocks of bits: fingerprints within ``RADIUS`` differ in at most
-   ``RADIUS // BLOCKS`` bits of some block, so each item is entered under every value within that many
-   bits of its blocks, and a window looks up its own blocks: no item within the radius is missed.
-3. The candidates within the radius are verified by the exact weighted similarity.
-
-The benchmark is sent to the tasks in parts of at most ``PART_WORDS`` words (its size is checked, a larger
-one is handled in more passes), so what is broadcast has a bound and documents are never shuffled.
+2. Those windows get a 64-bit SimHash over their weighted shingles, from running counts of every bit, so a
+   long item costs no more a window than a short one.  The fingerprints of all items are indexed by ``BLOCKS``
+   blocks of bits: fingerprints within ``RADIUS`` differ in at most ``RADIUS // BLOCKS`` bits of some block, so
+   each item is entered under every value within that many bits of its blocks, and a window looks up its own
+   blocks: no item within the radius is missed.  These candidates, nearest first, are verified by the exact weighted
+   similarity.
+3. A match beyond the radius is unlikely (about 10 bits, with a deviation of 3, at a similarity of 0.8) but possible.
+   So the windows of the first step are also counted against each single item of their size, and any that shares
+   enough shingles with one is verified as well: nothing is lost, whatever the radius.
+
+Items are numbered into parts of at most ``PART_WORDS`` words by Spark (an item is not cut); one part at a time goes
+through the driver to the tasks, as one scan of the documents, and its matches are added to one written table.
+Neither the plan nor what is held at once grows with the benchmark, and documents are never shuffled.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.llm import textkit
-from revlens.llm.common import id_text, without
+from revlens.llm.common import id_text, scratch, without
+from revlens.session import ensure_checkpoint_dir
 
 SIZE, PERCENT = 5, 80
 #: Hamming radius of the search.  Two sets with weighted Jaccard similarity 0.8 differ in about 10 of
@@ -46,8 +53,8 @@ SIZE, PERCENT = 5, 80
 RADIUS, BLOCKS = 23, 8
 #: Words of benchmark text given to the tasks at once.
 PART_WORDS = 50_000
-#: Windows fingerprinted together.
-WINDOWS = 4096
+#: Shingles whose bits are counted together.
+SPAN = 1 << 16
 
 _U = np.uint64
 
@@ -91,6 +98,8 @@ class Items:
             self.by_count.setdefault(len(g), []).append(i)
         self.own = {n: np.isin(self.known, np.concatenate([self.grams[i] for i in members]))
                     for n, members in self.by_count.items()}
+        #: indices of ``known`` that each item has
+        self.has = [np.unique(np.searchsorted(self.known, g)) for g in self.grams]
         self.index: list[dict[int, list[int]]] = []
         for block in range(BLOCKS):
             shift, width = _bits(block)
@@ -132,6 +141,39 @@ def simhash(rows: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones >= rows.shape[1], axis=1, bitorder="little").view("<u8").reshape(-1).astype(np.uint64)
 
 
+def window_prints(grams: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """SimHash of the windows of ``width`` shingles at ascending ``starts``, from running counts of each bit over
+    stretches of at most ``SPAN`` window starts."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        end = int(np.searchsorted(starts, low + SPAN))
+        stretch = np.ascontiguousarray(grams[low:int(starts[end - 1]) + width]).astype("<u8")
+        bits = np.unpackbits(stretch.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts = np.zeros((len(stretch) + 1, 64), np.int32)
+        np.cumsum(bits, axis=0, dtype=np.int32, out=counts[1:])
+        first = starts[at:end] - low
+        ones = counts[first + width] - counts[first]
+        out[at:end] = np.packbits(2 * ones >= width, axis=1, bitorder="little").view("<u8").reshape(-1)
+        at = end
+    return out
+
+
+def windows_with(places: np.ndarray, length: int, width: int, need: int) -> np.ndarray:
+    """Starts of the windows of ``width`` that hold ``need`` or more of the ascending ``places``."""
+    if len(places) < need:
+        return np.empty(0, np.int64)
+    # each place from the need-th on closes the stretch of starts whose windows hold it and the need - 1 before it
+    low = np.maximum(places[need - 1:] - width + 1, 0)
+    high = np.minimum(places[:len(places) - need + 1], length - width)
+    ok = low <= high
+    inside = np.zeros(length - width + 2, np.int64)
+    np.add.at(inside, low[ok], 1)
+    np.add.at(inside, high[ok] + 1, -1)
+    return np.flatnonzero(np.cumsum(inside) > 0)
+
+
 def weighted_similarity(a: Counter, b: Counter) -> tuple[int, int]:
     """Weighted Jaccard similarity of two multisets, as (shared, all)."""
     shared = sum((a & b).values())
@@ -186,73 +228,71 @@ def _document(doc_id, grams, n_words, places, which, items: Items) -> Iterator[t
         width = min(n, len(grams))     # a document shorter than the item is one window
         # window and item share at least this many shingles when they match
         need = -(-items.percent * (width + n) // (100 + items.percent))
-        shared = places[items.own[n][which]]
-        if len(shared) < need:
+        own = items.own[n][which]
+        if own.sum() < need:
             continue
-        count = np.zeros(len(grams) + 1, np.int64)
-        count[shared + 1] = 1
-        count = np.cumsum(count)
-        starts = np.flatnonzero(count[width:] - count[:-width] >= need)
-        best: dict[int, tuple] = {}
-        for at in range(0, len(starts), WINDOWS):
-            part = starts[at:at + WINDOWS]
-            windows = np.lib.stride_tricks.sliding_window_view(grams, width)[part]
-            weights: dict[int, Counter] = {}
-            prints = simhash(windows)
-            for w, i in items.near(prints, n):
-                if w not in weights:
-                    weights[w] = Counter(windows[w].tolist())
-                shared, total = weighted_similarity(weights[w], items.weights[i])
-                if 100 * shared < items.percent * total:
-                    continue
-                start = int(part[w])
-                key = (-shared / total, start)
-                if i not in best or key < best[i][0]:
-                    best[i] = key, (doc_id, items.ids[i], start, min(int(items.words[i]), n_words), shared, total,
-                                    (int(prints[w]) ^ int(items.prints[i])).bit_count())
+        starts = windows_with(places[own], len(grams), width, need)
+        if not len(starts):
+            continue
+        prints = window_prints(grams, starts, width)
+        near: dict[int, set[int]] = {}
+        for w, i in items.near(prints, n):
+            near.setdefault(i, set()).add(w)
         for i in members:
-            if i in best:
-                yield best[i][1]
+            mine = places[own][np.isin(which[own], items.has[i])]
+            rest = np.searchsorted(starts, windows_with(mine, len(grams), width, need)).tolist()
+            away = {w: (int(prints[w]) ^ int(items.prints[i])).bit_count() for w in near.get(i, set()).union(rest)}
+            best: tuple | None = None
+            for w in sorted(away, key=lambda w: (away[w], w)):
+                start = int(starts[w])
+                shared, total = weighted_similarity(Counter(grams[start:start + width].tolist()), items.weights[i])
+                key = (-shared / total, start)
+                if 100 * shared >= items.percent * total and (best is None or key < best[0]):
+                    best = key, (doc_id, items.ids[i], start, min(int(items.words[i]), n_words), shared, total, away[w])
+            if best:
+                yield best[1]
+
+
+def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[list[str]]]:
+    """The items with their ``part``, written, and the parts to take together, of at most ``PART_WORDS`` words unless a
+    single item has more."""
+    words = F.size(F.split(F.col("text"), r"[ \t-\r]+")).cast("long")
+    rows = scratch(id_text(benchmark, id_col, text_col).withColumn("words", words)
+                   .withColumn("row", F.monotonically_increasing_id()).withColumn("slice", F.spark_partition_id()), "items")
+    before = F.sum("words").over(Window.partitionBy("slice").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
+    of = (F.coalesce(before, F.lit(0)) / PART_WORDS).cast("long")
+    rows = scratch(rows.withColumn("part", F.format_string("%08d-%012d", "slice", of)), "item-parts")
+    taken: list[list[str]] = [[]]
+    held = 0
+    for part, size in sorted((r.part, r.words) for r in rows.groupBy("part").agg(F.sum("words").alias("words")).collect()):
+        if taken[-1] and held + size > PART_WORDS:
+            taken.append([])
+            held = 0
+        taken[-1].append(part)
+        held += size
+    return rows, taken
 
 
-def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list[int], list[str]]]:
-    """The items in parts of at most ``PART_WORDS`` words (an item is never split), streamed to the driver."""
-    words = F.size(F.split(F.col("text"), r"[ \t-\r]+"))
-    rows = id_text(benchmark, id_col, text_col).withColumn("words", words)
-    ids: list[int] = []
-    texts: list[str] = []
-    held = 0
-    for row in rows.toLocalIterator():
-        if ids and held + row.words > PART_WORDS:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-        ids.append(row.doc_id)
-        texts.append(row.text)
-        held += row.words
-    if ids:
-        yield ids, texts
+MATCH = "doc_id long, item_id long, start_word long, n_words long, shared long, total long, distance long"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", size: int = SIZE,
-                 percent: int = PERCENT, radius: int = RADIUS, short_items: bool = False) -> DataFrame:
+                 percent: int = PERCENT, radius: int = RADIUS, short_items: bool = True) -> DataFrame:
     """One row per document and item that match: ``doc_id``, ``item_id``, ``start_word``, ``n_words``,
     ``similarity``, ``distance`` (Hamming)."""
-    base = id_text(docs, id_col, text_col)
-    found = None
-    for ids, texts in _parts(benchmark, item_id_col, item_text_col):
-        items = Items(ids, texts, size, percent, radius, short_items)
-        if not items.ids and not items.short:
-            continue
-        part = base.mapInArrow(_matches(items), "doc_id long, item_id long, start_word long, n_words long, "
-                                                "shared long, total long, distance long")
-        found = part if found is None else found.union(part)
-    if found is None:
-        spark = docs.sparkSession
-        return spark.createDataFrame([], "doc_id long, item_id long, start_word long, n_words long, "
-                                         "similarity double, distance long")
-    return found.select("doc_id", "item_id", "start_word", "n_words",
-                        (F.col("shared") / F.col("total")).alias("similarity"), "distance")
+    spark, base = docs.sparkSession, id_text(docs, id_col, text_col)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matches-{uuid.uuid4().hex}"
+    spark.createDataFrame([], MATCH).write.parquet(path)
+    rows, parts = _parts(benchmark, item_id_col, item_text_col)
+    for part in parts:
+        held = rows.where(F.col("part").isin(part)).select("doc_id", "text").collect()     # PART_WORDS bounds it
+        items = Items([r.doc_id for r in held], [r.text for r in held], size, percent, radius, short_items)
+        if items.ids or items.short:
+            sent = spark.sparkContext.broadcast(items)
+            base.mapInArrow(lambda batches, sent=sent: _matches(sent.value)(batches), MATCH).write.mode("append").parquet(path)
+    return spark.read.schema(MATCH).parquet(path).select(
+        "doc_id", "item_id", "start_word", "n_words", (F.col("shared") / F.col("total")).alias("similarity"), "distance")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -79,10 +79,15 @@ def components(docs, size=5, percent=80):
 
 def contamination(docs, items, size=5, percent=80):
     """(doc_id, item_id) -> (similarity, first word) of the best window."""
-    grams = [(i, shingles(t, size)) for i, t in items]
+    grams = [(i, shingles(t, size)) for i, t in items if len(words(t)) >= size]
+    short = [(i, words(t)) for i, t in items if 0 < len(words(t)) < size]
     out = {}
     for d, t in docs:
-        own = shingles(t, size)
+        own, said = shingles(t, size), words(t)
+        for i, w in short:                      # fewer words than a shingle: found as they stand
+            at = [k for k in range(len(said) - len(w) + 1) if said[k:k + len(w)] == w]
+            if at:
+                out[d, i] = 1.0, at[0]
         have = set(own)
         for i, g in grams:
             if not have & set(g):

@@ -210,6 +210,40 @@ def test_matches_against_plain_python(spark, make):
     assert got == expected and any(s < 1 for s, _ in expected.values())
 
 
+def test_no_match_is_lost_whatever_the_radius_and_length(spark, make):
+    rnd = random.Random(21)
+    vocabulary = [f"t{i}" for i in range(5000)]
+    bench = [(k, " ".join(rnd.choices(vocabulary, k=m))) for k, m in enumerate((1, 2, 4, 5, 6, 9, 25, 25, 25, 120, 700, 3000))]
+    rows = []
+    for i in range(60):
+        passage = bench[i % len(bench)][1].split()
+        for _ in range(rnd.randrange(0, 1 + len(passage) // 45)):            # near the limit for the long ones
+            passage[rnd.randrange(len(passage))] = "edited"
+        own = rnd.choices(vocabulary, k=rnd.randrange(0, 300))
+        at = rnd.randrange(0, len(own) + 1)
+        rows.append((i, " ".join(own[:at] + passage + own[at:])))
+    expected = brute.contamination(rows, bench)
+    assert len(expected) > 50 and {k for _, k in expected} == set(range(len(bench)))
+    for radius in (0, decontam.RADIUS):
+        got = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in
+               decontam.contaminated(make(rows), items(spark, bench), radius=radius).collect()}
+        assert got == expected
+
+
+def test_running_counts_give_the_fingerprints_and_windows(monkeypatch):
+    rnd = np.random.default_rng(5)
+    grams = rnd.integers(0, 50, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    monkeypatch.setattr(decontam, "SPAN", 37)
+    for width in (1, 2, 16, 399, 400):
+        starts = np.flatnonzero(rnd.random(400 - width + 1) < 0.7) if width < 399 else np.arange(400 - width + 1)
+        rows = np.array([grams[a:a + width] for a in starts])
+        assert (decontam.window_prints(grams, starts, width) == decontam.simhash(rows)).all()
+        places = np.flatnonzero(rnd.random(400) < 0.2)
+        for need in (1, 3, 40):
+            want = [a for a in range(400 - width + 1) if ((places >= a) & (places < a + width)).sum() >= need]
+            assert decontam.windows_with(places, 400, width, need).tolist() == want
+
+
 def test_index_finds_every_item_within_the_radius():
     rnd = random.Random(3)
     texts = [" ".join(rnd.choices("abcdefghij", k=20)) for _ in range(30)]
