@@ -51,15 +51,32 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
     "following disclaimer in the documentation and or other materials provided with the distribution": "BSD-binary",
     "redistributions in binary form must reproduce the above copyright notice": "BSD-binary",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL-2.0-start",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "ISC-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "ISC-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted": "0BSD-grant",
+    "this software is provided as is without any express or implied warranty": "Zlib-asis",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+    "it and redistribute it freely subject to the following restrictions": "Zlib-grant",
+    "distributed under the boost software license version 1 0": "BSL-1.0-ref",
 }
-#: Licences that an SPDX tag may name; ``GPL-2.0`` and ``GPL-3.0`` are the older names of ``-only``.
+#: Licences that an SPDX tag may name; GNU names without ``-only`` or ``-or-later`` are the older names of ``-only``.
 SPDX = {name: name for name in (
     "MIT", "Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "GPL-3.0-or-later", "GPL-2.0-or-later", "GPL-3.0-only",
-    "GPL-2.0-only", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC-BY-4.0", "Unlicense")} | {
-    "GPL-3.0": "GPL-3.0-only", "GPL-2.0": "GPL-2.0-only"}
+    "GPL-2.0-only", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC-BY-4.0", "Unlicense", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "ISC", "EPL-2.0", "CC0-1.0",
+    "Zlib", "BSL-1.0", "0BSD")} | {
+    name: f"{name}-only" for name in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")}
 TAG = "spdx license identifier"
 _GPL = ("^(this program is free software )?you can redistribute it and or modify it under the terms of the gnu "
         "general public license")
+_LGPL = ("^(this (program|library) is free software )?you can redistribute it and or modify it under the terms of the gnu "
+         "lesser general public license")
+_AGPL = ("^(this program is free software )?you can redistribute it and or modify it under the terms of the gnu "
+         "affero general public license")
 #: Sentences with a part that varies: (pattern over the normalised sentence, identifier).
 PATTERNS = (
     ("^permission is hereby granted free of charge to any person obtaining a copy", "MIT-grant"),
@@ -67,8 +84,20 @@ PATTERNS = (
     (_GPL + " .*version 2 .*any later version$", "GPL-2-or-later"),
     (_GPL + " .*version 3 .*any later version$", "GPL-3-or-later"),
     (_GPL + "( as published by the free software foundation)?$", "GPL-grant"),
+    (_LGPL + " .*version 2 1 .*any later version$", "LGPL-2.1-or-later"),
+    (_LGPL + " .*version 3 .*any later version$", "LGPL-3-or-later"),
+    (_LGPL + "( as published by the free software foundation)?$", "LGPL-grant"),
+    (_AGPL + " .*version 3 .*any later version$", "AGPL-3-or-later"),
+    (_AGPL + "( as published by the free software foundation)?$", "AGPL-grant"),
+    ("^either version 2 1 .*any later version$", "LGPL-2.1-later"),
     ("^either version 2 .*any later version$", "GPL-2-later"),
     ("^either version 3 .*any later version$", "GPL-3-later"),
+    ("^if a copy of the mpl was not distributed with this file", "MPL-copy"),
+    ("^this program and the accompanying materials are made available under the terms of the eclipse public license "
+     "(version |v )?2 0", "EPL-2.0-ref"),
+    ("^to the extent possible under law .*dedicated all copyright and related and neighboring rights to this (work|software) "
+     "to the public domain worldwide", "CC0-ref"),
+    ("^the software is provided as is and .*disclaims all warranties with regard to this software", "ISC-asis"),
     ("^(copyright|c copyright)( c)? ([0-9]{4} )+", "Copyright"),
     *((f"^{TAG} " + re.sub("[^a-z0-9]+", " ", value.lower()) + "( with .*)?$", f"SPDX-{name}") for value, name in SPDX.items()),
     (f"^{TAG}", "SPDX"),
@@ -93,6 +122,23 @@ RULES = (
     ("GPL-3.0-only", ("GPL-3-ref", "GPL-copy")),
     ("GPL-3.0-only", ("GPL-3-ref",)),
     ("GPL-2.0-only", ("GPL-2-ref",)),
+    ("LGPL-2.1-or-later", ("LGPL-2.1-or-later",)),
+    ("LGPL-2.1-or-later", ("LGPL-grant", "LGPL-2.1-later")),
+    ("LGPL-3.0-or-later", ("LGPL-3-or-later",)),
+    ("LGPL-3.0-or-later", ("LGPL-grant", "GPL-3-later")),
+    ("AGPL-3.0-or-later", ("AGPL-3-or-later",)),
+    ("AGPL-3.0-or-later", ("AGPL-grant", "GPL-3-later")),
+    ("MPL-2.0", ("MPL-2.0-start", "MPL-copy")),
+    ("MPL-2.0", ("MPL-2.0-start",)),
+    ("ISC", ("ISC-grant", "ISC-asis")),
+    ("ISC", ("ISC-grant",)),
+    ("0BSD", ("0BSD-grant", "ISC-asis")),
+    ("0BSD", ("0BSD-grant",)),
+    ("EPL-2.0", ("EPL-2.0-ref",)),
+    ("CC0-1.0", ("CC0-ref",)),
+    ("Zlib", ("Zlib-asis", "Zlib-grant")),
+    ("Zlib", ("Zlib-grant",)),
+    ("BSL-1.0", ("BSL-1.0-ref",)),
     ("CC-BY-NC-4.0", ("CC-BY-NC-4.0-ref",)),
     ("CC-BY-SA-4.0", ("CC-BY-SA-4.0-ref",)),
     ("CC-BY-4.0", ("CC-BY-4.0-ref",)),

@@ -125,7 +125,7 @@ def test_gpl_notices_and_spdx_tags(make):
     got = licenses(make(rows))
     assert {i: got[i] for i in range(1, 9)} == {
         1: ("GPL-2.0-or-later", 2, 0), 2: ("GPL-3.0-or-later", 1, 0), 3: ("GPL-2.0-or-later", 3, 0),
-        4: ("GPL-3.0-or-later", 2, 0), 5: ("", 0, 0), 6: ("", 1, 1), 7: ("MIT", 1, 0), 8: ("GPL-3.0-or-later", 2, 0)}
+        4: ("GPL-3.0-or-later", 2, 0), 5: ("LGPL-3.0-or-later", 1, 0), 6: ("", 1, 1), 7: ("MIT", 1, 0), 8: ("GPL-3.0-or-later", 2, 0)}
     for i, want in enumerate(tags.values()):
         assert set(got[100 + i][0].split(",")) == set(want.split(",")) and got[100 + i][2] == 0
     assert [got[200 + i] for i in range(len(license_scan.SPDX))] == [(v, 1, 0) for v in license_scan.SPDX.values()]
@@ -146,6 +146,25 @@ APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you
           "the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0")
 
 
+LGPL21 = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+          "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+          "version.")
+MPL = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+       "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+       "provided that the above copyright notice and this permission notice appear in all copies.\n\nThe software is provided "
+       "\"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of "
+       "merchantability and fitness.")
+ZLIB = ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:")
+EPL = ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+       "available at https://www.eclipse.org/legal/epl-2.0/")
+CC0 = ("To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+       "software to the public domain worldwide. This software is distributed without any warranty.")
+BSL = "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)"
+
+
 def test_wrapped_notices(make):
     import textwrap
 
@@ -154,7 +173,11 @@ def test_wrapped_notices(make):
         return "code\n\n" + end.join((mark + x).rstrip() for x in lines) + end
 
     notices = [(MIT, "MIT", 4, 1), (BSD, "BSD-2-Clause,LicenseRef-Proprietary", 5, 0), (BSD3, "BSD-3-Clause,LicenseRef-Proprietary", 6, 0),
-               (GPL2 + COPY, "GPL-2.0-or-later", 3, 0), (GPL3 + COPY, "GPL-3.0-or-later", 2, 0), (APACHE, "Apache-2.0", 3, 0)]
+               (GPL2 + COPY, "GPL-2.0-or-later", 3, 0), (GPL3 + COPY, "GPL-3.0-or-later", 2, 0), (APACHE, "Apache-2.0", 3, 0),
+               (LGPL21, "LGPL-2.1-or-later", 2, 0), (GPL3.replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later", 1, 0),
+               (MPL, "MPL-2.0", 2, 0), (ISC, "ISC", 2, 0), (ZLIB, "Zlib", 2, 0), (EPL, "EPL-2.0", 1, 0), (CC0, "CC0-1.0", 1, 0),
+               (BSL, "BSL-1.0", 1, 0), (ISC.replace(", provided that the above copyright notice and this permission notice appear "
+                                                    "in all copies", ""), "0BSD", 2, 0)]
     styles = [(w, m, e) for w in (25, 60, 76, 400) for m, e in (("", "\n"), ("# ", "\n"), ("// ", "\r\n"), (" * ", "\n"), (";; ", "\n"),
                                                                ("! ", "\n"), ("| ", "\n"))]
     rows = [(100 * k + j, wrapped(n[0], *style)) for k, n in enumerate(notices) for j, style in enumerate(styles)]
