@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from revlens import params
 from revlens.functions import fields
-from revlens.session import written
 
 #: Parts without elements; each becomes one HIDDEN character, which ends any certainty around it.
 _RAW = "script|style|title|textarea|iframe|noembed|noframes|xmp"
@@ -86,4 +85,4 @@ def pages_to_parse(landed: DataFrame, layout: str, earliest: Column | None = Non
         pages = pages.join(stops, "target", "left").where(F.col("from").isNull() | (F.col("page_no") < F.col("from"))).drop("from")
     if skipped is not None:
         pages = pages.join(skipped, key, "left_anti")
-    return landed.join(written(pages, "pages-to-parse"), key, "left_semi")
+    return landed.join(pages, key, "left_semi")

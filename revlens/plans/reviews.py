@@ -75,10 +75,11 @@ def json_flow(landed: DataFrame, layout: str, meta: DataFrame, days: int | None
 
 
 def _pager_events(pages: DataFrame, label_col: str, wrap_label: str | None, on_error: str) -> tuple[DataFrame, DataFrame]:
-    """(events, skipped pages) of F4 over narrow ``(target, page_no, label)`` rows.  A page without a label
-    fails its target, or with ``keep_prefix`` ends it."""
+    """(events, skipped pages) of F4 over narrow ``(target, page_no, label)`` rows, written once.  A page without a
+    label fails its target, or with ``keep_prefix`` ends it."""
     flagged = recency.pager_flags(pages, "target", "page_no", label_col, wrap_label)
     missing = F.col(label_col).isNull()
+    flagged = written(flagged.filter(F.col("__ends") | F.col("__repeat") | missing), "pager")
     keep = F.lit(on_error == "keep_prefix")
     events = flagged.filter(F.col("__ends") | missing).select(
         "target", F.col("page_no").cast("long").alias("page_no"), F.lit(-1).cast("long").alias("pos"),
@@ -99,7 +100,6 @@ def amazon_flow(landed: DataFrame, size2model: DataFrame, targets: DataFrame,
     marks = None
     if "url" in landed.columns:
         marks, _ = _pager_events(landed.select("target", "page_no", "url").filter("url IS NOT NULL"), "url", None, "")
-        marks = written(marks, "pager")
     rows = written(html_extract.amazon_page_reviews(pages.pages_to_parse(landed, "amazon", earliest, marks)), "typed-reviews")
     events = extract.read_events(rows, earliest)
     if marks is not None:
@@ -140,7 +140,6 @@ def homedepot_flow(landed: DataFrame, product_pages: DataFrame, days: int | None
     if "page_label" in landed.columns:
         label_ = F.when(F.col("page_no") == 1, F.lit("1")).otherwise(F.col("page_label")).alias("page_label")
         marks, skipped = _pager_events(landed.select("target", "page_no", label_), "page_label", "1", on_error)
-        marks, skipped = written(marks, "pager"), written(skipped, "skipped-pages")
         ends = marks.where("stop")
     landed = pages.pages_to_parse(landed, "homedepot", earliest, ends, skipped)
     rows = written(html_extract.homedepot_page_reviews(landed), "typed-reviews")
