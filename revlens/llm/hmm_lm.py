@@ -159,12 +159,24 @@ class Model:
         np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
         return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=1, keepdims=True))
 
-    def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    def settled(self) -> np.ndarray:
+        """Shares of the states far from a text's start."""
+        share = np.full(len(self.start), 1 / len(self.start))
+        for _ in range(100):
+            share = share @ self.move
+        return share / share.sum()
+
+    def expected(self, sequences: list[np.ndarray], goes_on: list[bool] | None = None
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected counts (start, move, emit) and log likelihood: scaled forward-backward over sequences
-        that run side by side, the longest first, so those still running are a prefix."""
+        that run side by side, the longest first, so those still running are a prefix.
+
+        A sequence that ``goes_on`` starts in mid-text with the token before it, which stands for the cut: its state is
+        no start and its emission is not counted, but the move from it is."""
         s, c = self.emit.shape
         order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
         size = np.array([len(sequences[i]) for i in order])
+        inner = np.array([goes_on is not None and goes_on[i] for i in order])
         steps = int(size[0])
         seen = np.zeros((steps, len(order)), np.int64)
         for lane, i in enumerate(order):
@@ -172,7 +184,7 @@ class Model:
         running = np.searchsorted(-size, -np.arange(steps), "left")   # lanes longer than t
         by_class = np.ascontiguousarray(self.emit.T)
         forward, scale = np.zeros((steps, len(order), s)), np.ones((steps, len(order)))
-        now = self.start[None, :] * by_class[seen[0]]
+        now = np.where(inner[:, None], self.settled(), self.start) * by_class[seen[0]]
         for t in range(steps):
             n = running[t]
             if t:
@@ -190,9 +202,11 @@ class Model:
                 moves += forward[t, :m].T @ ahead
                 after[:m] = ahead @ self.move.T
             share = forward[t, :n] * after[:n]
+            if t == 0:
+                share = np.where(inner[:, None], 0.0, share)
             emits += np.bincount((seen[t, :n, None] * s + columns).ravel(), share.ravel(), c * s)
-        starts = (forward[0] * after).sum(axis=0)
-        return starts, moves * self.move, emits.reshape(c, s).T, float(np.log(scale).sum())
+        starts = (forward[0] * after)[~inner].sum(axis=0)
+        return starts, moves * self.move, emits.reshape(c, s).T, float(np.log(scale).sum() - np.log(scale[0, inner]).sum())
 
     def updated(self, starts, moves, emits, class_share: np.ndarray) -> Model:
         """Normalised counts, smoothed towards the shares of the corpus."""
@@ -225,6 +239,11 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, "<u2") for b in column.to_pylist()]
 
 
+def segments(sequence: np.ndarray, size: int) -> list[tuple[np.ndarray, bool]]:
+    """A text in pieces of ``size`` tokens; every piece but the first has the token before it in front."""
+    return [(sequence[max(at - 1, 0):at + size], at > 0) for at in range(0, len(sequence), size)]
+
+
 def _expected_counts(model: Model, segment: int):
     """Class sequences of training rows -> expected counts of this task, as (place, value)."""
 
@@ -232,9 +251,9 @@ def _expected_counts(model: Model, segment: int):
         s, c = model.emit.shape
         total = np.zeros(s + s * s + s * c + 1)
         for batch in batches:
-            cut = [q[at:at + segment] for q in _sequences(batch.column("classes")) for at in range(0, len(q), segment)]
+            cut = [piece for q in _sequences(batch.column("classes")) for piece in segments(q, segment)]
             for at in range(0, len(cut), LANES):
-                starts, moves, emits, log = model.expected(cut[at:at + LANES])
+                starts, moves, emits, log = model.expected(*map(list, zip(*cut[at:at + LANES], strict=True)))
                 total += np.concatenate([starts, moves.ravel(), emits.ravel(), [log]])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["place", "value"])

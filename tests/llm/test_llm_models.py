@@ -98,6 +98,23 @@ def test_language_model_scores(make, corpus, monkeypatch, top):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_cut_texts_count_every_token_and_move_once():
+    rnd = np.random.default_rng(8)
+    model = hmm_lm.Model.initial(3, np.full(5, 0.2))
+    texts = [rnd.integers(0, 5, n).astype(np.uint16) for n in (1, 2, 7, 8, 9, 30, 16)]
+    cut = [piece for q in texts for piece in hmm_lm.segments(q, 8)]
+    assert [np.concatenate([p[int(on):] for p, on in hmm_lm.segments(q, 8)]).tolist() for q in texts] == [q.tolist() for q in texts]
+    starts, moves, emits, _ = model.expected(*map(list, zip(*cut)))
+    tokens = sum(map(len, texts))
+    assert np.isclose(starts.sum(), len(texts)) and np.isclose(moves.sum(), tokens - len(texts)) and np.isclose(emits.sum(), tokens)
+    assert np.allclose(emits.sum(axis=0), np.bincount(np.concatenate(texts), minlength=5))
+    # without a cut nothing changes, and a piece that goes on has no start
+    whole = model.expected(texts)
+    assert all(np.allclose(a, b) for a, b in zip(whole, model.expected(texts, [False] * len(texts))))
+    assert model.expected(texts, [True] * len(texts))[0].sum() == 0
+    assert np.allclose(model.settled() @ model.move, model.settled())
+
+
 def test_forward_and_expected_counts_equal_enumeration():
     rnd = np.random.default_rng(6)
 
