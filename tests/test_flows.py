@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from revlens import params
@@ -61,9 +62,9 @@ def test_collect_reviews_product_mode_and_output(spark, tmp_out):
     meta = r.select("target").distinct().select(
         "target", F.lit("M").alias("model_no"), F.lit("ACME unit").alias("model_description"))
     assert flows.json_flow(landed, "walmart", meta, days=None)[0].filter("manufacturer <> 'ACME'").count() == 0
-    out, report, path = flows.collect_reviews("walmart", landed, meta=meta, mode="product", target=one,
+    out, report, path, totals = flows.collect_reviews("walmart", landed, meta=meta, mode="product", target=one,
                                               days=None, output=tmp_out + "/Walmart_Reviews")
-    assert path == tmp_out + "/Walmart_Reviews"
+    assert path == tmp_out + "/Walmart_Reviews" and totals["targets"] == 1
     assert report.count() == 1
     assert spark.read.parquet(path).count() == out.count()
     with pytest.raises(ValueError):
@@ -139,18 +140,18 @@ def test_collect_reviews_with_config_files(spark, tmp_out):
     with open(tmp_out + "/amazon.json", "w") as f:
         json.dump({"urls": {"Window": {"M1": "https://a/1"}, "Portable": "https://a/2"}, "size2model": {}, "model2desc": {"M1": "d 1"}}, f)
     landed = amazon_pages(spark, [("https://a/1", 1, "p1", 20, "2.0 out"), ("https://a/2", 1, "p2", 20, "2.0 out")])
-    out, report, _ = flows.collect_reviews("amazon", landed, category="Window", config_path=tmp_out + "/amazon.json",
+    out, report, *_ = flows.collect_reviews("amazon", landed, category="Window", config_path=tmp_out + "/amazon.json",
                                            days=None, tags=["sound", "wifi"])
     assert [(r.model_no, r.model_description, r.sound, r.category) for r in out.collect()] == [("M1", "d 1", 0, "")]
     assert report.count() == 1
-    with pytest.raises(ValueError):
+    with pytest.raises(PySparkException, match="invalid category: Nope"):
         flows.collect_reviews("amazon", landed, category="Nope", config_path=tmp_out + "/amazon.json")
     with open(tmp_out + "/lowes.json", "w") as f:
         json.dump({"urls": {"m1": ["https://x/pd/1001", "https://x/pd/1002"], "m2": ["https://x/pd/1003"]}, "model2desc": {"m1": "d"}}, f)
     payload = ('{"Results":[{"SubmissionTime":"2024-01-20T00","Rating":4.5,"Title":"t","ReviewText":"b","Photos":[]}]}')
     rows = [("lowes", t, 1, payload) for t in ("1001", "1002", "1003")]
     landed = spark.createDataFrame(rows, "source string, target string, page_no int, payload string")
-    out, report, _ = flows.collect_reviews("lowes", landed, config_path=tmp_out + "/lowes.json", days=None, predict=False)
+    out, report, *_ = flows.collect_reviews("lowes", landed, config_path=tmp_out + "/lowes.json", days=None, predict=False)
     assert [(r.manufacturer, r.model_no, r.rating) for r in out.collect()] == [(None, "m1", 4.5)]
     assert {r.target: r.status for r in report.collect()} == {"1001": "success", "1002": "success", "1003": "failed"}
 
@@ -168,7 +169,7 @@ def test_collect_reviews_by_category_listing(spark):
     page = ('<h1 class="page-title">Customer Reviews for X 1</h1><h2 class="product-info-bar__detail--24WIp">a</h2>'
             '<h2 class="product-info-bar__detail--24WIp">Model #M</h2>')
     product = spark.createDataFrame([(hrefs[0], page)], "target string, html string")
-    out, report, _ = flows.collect_reviews("homedepot", mapped, listing=listing, category="Window", product_pages=product, days=None)
+    out, report, *_ = flows.collect_reviews("homedepot", mapped, listing=listing, category="Window", product_pages=product, days=None)
     assert report.count() == len(hrefs) and out.count() == r.filter("target = 'src2'").count()
     with pytest.raises(ValueError):
         flows.collect_reviews("homedepot", mapped, listing=listing, category="Fridge", product_pages=product)
