@@ -28,7 +28,7 @@ _PLAIN_PAGE = rf"""(?s)\A(?:[^<>]++|</[A-Za-z][\w-]*+\s*+>|<!?(?!(?i:{_RAW}|plai
 def _open_tag(spec: tuple[str, str, str]) -> str:
     """Pattern of a start tag with one attribute equal to (``class``: holding) a value."""
     tag, attr, value = spec
-    other = rf"""(?:\s+(?!{attr}\b)[^\s"'<>/=]+(?:="[^"<>]*"|='[^'<>]*')?)*"""
+    other = rf"""(?:\s+(?!{attr}\b)[^\s"'<>/=]+(?:="[^"<>]*"|='[^'<>]*'|=[^\s"'<>=]+)?)*"""
     quoted = rf'(?:[^"<>]*\s)?{value}(?:\s[^"<>]*)?' if attr == "class" else value
     return rf"""<{tag}{other}\s+{attr}="{quoted}"{other}\s*>"""
 
@@ -54,6 +54,13 @@ _LAYOUTS = {
 }
 
 
+def pager_label(html: Column) -> Column:
+    """the page number that a Home Depot page's pager shows, read off the raw text (comments and scripts aside); NULL
+    without a pager."""
+    text = F.regexp_replace(html, _NO_MARKUP, _HIDDEN)
+    return F.get(F.regexp_extract_all(text, F.lit(_open_tag(params.HOMEDEPOT["pager"]) + "([^<]*)"), F.lit(1)), F.lit(0))
+
+
 def certainly_old(html: Column, layout: str, earliest: Column) -> Column:
     """Whether reading surely stops on the page: it has a review older than ``earliest``."""
     pattern, day = _LAYOUTS[layout]

@@ -95,6 +95,7 @@ AMAZON = {
 }
 HOMEDEPOT = {
     "review": ("div", "class", "review_item"),
+    "pager": ("span", "class", "pager-summary__bold"),
     "date": ("span", "class", "review-content__date"),
     "stars": ("span", "class", "stars"),
     "title": ("span", "class", "review-content__title"),

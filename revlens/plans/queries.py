@@ -16,6 +16,7 @@ from revlens import params, sinks
 from revlens.functions import fields, text
 from revlens.functions.stem import stem_word
 from revlens.operators import extract, html_extract, label, lookups, nb, recency, rules, sets, tfidf
+from revlens.operators import pages as pages_op
 from revlens.plans import reviews as flows
 from revlens.session import ensure_checkpoint_dir, written
 from revlens.sources import config, landed, testbed
@@ -374,12 +375,14 @@ def walmart_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def homedepot_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A Home Depot category whose pager breaks off, keeping what was read; no labels by default."""
+    """A Home Depot category from page files that show their pager, which breaks off; what was
+    read is kept; no labels by default."""
     part, r = table(spark, sf_dir, "part"), _reviews(spark, sf_dir)
     names = testbed.homedepot_targets(part)
     broken = (testbed.last_code(F.col("target")) % 3 == 1) & (F.col("page_no") == testbed.NO_LABEL)
     pages = testbed.homedepot_walk(r).withColumn("page_label", F.when(~broken, F.col("page_label")))
-    pages = pages.join(names, "target").drop("target").withColumnRenamed("review_url", "target")
+    pages = testbed.with_shown_pager(pages).join(names, "target").drop("target").withColumnRenamed("review_url", "target")
+    pages = _landed_files(spark, pages, "homedepot").withColumn("page_label", pages_op.pager_label(F.col("html")))
     product = testbed.product_pages(part).withColumn("target", F.concat(F.lit("src"), "target")).join(names, "target")
     listing = testbed.homedepot_listing(testbed.window_parts(part).withColumn("p_name", F.regexp_replace("p_name", " window unit$", "")))
     run = flows.collect_reviews("homedepot", pages, listing=listing, category="Window", on_error="keep_prefix", days=20,

@@ -126,7 +126,7 @@ def homedepot_flow(landed: DataFrame, product_pages: DataFrame, days: int | None
     """Home Depot pages -> reviews with metadata from the product page (E5); a target without a product page,
     description or model number fails (3.4).
 
-    With a ``page_label`` column the pager rule (F4) holds: a page observed again is skipped, coming back to
+    With a ``page_label`` column (``pages.pager_label`` reads it off the pages) the pager rule (F4) holds: a page observed again is skipped, coming back to
     page 1 ends the target, and a page without a label fails it (``on_error="keep_prefix"``: ends it).  The first
     page's own label is not looked at: it is page 1, with or without a pager.
     """

@@ -480,6 +480,14 @@ def homedepot_walk(reviews_df: DataFrame) -> DataFrame:
         "url", "html")
 
 
+def with_shown_pager(walk: DataFrame) -> DataFrame:
+    """Home Depot pages that show their label themselves, beside one in a comment and one of another class."""
+    pager = F.concat(F.lit('<!--<span class="pager-summary__bold">0</span>--><span class="pager-summary">9</span>'
+                           '<span id="p" class="u pager-summary__bold">'), F.col("page_label"), F.lit("</span>of many"))
+    shown = F.concat(F.coalesce(pager, F.lit("")), F.lit("<section"))
+    return walk.withColumn("html", F.replace(F.col("html"), F.lit("<section"), shown)).drop("page_label")
+
+
 # ---------------------------------------------------------------------------
 # Reviews that hit and narrowly miss the issue rules.
 # ---------------------------------------------------------------------------

@@ -122,3 +122,12 @@ def test_pager_pages_are_not_parsed(spark, monkeypatch):
     out, report = flows.homedepot_flow(landed, product, None)
     assert out.count() == 2 and report.collect()[0].status == "success"
     assert seen[-1] == 2                                        # pages 1 and 3; the others were seen before or lie behind
+
+
+def test_pager_labels(spark):
+    cases = ['<span class="pager-summary__bold">3</span>', '<p>x</p><SPAN>1</SPAN><span id=a class="a pager-summary__bold b" >12</span>', "",
+             '<!-- <span class="pager-summary__bold">3</span> --><p>', '<script><span class="pager-summary__bold">3</span></script>',
+             '<span class="pager-summary__bolder">3</span><span class="pager-summary__bold">4</span><span class="pager-summary__bold">5</span>', None]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, html string")
+    got = [r[0] for r in df.orderBy("i").select(pages.pager_label(F.col("html"))).collect()]
+    assert got == ["3", "12", None, None, None, "4", None]

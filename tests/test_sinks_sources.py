@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 
 from revlens import sinks
 from revlens.sources import config
@@ -37,8 +38,8 @@ def test_amazon_config(spark, tmp_out):
     assert t == [("Portable", "M1", "https://a/2"), ("Portable", "M2", "https://a/3"), ("Window", None, "https://a/1")]
     assert [tuple(r) for r in c["size2model"].collect()] == [("8,000 BTU", "M8", "desc8")]
     assert config.check_config_category(c["targets"], "Window").count() == 1
-    with pytest.raises(ValueError):
-        config.check_config_category(c["targets"], "Nope")
+    with pytest.raises(PySparkException, match="invalid category: Nope"):        # when the plan runs
+        config.check_config_category(c["targets"], "Nope").collect()
 
 
 def test_lowes_config_and_training_csv(spark, tmp_out):
