@@ -89,10 +89,10 @@ _LAYOUTS: dict[str, tuple[Callable, Callable, Callable]] = {
 
 def _is_false(value: Column, items: Column) -> Column:
     """What ends reading like an empty list: null, {}, "", 0, false (but not a string that looks so)."""
-    scalar = F.when(items.isNull(), (F.schema_of_variant(value) != "STRING") & (_get(value, "$", "double") == 0.0))
-    tests = [F.is_variant_null(value), F.size(items) == 0, F.size(_get(value, "$", "map<string,variant>")) == 0,
-             _get(value, "$", "string") == "", scalar]
-    return F.array_contains(F.array(*(F.coalesce(t, F.lit(False)) for t in tests)), True)
+    nothing = [F.is_variant_null(value), F.size(_get(value, "$", "map<string,variant>")) == 0, _get(value, "$", "string") == "",
+               (F.schema_of_variant(value) != "STRING") & (_get(value, "$", "double") == 0.0)]
+    other = F.array_contains(F.array(*(F.coalesce(t, F.lit(False)) for t in nothing)), True)
+    return F.when(items.isNotNull(), F.size(items) == 0).otherwise(other)       # a list is never turned into text
 
 
 def page_reviews(landed: DataFrame, layout: str, earliest: Column | None = None) -> DataFrame:
