@@ -296,7 +296,9 @@ class SuffixDedup:
             "doc_id", F.explode_outer(F.arrays_zip(F.col("hashes").alias("hash"), F.col("places").alias("place"))).alias("s"))
         found = found.where("s IS NOT NULL").select("doc_id", "s.hash", "s.place")
         again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-        return found.join(again, "hash")
+        # a second key, so that both sides are exchanged for the join and adaptive execution can split a hot sample
+        part = F.pmod(F.col("hash"), F.lit(7)).alias("part")
+        return found.select("*", part).join(again.select("*", part), ["hash", "part"]).drop("part")
 
     def spans(self) -> tuple[DataFrame, DataFrame]:
         """(texts, spans): texts of the documents with samples that occur again; covered (doc_id, low, high)."""
