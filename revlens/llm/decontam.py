@@ -53,8 +53,8 @@ SIZE, PERCENT = 5, 80
 RADIUS, BLOCKS = 23, 8
 #: Words of benchmark text given to the tasks at once.
 PART_WORDS = 50_000
-#: Shingles whose bits are counted together.
-SPAN = 1 << 16
+#: Window starts whose bits are counted together (256 bytes a shingle).
+SPAN = 1 << 12
 
 _U = np.uint64
 
