@@ -289,8 +289,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         held = rows.where(F.col("part").isin(part)).select("doc_id", "text").collect()     # PART_WORDS bounds it
         items = Items([r.doc_id for r in held], [r.text for r in held], size, percent, radius, short_items)
         if items.ids or items.short:
-            sent = spark.sparkContext.broadcast(items)
-            base.mapInArrow(lambda batches, sent=sent: _matches(sent.value)(batches), MATCH).write.mode("append").parquet(path)
+            base.mapInArrow(_matches(items), MATCH).write.mode("append").parquet(path)
     return spark.read.schema(MATCH).parquet(path).select(
         "doc_id", "item_id", "start_word", "n_words", (F.col("shared") / F.col("total")).alias("similarity"), "distance")
 
