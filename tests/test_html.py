@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import html
 from revlens.operators import html_extract
+from revlens.sources import testbed
 
 
 def test_tree_semantics():
@@ -104,3 +105,12 @@ def test_implied_ends_and_headings():
     assert grid("<table><tr><th>h<th>i<tr><th>j<tr><td>a<th>b</table>") == [[["a", "b"]]]
     # with a thead, later rows of headings are data
     assert grid("<table><thead><tr><th>h</thead><tr><th>a<tr><td>b</table>") == [[["a"], ["b"]]]
+
+
+def test_product_pages_of_a_small_table_are_parsed_by_many_tasks(spark):
+    rows = [(i, f"name {i}", "Brand#1", "LARGE", i, 1.0) for i in [*range(400), None, None, 7, 7]]
+    part = spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1)
+    for pages in (testbed.product_pages(part), testbed.spec_pages(part)):
+        sizes = pages.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 4 * spark.sparkContext.defaultParallelism and sum(r["count"] for r in sizes) == len(rows)
+        assert max(r["count"] for r in sizes) <= 2 * len(rows) / len(sizes) + 1          # whatever the keys
