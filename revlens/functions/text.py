@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from revlens import params
 from revlens.functions.stem import stem_tokens
+from revlens.session import small_batches
 
 
 def compose_text(title: Column, body: Column) -> Column:
@@ -91,4 +92,6 @@ def with_ngrams(df: DataFrame, tokens: Column, out_col: str = "ngrams") -> DataF
 def with_review_ngrams(df: DataFrame, title: str = "title", body: str = "body", stem: bool = True,
                        out_col: str = "ngrams") -> DataFrame:
     """Vectorizer input of each review."""
+    if stem:
+        small_batches(df.sparkSession)
     return with_ngrams(df, review_tokens(F.col(title), F.col(body), stem), out_col)

@@ -25,6 +25,7 @@ from revlens.functions.text import compose_text, drop_stopwords, letters_only, t
 from revlens.operators import rules as rules_op
 from revlens.operators.nb import NBModel, fit
 from revlens.operators.tfidf import tfidf_vectors
+from revlens.session import small_batches
 
 
 def model_eligible(rating: Column, body: Column) -> Column:
@@ -71,6 +72,7 @@ def predict_labels(df: DataFrame, candidate_tags: Sequence[str] = params.DEFAULT
         toks = drop_stopwords(tokenize(letters_only(compose_text(F.col(title), F.col(body)))))
         toks = F.when(eligible, toks).otherwise(F.array().cast("array<string>"))
         if stem:
+            small_batches(df.sparkSession)
             toks = stem_tokens(toks)
         out = with_ngrams(out, toks, "__ngrams")
         out = tfidf_vectors(out, model.vocab, "__ngrams", "__w")

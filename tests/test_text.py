@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from revlens.functions import stem, text
+from revlens.operators import tfidf
 
 
 def test_compose_and_tokens(spark):
@@ -82,3 +83,32 @@ def test_stemmer_equals_its_sql():
     con.executemany("INSERT INTO w VALUES (?)", [(x,) for x in words])
     got = dict(con.execute(f"WITH {stem_ctes('w')} SELECT word, stem FROM stems").fetchall())
     assert got == {x: porter_stem(x) for x in words}
+
+
+def test_stems_of_arrow_lists_keep_nulls_and_places(spark):
+    import pyarrow as pa
+
+    lists = [["cats", "ponies"], None, [], ["cats"] * 3, ["sky"], None, ["feed", "ties"]]
+    wanted = [x and [stem.porter_stem(w) for w in x] for x in lists]
+    array = pa.array(lists, pa.list_(pa.string()))
+    assert stem._stem_lists(array).to_pylist() == wanted
+    assert stem._stem_lists(array.slice(1, 5)).to_pylist() == wanted[1:6]           # a batch may be a slice
+    assert stem._stem_lists(array.slice(0, 0)).to_pylist() == []
+    assert stem._stem_lists(pa.array([None, None], pa.list_(pa.string()))).to_pylist() == [None, None]
+
+
+def test_stemming_takes_texts_in_small_batches(spark):
+    from revlens.operators import label, nb
+    from revlens.session import BATCH_CONF, BATCH_ROWS
+
+    before = spark.conf.get(BATCH_CONF)
+    rows = spark.createDataFrame([("a", "b", "c", 1)], "title string, body string, category string, rating int")
+    try:
+        for make in (lambda: nb.labelled_ngrams(rows), lambda: text.with_review_ngrams(rows)):
+            spark.conf.set(BATCH_CONF, "10000")
+            assert make().count() == 1 and int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS
+        model = nb.NBModel(tfidf.Vocabulary(["b"], [1], 1), ["t"], {("t", 0): 0.0}, {("t", 0): [0.0]})
+        spark.conf.set(BATCH_CONF, "10000")
+        assert label.predict_labels(rows, ["t"], model=model).count() == 1 and int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS
+    finally:
+        spark.conf.set(BATCH_CONF, before)
