@@ -148,3 +148,29 @@ def test_files_in_name_order_are_newest_first(spark, tmp_out, monkeypatch):
         flat = [d for part in dates for d in part]
         assert len(flat) == 1000 and flat == sorted(flat, key=lambda d: (d is None, -(d.toordinal() if d else 0)))
         assert max(map(len, dates)) <= 40 and len(dates) >= 25
+
+
+def test_page_files_are_written_and_listed_by_many_tasks(spark, tmp_out):
+    pages = spark.range(120).select(F.concat(F.lit("t"), F.col("id") % 3).alias("target"), F.col("id").cast("int").alias("page_no"),
+                                    F.concat(F.lit("<p>"), "id").alias("html")).coalesce(1)
+    path = landed.land_pages(pages, tmp_out + "/landed")
+    before = spark.conf.get(landed.LISTING_CONF)
+    read = landed.read_pages(spark, path, "s")
+    assert spark.conf.get(landed.LISTING_CONF) == before                       # the caller's setting stays
+    got = read.select("target", "page_no", F.regexp_replace("html", "\n$", "").alias("html"))    # a text file ends its line
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pages.collect()))
+    writers = {re.search(r"/part-(\d+)", f).group(1) for f in read.inputFiles()}
+    assert len(writers) > spark.sparkContext.defaultParallelism                # one task would have written all files
+
+
+def test_page_files_are_opened_once(spark, tmp_out, monkeypatch):
+    html = '<div data-hook="review"><span data-hook="review-date">on January 20, 2024</span></div>'
+    pages = spark.createDataFrame([("u", 1, html), ("u", 2, html)], "target string, page_no int, html string")
+    read = landed.read_pages(spark, landed.land_pages(pages, tmp_out + "/landed"), "amazon")
+    seen, real = [], flows.amazon_flow
+    monkeypatch.setattr(flows, "amazon_flow", lambda pages, *a: seen.append(pages) or real(pages, *a))
+    sizes = spark.createDataFrame([], "size string, model_no string, model_description string")
+    targets = spark.createDataFrame([("u", None)], "target string, model_no string")
+    run = flows.collect_reviews("amazon", read, size2model=sizes, targets=targets, days=None, predict=False)
+    assert run.reviews.count() == 2 and run.report.collect()[0].n_reviews == 2
+    assert all("landed-pages" in f for f in seen[0].inputFiles())              # not the page files, which every step would open
